@@ -158,7 +158,7 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "state_texts": (
         [],
         f"""SELECT CASE c_custkey % 4 WHEN 0 THEN lower(name)
- WHEN 1 THEN concat(' ', array_to_string(list_transform(string_split(lower(name), ' '), w -> upper(w[1]) || w[2:]), ' '), ' ')
+ WHEN 1 THEN concat(' ', array_to_string([upper(w[1]) || w[2:] FOR w IN string_split(lower(name), ' ')], ' '), ' ')
  WHEN 2 THEN substring(name, 1, 2) ELSE name END AS state_text
 FROM (SELECT c_custkey, list_extract([{_STATE_NAMES}], CAST(c_custkey % {len(STATE_ABBREVIATIONS) + 1} + 1 AS INT)) AS name FROM customer) c""",
     ),
