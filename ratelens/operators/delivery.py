@@ -281,22 +281,30 @@ def known_events(events: DataFrame) -> DataFrame:
     return events.filter(F.col("message_id").isNotNull() & kind.isin(list(STATUS))).withColumn("kind", kind)
 
 
-def email_status_fold(events: DataFrame, emails: DataFrame) -> DataFrame:
-    """Status of every logged mail after all its events in order of (ts, event_id).
-
-    Status is that of the last event; the dates and notes come from the last event of their own kind. An open
-    counts on from the open before it, and starts again at one after any other event, so the open count is
-    the length of the last unbroken run of opens.
+def period_of(ts: Column | str) -> Column:
+    """Start of the week that events are summed up by."""
+    return F.date_trunc("week", ts).cast("timestamp_ntz")
 
-    Runs are found inside hours and then joined across them, so that a message with a large part of all
-    events is worked on by many tasks.
-    """
-    known = known_events(events).withColumn("key", F.struct("ts", "event_id"))
-    kind = F.col("kind")
 
-    def last_key(*kinds: str) -> Column:
-        return F.max(F.when(kind.isin(*kinds), F.col("key")))
+def email_periods(events: DataFrame) -> DataFrame:
+    """What each week does to a message: its last status, dates and notes, and its runs of opens.
 
+    A run is named by the last other event before it in the week. Only the run at the start of the week, which may
+    go on from the week before, and the last run can matter later.
+    """
+    kind, key = F.col("kind"), F.col("key")
+    known = (
+        known_events(events)
+        .withColumn("key", F.struct("ts", "event_id"))
+        .withColumn("period", period_of("ts"))
+    )
+    other = F.when(kind != "open", key)
+    opened = F.when(kind == "open", key)
+    so_far = (
+        Window.partitionBy("message_id", "period")
+        .orderBy("ts", "event_id")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     note = (
         F.when(kind == "bounce", F.concat(F.lit("Bounce: "), F.coalesce("description", F.lit("No description"))))
         .when(kind == "spamcomplaint", NOTE_SPAM)
@@ -305,15 +313,60 @@ def email_status_fold(events: DataFrame, emails: DataFrame) -> DataFrame:
     status = F.lit(None).cast("string")
     for name, text in STATUS.items():
         status = F.when(kind == name, text).otherwise(status)
-    last = known.groupBy("message_id").agg(
-        F.max_by(status, "key").alias("status"),
-        last_key("delivery").getField("ts").alias("delivered_at"),
-        F.max_by(F.coalesce("bounce_type", F.lit("Unknown")), F.when(kind == "bounce", F.col("key"))).alias(
-            "bounce_type"
-        ),
-        F.max_by(note, F.when(kind.isin("bounce", "spamcomplaint", "unsubscribe"), F.col("key"))).alias("notes"),
+    pieces = (
+        known.withColumn("after", F.max(other).over(so_far))
+        .groupBy("message_id", "period", "after")
+        .agg(
+            F.max(key).alias("last"),
+            F.max_by(status, key).alias("status"),
+            F.max(F.when(kind == "delivery", F.col("ts"))).alias("delivered_at"),
+            F.max(F.when(kind == "bounce", F.struct(key, F.coalesce("bounce_type", F.lit("Unknown")).alias("v")))).alias("bounce"),
+            F.max(F.when(note.isNotNull(), F.struct(key, note.alias("v")))).alias("note"),
+            F.count(opened).alias("opens"),
+            F.min(opened).alias("first"),
+            F.max(opened).alias("last_open"),
+        )
+    )
+    run = F.when(
+        F.col("opens") > 0, F.struct("after", "opens", "first", F.col("last_open").alias("last"))
+    )
+    no_other = F.col("after").isNull()
+    return pieces.groupBy("message_id", "period").agg(
+        F.max("last").alias("last"),
+        F.max_by("status", "last").alias("status"),
+        F.max("delivered_at").alias("delivered_at"),
+        F.max("bounce").getField("v").alias("bounce_type"),
+        F.max("note").getField("v").alias("notes"),
+        F.max("after").alias("last_other"),
+        F.array_compact(
+            F.array(F.max(F.when(no_other, run)), F.max(F.when(~no_other, run)))
+        ).alias("runs"),
+    )
+
+
+def merge_periods(periods: DataFrame, emails: DataFrame) -> DataFrame:
+    """Status of every logged mail from its periods.
+
+    A run at the start of a week goes on from the last other event of the earlier weeks, so runs with
+    the same such event are one run; the last one counts.
+    """
+    earlier = Window.partitionBy("message_id").orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
+    runs = (
+        periods.select("message_id", "runs", F.max("last_other").over(earlier).alias("carried"))
+        .select("message_id", "carried", F.explode("runs").alias("run"))
+        .groupBy("message_id", F.coalesce("run.after", "carried").alias("after"))
+        .agg(F.sum("run.opens").alias("opens"), F.min("run.first").alias("first"), F.max("run.last").alias("last"))
+        .groupBy("message_id")
+        .agg(F.max_by(F.col("first.ts"), "last").alias("opened_at"), F.max_by("opens", "last").alias("open_count"))
     )
-    fold = last.join(_last_open_run(known), "message_id", "left")
+    latest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("period"))).alias(c)
+    fields = periods.groupBy("message_id").agg(
+        F.max_by("status", "period").alias("status"),
+        F.max("delivered_at").alias("delivered_at"),
+        latest("bounce_type"),
+        latest("notes"),
+    )
+    fold = fields.join(runs, "message_id", "left")
     return emails.join(fold, "message_id", "left").select(
         "message_id",
         "subscriber_id",
@@ -326,38 +379,17 @@ def email_status_fold(events: DataFrame, emails: DataFrame) -> DataFrame:
     )
 
 
-def _last_open_run(known: DataFrame) -> DataFrame:
-    """Start and length of the last run of opens of each message.
+def email_status_fold(events: DataFrame, emails: DataFrame) -> DataFrame:
+    """Status of every logged mail after all its events in order of (ts, event_id).
+
+    Status is that of the last event; the dates and notes come from the last event of their own kind. An open
+    counts on from the open before it, and starts again at one after any other event, so the open count is
+    the length of the last unbroken run of opens.
 
-    A run is named by the last other event before it, which the hour itself or an earlier hour holds.
+    Each week of a message is summed up on its own first, so that a message with a large part of all events is
+    worked on by many tasks.
     """
-    hourly = known.withColumn("hour", F.date_trunc("hour", "ts"))
-    other = F.when(F.col("kind") != "open", F.col("key"))
-    so_far = (
-        Window.partitionBy("message_id", "hour")
-        .orderBy("ts", "event_id")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    runs = (
-        hourly.withColumn("after", F.max(other).over(so_far))
-        .filter(F.col("kind") == "open")
-        .groupBy("message_id", "hour", "after")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last"))
-    )
-    earlier = Window.partitionBy("message_id").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
-    hours = (
-        hourly.groupBy("message_id", "hour")
-        .agg(F.max(other).alias("last_other"))
-        .select("message_id", "hour", F.max("last_other").over(earlier).alias("carried"))
-    )
-    whole = (
-        runs.join(hours, ["message_id", "hour"])
-        .groupBy("message_id", F.coalesce("after", "carried").alias("after"))
-        .agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
-    )
-    return whole.groupBy("message_id").agg(
-        F.max_by(F.col("first.ts"), "last").alias("opened_at"), F.max_by("n", "last").alias("open_count")
-    )
+    return merge_periods(email_periods(events), emails)
 
 
 def subscriber_deactivate(subscribers: DataFrame, emails: DataFrame, events: DataFrame) -> DataFrame:

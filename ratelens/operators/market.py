@@ -22,7 +22,7 @@ from ratelens.functions.numeric import (
 )
 
 
-def _per_carrier(filings: DataFrame, *keys: str) -> DataFrame:
+def per_carrier(filings: DataFrame, *keys: str) -> DataFrame:
     """Counts and exact sums per key, state and company.
 
     Distinct companies and states are then counted on these few rows; two distinct counts over the
@@ -43,7 +43,7 @@ def _per_carrier(filings: DataFrame, *keys: str) -> DataFrame:
 
 
 def market_overview(filings: DataFrame, *, as_of: date, months_back: int = 12) -> DataFrame:
-    recent = _per_carrier(filings.filter(between_months(as_of, months_back)))
+    recent = per_carrier(filings.filter(between_months(as_of, months_back)))
     return recent.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_filings"),
         F.countDistinct("Company").alias("unique_companies"),
@@ -121,7 +121,7 @@ def hot_zones(filings: DataFrame, *, as_of: date, limit: int = 20) -> DataFrame:
 
 
 def trend_analysis(filings: DataFrame, *, as_of: date, months_back: int = 24) -> DataFrame:
-    monthly = _per_carrier(
+    monthly = per_carrier(
         filings.filter(between_months(as_of, months_back)).withColumn("month", month_of("Effective_Date")),
         "month",
     )

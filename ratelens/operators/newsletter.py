@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ratelens.functions.dates import EFFECTIVE, month_of, month_start, next_month
 from ratelens.functions.names import display_company
-from ratelens.functions.numeric import RATE, avg_pct, one_decimal, rate, rounded, short_number, sum_where
+from ratelens.functions.numeric import RATE, avg_pct, one_decimal, pct_of, rate, rounded, short_number, sum_where
 from ratelens.functions.ranking import top_per_group
 from ratelens.functions.states import state_abbr
 
@@ -123,6 +123,42 @@ def pending_reports(filings: DataFrame, reports: DataFrame) -> DataFrame:
     return state_activity(filings).join(logged, EDITION, "left_anti")
 
 
+def _editions(filings: DataFrame) -> DataFrame:
+    """Summary and top product line of each state and month from one read of the filings.
+
+    Companies and product lines are two grouping sets of the same pass: rows per company give the number of
+    companies that raise rates, rows per line give the most frequent one.
+    """
+    up = rate() > 0
+    keys = [F.col(c) for c in (*EDITION, "Company", "Product_Line")]
+    by_company, by_line = keys[:3], [*keys[:2], keys[3]]
+    groups = (
+        _dated(filings)
+        .groupingSets([by_company, by_line], *keys)
+        .agg(
+            F.grouping("Product_Line").alias("is_company"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(up).alias("ups"),
+            sum_where(up, rate()).alias("up_total"),
+            sum_where(up, "Policyholders_Affected_Number").alias("up_policies"),
+        )
+    )
+    company = F.col("is_company") == 1
+
+    def of_companies(column: str) -> Column:
+        return F.sum(F.when(company, F.col(column)))
+
+    most = F.struct(-F.col("n"), F.col("Product_Line").isNull(), "Product_Line")
+    return groups.groupBy(*EDITION).agg(
+        F.count_if(company & (F.col("ups") > 0) & F.col("Company").isNotNull()).alias("companies"),
+        F.coalesce(rounded(pct_of(of_companies("up_total"), of_companies("ups")), 1), F.lit(0.0)).alias(
+            "avg_increase_pct"
+        ),
+        short_number(F.coalesce(of_companies("up_policies"), F.lit(0))).alias("policies_affected"),
+        F.min_by("Product_Line", F.when(~company, most)).alias("product_line"),
+    )
+
+
 def newsletter_batch(filings: DataFrame) -> DataFrame:
     """Everything a newsletter shows, one row per state and month that has filings.
 
@@ -131,19 +167,11 @@ def newsletter_batch(filings: DataFrame) -> DataFrame:
     cards = card_display(rate_cards(filings))
     card = F.struct("place", "Record_ID", "company", "change_pct", "policies", "effective_date")
     card_lists = cards.groupBy(*EDITION).agg(F.sort_array(F.collect_list(card)).alias("cards"))
-    totals = overall_stats(filings)
-    summary = newsletter_summary(filings).select(
-        *EDITION,
-        "companies",
-        "avg_increase_pct",
-        short_number(F.col("policies")).alias("policies_affected"),
-    )
-    lines = top_product_line(filings).select(*EDITION, "product_line")
     no_cards = F.array().cast(
         "array<struct<place:bigint,Record_ID:string,company:string,change_pct:string,policies:string,"
         "effective_date:string>>"
     )
-    stats = totals.select(
+    stats = overall_stats(filings).select(
         F.struct(
             short_number(F.col("total_filings")).alias("total_filings"),
             short_number(F.col("policyholders")).alias("total_policyholders"),
@@ -151,7 +179,7 @@ def newsletter_batch(filings: DataFrame) -> DataFrame:
         ).alias("stats")
     )
     return (
-        summary.join(lines, EDITION)
+        _editions(filings)
         .join(card_lists, EDITION, "left")
         .withColumn("cards", F.coalesce("cards", no_cards))
         .withColumn("stats", stats.scalar())

@@ -1,14 +1,14 @@
-"""Sentences of the market report, put together from the market tables."""
+"""Sentences of the market report, put together in one pass over the filings."""
 
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.functions.numeric import mean_of, one_decimal
+from ratelens.functions.dates import between_months
+from ratelens.functions.numeric import mean_of, one_decimal, pct_of, rounded
 from ratelens.operators import market
 
 
@@ -16,116 +16,160 @@ def _text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def key_findings(filings: DataFrame, *, as_of: date) -> DataFrame:
-    """Headline sentences: market, share of increases, busiest state, steep states, steepest company."""
-    overview = market.market_overview(filings, as_of=as_of)
-    states = market.state_analysis(filings, as_of=as_of)
-    companies = market.company_rankings(filings, as_of=as_of)
-    share = mean_of(F.col("increases"), F.col("total_filings")) * 100
-    has_filings = F.col("total_filings") > 0
-    headline = overview.filter(has_filings).select(
-        F.lit(1).alias("finding_no"),
-        F.lit("market_increase").alias("finding"),
-        _text(
-            "Market shows ",
-            one_decimal(F.col("avg_increase_pct")),
-            "% average rate increase across ",
-            F.col("unique_companies"),
-            " companies",
-        ).alias("value"),
-    )
-    balance = overview.filter(has_filings).select(
-        F.lit(2).alias("finding_no"),
-        F.lit("increase_share").alias("finding"),
-        _text(
-            F.col("increases"),
-            " rate increases vs ",
-            F.col("decreases"),
-            " decreases (",
-            one_decimal(share),
-            "% increase rate)",
-        ).alias("value"),
-    )
-    top_state = states.limit(1).select(
-        F.lit(3).alias("finding_no"),
-        F.lit("top_state").alias("finding"),
-        _text(
-            F.col("State"),
-            " leads with ",
-            F.col("filing_count"),
-            " filings and ",
-            one_decimal(F.col("avg_change_pct")),
-            "% average change",
-        ).alias("value"),
+def _first(states: Column, k: int) -> Column:
+    """Names of the first ``k`` entries of a sorted array of (order, State)."""
+    return F.array_join(F.transform(F.slice(states, 1, k), lambda s: s["State"]), ", ")
+
+
+def headline_figures(filings: DataFrame, *, as_of: date) -> DataFrame:
+    """One row with what the sentences need: the market, the leading states and the leading company.
+
+    The figures per state, per company and overall are grouping sets of the per-carrier sums of the last twelve
+    months, so the filings are read once. The state lists hold at most all states.
+    """
+    carriers = market.per_carrier(filings.filter(between_months(as_of, 12)))
+    keys = [F.col("State"), F.col("Company")]
+    groups = carriers.groupingSets([[keys[0]], [keys[1]], []], *keys).agg(
+        F.grouping_id().alias("level"),
+        F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("members"),
+        rounded(pct_of(F.sum("total"), F.sum("rates")), 2).alias("avg"),
+        F.sum("ups").alias("ups"),
+        F.sum("downs").alias("downs"),
+        rounded(pct_of(F.sum("up_total"), F.sum("ups")), 2).alias("avg_up"),
     )
-    steep = _busiest_states(states.filter(F.col("avg_change_pct") > 10), 3)
-    steep_states = steep.filter("n > 0").select(
-        F.lit(4).alias("finding_no"),
-        F.lit("aggressive_states").alias("finding"),
-        _text("Aggressive rate increases in: ", F.col("names"), " (all >10% average)").alias("value"),
+    of_state, of_company, of_all = (F.col("level") == x for x in (1, 2, 3))
+    ranked_company = of_company & (F.col("n") >= 5)
+    busiest = F.struct((-F.col("n")).alias("order"), F.col("State").isNull().alias("unknown"), "State")
+    state = F.struct("State", "n", "avg")
+    company = F.struct("Company", "avg_up", "members")
+    steepest = F.struct(-F.col("avg_up"), F.col("Company").isNull(), "Company")
+    return groups.agg(
+        F.max(F.when(of_all, F.struct("n", "ups", "downs", "avg_up"))).alias("market"),
+        F.count_if(of_company & F.col("Company").isNotNull()).alias("companies"),
+        F.min_by(state, F.when(of_state, busiest)).alias("top_state"),
+        F.sort_array(F.collect_list(F.when(of_state & (F.col("avg") > 10), busiest))).alias("steep_states"),
+        F.sort_array(F.collect_list(F.when(of_state & (F.col("n") > 50), busiest))).alias("busy_states"),
+        F.min_by(company, F.when(ranked_company & F.col("avg_up").isNotNull(), steepest)).alias("top_company"),
+        F.least(F.count_if(ranked_company & (F.col("avg_up") > 10)), F.lit(5)).alias("steep_companies"),
     )
-    top_company = companies.limit(1).select(
-        F.lit(5).alias("finding_no"),
-        F.lit("top_company").alias("finding"),
-        _text(
-            F.split(F.trim("Company"), r"\s+")[0],
-            "... leads with ",
-            one_decimal(F.col("avg_increase_pct")),
-            "% average increase across ",
-            F.col("states_active"),
-            " states",
-        ).alias("value"),
+
+
+def _finding(number: int, name: str, text: Column, when: Column) -> Column:
+    entry = F.struct(
+        F.lit(number).cast("bigint").alias("finding_no"), F.lit(name).alias("finding"), text.alias("value")
     )
-    return _stacked([headline, balance, top_state, steep_states, top_company])
+    return F.when(when, entry)
 
 
-def _busiest_states(states: DataFrame, k: int) -> DataFrame:
-    """One row: names of the ``k`` states with most filings, in that order, and their number."""
-    first = states.orderBy(F.desc("filing_count"), F.asc_nulls_last("State")).limit(k)
-    listed = F.sort_array(F.collect_list(F.struct((-F.col("filing_count")).alias("order"), "State")))
-    return first.agg(F.array_join(listed.getField("State"), ", ").alias("names"), F.count(F.lit(1)).alias("n"))
+def _finding_entries() -> list[Column]:
+    """Headline sentences: market, share of increases, busiest state, steep states, steepest company."""
+    m, s, c = F.col("market"), F.col("top_state"), F.col("top_company")
+    any_filings = F.coalesce(m["n"], F.lit(0)) > 0
+    share = mean_of(m["ups"], m["n"]) * 100
+    return [
+        _finding(
+            1,
+            "market_increase",
+            _text(
+                "Market shows ",
+                one_decimal(m["avg_up"]),
+                "% average rate increase across ",
+                F.col("companies"),
+                " companies",
+            ),
+            any_filings,
+        ),
+        _finding(
+            2,
+            "increase_share",
+            _text(
+                m["ups"], " rate increases vs ", m["downs"], " decreases (", one_decimal(share), "% increase rate)"
+            ),
+            any_filings,
+        ),
+        _finding(
+            3,
+            "top_state",
+            _text(
+                s["State"], " leads with ", s["n"], " filings and ", one_decimal(s["avg"]), "% average change"
+            ),
+            s.isNotNull(),
+        ),
+        _finding(
+            4,
+            "aggressive_states",
+            _text("Aggressive rate increases in: ", _first(F.col("steep_states"), 3), " (all >10% average)"),
+            F.size("steep_states") > 0,
+        ),
+        _finding(
+            5,
+            "top_company",
+            _text(
+                F.split(F.trim(c["Company"]), r"\s+")[0],
+                "... leads with ",
+                one_decimal(c["avg_up"]),
+                "% average increase across ",
+                c["members"],
+                " states",
+            ),
+            c.isNotNull(),
+        ),
+    ]
+
+
+def _advice_entries() -> list[Column]:
+    """Sections of advice; a section without matching states, companies or zones is left out."""
+    return [
+        _finding(
+            1,
+            "Geographic Opportunities",
+            _text(
+                "High-activity states (",
+                _first(F.col("busy_states"), 5),
+                ") show consistent filing patterns, suggesting mature markets with established rate adjustment"
+                " cycles.",
+            ),
+            F.size("busy_states") > 0,
+        ),
+        _finding(
+            2,
+            "Competitive Landscape",
+            _text(
+                F.col("steep_companies"),
+                " companies are pursuing aggressive rate increases (>10% average), potentially creating market"
+                " opportunities for competitive positioning.",
+            ),
+            F.col("steep_companies") > 0,
+        ),
+        _finding(
+            3,
+            "Risk Areas",
+            _text(
+                F.col("zones"),
+                " state/company combinations show concentrated rate increase activity. These 'hot zones' may face"
+                " regulatory scrutiny or customer retention challenges.",
+            ),
+            F.col("zones") > 0,
+        ),
+    ]
+
+
+def _rows(figures: DataFrame, entries: list[Column]) -> DataFrame:
+    return figures.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+
+
+def _with_zones(filings: DataFrame, as_of: date) -> DataFrame:
+    zones = market.hot_zones(filings, as_of=as_of).agg(F.count(F.lit(1)))
+    return headline_figures(filings, as_of=as_of).withColumn("zones", zones.scalar())
 
 
-def _stacked(rows: list[DataFrame]) -> DataFrame:
-    stacked = reduce(DataFrame.unionByName, rows)
-    return stacked.withColumn("finding_no", F.col("finding_no").cast("bigint"))
+def key_findings(filings: DataFrame, *, as_of: date) -> DataFrame:
+    return _rows(headline_figures(filings, as_of=as_of), _finding_entries())
 
 
 def strategic_insights(filings: DataFrame, *, as_of: date) -> DataFrame:
-    """Sections of advice; a section without matching states, companies or zones is left out."""
-    states = market.state_analysis(filings, as_of=as_of)
-    companies = market.company_rankings(filings, as_of=as_of)
-    zones = market.hot_zones(filings, as_of=as_of)
-    busy = _busiest_states(states.filter(F.col("filing_count") > 50), 5)
-    geographic = busy.filter("n > 0").select(
-        F.lit(1).alias("finding_no"),
-        F.lit("Geographic Opportunities").alias("finding"),
-        _text(
-            "High-activity states (",
-            F.col("names"),
-            ") show consistent filing patterns, suggesting mature markets with established rate adjustment cycles.",
-        ).alias("value"),
-    )
-    steep = companies.filter(F.col("avg_increase_pct") > 10).limit(5).agg(F.count(F.lit(1)).alias("n"))
-    competitive = steep.filter("n > 0").select(
-        F.lit(2).alias("finding_no"),
-        F.lit("Competitive Landscape").alias("finding"),
-        _text(
-            F.col("n"),
-            " companies are pursuing aggressive rate increases (>10% average), potentially creating market"
-            " opportunities for competitive positioning.",
-        ).alias("value"),
-    )
-    risk = zones.agg(F.count(F.lit(1)).alias("n")).filter("n > 0").select(
-        F.lit(3).alias("finding_no"),
-        F.lit("Risk Areas").alias("finding"),
-        _text(
-            F.col("n"),
-            " state/company combinations show concentrated rate increase activity. These 'hot zones' may face"
-            " regulatory scrutiny or customer retention challenges.",
-        ).alias("value"),
-    )
-    return _stacked([geographic, competitive, risk])
+    return _rows(_with_zones(filings, as_of), _advice_entries())
 
 
 def insights(filings: DataFrame, *, as_of: date) -> DataFrame:
@@ -135,15 +179,16 @@ def insights(filings: DataFrame, *, as_of: date) -> DataFrame:
     scores 0.5 and is strategy; both are computed over whole tables, so confidence is 1.
     """
 
-    def scored(rows: DataFrame, score: float, category: str) -> DataFrame:
-        return rows.select(
-            F.col("finding").alias("insight"),
-            F.col("value").alias("description"),
+    def scored(entry: Column, score: float, category: str) -> Column:
+        insight = F.struct(
+            entry["finding"].alias("insight"),
+            entry["value"].alias("description"),
             F.lit(score).alias("impact_score"),
             F.lit(1.0).alias("confidence"),
             F.lit(category).alias("category"),
         )
+        return F.when(entry.isNotNull(), insight)
 
-    return scored(key_findings(filings, as_of=as_of), 0.75, "market_trend").unionByName(
-        scored(strategic_insights(filings, as_of=as_of), 0.5, "strategy")
-    )
+    entries = [scored(e, 0.75, "market_trend") for e in _finding_entries()]
+    entries += [scored(e, 0.5, "strategy") for e in _advice_entries()]
+    return _rows(_with_zones(filings, as_of), entries)

@@ -1,9 +1,10 @@
 """Mail status as a stream: the batch fold of ``operators.delivery`` kept up to date event by event.
 
-Per message the state holds the folded fields and the events that are younger than the watermark. Events leave
-that buffer in order of (ts, event_id), so the result does not depend on how the input was cut into
-micro-batches; every update shows the fields with the buffered events already applied. Events older than the
-watermark are dropped by Spark.
+The stream keeps what ``delivery.email_periods`` computes in a batch: one summary per message and week. State is
+keyed by both, so a message with very many events is spread over its weeks, and a week is dropped
+from the state once the watermark has passed its end. Events reach a week in any order; each update sums up
+all events of the week again in order of (ts, event_id), so the result does not depend on how the input
+was cut into micro-batches. Events older than the watermark are dropped by Spark.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ratelens.operators.delivery import NOTE_SPAM, NOTE_UNSUBSCRIBED, STATUS, known_events
+from ratelens.operators.delivery import NOTE_SPAM, NOTE_UNSUBSCRIBED, STATUS, known_events, merge_periods, period_of
 
-OUTPUT = (
-    "message_id string, status string, delivered_at timestamp, opened_at timestamp, open_count bigint, "
-    "bounce_type string, notes string"
+WEEK_MICROS = 7 * 24 * 3_600_000_000
+KEY = "array<bigint>"
+SUMMARY = (
+    f"last {KEY}, status string, delivered_at bigint, bounce_type string, notes string, last_other {KEY}, "
+    f"runs array<struct<after:{KEY},opens:bigint,first:{KEY},last:{KEY}>>"
 )
-STATE = "fields string, waiting string"
 PAYLOAD = (
     "array<struct<MessageID:string, RecordType:string, DeliveredAt:string, ReceivedAt:string, Type:string, "
     "Description:string>>"
@@ -42,84 +44,68 @@ def read_payloads(lines: DataFrame) -> DataFrame:
     )
 
 
-def apply_event(fields: dict, event: list) -> dict:
-    """The fields after one event ``[ts_ms, event_id, kind, bounce_type, description]``."""
-    ts, _, kind, bounce_type, description = event
-    after = dict(fields, status=STATUS[kind])
-    if kind == "delivery":
-        after["delivered_at"] = ts
-    elif kind == "open":
-        if fields.get("status") == STATUS["open"]:
-            after["open_count"] = fields["open_count"] + 1
+def sum_up(events: list[dict]) -> dict:
+    """Summary of one week from its events in order."""
+    week: dict = {"last_other": None}
+    first_run = last_run = None
+    for event in events:
+        ts, kind = event["ts"], event["kind"]
+        key = [ts, event["event_id"]]
+        week.update(last=key, status=STATUS[kind])
+        if kind == "open":
+            if week["last_other"] is None:
+                run = first_run = first_run or {"after": None, "opens": 0, "first": key}
+            elif last_run and last_run["after"] == week["last_other"]:
+                run = last_run
+            else:
+                run = last_run = {"after": week["last_other"], "opens": 0, "first": key}
+            run["opens"] += 1
+            run["last"] = key
+            continue
+        week["last_other"] = key
+        if kind == "delivery":
+            week["delivered_at"] = ts
+        elif kind == "bounce":
+            week["bounce_type"] = event.get("bounce_type") or "Unknown"
+            week["notes"] = f"Bounce: {event.get('description') or 'No description'}"
         else:
-            after.update(opened_at=ts, open_count=1)
-    elif kind == "bounce":
-        after.update(bounce_type=bounce_type or "Unknown", notes=f"Bounce: {description or 'No description'}")
-    elif kind == "spamcomplaint":
-        after["notes"] = NOTE_SPAM
-    else:
-        after["notes"] = NOTE_UNSUBSCRIBED
-    return after
-
-
-def _row(message_id: str, fields: dict) -> pd.DataFrame:
-    def stamp(name: str):
-        return pd.to_datetime(fields[name], unit="us") if fields.get(name) is not None else pd.NaT
-
-    return pd.DataFrame(
-        {
-            "message_id": [message_id],
-            "status": [fields.get("status")],
-            "delivered_at": pd.Series([stamp("delivered_at")], dtype="datetime64[us]"),
-            "opened_at": pd.Series([stamp("opened_at")], dtype="datetime64[us]"),
-            "open_count": pd.Series([fields.get("open_count")], dtype="Int64"),
-            "bounce_type": [fields.get("bounce_type")],
-            "notes": [fields.get("notes")],
-        }
-    )
+            week["notes"] = NOTE_SPAM if kind == "spamcomplaint" else NOTE_UNSUBSCRIBED
+    week["runs"] = [run for run in (first_run, last_run) if run]
+    return week
 
 
 def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    stored = state.get if state.exists else ("{}", "[]")
-    fields, waiting = json.loads(stored[0]), json.loads(stored[1])
-    if not state.hasTimedOut:
-        for pdf in batches:
-            micros = pdf["ts_micros"].tolist()
-            texts = pdf[["kind", "bounce_type", "description"]].astype(object).where(pdf.notna(), None)
-            waiting += [
-                [ts, event_id, *rest]
-                for ts, event_id, rest in zip(micros, pdf["event_id"].tolist(), texts.values.tolist())
-            ]
-    waiting.sort(key=lambda e: (e[0], e[1]))
-    watermark = state.getCurrentWatermarkMs() * 1000
-    settled = 0
-    while settled < len(waiting) and waiting[settled][0] < watermark:
-        fields = apply_event(fields, waiting[settled])
-        settled += 1
-    waiting = waiting[settled:]
-    state.update((json.dumps(fields), json.dumps(waiting)))
-    if waiting:
-        state.setTimeoutTimestamp(max(waiting[-1][0] // 1000, watermark // 1000) + 1)
-    shown = fields
-    for event in waiting:
-        shown = apply_event(shown, event)
-    yield _row(key[0], shown)
+    message_id, period = key[0], int(key[1])
+    if state.hasTimedOut:
+        state.remove()
+        return
+    events = json.loads(state.get[0]) if state.exists else []
+    for pdf in batches:
+        events += json.loads("[" + ",".join(pdf["event"]) + "]")
+    events.sort(key=lambda e: (e["ts"], e["event_id"]))
+    state.update((json.dumps(events),))
+    over = (period + WEEK_MICROS) // 1000
+    state.setTimeoutTimestamp(max(over, state.getCurrentWatermarkMs() + 1))
+    yield pd.DataFrame({"message_id": [message_id], "period": [period], "summary": [json.dumps(sum_up(events))]})
 
 
 def email_status_stream(events: DataFrame, emails: DataFrame, *, delay: str = "1 hour") -> DataFrame:
-    """Streaming updates of the status of logged mails, one row whenever a message changes."""
+    """Streaming updates ``(message_id, period, summary)`` of logged mails, one row whenever a week changes."""
     known = known_events(events).join(emails.select("message_id"), "message_id", "left_semi")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    event = F.to_json(F.struct(micros.alias("ts"), "event_id", "kind", "bounce_type", "description"))
     timed = known.select(
         "message_id",
         F.col("ts").cast("timestamp").alias("ts"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_micros"),
-        "event_id",
-        "kind",
-        "bounce_type",
-        "description",
+        F.unix_micros(period_of("ts").cast("timestamp")).alias("period"),
+        event.alias("event"),
     ).withWatermark("ts", delay)
-    return timed.groupBy("message_id").applyInPandasWithState(
-        _update, OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout
+    return timed.groupBy("message_id", "period").applyInPandasWithState(
+        _update,
+        "message_id string, period bigint, summary string",
+        "events string",
+        "update",
+        GroupStateTimeout.EventTimeTimeout,
     )
 
 
@@ -140,17 +126,35 @@ def run_to_table(updates: DataFrame, folder: str) -> None:
 
 
 def latest_status(spark: SparkSession, folder: str, emails: DataFrame) -> DataFrame:
-    """Newest update of every logged mail."""
-    fields = ["status", "delivered_at", "opened_at", "open_count", "bounce_type", "notes"]
+    """Status of every logged mail from the newest summary of each of its weeks."""
+
+    def time(micros):
+        return F.timestamp_micros(micros).cast("timestamp_ntz")
+
+    def key(values):
+        return F.when(
+            values.isNotNull(), F.struct(time(values[0]).alias("ts"), values[1].alias("event_id"))
+        )
+
     updates = spark.read.parquet(f"{folder}/updates")
-    newest = updates.groupBy("message_id").agg(F.max_by(F.struct(*fields), "batch").alias("u"))
-    return emails.join(newest, "message_id", "left").select(
+    newest = updates.groupBy("message_id", "period").agg(F.max_by("summary", "batch").alias("summary"))
+    s = newest.select("message_id", "period", F.from_json("summary", SUMMARY).alias("s"))
+    weeks = s.select(
         "message_id",
-        "subscriber_id",
-        "u.status",
-        F.col("u.delivered_at").cast("timestamp_ntz").alias("delivered_at"),
-        F.col("u.opened_at").cast("timestamp_ntz").alias("opened_at"),
-        "u.open_count",
-        "u.bounce_type",
-        "u.notes",
+        time(F.col("period")).alias("period"),
+        "s.status",
+        time(F.col("s.delivered_at")).alias("delivered_at"),
+        "s.bounce_type",
+        "s.notes",
+        key(F.col("s.last_other")).alias("last_other"),
+        F.transform(
+            "s.runs",
+            lambda r: F.struct(
+                key(r["after"]).alias("after"),
+                r["opens"].alias("opens"),
+                key(r["first"]).alias("first"),
+                key(r["last"]).alias("last"),
+            ),
+        ).alias("runs"),
     )
+    return merge_periods(weeks, emails)
