@@ -54,19 +54,6 @@ def positions(df: DataFrame, group: list[str], value: str, name: str, width: flo
     ).drop("__md5", "__slice", "__rows_before")
 
 
-def percent_ranks(df: DataFrame, value: str, width: float, out: str) -> DataFrame:
-    """``df`` with percent_rank of ``value`` over all rows: rows below / (rows - 1), 0 for a single row."""
-    below = values_below(df, [], value, width, "__below")
-    total = df.agg(F.count(F.lit(1)).alias("n"))
-    share = F.try_divide(F.col("__below").cast("double"), F.col("__n") - 1)
-    return (
-        df.join(below, value)
-        .withColumn("__n", total.scalar())
-        .withColumn(out, F.coalesce(share, F.lit(0.0)))
-        .drop("__below", "__n")
-    )
-
-
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int, out: str = "place") -> DataFrame:
     """First ``k`` rows of each group; Spark cuts to ``k`` per group before the shuffle as well."""
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))

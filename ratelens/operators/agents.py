@@ -28,6 +28,7 @@ from ratelens.functions.numeric import (
     with_commas,
 )
 from ratelens.functions.ranking import positions, top_per_group
+from ratelens.session import materialize
 
 AGENT = ["State", "Company"]
 # Agents are ranked by average rate in percent; bands of a tenth of a point.
@@ -137,57 +138,84 @@ def market_summary_v1(filings: DataFrame, *, as_of: date, months_back: int = 6)
 # --- market position ------------------------------------------------------------------------------
 
 
-def _ranked(filings: DataFrame, *, as_of: date, months_back: int = 6) -> DataFrame:
-    """Companies with filings in the window and their place in the state, lowest average first."""
-    recent = (
+def _carriers(filings: DataFrame, as_of: date, *extra: Column) -> DataFrame:
+    """One row per agent, computed once: its average over six months, NULL without recent filings.
+
+    A company whose recent rates are all unknown gets an average above all others, so that it ranks last.
+    """
+    recent = since_months(as_of, 6)
+    average = F.coalesce(avg_pct(where=recent), F.lit(1e12))
+    return materialize(
         _placed(filings)
-        .filter(since_months(as_of, months_back))
         .groupBy(*AGENT)
-        .agg(avg_pct().alias("avg"))
+        .agg(F.when(F.count_if(recent) > 0, average).alias("recent_avg"), *extra),
+        "carriers",
+    )
+
+
+def _places(carriers: DataFrame) -> DataFrame:
+    """Place of the carriers with recent filings in their state, lowest average first."""
+    ranked = carriers.filter(F.col("recent_avg").isNotNull()).select(*AGENT, "recent_avg")
+    return positions(ranked, ["State"], "recent_avg", "Company", RANK_BAND).select(*AGENT, "position")
+
+
+def _places_of_all(carriers: DataFrame) -> DataFrame:
+    """Every agent with its place and the number of ranked carriers of the state; 1 of 1 if it is not ranked."""
+    totals = carriers.groupBy("State").agg(F.count("recent_avg").alias("total"))
+    ranked = F.col("position").isNotNull()
+    return (
+        carriers.join(_places(carriers), AGENT, "left")
+        .join(totals, "State")
+        .withColumn("total_carriers", F.when(ranked, F.col("total")).otherwise(F.lit(1)).cast("bigint"))
+        .withColumn("position", F.coalesce("position", F.lit(1)).cast("bigint"))
+        .drop("total", "recent_avg")
     )
-    # A company whose rates are all unknown comes last.
-    keyed = recent.withColumn("avg", F.coalesce("avg", F.lit(1e12)))
-    return positions(keyed, ["State"], "avg", "Company", RANK_BAND).select(*AGENT, "position")
 
 
 def market_position(filings: DataFrame, *, as_of: date) -> DataFrame:
     """Place of every agent among the carriers of its state; unranked agents get N/A."""
-    everyone = _placed(filings).select(*AGENT).distinct()
+    carriers = _carriers(filings, as_of)
     label = F.concat(F.lit("#"), F.coalesce(F.col("position").cast("string"), F.lit("N/A")))
-    return everyone.join(_ranked(filings, as_of=as_of), AGENT, "left").select(
+    return carriers.join(_places(carriers), AGENT, "left").select(
         *AGENT, "position", label.alias("your_position")
     )
 
 
 def market_position_total(filings: DataFrame, *, as_of: date) -> DataFrame:
     """Place and number of ranked carriers; 1 of 1 for an agent that is not ranked."""
-    ranked = _ranked(filings, as_of=as_of)
-    totals = ranked.groupBy("State").agg(F.count(F.lit(1)).alias("total"))
-    everyone = _placed(filings).select(*AGENT).distinct()
-    both = ranked.join(totals, "State")
-    return everyone.join(both, AGENT, "left").select(
-        *AGENT,
-        F.coalesce("position", F.lit(1)).cast("bigint").alias("position"),
-        F.coalesce("total", F.lit(1)).cast("bigint").alias("total_carriers"),
-    )
+    return _places_of_all(_carriers(filings, as_of)).select(*AGENT, "position", "total_carriers")
 
 
 # --- revenue report -------------------------------------------------------------------------------
 
 
+def _upcoming_columns(as_of: date, where: Column | None = None) -> list[Column]:
+    """Increases that take effect soon: average, last date, policies, filings and days to go."""
+
+    def kept(value: Column | str) -> Column:
+        value = F.col(value) if isinstance(value, str) else value
+        return value if where is None else F.when(where, value)
+
+    return [
+        rounded(avg_pct(where=where), 1).alias("avg_increase"),
+        F.max(kept(EFFECTIVE)).alias("effective_date"),
+        F.sum(kept("Policyholders_Affected_Number")).alias("policies_affected"),
+        F.count(kept(F.lit(1))).alias("filing_count"),
+        F.datediff(F.max(kept(EFFECTIVE)), F.lit(as_of)).cast("bigint").alias("days_until"),
+    ]
+
+
+def _is_upcoming(as_of: date, above: str, days: int) -> Column:
+    return (rate() > dec(above)) & within_days(as_of, 0, days)
+
+
 def _upcoming(filings: DataFrame, *, as_of: date, above: str, days: int) -> DataFrame:
     """Per state and company the increases above a threshold that take effect in the next days."""
     return (
         _placed(filings)
-        .filter((rate() > dec(above)) & within_days(as_of, 0, days))
+        .filter(_is_upcoming(as_of, above, days))
         .groupBy("State", F.col("Company").alias("competitor"))
-        .agg(
-            rounded(avg_pct(), 1).alias("avg_increase"),
-            F.max(EFFECTIVE).alias("effective_date"),
-            F.sum("Policyholders_Affected_Number").alias("policies_affected"),
-            F.count(F.lit(1)).alias("filing_count"),
-            F.datediff(F.max(EFFECTIVE), F.lit(as_of)).cast("bigint").alias("days_until"),
-        )
+        .agg(*_upcoming_columns(as_of))
     )
 
 
@@ -239,12 +267,15 @@ def action_window(days: Column) -> Column:
     )
 
 
-def _picked_v2(filings: DataFrame, *, as_of: date, k: int = 12) -> DataFrame:
-    competitors = _upcoming(filings, as_of=as_of, above="0.02", days=90)
+def _best_v2(agents: DataFrame, competitors: DataFrame, k: int = 12) -> DataFrame:
     order = [F.desc("avg_increase"), F.desc_nulls_last("policies_affected"), F.asc("competitor")]
     best = top_per_group(competitors, ["State"], order, k + 1)
-    rivals = _rivals(best, F.col("place"), [c for c in competitors.columns if c != "State"])
-    return _pick(agent_rate(filings, as_of=as_of), rivals, k)
+    return _pick(agents, _rivals(best, F.col("place"), [c for c in competitors.columns if c != "State"]), k)
+
+
+def _picked_v2(filings: DataFrame, *, as_of: date, k: int = 12) -> DataFrame:
+    competitors = _upcoming(filings, as_of=as_of, above="0.02", days=90)
+    return _best_v2(agent_rate(filings, as_of=as_of), competitors, k)
 
 
 def opportunities_v2(filings: DataFrame, *, as_of: date, k: int = 12) -> DataFrame:
@@ -526,13 +557,33 @@ def initials(companies: DataFrame) -> DataFrame:
 
 
 def agent_report_batch(filings: DataFrame, *, as_of: date, avg_premium: int = 1200, shown: int = 6) -> DataFrame:
-    """The revenue report of every agent in one job: rate, place, totals and the first opportunities."""
-    valued = _valued(_picked_v2(filings, as_of=as_of), avg_premium)
-    rows = valued.select(
+    """The revenue report of every agent at once: rate, place, totals and the first opportunities.
+
+    The filings are read once, into one row per agent that also holds its own upcoming increases.
+    """
+    recent = since_months(as_of, 6)
+    carriers = _carriers(
+        filings,
+        as_of,
+        F.coalesce(avg_pct(where=recent), F.lit(0.0)).alias("avg_rate"),
+        *_upcoming_columns(as_of, _is_upcoming(as_of, "0.02", 90)),
+    )
+    competitors = carriers.filter("filing_count > 0").select(
+        "State",
+        F.col("Company").alias("competitor"),
+        "avg_increase",
+        "effective_date",
+        "policies_affected",
+        "filing_count",
+        "days_until",
+    )
+    placed = _places_of_all(carriers.select(*AGENT, "avg_rate", "recent_avg"))
+    valued = _valued(_best_v2(placed, competitors), avg_premium)
+    return valued.select(
         *AGENT,
         rounded(F.col("avg_rate"), 4).alias("avg_rate"),
         *_summary_columns(),
         F.slice("opportunities", 1, shown).alias("top_opportunities"),
+        "position",
+        "total_carriers",
     )
-    place = market_position_total(filings, as_of=as_of)
-    return rows.join(place, AGENT)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ratelens.functions.dates import EFFECTIVE, month_of
 from ratelens.functions.numeric import RATE, dec, mean_of, rate, rounded
-from ratelens.functions.ranking import percent_ranks
+from ratelens.functions.ranking import values_below
+from ratelens.session import materialize
 
 
 def _chosen(
@@ -126,31 +127,46 @@ def market_share_evolution(
 
 
 def positioning_matrix(filings: DataFrame, companies: list[str] | None) -> DataFrame:
-    """The carriers of the latest quarter; the ranks are taken over all carriers, the bubble over the picked."""
+    """The carriers of the latest quarter; the ranks are taken over all carriers, the bubble over the picked.
+
+    The percent rank of a value is the share of the other carriers below it.
+    """
     latest = filings.agg(F.max(F.trunc(EFFECTIVE, "quarter"))).scalar()
-    quarter = (
+    quarter = materialize(
         filings.filter(F.col("Company").isNotNull() & (F.col(EFFECTIVE) >= latest))
         .groupBy("Company")
         .agg(
             F.coalesce(_avg_fraction(), F.lit(0.0)).alias("avg"),
-            F.sum("Total_Written_Premium_Number").alias("premium"),
+            F.sum("Total_Written_Premium_Number").cast("double").alias("premium_volume"),
             F.count(F.lit(1)).alias("filing_activity"),
-        )
-    )
-    ranked = percent_ranks(percent_ranks(quarter, "avg", 0.001, "rate_rank"), "filing_activity", 1, "activity_rank")
-    scored = ranked.select(
-        "Company",
-        rounded(F.col("avg"), 6).alias("avg_rate_change"),
-        F.col("premium").cast("double").alias("premium_volume"),
-        "filing_activity",
-        rounded(F.lit(50.0) * F.col("rate_rank") + F.lit(50.0) * F.col("activity_rank"), 4).alias(
-            "aggressiveness_score"
         ),
+        "quarter",
+    )
+    picked = F.lit(True) if companies is None else F.col("Company").isin(companies)
+    totals = quarter.agg(
+        F.struct(
+            (F.count(F.lit(1)) - 1).alias("others"), F.max(F.when(picked, F.col("premium_volume"))).alias("largest")
+        )
     )
-    picked = scored if companies is None else scored.filter(F.col("Company").isin(companies))
-    largest = picked.agg(F.max("premium_volume")).scalar()
-    return picked.withColumn(
-        "bubble_size", rounded(F.try_divide(F.col("premium_volume"), largest) * 100, 4)
+    total = F.col("totals")
+
+    def rank(below: str) -> Column:
+        return F.coalesce(F.try_divide(F.col(below).cast("double"), total["others"]), F.lit(0.0))
+
+    score = F.lit(50.0) * rank("below_avg") + F.lit(50.0) * rank("below_activity")
+    return (
+        quarter.filter(picked)
+        .join(values_below(quarter, [], "avg", 0.001, "below_avg"), "avg")
+        .join(values_below(quarter, [], "filing_activity", 1, "below_activity"), "filing_activity")
+        .withColumn("totals", totals.scalar())
+        .select(
+            "Company",
+            rounded(F.col("avg"), 6).alias("avg_rate_change"),
+            "premium_volume",
+            "filing_activity",
+            rounded(score, 4).alias("aggressiveness_score"),
+            rounded(F.try_divide(F.col("premium_volume"), total["largest"]) * 100, 4).alias("bubble_size"),
+        )
     )
 
 

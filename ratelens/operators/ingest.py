@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratelens.functions.numeric import dec, mean_of, rounded
 from ratelens.functions.parsing import is_unparsed, parse_date, parse_number, parse_timestamp, value_class
@@ -61,14 +62,18 @@ def filings_scan(filings: DataFrame, columns: list[str], where: Column | None =
 
 
 def _field(name: str) -> Column:
-    return F.try_element_at(F.col("fields"), F.lit(name))
+    return F.col(f"fields.`{name}`")
 
 
 def _with_fields(records: DataFrame) -> DataFrame:
-    """``fields`` as a map; a JSON object is read into one."""
+    """``fields`` as a struct of the known source fields, from a JSON object or a map of texts."""
+    names = dict.fromkeys([*(source for source, _, _ in FIELD_MAP), *EFFECTIVE_FIELDS])
     if dict(records.dtypes)["fields"] == "string":
-        return records.withColumn("fields", F.from_json("fields", "map<string,string>"))
-    return records
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        return records.withColumn("fields", F.from_json("fields", schema))
+    return records.withColumn(
+        "fields", F.struct(*[F.try_element_at(F.col("fields"), F.lit(n)).alias(n) for n in names])
+    )
 
 
 def _parsed(source: str, column: str, kind: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,3 +35,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="ratelens-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, for small intermediate results that several branches read.
+
+    The branches of one query prune different columns, so Spark would compute the source anew for each of them.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

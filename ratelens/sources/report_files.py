@@ -42,4 +42,5 @@ def report_sink(newsletters: DataFrame, root: str) -> DataFrame:
     placed = newsletters.select(
         "State", report_path(F.col("State"), month, F.date_format("month", "yyyy")).alias("path"), "html"
     )
-    return placed.mapInPandas(write, "State string, path string, n_bytes bigint")
+    tasks = newsletters.sparkSession.sparkContext.defaultParallelism
+    return placed.repartition(tasks, "path").mapInPandas(write, "State string, path string, n_bytes bigint")
