@@ -76,24 +76,43 @@ def _with_fields(records: DataFrame) -> DataFrame:
     )
 
 
-def _parsed(source: str, column: str, kind: str) -> Column:
-    raw = _field(source)
-    if kind == "number":
-        value = parse_number(raw).try_cast(TYPES[column])
-    elif kind == "date":
-        value = parse_date(*[_field(f) for f in EFFECTIVE_FIELDS]) if source == "Effective Date" else parse_date(raw)
-    elif kind == "time":
-        value = parse_timestamp(raw)
-    else:
-        value = F.coalesce(raw, F.lit(""))
-    return value.alias(column)
+def _sources(kind: str) -> list[str]:
+    return [source for source, _, k in FIELD_MAP if k == kind]
+
+
+def _with_parsed(records: DataFrame) -> DataFrame:
+    """Raw values and parsed values of the number, date and time fields, as one array per kind.
+
+    One lambda per kind keeps the generated code small; an expression per field makes methods that the JVM
+    refuses to compile.
+    """
+    numbers, dates, times = (F.array(*[_field(f) for f in _sources(k)]) for k in ("number", "date", "time"))
+    effective = F.coalesce(*[parse_date(_field(f)) for f in EFFECTIVE_FIELDS[1:]])
+    return (
+        _with_fields(records)
+        .withColumns({"raw_numbers": numbers, "raw_dates": dates, "raw_times": times, "other_effective": effective})
+        .withColumns(
+            {
+                "numbers": F.transform("raw_numbers", parse_number),
+                "dates": F.transform("raw_dates", lambda text: parse_date(text)),
+                "times": F.transform("raw_times", parse_timestamp),
+            }
+        )
+    )
 
 
 def raw_to_filings(records: DataFrame) -> DataFrame:
     """Raw records ``(id, fields)`` as typed filings: unknown text is empty, unreadable values are NULL."""
-    return _with_fields(records).select(
-        F.col("id").alias("Record_ID"), *[_parsed(*mapping) for mapping in FIELD_MAP]
-    )
+    columns = []
+    for source, column, kind in FIELD_MAP:
+        if kind == "text":
+            value = F.coalesce(_field(source), F.lit(""))
+        else:
+            value = F.col(f"{kind}s")[_sources(kind).index(source)]
+        if source == "Effective Date":
+            value = F.coalesce(value, F.col("other_effective"))
+        columns.append(value.try_cast(TYPES[column]).alias(column))
+    return _with_parsed(records).select(F.col("id").alias("Record_ID"), *columns)
 
 
 def parse_numbers(records: DataFrame, column: str) -> DataFrame:
@@ -110,13 +129,13 @@ def parse_timestamps(records: DataFrame, column: str) -> DataFrame:
 
 def parse_error_count(records: DataFrame) -> DataFrame:
     """Per page the records of which some given value could not be read; the records themselves are kept."""
-    mapped = _with_fields(records)
     broken = F.lit(False)
-    for source, column, kind in FIELD_MAP:
-        if kind != "text":
-            broken = broken | F.coalesce(is_unparsed(_field(source), _parsed(source, column, kind)), F.lit(False))
-    return mapped.groupBy("page").agg(
-        F.count(F.lit(1)).alias("records"), F.count_if(broken).alias("parsing_errors")
+    for kind in ("number", "date", "time"):
+        broken = broken | F.exists(F.zip_with(f"raw_{kind}s", f"{kind}s", is_unparsed), lambda bad: bad)
+    return (
+        _with_parsed(records)
+        .groupBy("page")
+        .agg(F.count(F.lit(1)).alias("records"), F.count_if(broken).alias("parsing_errors"))
     )
 
 
