@@ -12,7 +12,7 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelens.functions.dates import EFFECTIVE, since_months, within_days
@@ -422,11 +422,10 @@ def refined_summary(filings: DataFrame, carrier: str, *, as_of: date) -> DataFra
 
 
 def urgency(increases: DataFrame) -> DataFrame:
-    """Display columns of ``rate_increases_refined`` and the number of urgent rows of each state."""
+    """Display columns of ``rate_increases_refined`` and the number of urgent rows among the few of each state."""
     days = F.col("days_until")
     lines = F.coalesce("product_lines", F.lit("Auto"))
-    urgent = increases.groupBy("State").agg(count_where(days <= 30).alias("urgent_opportunities"))
-    shown = increases.select(
+    return increases.select(
         "State",
         "rank",
         "Company",
@@ -439,8 +438,8 @@ def urgency(increases: DataFrame) -> DataFrame:
         shortened(lines, 30).alias("product_lines"),
         rounded(F.greatest(F.lit(0.0), (F.lit(90) - days) * 100 / F.lit(90)), 1).alias("urgency_percent"),
         F.when(days <= 30, "#dc2626").otherwise("#10b981").alias("urgency_color"),
+        count_where(days <= 30).over(Window.partitionBy("State")).alias("urgent_opportunities"),
     )
-    return shown.join(urgent, "State")
 
 
 def outreach_timeline(increases: DataFrame, *, k: int = 6) -> DataFrame:

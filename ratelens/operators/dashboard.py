@@ -118,10 +118,8 @@ def market_share_evolution(
     )
     quarters = premium.groupBy("quarter").agg(F.sum("premium").alias("quarter_premium"))
     share = F.try_divide(F.col("premium").cast("double") * 100, F.col("quarter_premium").cast("double"))
-    shares = (
-        premium.filter(F.col("Company").isNotNull())
-        .join(quarters, "quarter")
-        .select("Company", "quarter", rounded(share, 6).alias("market_share_pct"))
+    shares = premium.join(quarters, "quarter").select(
+        "Company", "quarter", rounded(share, 6).alias("market_share_pct")
     )
     return _chosen(shares, companies, start, end, "quarter")
 

@@ -351,22 +351,33 @@ def merge_periods(periods: DataFrame, emails: DataFrame) -> DataFrame:
     the same such event are one run; the last one counts.
     """
     earlier = Window.partitionBy("message_id").orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
-    runs = (
-        periods.select("message_id", "runs", F.max("last_other").over(earlier).alias("carried"))
-        .select("message_id", "carried", F.explode("runs").alias("run"))
+
+    def dated(column: str) -> Column:
+        return F.when(F.col(column).isNotNull(), F.struct("period", F.col(column).alias("value")))
+
+    fold = (
+        periods.withColumn("carried", F.max("last_other").over(earlier))
+        .withColumn("run", F.explode_outer("runs"))
         .groupBy("message_id", F.coalesce("run.after", "carried").alias("after"))
-        .agg(F.sum("run.opens").alias("opens"), F.min("run.first").alias("first"), F.max("run.last").alias("last"))
+        .agg(
+            F.sum("run.opens").alias("opens"),
+            F.min("run.first").alias("first"),
+            F.max("run.last").alias("last"),
+            F.max(dated("status")).alias("status"),
+            F.max("delivered_at").alias("delivered_at"),
+            F.max(dated("bounce_type")).alias("bounce_type"),
+            F.max(dated("notes")).alias("notes"),
+        )
         .groupBy("message_id")
-        .agg(F.max_by(F.col("first.ts"), "last").alias("opened_at"), F.max_by("opens", "last").alias("open_count"))
-    )
-    latest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("period"))).alias(c)
-    fields = periods.groupBy("message_id").agg(
-        F.max_by("status", "period").alias("status"),
-        F.max("delivered_at").alias("delivered_at"),
-        latest("bounce_type"),
-        latest("notes"),
+        .agg(
+            F.max("status").getField("value").alias("status"),
+            F.max("delivered_at").alias("delivered_at"),
+            F.max_by(F.col("first.ts"), "last").alias("opened_at"),
+            F.max_by("opens", "last").alias("open_count"),
+            F.max("bounce_type").getField("value").alias("bounce_type"),
+            F.max("notes").getField("value").alias("notes"),
+        )
     )
-    fold = fields.join(runs, "message_id", "left")
     return emails.join(fold, "message_id", "left").select(
         "message_id",
         "subscriber_id",
