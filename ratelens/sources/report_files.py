@@ -24,7 +24,7 @@ def report_sink(newsletters: DataFrame, root: str) -> DataFrame:
 
         from pyarrow import fs
 
-        target, base = fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+        target, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root.removeprefix('file:')}")
         for pdf in batches:
             sizes = []
             for path, html in zip(pdf["path"], pdf["html"]):

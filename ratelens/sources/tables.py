@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from ratelens.functions.states import STATE_ABBREVIATIONS
 
-# Date that the given tables are read at.
-AS_OF_TEXT = "2001-06-17"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
