@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,21 +22,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="ratelens-")
-
-
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared folder that the cluster names.
+    """A new folder below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
 
-    Only a local session without that setting falls back to a temporary folder of this machine.
+    Both are folders that driver and executors share; the rule is the same for every master.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_root()
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

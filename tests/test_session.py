@@ -1,26 +1,21 @@
 from types import SimpleNamespace
 
-import pytest
-
 from ratelens.session import materialize, work_dir
 
 
-def session(master, folder=None):
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default=None: folder or default),
-        sparkContext=SimpleNamespace(master=master),
-    )
+def session(**settings):
+    settings = {"spark.sql.warehouse.dir": "file:/w/house", **settings}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
 
 
 def test_shared_folder_is_used():
-    assert work_dir(session("yarn", "hdfs://shared/x/"), "a").startswith("hdfs://shared/x/a-")
+    set_ = session(**{"spark.checkpoint.dir": "hdfs://shared/x/"})
+    assert work_dir(set_, "a").startswith("hdfs://shared/x/a-")
 
 
-def test_local_fallback_and_no_fallback_on_a_cluster():
-    first, second = (work_dir(session("local[2]"), "a") for _ in range(2))
-    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
-    with pytest.raises(RuntimeError):
-        work_dir(session("spark://host:7077"), "a")
+def test_warehouse_where_no_folder_is_set():
+    first, second = (work_dir(session(), "a") for _ in range(2))
+    assert first != second and first.startswith("file:/w/house/_work/a-")
 
 
 def test_materialize_keeps_rows_and_types(spark):
