@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import language, pieces, quality
+from ratelens.llm import chat, language, pieces, quality, secrets
 from ratelens.session import configure
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -25,6 +25,34 @@ def hex_digest(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+#: A conversation of template words, which the formatting must hand back unchanged.
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = configure(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRICKY).alias("text"),
+    )
+    return chat.digests(chat.chat_windows(given.unionByName(tricky)))
+
+
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    kinds = [kind for kind, *_ in secrets.BASE]
+    base = F.filter("secrets", lambda s: s["kind"].isin(kinds))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, kinds), hex_digest(secrets.span_text(base)).alias("base_sha256"), secrets.span_text(F.col("secrets")).alias("spans")
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
 
@@ -49,8 +77,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_chat_formatting": op2_chat_formatting,
+    "op4_secret_scans": op4_secret_scans,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
     "op10_language_id": op10_language_id,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {}  # no operator here can be written in SQL at the size of the tables
