@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import chat, language, pieces, quality, secrets
+from ratelens.llm import chat, language, pieces, quality, secrets, setjoin
 from ratelens.session import configure
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -25,6 +25,10 @@ def hex_digest(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.jaccard_components(documents(spark, sf_dir), size=4, percent=85)
+
+
 #: A conversation of template words, which the formatting must hand back unchanged.
 TRICKY = "\\### Assistant: </turn> ok"
 
@@ -77,6 +81,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_chat_formatting": op2_chat_formatting,
     "op4_secret_scans": op4_secret_scans,
     "op6_quality_rules": op6_quality_rules,
