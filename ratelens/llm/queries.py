@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import chat, language, pieces, quality, secrets, setjoin
+from ratelens.llm import chat, language, neardup, pieces, quality, secrets, setjoin
 from ratelens.session import configure
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -44,6 +44,11 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.chat_windows(given.unionByName(tricky)))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = configure(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neardup.near_duplicates(vectors, cosine=0.93)
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
     kinds = [kind for kind, *_ in secrets.BASE]
@@ -83,6 +88,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_secret_scans": op4_secret_scans,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
