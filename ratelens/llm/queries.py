@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import chat, language, neardup, pieces, quality, secrets, setjoin
+from ratelens.llm import chat, language, neardup, pieces, quality, secrets, setjoin, suffixes, tokencount
 from ratelens.session import configure
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -76,6 +76,30 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeated_passages(documents(spark, sf_dir), length=50)
+
+    def words(spans: str) -> Column:
+        return F.aggregate(spans, F.lit(0), lambda a, s: a + s["end"] - s["start"]).cast("long")
+
+    def shown(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("repeated").cast("long").alias("n_spans"),
+        words("repeated").alias("repeated_words"),
+        words("cut").alias("cut_words"),
+        shown("repeated").alias("spans"),
+        shown("cut").alias("cut_spans"),
+    )
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(documents(spark, sf_dir).select("doc_id", "text"), PIECE_MODEL).drop("text")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 0
@@ -92,6 +116,8 @@ QUERIES: dict[str, Query] = {
     "op4_secret_scans": op4_secret_scans,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
 }
 SQL: dict[str, str] = {}  # no operator here can be written in SQL at the size of the tables
