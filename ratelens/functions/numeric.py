@@ -24,8 +24,11 @@ def dec(value: str) -> Column:
 
 
 def rounded(value: Column, digits: int) -> Column:
-    """Half-up rounding on a decimal copy; binary rounding would differ at ties."""
-    return F.round(value.cast("decimal(18,8)"), digits).cast("double")
+    """Half-up rounding on a decimal copy; binary rounding would differ at ties.
+
+    Doubles too large for the copy have no digits after the point and stay as they are.
+    """
+    return F.coalesce(F.round(value.try_cast("decimal(38,8)"), digits).cast("double"), value.cast("double"))
 
 
 def rate() -> Column:
@@ -84,8 +87,10 @@ def short_number(value: Column) -> Column:
 
 
 def one_decimal(value: Column) -> Column:
-    """Text with one digit after the point."""
-    return F.round(value.cast("decimal(18,8)"), 1).cast("decimal(18,1)").cast("string")
+    """Text with one digit after the point; doubles too large for a decimal show as they are."""
+    return F.coalesce(
+        F.round(value.try_cast("decimal(38,8)"), 1).cast("decimal(38,1)").cast("string"), value.cast("string")
+    )
 
 
 def with_commas(value: Column) -> Column:

@@ -48,6 +48,11 @@ TYPES = {
 }
 
 
+CORRUPT = "_unreadable_text"
+#: Numbers whose column holds whole numbers only; a fraction does not fit.
+WHOLE = [c for _, c, kind in FIELD_MAP if kind == "number" and isinstance(TYPES[c], T.IntegralType)]
+
+
 class DuplicateRecordError(Exception):
     """A fetched batch holds a record id more than once."""
 
@@ -66,14 +71,19 @@ def _field(name: str) -> Column:
 
 
 def _with_fields(records: DataFrame) -> DataFrame:
-    """``fields`` as a struct of the known source fields, from a JSON object or a map of texts."""
+    """``fields`` as a struct of the known source fields, from a JSON object or a map of texts, and ``unreadable``.
+
+    A record whose JSON cannot be read, or is missing, is unreadable; all its fields are NULL.
+    """
     names = dict.fromkeys([*(source for source, _, _ in FIELD_MAP), *EFFECTIVE_FIELDS])
     if dict(records.dtypes)["fields"] == "string":
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        return records.withColumn("fields", F.from_json("fields", schema))
-    return records.withColumn(
-        "fields", F.struct(*[F.try_element_at(F.col("fields"), F.lit(n)).alias(n) for n in names])
-    )
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+        parsed = F.from_json("fields", schema, {"columnNameOfCorruptRecord": CORRUPT})
+        read = records.withColumn("fields", parsed)
+        unreadable = F.col("fields").isNull() | F.col(f"fields.{CORRUPT}").isNotNull()
+        return read.withColumn("unreadable", unreadable)
+    named = F.struct(*[F.try_element_at(F.col("fields"), F.lit(n)).alias(n) for n in names])
+    return records.withColumn("unreadable", F.col("fields").isNull()).withColumn("fields", named)
 
 
 def _sources(kind: str) -> list[str]:
@@ -101,18 +111,35 @@ def _with_parsed(records: DataFrame) -> DataFrame:
     )
 
 
+def _stored(column: str, value: Column) -> Column:
+    """A parsed value as its column holds it; NULL where it does not fit."""
+    fits = value.try_cast(TYPES[column])
+    return F.when(value == F.floor(value), fits) if column in WHOLE else fits
+
+
 def raw_to_filings(records: DataFrame) -> DataFrame:
-    """Raw records ``(id, fields)`` as typed filings: unknown text is empty, unreadable values are NULL."""
+    """Raw records ``(id, fields)`` as typed filings: unknown text is empty, values that cannot be read or held are NULL.
+
+    Records whose JSON cannot be read give no filing; ``unreadable_records`` has them.
+    """
     columns = []
     for source, column, kind in FIELD_MAP:
         if kind == "text":
-            value = F.coalesce(_field(source), F.lit(""))
+            value = F.coalesce(_field(source), F.lit("")).try_cast(TYPES[column])
         else:
             value = F.col(f"{kind}s")[_sources(kind).index(source)]
-        if source == "Effective Date":
-            value = F.coalesce(value, F.col("other_effective"))
-        columns.append(value.try_cast(TYPES[column]).alias(column))
-    return _with_parsed(records).select(F.col("id").alias("Record_ID"), *columns)
+            if source == "Effective Date":
+                value = F.coalesce(value, F.col("other_effective"))
+            value = _stored(column, value)
+        columns.append(value.alias(column))
+    return _with_parsed(records).filter(~F.col("unreadable")).select(F.col("id").alias("Record_ID"), *columns)
+
+
+def unreadable_records(records: DataFrame) -> DataFrame:
+    """The records whose JSON cannot be read, as they came."""
+    return records.withColumn("raw", F.col("fields")).transform(_with_fields).filter("unreadable").select(
+        *[c for c in records.columns if c != "fields"], F.col("raw").alias("fields")
+    )
 
 
 def parse_numbers(records: DataFrame, column: str) -> DataFrame:
@@ -128,10 +155,16 @@ def parse_timestamps(records: DataFrame, column: str) -> DataFrame:
 
 
 def parse_error_count(records: DataFrame) -> DataFrame:
-    """Per page the records of which some given value could not be read; the records themselves are kept."""
-    broken = F.lit(False)
-    for kind in ("number", "date", "time"):
+    """Per page the records of which something given could not be read or does not fit its column."""
+    broken = F.col("unreadable")
+    for source, column, kind in FIELD_MAP:
+        if kind == "number":
+            value = F.col("numbers")[_sources("number").index(source)]
+            broken = broken | is_unparsed(_field(source), _stored(column, value))
+    for kind in ("date", "time"):
         broken = broken | F.exists(F.zip_with(f"raw_{kind}s", f"{kind}s", is_unparsed), lambda bad: bad)
+    for source in EFFECTIVE_FIELDS[1:]:
+        broken = broken | is_unparsed(_field(source), parse_date(_field(source)))
     return (
         _with_parsed(records)
         .groupBy("page")

@@ -1,9 +1,17 @@
 """Check SQL for parsing, merge and sync history."""
 
-from ratelens.functions.parsing import NUMBER
-from ratelens.operators.ingest import FIELD_MAP
 from ratelens.oracle.views import big, n_where, r, with_views
 
+# The accepted spelling of a number, and the columns in order with their kind, written out anew so that a wrong constant shows.
+NUMBER = "[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?"
+KINDS = """Company text, Subsidiary text, State text, Product_Line text, Rate_Change_Type text, Premium_Change_Number number,
+Premium_Change_Amount_Text text, Effective_Date date, Previous_Increase_Date date, Previous_Increase_Number number,
+Policyholders_Affected_Number whole, Policyholders_Affected_Text text, Total_Written_Premium_Number number,
+Total_Written_Premium_Text text, SERFF_Tracking_Number text, Specific_Coverages text, Filing_Method text, Current_Status text,
+Date_Submitted date, Disposition_Date date, Stated_Reasons text, Population text, Impact_Score number, Renewals_Date date,
+Airtable_Last_Modified time"""
+FIELDS = [field.split() for field in KINDS.split(",")]
+
 
 def number(text: str) -> str:
     return f"CASE WHEN regexp_full_match(trim({text}), '{NUMBER}') THEN TRY_CAST(trim({text}) AS DOUBLE) END"
@@ -15,21 +23,27 @@ def iso_date(text: str) -> str:
 
 TIME = "CAST(try_strptime(last_modified_raw, '%Y-%m-%dT%H:%M:%S.%gZ') AS TIMESTAMP)"
 
+RATE = f"TRY_CAST({number('rate_change_raw')} AS DECIMAL(10,4))"
+PREMIUM = f"TRY_CAST({number('premium_raw')} AS DECIMAL(15,2))"
+_N = number("policyholders_raw")
+POLICIES = f"CASE WHEN ({_N}) = FLOOR({_N}) AND abs({_N}) <= 2147483647 THEN CAST({_N} AS BIGINT) END"
+CUT_OFF = "(page % 10 = 3 AND split_part(id, '-', 2) = '2')"
+
 # What the raw records hold for each column; all other columns stay empty.
 GIVEN = {
     "Company": "COALESCE(parent_company, '')",
     "Subsidiary": "COALESCE(filing_company, '')",
     "State": "COALESCE(impacted_state, '')",
     "Product_Line": "COALESCE(product_line, '')",
-    "Premium_Change_Number": f"CAST(CAST({number('rate_change_raw')} AS DECIMAL(10,4)) AS DOUBLE)",
+    "Premium_Change_Number": f"CAST({RATE} AS DOUBLE)",
     "Effective_Date": iso_date("effective_date_raw"),
-    "Policyholders_Affected_Number": f"CAST({number('policyholders_raw')} AS BIGINT)",
-    "Total_Written_Premium_Number": f"CAST(CAST({number('premium_raw')} AS DECIMAL(15,2)) AS DOUBLE)",
+    "Policyholders_Affected_Number": POLICIES,
+    "Total_Written_Premium_Number": f"CAST({PREMIUM} AS DOUBLE)",
     "Airtable_Last_Modified": TIME,
 }
-EMPTY = {"text": "''", "number": "CAST(NULL AS DOUBLE)", "date": "CAST(NULL AS DATE)", "time": "CAST(NULL AS TIMESTAMP)"}
+EMPTY = {"whole": "CAST(NULL AS BIGINT)", "text": "''", "number": "CAST(NULL AS DOUBLE)", "date": "CAST(NULL AS DATE)", "time": "CAST(NULL AS TIMESTAMP)"}
 
-TYPED = ", ".join(f"{GIVEN.get(column, EMPTY[kind])} AS {column}" for _, column, kind in FIELD_MAP)
+TYPED = ", ".join(f"{GIVEN.get(column, EMPTY[kind])} AS {column}" for column, kind in FIELDS)
 
 
 def unparsed(text: str, parsed: str) -> str:
@@ -65,7 +79,7 @@ SQL = {
         """SELECT Record_ID, Company, State, CAST(Premium_Change_Number AS DOUBLE) AS Premium_Change_Number FROM filings
 WHERE Effective_Date >= DATE '2000-06-17' AND Premium_Change_Number > 0""",
     ),
-    "raw_to_filings": with_views("raw_records", f"SELECT id AS Record_ID, {TYPED} FROM raw_records"),
+    "raw_to_filings": with_views("raw_records", f"SELECT id AS Record_ID, {TYPED} FROM raw_records WHERE NOT {CUT_OFF}"),
     "parse_number": with_views(
         "raw_records", f"SELECT id, rate_change_raw AS raw, {number('rate_change_raw')} AS parsed FROM raw_records"
     ),
@@ -79,10 +93,11 @@ WHERE Effective_Date >= DATE '2000-06-17' AND Premium_Change_Number > 0""",
     "parse_error_count": with_views(
         "raw_records",
         f"""SELECT page, {big('COUNT(*)')} AS records, {n_where(' OR '.join([
-            unparsed('rate_change_raw', f"({number('rate_change_raw')})"),
+            CUT_OFF,
+            unparsed('rate_change_raw', RATE),
             unparsed('effective_date_raw', iso_date('effective_date_raw')),
-            unparsed('policyholders_raw', f"({number('policyholders_raw')})"),
-            unparsed('premium_raw', f"({number('premium_raw')})"),
+            unparsed('policyholders_raw', f"({POLICIES})"),
+            unparsed('premium_raw', PREMIUM),
         ]))} AS parsing_errors FROM raw_records GROUP BY page""",
     ),
     "sync_mode_resolve": with_views(

@@ -63,13 +63,13 @@ FROM filings""",
         f"""SELECT Record_ID AS id, CAST(FLOOR(CAST(split_part(Record_ID, '-', 1) AS BIGINT) / 100) AS BIGINT) AS page,
  Company AS parent_company, Subsidiary AS filing_company, State AS impacted_state, Product_Line AS product_line,
  CASE {_LINE} WHEN '1' THEN '' WHEN '2' THEN 'invalid'
-   WHEN '3' THEN concat(' ', CAST(Premium_Change_Number AS STRING), ' ')
+   WHEN '3' THEN concat(' ', CAST(Premium_Change_Number AS STRING), ' ') WHEN '6' THEN '12345678'
    ELSE CAST(Premium_Change_Number AS STRING) END AS rate_change_raw,
  CASE {_LINE} WHEN '4' THEN '' WHEN '5' THEN 'invalid' ELSE CAST(Effective_Date AS STRING) END AS effective_date_raw,
  concat(CAST(Effective_Date AS STRING), 'T10:30:00.000Z') AS last_modified_raw,
- CASE {_LINE} WHEN '5' THEN '1_000' WHEN '6' THEN 'about 500'
+ CASE {_LINE} WHEN '5' THEN '1_000' WHEN '6' THEN 'about 500' WHEN '7' THEN '9999999999' WHEN '4' THEN '12.9'
    ELSE CAST(Policyholders_Affected_Number AS STRING) END AS policyholders_raw,
- CAST(Total_Written_Premium_Number AS STRING) AS premium_raw
+ CASE {_LINE} WHEN '7' THEN '1e14' ELSE CAST(Total_Written_Premium_Number AS STRING) END AS premium_raw
 FROM filings""",
     ),
     "raw_pages": (

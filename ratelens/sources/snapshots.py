@@ -1,7 +1,8 @@
-"""Table snapshots on plain parquet: write beside the old version, then switch.
+"""Table versions on plain parquet: write beside what is there, then list what counts.
 
-A version folder counts only once Spark has put its ``_SUCCESS`` file there, so a job that dies half-way
-leaves the current version as it was.
+``base/v<n>`` holds the files that version n wrote, ``base/_list/v<n>`` which folders make up the table. A version counts once
+Spark has put the ``_SUCCESS`` file beside its list, so a job that dies half-way leaves the table as it was. ``filings`` has
+a folder per effective year; a version writes only the years that changed and lists the others where they are.
 """
 
 from __future__ import annotations
@@ -9,55 +10,97 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+KEEP = 2
+NO_YEAR = 0
+
+
+def _files(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, folder = _files(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
 
 def _versions(spark: SparkSession, base: str) -> list[int]:
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
     done = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("v") and name[1:].isdigit() and fs.exists(marker):
+    for name in _children(spark, f"{base}/_list"):
+        if name.startswith("v") and name[1:].isdigit() and "_SUCCESS" in _children(spark, f"{base}/_list/{name}"):
             done.append(int(name[1:]))
     return sorted(done)
 
 
-def current_path(spark: SparkSession, base: str) -> str | None:
+def current_version(spark: SparkSession, base: str) -> int | None:
+    versions = _versions(spark, base)
+    return versions[-1] if versions else None
+
+
+def _listed(spark: SparkSession, base: str, version: int) -> dict[int, str]:
+    """Year -> folder below ``base``; at most one row per year."""
+    rows = spark.read.schema("year int, folder string").json(f"{base}/_list/v{version}").collect()
+    return {r["year"]: r["folder"] for r in rows}
+
+
+def _commit(spark: SparkSession, base: str, version: int, folders: dict[int, str]) -> None:
+    rows = spark.createDataFrame(sorted(folders.items()), "year int, folder string")
+    rows.coalesce(1).write.mode("overwrite").json(f"{base}/_list/v{version}")
+    _remove_old(spark, base)
+
+
+def _remove_old(spark: SparkSession, base: str) -> None:
+    """Delete the lists and folders that none of the last ``KEEP`` versions names."""
     versions = _versions(spark, base)
-    return f"{base}/v{versions[-1]}" if versions else None
+    kept = {folder for v in versions[-KEEP:] for folder in _listed(spark, base, v).values()}
+    for version in versions[:-KEEP]:
+        for folder in set(_listed(spark, base, version).values()) - kept:
+            fs, path = _files(spark, f"{base}/{folder}")
+            fs.delete(path, True)
+        fs, path = _files(spark, f"{base}/_list/v{version}")
+        fs.delete(path, True)
+
+
+def read_current(spark: SparkSession, base: str, years: list[int] | None = None) -> DataFrame:
+    """The current table; with ``years`` only those folders, NO_YEAR being rows without a date."""
+    version = current_version(spark, base)
+    if version is None:
+        raise FileNotFoundError(f"no finished version under {base}")
+    folders = _listed(spark, base, version)
+    chosen = [f for y, f in sorted(folders.items()) if years is None or y in years]
+    if not chosen:
+        return spark.read.parquet(*[f"{base}/{f}" for f in folders.values()]).limit(0)
+    return spark.read.option("basePath", base).parquet(*[f"{base}/{f}" for f in chosen]).drop("written")
 
 
-def read_current(spark: SparkSession, base: str) -> DataFrame:
-    path = current_path(spark, base)
-    if path is None:
-        raise FileNotFoundError(f"no finished snapshot under {base}")
-    return spark.read.parquet(path)
+def write_next(df: DataFrame, base: str) -> int:
+    """Write ``df`` as the next version of a table without years."""
+    spark = df.sparkSession
+    version = (current_version(spark, base) or 0) + 1
+    df.write.mode("overwrite").parquet(f"{base}/written={version}")
+    _commit(spark, base, version, {NO_YEAR: f"written={version}"})
+    return version
 
 
-def write_next(df: DataFrame, base: str) -> str:
-    """Write ``df`` as the next version and return its path."""
-    versions = _versions(df.sparkSession, base)
-    path = f"{base}/v{(versions[-1] if versions else 0) + 1}"
-    df.write.mode("overwrite").parquet(path)
-    return path
+def effective_year():
+    return F.coalesce(F.year("Effective_Date"), F.lit(NO_YEAR)).alias("effective_year")
 
 
-def write_filings(df: DataFrame, base: str) -> str:
-    """Next version of ``filings``, one folder per effective year and rows sorted by state inside a file.
+def write_filings(df: DataFrame, base: str, years: list[int] | None = None) -> int:
+    """Next version of ``filings`` in which the given years (all without) hold the rows of ``df``.
 
-    Date ranges then read only their years and a state filter skips row groups. The range shuffle
-    on (year, state, date, id) spreads a state that holds much of the table over many tasks.
+    Rows are sorted by state inside a file, so a state filter skips row groups. The range shuffle on (year, state, date,
+    id) spreads a state that holds much of the table over many tasks.
     """
-    year = F.year("Effective_Date")
-    laid_out = (
-        df.withColumn("effective_year", year)
-        .repartitionByRange("effective_year", "State", "Effective_Date", "Record_ID")
-        .sortWithinPartitions("effective_year", "State", "Effective_Date")
-    )
-    versions = _versions(df.sparkSession, base)
-    path = f"{base}/v{(versions[-1] if versions else 0) + 1}"
-    laid_out.write.mode("overwrite").partitionBy("effective_year").parquet(path)
-    return path
+    spark = df.sparkSession
+    current = current_version(spark, base)
+    version = (current or 0) + 1
+    order = ["effective_year", "State", "Effective_Date", "Record_ID"]
+    laid_out = df.withColumn("effective_year", effective_year()).repartitionByRange(*order).sortWithinPartitions(*order)
+    laid_out.write.mode("overwrite").partitionBy("effective_year").parquet(f"{base}/written={version}")
+    written = [int(n.split("=")[1]) for n in _children(spark, f"{base}/written={version}") if n.startswith("effective_year=")]
+    before = _listed(spark, base, current) if current else {}
+    folders = {y: f for y, f in before.items() if years is not None and y not in years}
+    folders |= {y: f"written={version}/effective_year={y}" for y in written}
+    _commit(spark, base, version, folders)
+    return version

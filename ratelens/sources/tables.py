@@ -121,14 +121,16 @@ RAW_COLUMNS = [
     "State AS impacted_state",
     "Product_Line AS product_line",
     "CASE split_part(Record_ID, '-', 2) WHEN '1' THEN '' WHEN '2' THEN 'invalid'"
-    " WHEN '3' THEN concat(' ', CAST(Premium_Change_Number AS STRING), ' ')"
+    " WHEN '3' THEN concat(' ', CAST(Premium_Change_Number AS STRING), ' ') WHEN '6' THEN '12345678'"
     " ELSE CAST(Premium_Change_Number AS STRING) END AS rate_change_raw",
     "CASE split_part(Record_ID, '-', 2) WHEN '4' THEN '' WHEN '5' THEN 'invalid'"
     " ELSE CAST(Effective_Date AS STRING) END AS effective_date_raw",
     "concat(CAST(Effective_Date AS STRING), 'T10:30:00.000Z') AS last_modified_raw",
-    "CASE split_part(Record_ID, '-', 2) WHEN '5' THEN '1_000' WHEN '6' THEN 'about 500'"
+    "CASE split_part(Record_ID, '-', 2) WHEN '5' THEN '1_000' WHEN '6' THEN 'about 500' WHEN '7' THEN '9999999999'"
+    " WHEN '4' THEN '12.9'"
     " ELSE CAST(Policyholders_Affected_Number AS STRING) END AS policyholders_raw",
-    "CAST(Total_Written_Premium_Number AS STRING) AS premium_raw",
+    "CASE split_part(Record_ID, '-', 2) WHEN '7' THEN '1e14' ELSE CAST(Total_Written_Premium_Number AS STRING) END"
+    " AS premium_raw",
 ]
 
 
@@ -138,7 +140,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_field_maps(records: DataFrame) -> DataFrame:
-    """The same records in the shape the source sends: an id and a JSON object of named fields."""
+    """The same records in the shape the source sends: an id and a JSON object of named fields, some cut off half-way."""
     named = {
         "Parent Company": "parent_company",
         "Filing Company": "filing_company",
@@ -151,6 +153,8 @@ def raw_field_maps(records: DataFrame) -> DataFrame:
         "Last Modified": "last_modified_raw",
     }
     fields = F.to_json(F.struct(*[F.col(c).alias(name) for name, c in named.items()]))
+    cut_off = (F.col("page") % 10 == 3) & (F.split_part("id", F.lit("-"), F.lit(2)) == "2")
+    fields = F.when(cut_off, F.substring(fields, 1, 40)).otherwise(fields)
     return records.select("id", "page", fields.alias("fields"))
 
 

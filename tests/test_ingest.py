@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ratelens.functions.parsing import parse_date, parse_number, parse_timestamp
 from ratelens.operators import ingest
 from ratelens.plans.sync import sync
-from ratelens.sources.snapshots import current_path, read_current
+from ratelens.sources.schemas import read_filings
+from ratelens.sources.snapshots import current_version, read_current
 
 
 def parsed(spark, texts, function):
@@ -38,8 +39,8 @@ def test_timestamps(spark):
 
 def record(id, page=1, modified="2024-05-15T10:30:00.000Z", **fields):
     base = {
-        "Parent Company": "Test Insurance Co",
-        "Filing Company": "Test Subsidiary",
+        "Parent Company": "Harbour Mutual",
+        "Filing Company": "Harbour Auto",
         "Impacted State": "CA",
         "Product Line": "Auto",
         "Rate Change Type": "increase",
@@ -56,8 +57,8 @@ def records(spark):
 
 
 def test_record_to_filing(records):
-    row = ingest.raw_to_filings(records(record("rec123", Name="because"))).first()
-    assert (row.Record_ID, row.Company, row.Subsidiary, row.State) == ("rec123", "Test Insurance Co", "Test Subsidiary", "CA")
+    row = ingest.raw_to_filings(records(record("f-17", Name="because"))).first()
+    assert (row.Record_ID, row.Company, row.Subsidiary, row.State) == ("f-17", "Harbour Mutual", "Harbour Auto", "CA")
     assert float(row.Premium_Change_Number) == 0.15 and row.Effective_Date == date(2024, 6, 1)
     assert row.Stated_Reasons == "because" and row.Population == "" and row.Impact_Score is None
     assert row.Airtable_Last_Modified == datetime(2024, 5, 15, 10, 30)
@@ -79,6 +80,48 @@ def test_error_count_keeps_records(records):
     assert tuple(ingest.parse_error_count(df).first()) == (1, 3, 2)
 
 
+def test_values_that_do_not_fit_and_unreadable_records_count(records):
+    df = records(
+        record("a", **{"Overall Rate Change Number": "12345678"}),
+        record("b", **{"Policyholders Affected Number": "9999999999"}),
+        record("c", **{"Policyholders Affected Number": "12.9"}),
+        record("d", **{"Impact Score": "1e12"}),
+        record("e", **{"Effective Date Requested": "garbage"}),
+        ("f", 1, '{"Parent Company": "cut o'),
+        ("g", 1, None),
+        record("h", **{"Policyholders Affected Number": "12.0"}),
+    )
+    assert tuple(ingest.parse_error_count(df).first()) == (1, 8, 7)
+    stored = {r.Record_ID: r for r in ingest.raw_to_filings(df).collect()}
+    assert sorted(stored) == ["a", "b", "c", "d", "e", "h"]
+    assert stored["c"].Policyholders_Affected_Number is None and stored["h"].Policyholders_Affected_Number == 12
+    assert sorted(r.id for r in ingest.unreadable_records(df).collect()) == ["f", "g"]
+
+
+def test_only_touched_years_are_rewritten_and_read(spark, records, tmp_path):
+    base = str(tmp_path / "db")
+    dates = {"a": "2021-03-01", "b": "2022-03-01", "c": "2023-03-01", "d": ""}
+    sync(spark, records(*[record(i, **{"Effective Date": d}) for i, d in dates.items()]), base, now=datetime(2024, 5, 16))
+    moved = record("b", modified="2024-05-20T00:00:00.000Z", **{"Effective Date": "2023-06-01"})
+    result = sync(spark, records(moved), base, now=datetime(2024, 5, 21))
+    assert (result["records_updated"], result["total_records"]) == (1, 4)
+    files = {f.split("written=")[1] for f in read_current(spark, f"{base}/filings").inputFiles()}
+    places = {tuple(f.split("/")[:2]) for f in files}
+    assert places == {("1", "effective_year=0"), ("1", "effective_year=2021"), ("2", "effective_year=2023")}
+    some = read_filings(spark, f"{base}/filings", date(2023, 1, 1), date(2023, 12, 31))
+    assert sorted(r.Record_ID for r in some.collect()) == ["b", "c"]
+    assert all("effective_year=2023" in f for f in some.inputFiles())
+
+
+def test_old_versions_go(spark, records, tmp_path):
+    base = str(tmp_path / "db")
+    for day in range(1, 5):
+        sync(spark, records(record("a", modified=f"2024-06-{day:02d}T00:00:00.000Z")), base, now=datetime(2024, 6, day, 1))
+    assert len(list((tmp_path / "db" / "filings" / "_list").glob("v*"))) == 2
+    assert len(list((tmp_path / "db" / "filings").glob("written=*/effective_year=*"))) == 2
+    assert read_current(spark, f"{base}/filings").count() == 1
+
+
 def target(spark, *rows):
     return spark.createDataFrame(
         list(rows), "Record_ID string, Company string, Airtable_Last_Modified timestamp_ntz, Subsidiary string"
@@ -132,11 +175,11 @@ def test_five_minutes_of_overlap(spark):
 def test_repeated_id_fails_and_writes_nothing(spark, records, tmp_path, pages):
     base = str(tmp_path / "db")
     sync(spark, records(record("a")), base, now=datetime(2024, 6, 1))
-    before = current_path(spark, f"{base}/filings")
+    before = current_version(spark, f"{base}/filings")
     copies = [record("dup", page, modified="2024-06-01T12:00:00.000Z") for page in pages]
     result = sync(spark, records(*copies), base, now=datetime(2024, 6, 2))
     assert not result["success"] and "dup" in result["error_message"]
-    assert current_path(spark, f"{base}/filings") == before
+    assert current_version(spark, f"{base}/filings") == before
     history = read_current(spark, f"{base}/sync_history").orderBy("sync_id").collect()
     assert [h.status for h in history] == ["completed", "failed"]
 
@@ -154,11 +197,11 @@ def test_sync_runs(spark, records, tmp_path):
     assert (second["sync_mode"], second["records_processed"]) == ("incremental", 2)
     assert (second["records_inserted"], second["records_updated"], second["parsing_errors"]) == (1, 1, 1)
     stored = {r.Record_ID: r.Company for r in read_current(spark, f"{base}/filings").collect()}
-    assert stored == {"a": "Changed", "b": "Test Insurance Co", "c": "Test Insurance Co"}
-    version = current_path(spark, f"{base}/filings")
+    assert stored == {"a": "Changed", "b": "Harbour Mutual", "c": "Harbour Mutual"}
+    version = current_version(spark, f"{base}/filings")
     again = sync(spark, records(*later), base, now=datetime(2024, 5, 22), since=datetime(2024, 5, 1))
     assert (again["sync_mode"], again["records_inserted"], again["records_updated"], again["records_skipped"]) == ("manual", 0, 0, 3)
-    assert current_path(spark, f"{base}/filings") == version
+    assert current_version(spark, f"{base}/filings") == version
 
 
 def test_old_layout(spark):
