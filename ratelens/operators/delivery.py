@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,9 +52,11 @@ def reports_by_status(
     reports: DataFrame, status: str | None = None, month: str | None = None, year: str | None = None
 ) -> DataFrame:
     kept = reports
-    for column, value in (("Status", status), ("Month", month), ("Year", year)):
+    for column, value in (("Status", status), ("Year", year)):
         if value is not None:
             kept = kept.filter(F.col(column) == value)
+    if month is not None:
+        kept = kept.filter(month_number(F.col("Month")) == month_number(F.lit(month)))
     return kept
 
 
@@ -191,8 +194,8 @@ def test_send_queue(reports: DataFrame, subscribers: DataFrame, *, state: str |
 def hmac_sha256(secret: str, message: Column) -> Column:
     """HMAC-SHA256 in hex, put together from ``sha2`` so that it stays inside the JVM."""
     key = secret.encode()
-    if len(key) > 64:
-        raise ValueError("secrets longer than one hash block are not supported")
+    if len(key) > 64:  # longer than one hash block: its digest stands for it
+        key = hashlib.sha256(key).digest()
     padded = key.ljust(64, b"\0")
     inner = F.lit(bytes(b ^ 0x36 for b in padded))
     outer = F.lit(bytes(b ^ 0x5C for b in padded))
@@ -228,24 +231,25 @@ def personalized_html(
     """One HTML body per queued mail: the state's newsletter with the subscriber's unsubscribe footer."""
     editions = newsletters.select(
         "State",
-        F.date_format("month", "MM").alias("Month"),
+        F.date_format("month", "MM").alias("month_number"),
         F.date_format("month", "yyyy").alias("Year"),
         clean_html(F.col("html")).alias("html"),
     )
     footer = F.concat(
-        F.lit('<hr><div class="footer"><p>You\'re receiving this because you\'re subscribed to '),
+        F.lit('<hr><div class="footer"><p>This letter goes to subscribers of the monthly rate news for '),
         F.col("State"),
-        F.lit(f' insurance updates.</p><p><a href="{link}?id='),
+        F.lit(f'.</p><p><a href="{link}?id='),
         F.col("subscriber_id"),
         F.lit("&token="),
         hmac_sha256(secret, F.col("subscriber_id")),
-        F.lit('">Unsubscribe from these emails</a></p></div>'),
+        F.lit('">Stop these letters</a></p></div>'),
     )
     closed = F.replace(F.col("html"), F.lit("</body>"), F.concat(footer, F.lit("</body>")))
     body = F.when(F.col("html").contains("</body>"), closed).otherwise(F.concat(F.col("html"), footer))
     return (
         queue.filter(F.col("outcome") == "queued")
-        .join(editions, ["State", "Month", "Year"])
+        .withColumn("month_number", month_number(F.col("Month")))
+        .join(editions, ["State", "month_number", "Year"])
         .select("report_id", "subscriber_id", "Email", "subject", body.alias("html"))
     )
 
@@ -282,27 +286,29 @@ def known_events(events: DataFrame) -> DataFrame:
 
 
 def period_of(ts: Column | str) -> Column:
-    """Start of the week that events are summed up by."""
-    return F.date_trunc("week", ts).cast("timestamp_ntz")
+    """Start of the hour that events are summed up by."""
+    return F.date_trunc("hour", ts).cast("timestamp_ntz")
 
 
 def email_periods(events: DataFrame) -> DataFrame:
-    """What each week does to a message: its last status, dates and notes, and its runs of opens.
+    """What each hour does to a message: its last status, dates and notes, and its runs of opens.
 
-    A run is named by the last other event before it in the week. Only the run at the start of the week, which may
-    go on from the week before, and the last run can matter later.
+    A run is named by the last other event before it in the hour. Only the run at the start of the hour, which may
+    go on from the hour before, and the last run can matter later. Events of one time are in order of event_id and, where
+    the table has it, of ``part``.
     """
     kind, key = F.col("kind"), F.col("key")
+    part = F.col("part") if "part" in events.columns else F.lit(0)
     known = (
         known_events(events)
-        .withColumn("key", F.struct("ts", "event_id"))
+        .withColumn("key", F.struct("ts", "event_id", part.alias("part")))
         .withColumn("period", period_of("ts"))
     )
     other = F.when(kind != "open", key)
     opened = F.when(kind == "open", key)
     so_far = (
         Window.partitionBy("message_id", "period")
-        .orderBy("ts", "event_id")
+        .orderBy("key")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     note = (
@@ -347,7 +353,7 @@ def email_periods(events: DataFrame) -> DataFrame:
 def merge_periods(periods: DataFrame, emails: DataFrame) -> DataFrame:
     """Status of every logged mail from its periods.
 
-    A run at the start of a week goes on from the last other event of the earlier weeks, so runs with
+    A run at the start of an hour goes on from the last other event of the earlier hours, so runs with
     the same such event are one run; the last one counts.
     """
     earlier = Window.partitionBy("message_id").orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
@@ -397,7 +403,7 @@ def email_status_fold(events: DataFrame, emails: DataFrame) -> DataFrame:
     counts on from the open before it, and starts again at one after any other event, so the open count is
     the length of the last unbroken run of opens.
 
-    Each week of a message is summed up on its own first, so that a message with a large part of all events is
+    Each hour of a message is summed up on its own first, so that a message with a large part of all events is
     worked on by many tasks.
     """
     return merge_periods(email_periods(events), emails)

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.functions.dates import EFFECTIVE, month_of, month_start, next_month
+from ratelens.functions.dates import EFFECTIVE, month_number, month_of, month_start, next_month
 from ratelens.functions.names import display_company
 from ratelens.functions.numeric import RATE, avg_pct, one_decimal, pct_of, rate, rounded, short_number, sum_where
 from ratelens.functions.ranking import top_per_group
@@ -116,10 +116,12 @@ def state_abbreviations(states: DataFrame, column: str) -> DataFrame:
 
 
 def pending_reports(filings: DataFrame, reports: DataFrame) -> DataFrame:
-    """Active states and months for which no report was logged; reports spell the month as two digits."""
-    logged = reports.select(
-        "State", F.to_date(F.concat_ws("-", "Year", "Month", F.lit("01"))).alias("month")
-    )
+    """Active states and months for which no report was logged; reports may spell the month in any way.
+
+    A report whose month or year cannot be read stands for no edition.
+    """
+    first = F.concat_ws("-", "Year", month_number(F.col("Month")), F.lit("01"))
+    logged = reports.select("State", F.try_to_date(first, "yyyy-MM-dd").alias("month"))
     return state_activity(filings).join(logged, EDITION, "left_anti")
 
 

@@ -1,9 +1,18 @@
 """Check SQL for subscribers, reports and mail."""
 
-from ratelens.operators.delivery import EMAIL, EMAIL_CSS, NOTE_SPAM, NOTE_UNSUBSCRIBED, SCRIPT_BLOCK
-from ratelens.functions.dates import MONTH_NAMES
 from ratelens.oracle.views import big, state_abbr, with_views
 
+# Fixed values, written out anew so that a wrong constant of the operators shows.
+EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
+SCRIPT_BLOCK = r"(?is)<script\b.*?</script>"
+EMAIL_CSS = (
+    "<style>body{margin:0;padding:0;-webkit-text-size-adjust:100%;-ms-text-size-adjust:100%;}"
+    "table{border-collapse:collapse;mso-table-lspace:0pt;mso-table-rspace:0pt;}"
+    "img{border:0;height:auto;line-height:100%;outline:none;text-decoration:none;-ms-interpolation-mode:bicubic;}</style>"
+)
+NOTE_SPAM, NOTE_UNSUBSCRIBED = "Recipient marked email as spam", "Recipient unsubscribed"
+MONTH_NAMES = "January February March April May June July August September October November December".split()
+
 SECRET = "letters"
 _KEY = SECRET.encode().ljust(64, b"\0")
 _INNER = "".join(f"{b ^ 0x36:02x}" for b in _KEY)
@@ -62,7 +71,7 @@ fold AS (SELECT e.message_id, e.subscriber_id, CASE l.kind WHEN 'delivery' THEN
  LEFT JOIN notes n ON e.message_id = n.message_id LEFT JOIN bounces b ON e.message_id = b.message_id
  LEFT JOIN deliveries d ON e.message_id = d.message_id)"""
 
-_PATH = f"""concat({state_abbr('State')}, '/', Year, '/', {month_name('Month')}, '/', {state_abbr('State')}, '_', Month, '_', Year, '.html')"""
+_PATH = f"""concat({state_abbr('State')}, '/', Year, '/', {month_name(month_number('Month'))}, '/', {state_abbr('State')}, '_', {month_number('Month')}, '_', Year, '.html')"""
 
 SQL = {
     "subscribers_by_state": with_views(
@@ -79,7 +88,7 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY State, Month, Year ORDER BY report_id) =
     ),
     "report_status_update": with_views(
         "reports",
-        """SELECT report_id, CASE WHEN Month = '05' THEN concat('May in ', State) ELSE Name END AS Name, State, Month, Year,
+        f"""SELECT report_id, CASE WHEN {month_number('Month')} = '05' THEN concat('May in ', State) ELSE Name END AS Name, State, Month, Year,
  CASE Status WHEN 'Generated' THEN 'Approved' WHEN 'Approved' THEN 'Sent' ELSE Status END AS Status FROM reports""",
     ),
     "email_valid": with_views(

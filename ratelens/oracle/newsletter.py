@@ -66,7 +66,7 @@ FROM summary s JOIN lines l ON s.State = l.State AND s.month = l.month LEFT JOIN
     ),
     "pending_reports": _v(
         f"""WITH {ACTIVITY} SELECT a.* FROM activity a WHERE NOT EXISTS (SELECT 1 FROM reports p WHERE p.State = a.State
- AND p.Month = strftime(a.month, '%m') AND p.Year = strftime(a.month, '%Y'))""",
+ AND p.Month IN (strftime(a.month, '%m'), strftime(a.month, '%B'), strftime(a.month, '%b')) AND p.Year = strftime(a.month, '%Y'))""",
         "filings reports",
     ),
     "report_log": _v(

@@ -106,10 +106,11 @@ FROM events""",
         ["filings"],
         """SELECT concat('rep-', State, '-', CAST(ym AS STRING)) AS report_id,
  concat(State, ' ', strftime(ym, '%B %Y')) AS Name, State,
- lpad(CAST(EXTRACT(MONTH FROM ym) AS STRING), 2, '0') AS Month, CAST(EXTRACT(YEAR FROM ym) AS STRING) AS Year,
+ CASE CAST(split_part(State, '_', 2) AS INT) % 3 WHEN 0 THEN strftime(ym, '%m') WHEN 1 THEN strftime(ym, '%B') ELSE strftime(ym, '%b') END AS Month,
+ CAST(EXTRACT(YEAR FROM ym) AS STRING) AS Year,
  CASE CAST(EXTRACT(MONTH FROM ym) AS INT) % 3 WHEN 0 THEN 'Generated' WHEN 1 THEN 'Approved' ELSE 'Sent' END AS Status
-FROM (SELECT DISTINCT State, CAST(date_trunc('month', Effective_Date) AS DATE) AS ym FROM filings
-      WHERE Effective_Date >= DATE '2001-01-01' AND State <> 'NATION_3') t""",
+FROM (SELECT DISTINCT State, CAST(date_trunc('month', Effective_Date) AS DATE) AS ym FROM filings) t
+WHERE (EXTRACT(YEAR FROM ym) * 12 + EXTRACT(MONTH FROM ym) + 3 * CAST(split_part(State, '_', 2) AS INT)) % 7 <> 0""",
     ),
     "subscribers": (
         [],

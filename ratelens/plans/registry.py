@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratelens.functions.dates import month_number
 from ratelens.functions.states import state_abbr
 from ratelens.operators import agents, dashboard, delivery, health, ingest, market, newsletter, records
 from ratelens.plans import findings
@@ -80,7 +81,7 @@ def _policy_totals(filings: DataFrame) -> DataFrame:
 def _report_changes(reports: DataFrame) -> DataFrame:
     """Generated reports get approved, approved ones are sent, and the reports of May get a new name."""
     new_status = F.when(F.col("Status") == "Generated", "Approved").when(F.col("Status") == "Approved", "Sent")
-    new_name = F.when(F.col("Month") == "05", F.concat(F.lit("May in "), F.col("State")))
+    new_name = F.when(month_number(F.col("Month")) == "05", F.concat(F.lit("May in "), F.col("State")))
     changes = reports.select("report_id", new_status.alias("new_status"), new_name.alias("new_name"))
     return changes.filter("new_status IS NOT NULL OR new_name IS NOT NULL")
 
@@ -114,13 +115,15 @@ def _fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of JSON texts, and the status after the last of them."""
     configure(spark)
     from ratelens.sources.schemas import EMAIL_EVENTS
 
     raw = spark.readStream.schema(EMAIL_EVENTS).parquet(f"{sf_dir}/events.parquet*")
     emails = tables.emails(spark, sf_dir)
     folder = work_dir(spark, "email-status")
-    email_status.run_to_table(email_status.email_status_stream(raw.selectExpr(*tables.EVENT_COLUMNS), emails), folder)
+    texts = email_status.payload_text(raw.selectExpr(*tables.EVENT_COLUMNS))
+    email_status.run_to_table(email_status.read_payloads(texts), emails, folder)
     return email_status.latest_status(spark, folder, emails)
 
 

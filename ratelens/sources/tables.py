@@ -215,18 +215,16 @@ def sync_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Logged reports; one state has none."""
-    months = (
-        filings(spark, sf_dir)
-        .filter((F.col("Effective_Date") >= F.lit("2001-01-01").cast("date")) & (F.col("State") != "NATION_3"))
-        .select("State", F.trunc("Effective_Date", "month").alias("ym"))
-        .distinct()
-    )
-    return months.selectExpr(
+    """Logged reports of all months, the month as digits, name or short name; one edition in seven was not logged."""
+    months = filings(spark, sf_dir).select("State", F.trunc("Effective_Date", "month").alias("ym")).distinct()
+    number = "CAST(split_part(State, '_', 2) AS INT)"
+    logged = months.filter(f"(year(ym) * 12 + month(ym) + 3 * {number}) % 7 <> 0")
+    return logged.selectExpr(
         "concat('rep-', State, '-', CAST(ym AS STRING)) AS report_id",
         "concat(State, ' ', date_format(ym, 'MMMM yyyy')) AS Name",
         "State",
-        "lpad(CAST(month(ym) AS STRING), 2, '0') AS Month",
+        f"CASE {number} % 3 WHEN 0 THEN date_format(ym, 'MM') WHEN 1 THEN date_format(ym, 'MMMM')"
+        " ELSE date_format(ym, 'MMM') END AS Month",
         "CAST(year(ym) AS STRING) AS Year",
         "CASE month(ym) % 3 WHEN 0 THEN 'Generated' WHEN 1 THEN 'Approved' ELSE 'Sent' END AS Status",
     )

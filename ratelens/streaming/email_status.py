@@ -1,41 +1,31 @@
 """Mail status as a stream: the batch fold of ``operators.delivery`` kept up to date event by event.
 
-The stream keeps what ``delivery.email_periods`` computes in a batch: one summary per message and week. State is
-keyed by both, so a message with very many events is spread over its weeks, and a week is dropped
-from the state once the watermark has passed its end. Events reach a week in any order; each update sums up
-all events of the week again in order of (ts, event_id), so the result does not depend on how the input
-was cut into micro-batches. Events older than the watermark are dropped by Spark.
+Each micro-batch is stored as it came, in folders by day of the events, and the periods of a message that it touches are summed up anew from the
+stored events with the very rules of the batch (``delivery.email_periods``). So the result does not depend on how the events were
+cut into micro-batches or in which order they came, no event is ever too late, and what the stream has to remember lies in
+files instead of executors' memory. A repeated micro-batch replaces its own folders.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ratelens.operators.delivery import NOTE_SPAM, NOTE_UNSUBSCRIBED, STATUS, known_events, merge_periods, period_of
+from ratelens.operators.delivery import email_periods, known_events, merge_periods, period_of
 
-WEEK_MICROS = 7 * 24 * 3_600_000_000
-KEY = "array<bigint>"
-SUMMARY = (
-    f"last {KEY}, status string, delivered_at bigint, bounce_type string, notes string, last_other {KEY}, "
-    f"runs array<struct<after:{KEY},opens:bigint,first:{KEY},last:{KEY}>>"
-)
 PAYLOAD = (
     "array<struct<MessageID:string, RecordType:string, DeliveredAt:string, ReceivedAt:string, Type:string, "
     "Description:string>>"
 )
+EVENTS = "event_id long, part int, ts timestamp_ntz, message_id string, record_type string, bounce_type string, description string"
 
 
 def read_payloads(lines: DataFrame) -> DataFrame:
-    """Mail events from JSON texts ``(event_id, value)`` that hold one event or a list of events."""
-    one_each = lines.select("event_id", F.posexplode(F.from_json("value", PAYLOAD)).alias("n", "e"))
+    """Mail events from JSON texts ``(event_id, value)`` that hold one event or a list; ``part`` is the place in the list."""
+    one_each = lines.select("event_id", F.posexplode(F.from_json("value", PAYLOAD)).alias("part", "e"))
     return one_each.select(
-        (F.col("event_id") * 1000 + F.col("n")).alias("event_id"),
+        "event_id",
+        "part",
         F.coalesce("e.DeliveredAt", "e.ReceivedAt").try_cast("timestamp").cast("timestamp_ntz").alias("ts"),
         F.col("e.MessageID").alias("message_id"),
         F.col("e.RecordType").alias("record_type"),
@@ -44,80 +34,43 @@ def read_payloads(lines: DataFrame) -> DataFrame:
     )
 
 
-def sum_up(events: list[dict]) -> dict:
-    """Summary of one week from its events in order."""
-    week: dict = {"last_other": None}
-    first_run = last_run = None
-    for event in events:
-        ts, kind = event["ts"], event["kind"]
-        key = [ts, event["event_id"]]
-        week.update(last=key, status=STATUS[kind])
-        if kind == "open":
-            if week["last_other"] is None:
-                run = first_run = first_run or {"after": None, "opens": 0, "first": key}
-            elif last_run and last_run["after"] == week["last_other"]:
-                run = last_run
-            else:
-                run = last_run = {"after": week["last_other"], "opens": 0, "first": key}
-            run["opens"] += 1
-            run["last"] = key
-            continue
-        week["last_other"] = key
-        if kind == "delivery":
-            week["delivered_at"] = ts
-        elif kind == "bounce":
-            week["bounce_type"] = event.get("bounce_type") or "Unknown"
-            week["notes"] = f"Bounce: {event.get('description') or 'No description'}"
-        else:
-            week["notes"] = NOTE_SPAM if kind == "spamcomplaint" else NOTE_UNSUBSCRIBED
-    week["runs"] = [run for run in (first_run, last_run) if run]
-    return week
-
-
-def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    message_id, period = key[0], int(key[1])
-    if state.hasTimedOut:
-        state.remove()
-        return
-    events = json.loads(state.get[0]) if state.exists else []
-    for pdf in batches:
-        events += json.loads("[" + ",".join(pdf["event"]) + "]")
-    events.sort(key=lambda e: (e["ts"], e["event_id"]))
-    state.update((json.dumps(events),))
-    over = (period + WEEK_MICROS) // 1000
-    state.setTimeoutTimestamp(max(over, state.getCurrentWatermarkMs() + 1))
-    yield pd.DataFrame({"message_id": [message_id], "period": [period], "summary": [json.dumps(sum_up(events))]})
-
-
-def email_status_stream(events: DataFrame, emails: DataFrame, *, delay: str = "1 hour") -> DataFrame:
-    """Streaming updates ``(message_id, period, summary)`` of logged mails, one row whenever a week changes."""
-    known = known_events(events).join(emails.select("message_id"), "message_id", "left_semi")
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    event = F.to_json(F.struct(micros.alias("ts"), "event_id", "kind", "bounce_type", "description"))
-    timed = known.select(
-        "message_id",
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.unix_micros(period_of("ts").cast("timestamp")).alias("period"),
-        event.alias("event"),
-    ).withWatermark("ts", delay)
-    return timed.groupBy("message_id", "period").applyInPandasWithState(
-        _update,
-        "message_id string, period bigint, summary string",
-        "events string",
-        "update",
-        GroupStateTimeout.EventTimeTimeout,
+def payload_text(events: DataFrame) -> DataFrame:
+    """Events as the JSON texts that a mail service sends."""
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    event = F.struct(
+        F.col("message_id").alias("MessageID"),
+        F.col("record_type").alias("RecordType"),
+        F.when(F.lower("record_type") == "delivery", time).alias("DeliveredAt"),
+        F.when(F.lower("record_type") != "delivery", time).alias("ReceivedAt"),
+        F.col("bounce_type").alias("Type"),
+        F.col("description").alias("Description"),
     )
+    listed = F.col("event_id") % 2 == 0
+    return events.select("event_id", F.when(listed, F.to_json(F.array(event))).otherwise(F.to_json(event)).alias("value"))
+
+
+def _store(batch: DataFrame, batch_id: int, emails: DataFrame, folder: str) -> None:
+    spark = batch.sparkSession
+    logged = known_events(batch).drop("kind").join(emails.select("message_id").distinct(), "message_id", "left_semi")
+    stored = f"{folder}/events/batch={batch_id}"
+    if "part" not in logged.columns:
+        logged = logged.withColumn("part", F.lit(0))
+    logged.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day").parquet(stored)
+    mine = spark.read.schema(f"{EVENTS}, day date").parquet(stored)
+    days = [r[0] for r in mine.select("day").distinct().collect()]  # one value per day of events in the batch
+    if not days:
+        return
+    touched = mine.select("message_id", period_of("ts").alias("period")).distinct()
+    earlier = spark.read.schema(f"{EVENTS}, batch int, day date").parquet(f"{folder}/events")
+    again = earlier.filter(F.col("day").isin(days) & (F.col("batch") <= batch_id)).withColumn("period", period_of("ts"))
+    again = again.join(touched, ["message_id", "period"], "left_semi").drop("period", "batch", "day")
+    email_periods(again).write.mode("overwrite").parquet(f"{folder}/updates/batch={batch_id}")
 
 
-def run_to_table(updates: DataFrame, folder: str) -> None:
-    """Drain the stream into ``folder``: one sub-folder per micro-batch, so that a repeated batch replaces itself."""
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/updates/batch={batch_id}")
-
+def run_to_table(events: DataFrame, emails: DataFrame, folder: str) -> None:
+    """Drain a stream of events into ``folder``: the events of logged mails and the newest summaries of their periods."""
     query = (
-        updates.writeStream.outputMode("update")
-        .foreachBatch(store)
+        events.writeStream.foreachBatch(lambda batch, batch_id: _store(batch, batch_id, emails, folder))
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
@@ -126,35 +79,8 @@ def run_to_table(updates: DataFrame, folder: str) -> None:
 
 
 def latest_status(spark: SparkSession, folder: str, emails: DataFrame) -> DataFrame:
-    """Status of every logged mail from the newest summary of each of its weeks."""
-
-    def time(micros):
-        return F.timestamp_micros(micros).cast("timestamp_ntz")
-
-    def key(values):
-        return F.when(
-            values.isNotNull(), F.struct(time(values[0]).alias("ts"), values[1].alias("event_id"))
-        )
-
+    """Status of every logged mail from the newest summary of each of its periods."""
     updates = spark.read.parquet(f"{folder}/updates")
-    newest = updates.groupBy("message_id", "period").agg(F.max_by("summary", "batch").alias("summary"))
-    s = newest.select("message_id", "period", F.from_json("summary", SUMMARY).alias("s"))
-    weeks = s.select(
-        "message_id",
-        time(F.col("period")).alias("period"),
-        "s.status",
-        time(F.col("s.delivered_at")).alias("delivered_at"),
-        "s.bounce_type",
-        "s.notes",
-        key(F.col("s.last_other")).alias("last_other"),
-        F.transform(
-            "s.runs",
-            lambda r: F.struct(
-                key(r["after"]).alias("after"),
-                r["opens"].alias("opens"),
-                key(r["first"]).alias("first"),
-                key(r["last"]).alias("last"),
-            ),
-        ).alias("runs"),
-    )
-    return merge_periods(weeks, emails)
+    summary = F.struct(*[c for c in updates.columns if c not in ("batch", "message_id", "period")])
+    newest = updates.groupBy("message_id", "period").agg(F.max_by(summary, "batch").alias("s"))
+    return merge_periods(newest.select("message_id", "period", "s.*"), emails)

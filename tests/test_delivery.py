@@ -2,12 +2,12 @@ import hashlib
 import hmac
 import json
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from ratelens.operators import delivery
+from ratelens.operators import delivery, newsletter
 from ratelens.streaming import email_status
 
 EVENTS = "event_id bigint, ts timestamp_ntz, message_id string, record_type string, bounce_type string, description string"
@@ -88,7 +88,7 @@ def test_fold_cases(spark):
 @pytest.mark.parametrize("files", [1, 4])
 def test_stream_equals_batch(spark, tmp_path, files):
     events = random_events(300, 5)
-    events.sort(key=lambda e: e[1])
+    random.Random(files).shuffle(events)
     size = -(-len(events) // files)
     for i in range(files):
         part = spark.createDataFrame(events[i * size : (i + 1) * size], EVENTS)
@@ -96,7 +96,7 @@ def test_stream_equals_batch(spark, tmp_path, files):
     log = mails(spark, events)
     stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     folder = str(tmp_path / "out")
-    email_status.run_to_table(email_status.email_status_stream(stream, log, delay="60 days"), folder)
+    email_status.run_to_table(stream, log, folder)
     got = found(email_status.latest_status(spark, folder, log))
     assert got == found(delivery.email_status_fold(spark.createDataFrame(events, EVENTS), log))
 
@@ -104,15 +104,50 @@ def test_stream_equals_batch(spark, tmp_path, files):
 def test_payloads_single_and_list(spark):
     one = {"MessageID": "m", "RecordType": "Delivery", "DeliveredAt": "2024-01-01T00:00:05Z"}
     lines = [(1, json.dumps(one)), (2, json.dumps([{**one, "RecordType": "Open", "DeliveredAt": None, "ReceivedAt": "2024-01-02T00:00:00Z"}] * 2))]
-    rows = email_status.read_payloads(spark.createDataFrame(lines, "event_id bigint, value string")).orderBy("event_id").collect()
-    assert [(r.event_id, r.record_type) for r in rows] == [(1000, "Delivery"), (2000, "Open"), (2001, "Open")]
+    rows = email_status.read_payloads(spark.createDataFrame(lines, "event_id bigint, value string")).orderBy("event_id", "part").collect()
+    assert [(r.event_id, r.part, r.record_type) for r in rows] == [(1, 0, "Delivery"), (2, 0, "Open"), (2, 1, "Open")]
     assert rows[0].ts == datetime(2024, 1, 1, 0, 0, 5) and rows[2].ts == datetime(2024, 1, 2)
 
 
-def test_hmac(spark):
+def test_long_payload_lists_keep_their_events_apart(spark):
+    one = {"MessageID": "m", "RecordType": "Open", "ReceivedAt": "2024-01-01T00:00:05Z"}
+    lines = [(i, json.dumps([one] * 1001)) for i in (1, 2)]
+    events = email_status.read_payloads(spark.createDataFrame(lines, "event_id bigint, value string"))
+    assert events.select("event_id", "part").distinct().count() == 2002
+    mails_ = spark.createDataFrame([("m", "s")], "message_id string, subscriber_id string")
+    assert delivery.email_status_fold(events, mails_).first().open_count == 2002
+
+
+def test_many_events_of_one_message_spread_over_periods(spark):
+    start = datetime(2024, 1, 1)
+    events = spark.range(100_000).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, 0, id) AS ts", "'m' AS message_id",
+        "CASE WHEN id % 1000 = 7 THEN 'Delivery' ELSE 'Open' END AS record_type", "CAST(NULL AS STRING) AS bounce_type",
+        "CAST(NULL AS STRING) AS description",
+    )
+    periods = delivery.email_periods(events)
+    assert periods.count() == 28 and max(len(r.runs) for r in periods.collect()) <= 2
+    row = delivery.merge_periods(periods, spark.createDataFrame([("m", "s")], "message_id string, subscriber_id string")).first()
+    assert (row.status, row.open_count) == ("Opened", 992) and row.delivered_at > start
+
+
+@pytest.mark.parametrize("secret", ["secret", "x" * 64, "y" * 65, "é" * 70])
+def test_hmac(spark, secret):
     df = spark.createDataFrame([("sub-1",), ("é",)], "subscriber_id string")
-    for r in delivery.unsubscribe_tokens(df, "secret").collect():
-        assert r.token == hmac.new(b"secret", r.subscriber_id.encode(), hashlib.sha256).hexdigest()
+    for r in delivery.unsubscribe_tokens(df, secret).collect():
+        assert r.token == hmac.new(secret.encode(), r.subscriber_id.encode(), hashlib.sha256).hexdigest()
+
+
+def test_log_is_read_back_and_no_mail_is_lost(spark, make):
+    filings = make(*[{"Effective_Date": date(2024, m, 3), "State": s} for m in (3, 4) for s in ("Ohio", "Iowa")])
+    log = delivery.report_log(newsletter.rate_cards(filings))
+    assert newsletter.pending_reports(filings, log).count() == 0
+    assert newsletter.pending_reports(filings, log.filter("State = 'Ohio'")).count() == 2
+    approved = log.withColumn("Status", F.lit("Approved")).withColumn("report_id", F.concat_ws("/", "State", "Month"))
+    people = spark.createDataFrame([("s1", "Ohio,Iowa", "a@b.co", True, False)], "subscriber_id string, State string, Email string, Active boolean, Test boolean")
+    queue = delivery.send_queue(approved, people, month="03", year="2024")
+    letters = newsletter.newsletter_html(newsletter.newsletter_batch(filings))
+    assert queue.count() == delivery.personalized_html(queue, letters, "k").count() == 2
 
 
 def test_state_is_matched_whole(spark):
@@ -165,4 +200,4 @@ def test_footer(spark):
     for html, tail in (("<body>x</body>", "</div></body>"), ("x", "</div>")):
         pages = spark.createDataFrame([("Ohio", datetime(2024, 6, 1).date(), html)], "State string, month date, html string")
         body = delivery.personalized_html(queue, pages, "k").first().html
-        assert body.endswith(tail) and "subscribed to Ohio insurance updates" in body and "?id=s&token=" in body
+        assert body.endswith(tail) and "monthly rate news for Ohio" in body and "?id=s&token=" in body
