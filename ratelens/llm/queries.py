@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import chat, language, neardup, pieces, quality, secrets, setjoin, suffixes, tokencount
+from ratelens.llm import chat, language, mixing, neardup, pieces, quality, secrets, setjoin, suffixes, tokencount
 from ratelens.session import configure
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -62,6 +62,11 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = configure(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    return mixing.mixing_rates(documents(spark, sf_dir).select("doc_id", "source", "text"), labels)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
 
@@ -114,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_secret_scans": op4_secret_scans,
+    "op5_source_mixing": op5_source_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
