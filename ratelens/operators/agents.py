@@ -27,10 +27,10 @@ from ratelens.functions.numeric import (
     rounded,
     with_commas,
 )
-from ratelens.functions.ranking import positions, top_per_group
-from ratelens.session import materialize
+from ratelens.functions.ranking import one_shuffle, positions, top_per_group
 
 AGENT = ["State", "Company"]
+UPCOMING = ["avg_increase", "effective_date", "policies_affected", "filing_count", "days_until"]
 # Agents are ranked by average rate in percent; bands of a tenth of a point.
 RANK_BAND = 0.1
 
@@ -90,25 +90,47 @@ def _exploded(picked: DataFrame, *extra: Column) -> DataFrame:
 # --- first report ---------------------------------------------------------------------------------
 
 
-def _picked_v1(filings: DataFrame, *, as_of: date, months_back: int, k: int) -> DataFrame:
-    upcoming = _placed(filings).filter(
-        (rate() > 0) & since_months(as_of, months_back) & (F.col(EFFECTIVE) >= F.lit(as_of))
+def _lines_of(chosen: DataFrame, filings: DataFrame, name: str) -> DataFrame:
+    """``chosen`` (State, ``name``, ...) with the product lines of these companies only."""
+    lines = (
+        filings.select("State", F.col("Company").alias(name), "Product_Line")
+        .join(chosen.select("State", name).distinct(), ["State", name], "left_semi")
+        .groupBy("State", name)
+        .agg(joined_set("Product_Line").alias("product_lines"))
     )
-    competitors = upcoming.groupBy("State", F.col("Company").alias("competitor")).agg(
-        rounded(avg_pct(), 1).alias("avg_increase"),
-        rounded(F.max(rate()) * 100, 2).alias("max_increase"),
-        F.max(EFFECTIVE).alias("effective_date"),
-        F.count(F.lit(1)).alias("filing_count"),
-        F.sum("Policyholders_Affected_Number").alias("policies_affected"),
-        rounded(mean_of(F.sum("Impact_Score"), F.count("Impact_Score")), 4).alias("avg_impact_score"),
-        F.max("Previous_Increase_Date").alias("last_increase_date"),
-        rounded(F.max("Previous_Increase_Number") * 100, 2).alias("last_increase"),
-        joined_set("Product_Line").alias("product_lines"),
+    return chosen.join(lines, ["State", name], "left")
+
+
+def _picked_v1(filings: DataFrame, *, as_of: date, months_back: int, k: int, lines: bool = True) -> DataFrame:
+    """Best competitors of each agent; ``lines`` adds their product lines, after the cut."""
+    recent = since_months(as_of, months_back)
+    coming = (rate() > 0) & recent & (F.col(EFFECTIVE) >= F.lit(as_of))
+
+    def kept(value: Column | str) -> Column:
+        return F.when(coming, F.col(value) if isinstance(value, str) else value)
+
+    rows = one_shuffle(
+        _placed(filings)
+        .groupBy(*AGENT)
+        .agg(
+            F.coalesce(avg_pct(where=recent), F.lit(0.0)).alias("avg_rate"),
+            rounded(avg_pct(where=coming), 1).alias("avg_increase"),
+            rounded(F.max(kept(rate())) * 100, 2).alias("max_increase"),
+            F.max(kept(EFFECTIVE)).alias("effective_date"),
+            F.count(kept(F.lit(1))).alias("filing_count"),
+            F.sum(kept("Policyholders_Affected_Number")).alias("policies_affected"),
+            rounded(mean_of(F.sum(kept("Impact_Score")), F.count(kept("Impact_Score"))), 4).alias("avg_impact_score"),
+            F.max(kept("Previous_Increase_Date")).alias("last_increase_date"),
+            rounded(F.max(kept("Previous_Increase_Number")) * 100, 2).alias("last_increase"),
+        )
     )
+    competitors = rows.filter("filing_count > 0").withColumnRenamed("Company", "competitor").drop("avg_rate")
     order = [F.desc("avg_increase"), F.desc_nulls_last("avg_impact_score"), F.asc("competitor")]
     best = top_per_group(competitors, ["State"], order, k + 1)
-    rivals = _rivals(best, F.col("place"), [c for c in competitors.columns if c != "State"])
-    return _pick(agent_rate(filings, as_of=as_of, months_back=months_back), rivals, k)
+    if lines:
+        best = _lines_of(best, _placed(filings).filter(coming), "competitor")
+    rivals = _rivals(best, F.col("place"), [c for c in best.columns if c not in ("State", "place")])
+    return _pick(rows.select(*AGENT, "avg_rate"), rivals, k)
 
 
 def opportunities_v1(
@@ -139,18 +161,14 @@ def market_summary_v1(filings: DataFrame, *, as_of: date, months_back: int = 6)
 
 
 def _carriers(filings: DataFrame, as_of: date, *extra: Column) -> DataFrame:
-    """One row per agent, computed once: its average over six months, NULL without recent filings.
+    """One row per agent: its average over six months, NULL without recent filings.
 
     A company whose recent rates are all unknown gets an average above all others, so that it ranks last.
     """
     recent = since_months(as_of, 6)
     average = F.coalesce(avg_pct(where=recent), F.lit(1e12))
-    return materialize(
-        _placed(filings)
-        .groupBy(*AGENT)
-        .agg(F.when(F.count_if(recent) > 0, average).alias("recent_avg"), *extra),
-        "carriers",
-    )
+    recent_average = F.when(F.count_if(recent) > 0, average).alias("recent_avg")
+    return one_shuffle(_placed(filings).groupBy(*AGENT).agg(recent_average, *extra))
 
 
 def _places(carriers: DataFrame) -> DataFrame:
@@ -209,14 +227,20 @@ def _is_upcoming(as_of: date, above: str, days: int) -> Column:
     return (rate() > dec(above)) & within_days(as_of, 0, days)
 
 
-def _upcoming(filings: DataFrame, *, as_of: date, above: str, days: int) -> DataFrame:
-    """Per state and company the increases above a threshold that take effect in the next days."""
-    return (
-        _placed(filings)
-        .filter(_is_upcoming(as_of, above, days))
-        .groupBy("State", F.col("Company").alias("competitor"))
-        .agg(*_upcoming_columns(as_of))
+def _agents_and_upcoming(filings: DataFrame, as_of: date, above: str, days: int) -> tuple[DataFrame, DataFrame]:
+    """Every agent with its rate, and per state and company the increases above a threshold that take effect soon.
+
+    Both come from one aggregate, so the filings are read and shuffled once.
+    """
+    recent = since_months(as_of, 6)
+    average = F.coalesce(avg_pct(where=recent), F.lit(0.0)).alias("avg_rate")
+    upcoming = _upcoming_columns(as_of, _is_upcoming(as_of, above, days))
+    rows = one_shuffle(_placed(filings).groupBy(*AGENT).agg(average, *upcoming))
+    agents = rows.select(*AGENT, "avg_rate")
+    competitors = rows.filter("filing_count > 0").select(
+        "State", F.col("Company").alias("competitor"), *UPCOMING
     )
+    return agents, competitors
 
 
 def win_probability(advantage: Column) -> Column:
@@ -274,8 +298,8 @@ def _best_v2(agents: DataFrame, competitors: DataFrame, k: int = 12) -> DataFram
 
 
 def _picked_v2(filings: DataFrame, *, as_of: date, k: int = 12) -> DataFrame:
-    competitors = _upcoming(filings, as_of=as_of, above="0.02", days=90)
-    return _best_v2(agent_rate(filings, as_of=as_of), competitors, k)
+    agents, competitors = _agents_and_upcoming(filings, as_of, "0.02", 90)
+    return _best_v2(agents, competitors, k)
 
 
 def opportunities_v2(filings: DataFrame, *, as_of: date, k: int = 12) -> DataFrame:
@@ -383,13 +407,12 @@ def rate_increases_refined(filings: DataFrame, carrier: str, *, as_of: date, k:
             F.max(EFFECTIVE).alias("effective_date"),
             F.sum("Policyholders_Affected_Number").alias("policies_affected"),
             F.datediff(F.max(EFFECTIVE), F.lit(as_of)).cast("bigint").alias("days_until"),
-            joined_set("Product_Line").alias("product_lines"),
         )
         .filter(F.col("total") > F.col("filing_count") * dec("0.03"))
         .drop("total")
     )
     order = [F.asc("days_until"), F.desc("avg_increase"), F.asc("Company")]
-    first = top_per_group(companies, ["State"], order, k, "rank")
+    first = _lines_of(top_per_group(companies, ["State"], order, k, "rank"), raising, "Company")
     latest = top_per_group(
         raising.select(*AGENT, EFFECTIVE, "Record_ID", (rate() * 100).cast("decimal(10,1)").alias("change")),
         AGENT,
@@ -464,13 +487,14 @@ def _picked_v3(filings: DataFrame, *, as_of: date, k: int = 6, days: int = 60) -
     so ``k + 1`` companies per state and day hold every agent's first ``k``: at most (days + 1) x (k + 1)
     entries for a state.
     """
-    competitors = _upcoming(filings, as_of=as_of, above="0.03", days=days).drop("filing_count")
+    agents, competitors = _agents_and_upcoming(filings, as_of, "0.03", days)
+    competitors = competitors.drop("filing_count")
     best = top_per_group(
         competitors, ["State", "days_until"], [F.desc("avg_increase"), F.asc("competitor")], k + 1, "day_place"
     )
     place = F.struct("days_until", -F.col("avg_increase"), "competitor")
     rivals = _rivals(best, place, [c for c in competitors.columns if c != "State"])
-    return _pick(agent_rate(filings, as_of=as_of), rivals, k)
+    return _pick(agents, rivals, k)
 
 
 def opportunities_v3(filings: DataFrame, *, as_of: date, k: int = 6) -> DataFrame:
@@ -527,7 +551,7 @@ def agent_timeline(filings: DataFrame, *, as_of: date, k: int = 5) -> DataFrame:
             urgent(F.col("e.days_until")).alias("urgent"),
         )
 
-    v1 = _picked_v1(filings, as_of=as_of, months_back=6, k=10)
+    v1 = _picked_v1(filings, as_of=as_of, months_back=6, k=10, lines=False)
     v2 = _picked_v2(filings, as_of=as_of)
     v3 = _picked_v3(filings, as_of=as_of)
     return (

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from ratelens.functions.dates import EFFECTIVE, month_of
 from ratelens.functions.numeric import RATE, dec, mean_of, rate, rounded
-from ratelens.functions.ranking import values_below
-from ratelens.session import materialize
+from ratelens.functions.ranking import bounded_bands, values_below
 
 
 def _chosen(
@@ -130,15 +129,14 @@ def positioning_matrix(filings: DataFrame, companies: list[str] | None) -> DataF
     The percent rank of a value is the share of the other carriers below it.
     """
     latest = filings.agg(F.max(F.trunc(EFFECTIVE, "quarter"))).scalar()
-    quarter = materialize(
+    quarter = (
         filings.filter(F.col("Company").isNotNull() & (F.col(EFFECTIVE) >= latest))
         .groupBy("Company")
         .agg(
             F.coalesce(_avg_fraction(), F.lit(0.0)).alias("avg"),
             F.sum("Total_Written_Premium_Number").cast("double").alias("premium_volume"),
             F.count(F.lit(1)).alias("filing_activity"),
-        ),
-        "quarter",
+        )
     )
     picked = F.lit(True) if companies is None else F.col("Company").isin(companies)
     totals = quarter.agg(
@@ -154,8 +152,8 @@ def positioning_matrix(filings: DataFrame, companies: list[str] | None) -> DataF
     score = F.lit(50.0) * rank("below_avg") + F.lit(50.0) * rank("below_activity")
     return (
         quarter.filter(picked)
-        .join(values_below(quarter, [], "avg", 0.001, "below_avg"), "avg")
-        .join(values_below(quarter, [], "filing_activity", 1, "below_activity"), "filing_activity")
+        .join(values_below(quarter, [], "avg", bounded_bands("avg", 0.001), "below_avg"), "avg")
+        .join(values_below(quarter, [], "filing_activity", bounded_bands("filing_activity", 1), "below_activity"), "filing_activity")
         .withColumn("totals", totals.scalar())
         .select(
             "Company",
