@@ -46,6 +46,21 @@ def within_days(as_of: date, before: int, after: int) -> Column:
     return (effective >= F.date_sub(F.lit(as_of), before)) & (effective <= F.date_add(F.lit(as_of), after))
 
 
+def in_years(first: int, last: int) -> Column:
+    """Effective in these years, as a range of dates that a file reader can use."""
+    return F.col(EFFECTIVE).between(F.lit(date(first, 1, 1)), F.lit(date(last, 12, 31)))
+
+
+def in_months(first: date | None, last: date | None) -> Column:
+    """Effective from the month of ``first`` to the month of ``last``; an open end has no limit."""
+    kept = F.lit(True)
+    if first is not None:
+        kept = kept & (F.col(EFFECTIVE) >= F.lit(first.replace(day=1)))
+    if last is not None:
+        kept = kept & (F.col(EFFECTIVE) < F.add_months(F.lit(last.replace(day=1)), 1))
+    return kept
+
+
 def month_of(value: Column | str) -> Column:
     return F.trunc(value, "month")
 

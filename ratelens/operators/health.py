@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.functions.dates import EFFECTIVE
+from ratelens.functions.dates import EFFECTIVE, in_years
 from ratelens.functions.numeric import mean_of, rate, rounded
 from ratelens.sources.schemas import BUSINESS_COLUMNS
 
@@ -20,7 +20,7 @@ def missing_state_years(filings: DataFrame, states: dict[str, str], first: int,
         .select("s.*", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("year"))
     )
     year = F.year(EFFECTIVE)
-    filed = filings.filter(year.between(first, last)).select("State", year.alias("year")).distinct()
+    filed = filings.filter(in_years(first, last)).select("State", year.alias("year")).distinct()
     return wanted.join(filed, ["State", "year"], "left_anti").select(
         "State", "state_abbr", F.col("year").cast("bigint").alias("year")
     )
@@ -38,8 +38,8 @@ def missing_states_by_year(filings: DataFrame, states: dict[str, str], first: in
 def perfect_duplicates(filings: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Groups that agree on all business columns, with their size.
 
-    Only an eight-byte hash of each row is shuffled to find the candidates; the wide rows follow for the
-    hashes that occur more than once, and the columns themselves decide.
+    An eight-byte hash of each row is counted to find the candidates. The wide rows are shuffled once at most, by that hash:
+    the join with the repeated hashes and the grouping by all columns use the same partitioning.
     """
     columns = columns or [c for c in BUSINESS_COLUMNS if c in filings.columns]
     marked = filings.select(*columns).withColumn("row_hash", F.xxhash64(*columns))
@@ -48,16 +48,17 @@ def perfect_duplicates(filings: DataFrame, columns: list[str] | None = None) ->
     )
     return (
         marked.join(repeated, "row_hash", "left_semi")
-        .groupBy(*columns)
+        .groupBy("row_hash", *columns)
         .agg(F.count(F.lit(1)).alias("copies"))
         .filter("copies > 1")
+        .drop("row_hash")
     )
 
 
 def year_overview(filings: DataFrame, year: int | None = None) -> DataFrame:
     dated = filings.filter(F.col(EFFECTIVE).isNotNull())
     if year is not None:
-        dated = dated.filter(F.year(EFFECTIVE) == year)
+        dated = dated.filter(in_years(year, year))
     per_carrier = dated.groupBy(F.year(EFFECTIVE).alias("year"), "State", "Company").agg(
         F.count(F.lit(1)).alias("n"), F.min(EFFECTIVE).alias("first"), F.max(EFFECTIVE).alias("last")
     )

@@ -1,4 +1,7 @@
-"""Monthly newsletter figures, every state and month in one pass."""
+"""Monthly newsletter figures, every state and month of a range in one pass.
+
+``first`` and ``last`` are any days of the first and the last month; without them all months count.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.functions.dates import EFFECTIVE, month_number, month_of, month_start, next_month
+from ratelens.functions.dates import EFFECTIVE, in_months, month_number, month_of, month_start, next_month
 from ratelens.functions.names import display_company
 from ratelens.functions.numeric import RATE, avg_pct, one_decimal, pct_of, rate, rounded, short_number, sum_where
 from ratelens.functions.ranking import top_per_group
@@ -20,10 +23,9 @@ class NoDataError(Exception):
     """No filings exist for the requested state and month."""
 
 
-def _dated(filings: DataFrame) -> DataFrame:
-    return filings.filter(F.col("State").isNotNull() & F.col(EFFECTIVE).isNotNull()).withColumn(
-        "month", month_of(EFFECTIVE)
-    )
+def _dated(filings: DataFrame, first: date | None, last: date | None) -> DataFrame:
+    known = F.col("State").isNotNull() & F.col(EFFECTIVE).isNotNull()
+    return filings.filter(known & in_months(first, last)).withColumn("month", month_of(EFFECTIVE))
 
 
 def month_bounds(months: DataFrame, column: str, *, as_of: date) -> DataFrame:
@@ -37,24 +39,24 @@ def month_bounds(months: DataFrame, column: str, *, as_of: date) -> DataFrame:
     )
 
 
-def state_activity(filings: DataFrame) -> DataFrame:
-    return _dated(filings).groupBy(*EDITION).agg(F.count(F.lit(1)).alias("filings"))
+def state_activity(filings: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
+    return _dated(filings, first, last).groupBy(*EDITION).agg(F.count(F.lit(1)).alias("filings"))
 
 
-def top_product_line(filings: DataFrame) -> DataFrame:
+def top_product_line(filings: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
     """Most frequent product line; among equals the first by name."""
-    counted = _dated(filings).groupBy(*EDITION, "Product_Line").agg(F.count(F.lit(1)).alias("n"))
+    counted = _dated(filings, first, last).groupBy(*EDITION, "Product_Line").agg(F.count(F.lit(1)).alias("n"))
     order = F.struct(-F.col("n"), F.col("Product_Line").isNull(), "Product_Line")
     return counted.groupBy(*EDITION).agg(
         F.min_by("Product_Line", order).alias("product_line"), F.max("n").alias("filings")
     )
 
 
-def newsletter_summary(filings: DataFrame) -> DataFrame:
+def newsletter_summary(filings: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
     """Companies that raise rates, their average increase and the policyholders affected."""
     up = rate() > 0
     return (
-        _dated(filings)
+        _dated(filings, first, last)
         .groupBy(*EDITION)
         .agg(
             F.countDistinct(F.when(up, F.col("Company"))).alias("companies"),
@@ -64,10 +66,12 @@ def newsletter_summary(filings: DataFrame) -> DataFrame:
     )
 
 
-def rate_cards(filings: DataFrame, *, limit: int = 3) -> DataFrame:
+def rate_cards(
+    filings: DataFrame, first: date | None = None, last: date | None = None, *, limit: int = 3
+) -> DataFrame:
     """Highest-impact increases of each state and month; the impact score decides, then the rate."""
     order = [F.desc_nulls_last("Impact_Score"), F.desc(RATE), F.asc("Record_ID")]
-    best = top_per_group(_dated(filings).filter(rate() > 0), EDITION, order, limit, "place")
+    best = top_per_group(_dated(filings, first, last).filter(rate() > 0), EDITION, order, limit, "place")
     return best.select(
         *EDITION,
         "place",
@@ -115,17 +119,19 @@ def state_abbreviations(states: DataFrame, column: str) -> DataFrame:
     )
 
 
-def pending_reports(filings: DataFrame, reports: DataFrame) -> DataFrame:
+def pending_reports(
+    filings: DataFrame, reports: DataFrame, first: date | None = None, last: date | None = None
+) -> DataFrame:
     """Active states and months for which no report was logged; reports may spell the month in any way.
 
     A report whose month or year cannot be read stands for no edition.
     """
-    first = F.concat_ws("-", "Year", month_number(F.col("Month")), F.lit("01"))
-    logged = reports.select("State", F.try_to_date(first, "yyyy-MM-dd").alias("month"))
-    return state_activity(filings).join(logged, EDITION, "left_anti")
+    day = F.concat_ws("-", "Year", month_number(F.col("Month")), F.lit("01"))
+    logged = reports.select("State", F.try_to_date(day, "yyyy-MM-dd").alias("month"))
+    return state_activity(filings, first, last).join(logged, EDITION, "left_anti")
 
 
-def _editions(filings: DataFrame) -> DataFrame:
+def _editions(filings: DataFrame, first: date | None, last: date | None) -> DataFrame:
     """Summary and top product line of each state and month from one read of the filings.
 
     Companies and product lines are two grouping sets of the same pass: rows per company give the number of
@@ -135,7 +141,7 @@ def _editions(filings: DataFrame) -> DataFrame:
     keys = [F.col(c) for c in (*EDITION, "Company", "Product_Line")]
     by_company, by_line = keys[:3], [*keys[:2], keys[3]]
     groups = (
-        _dated(filings)
+        _dated(filings, first, last)
         .groupingSets([by_company, by_line], *keys)
         .agg(
             F.grouping("Product_Line").alias("is_company"),
@@ -161,12 +167,12 @@ def _editions(filings: DataFrame) -> DataFrame:
     )
 
 
-def newsletter_batch(filings: DataFrame) -> DataFrame:
+def newsletter_batch(filings: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
     """Everything a newsletter shows, one row per state and month that has filings.
 
     A month without filings has no row; ``require_edition`` turns that into an error for a single edition.
     """
-    cards = card_display(rate_cards(filings))
+    cards = card_display(rate_cards(filings, first, last))
     card = F.struct("place", "Record_ID", "company", "change_pct", "policies", "effective_date")
     card_lists = cards.groupBy(*EDITION).agg(F.sort_array(F.collect_list(card)).alias("cards"))
     no_cards = F.array().cast(
@@ -181,7 +187,7 @@ def newsletter_batch(filings: DataFrame) -> DataFrame:
         ).alias("stats")
     )
     return (
-        _editions(filings)
+        _editions(filings, first, last)
         .join(card_lists, EDITION, "left")
         .withColumn("cards", F.coalesce("cards", no_cards))
         .withColumn("stats", stats.scalar())

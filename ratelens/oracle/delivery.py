@@ -1,5 +1,6 @@
 """Check SQL for subscribers, reports and mail."""
 
+from ratelens.oracle.newsletter import PAGES
 from ratelens.oracle.views import big, state_abbr, with_views
 
 # Fixed values, written out anew so that a wrong constant of the operators shows.
@@ -122,6 +123,15 @@ SELECT report_id, p.State, Month, Year, subscriber_id, Email, concat('[TEST] ',
         """WITH gone AS (SELECT e.subscriber_id, CAST(MAX(v.ts) AS DATE) AS unsubscribe_date FROM emails e JOIN email_events v ON e.message_id = v.message_id
  WHERE lower(v.record_type) = 'unsubscribe' GROUP BY 1)
 SELECT s.* REPLACE (Active AND unsubscribe_date IS NULL AS Active), unsubscribe_date FROM subscribers s LEFT JOIN gone g ON s.subscriber_id = g.subscriber_id""",
+    ),
+    "personalized_html": with_views(
+        "reports subscribers filings",
+        f"""WITH {PAGES}, {QUEUE}, clean AS (SELECT State, month, replace(replace(regexp_replace(html, '{SCRIPT_BLOCK}', '', 'g'), 'file://', 'https://'), '<head>',
+ concat('<head>', chr(10), '{EMAIL_CSS}')) AS html FROM pages_of)
+SELECT report_id, subscriber_id, Email, subject, replace(html, '</body>', concat('<hr><div class="footer"><p>This letter goes to subscribers of the monthly rate news for ',
+ q.State, '.</p><p><a href="https://example.com/unsubscribe?id=', subscriber_id, '&token=', {hmac('subscriber_id')}, '">Stop these letters</a></p></div></body>')) AS html
+FROM queue q JOIN clean c ON q.State = c.State AND q.Year = strftime(c.month, '%Y') AND {month_number('q.Month')} = strftime(c.month, '%m')
+WHERE outcome = 'queued'""",
     ),
     "email_log": with_views(
         "reports subscribers",

@@ -100,6 +100,23 @@ WHERE Effective_Date >= DATE '2000-06-17' AND Premium_Change_Number > 0""",
             unparsed('premium_raw', PREMIUM),
         ]))} AS parsing_errors FROM raw_records GROUP BY page""",
     ),
+    "sync_run": with_views(
+        "raw_records",
+        f"""WITH known AS (SELECT *, {TIME} AS modified, {CUT_OFF} AS cut_off, ({' OR '.join([
+            CUT_OFF,
+            unparsed('rate_change_raw', RATE),
+            unparsed('effective_date_raw', iso_date('effective_date_raw')),
+            unparsed('policyholders_raw', f"({POLICIES})"),
+            unparsed('premium_raw', PREMIUM),
+        ])}) AS broken FROM raw_records),
+a AS (SELECT * FROM known WHERE page % 3 <> 0),
+stored AS (SELECT {big('COUNT(*)')} AS n, CAST(SUM({RATE}) AS DOUBLE) AS rates, {big(f'SUM({POLICIES})')} AS policies FROM known WHERE NOT cut_off)
+SELECT CAST(1 AS BIGINT) AS sync_id, 'full' AS sync_mode, 'completed' AS status, {n_where('NOT cut_off')} AS records_processed, {n_where('NOT cut_off')} AS records_inserted,
+ {big('0')} AS records_updated, {big('0')} AS records_skipped, {n_where('broken')} AS parsing_errors, (SELECT n FROM stored) AS stored_rows,
+ (SELECT rates FROM stored) AS stored_rates, (SELECT policies FROM stored) AS stored_policies FROM a
+UNION ALL SELECT 2, 'manual', 'completed', {n_where('NOT cut_off')}, {n_where('NOT cut_off AND page % 3 = 0')}, 0, {n_where('NOT cut_off AND page % 3 <> 0')}, {n_where('broken')},
+ (SELECT n FROM stored), (SELECT rates FROM stored), (SELECT policies FROM stored) FROM known""",
+    ),
     "sync_mode_resolve": with_views(
         "sync_history",
         f"""WITH {LAST} SELECT 'default' AS asked, CASE WHEN COUNT(*) = 0 THEN 'full' ELSE 'incremental' END AS sync_mode, MAX(completed_at) AS since FROM last

@@ -1,6 +1,6 @@
 """Check SQL for the newsletter figures."""
 
-from ratelens.oracle.views import AS_OF, avg_pct, big, r, short_number, state_abbr, with_views
+from ratelens.oracle.views import AS_OF, avg_pct, big, one_decimal, r, short_number, state_abbr, with_views
 
 P = "Premium_Change_Number"
 MONTH = "CAST(DATE_TRUNC('month', Effective_Date) AS DATE)"
@@ -29,6 +29,27 @@ TOTALS = f"""totals AS (SELECT {big('COUNT(*)')} AS total_filings, {big('COALESC
  COUNT(DISTINCT Company) AS carriers FROM filings)"""
 
 
+def escaped(text: str) -> str:
+    return f"replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+DAY = "%B %d, %Y"
+# One page per state and month, as text.
+PAGES = f"""{LINES}, {SUMMARY}, {cards('filings')}, {SHOWN}, {TOTALS},
+rows_of AS (SELECT State, month, string_agg(Record_ID, '|' ORDER BY place) AS filings,
+ string_agg(concat(CASE WHEN place % 2 = 0 THEN '<tr class="even"><td>' ELSE '<tr><td>' END, {escaped('company')}, '</td><td style="color:#ef4444">+',
+  change_pct, '%</td><td>', policies, '</td><td>', effective_date, '</td></tr>'), '' ORDER BY place) AS cards FROM shown GROUP BY 1, 2),
+pages_of AS (SELECT s.State, s.month, {state_abbr('s.State')} AS state_abbr, COALESCE(c.filings, '') AS filings,
+ concat('<!DOCTYPE html><html><head><title>', {escaped('s.State')}, ' ', strftime(s.month, '%B %Y'), '</title></head><body><div class="edition"><b>', strftime(s.month, '%B %Y'),
+ '</b> <span>', {escaped('s.State')}, '</span> <i>', COALESCE({escaped('product_line')}, ''), '</i></div><h2>Highest Impact Changes</h2><table><tr><th>Company</th>',
+ '<th>Rate Change</th><th>Policies Affected</th><th>Effective Date</th></tr>', COALESCE(c.cards, ''), '</table><div class="summary"><h3>', {escaped('s.State')},
+ ' Market Summary</h3><p>', CAST(companies AS VARCHAR), ' Companies Taking Rate</p><p>', {one_decimal('avg_increase_pct')}, '% Average Rate Increase</p><p>',
+ {short_number('s.policies')}, ' Policyholders Affected</p><p>', strftime(s.month, '{DAY}'), ' - ', strftime(last_day(s.month), '{DAY}'),
+ '</p></div><div class="stats"><p>', {short_number('t.total_filings')}, ' Rate Filings Tracked</p><p>', {short_number('t.policyholders')},
+ ' Affected Policyholders</p><p>', {short_number('t.carriers')}, ' Carriers Tracked</p></div></body></html>') AS html
+FROM summary s JOIN lines l ON s.State = l.State AND s.month = l.month LEFT JOIN rows_of c ON s.State = c.State AND s.month = c.month, totals t)"""
+
+
 def _v(body: str, views: str = "filings") -> str:
     return with_views(views, body)
 
@@ -63,6 +84,11 @@ SELECT s.State, s.month, {state_abbr('s.State')} AS state_abbr, product_line, co
  COALESCE(c.cards, '') AS cards, {short_number('t.total_filings')} AS total_filings, {short_number('t.policyholders')} AS total_policyholders,
  {short_number('t.carriers')} AS carriers_tracked
 FROM summary s JOIN lines l ON s.State = l.State AND s.month = l.month LEFT JOIN c ON s.State = c.State AND s.month = c.month, totals t"""
+    ),
+    "newsletter_html": _v(f"WITH {PAGES} SELECT State, month, state_abbr, filings, html FROM pages_of"),
+    "report_sink": _v(
+        f"""WITH {PAGES} SELECT State, concat(state_abbr, '/', strftime(month, '%Y'), '/', strftime(month, '%B'), '/', state_abbr, '_', strftime(month, '%m'), '_',
+ strftime(month, '%Y'), '.html') AS path, {big('octet_length(encode(html))')} AS n_bytes FROM pages_of"""
     ),
     "pending_reports": _v(
         f"""WITH {ACTIVITY} SELECT a.* FROM activity a WHERE NOT EXISTS (SELECT 1 FROM reports p WHERE p.State = a.State

@@ -29,6 +29,11 @@ SQL = {
         "agents filings",
         f"""SELECT agent_id, upper(a.state) AS state, {big('COALESCE(n, 0)')} AS total_filings FROM agents a
  LEFT JOIN (SELECT State, COUNT(*) AS n FROM filings GROUP BY State) f ON upper(a.state) = upper(f.State) WHERE email IS NOT NULL""",
+    ),
+    "filings_of_agent": with_views(
+        "agents filings",
+        f"""SELECT Record_ID, Company, State, CAST({P} AS DOUBLE) AS {P}, Effective_Date FROM filings
+WHERE upper(State) IN (SELECT upper(state) FROM agents WHERE agent_id = 'agent-1' AND email IS NOT NULL)""",
     ),
     "get_filings": with_views(
         "filings",

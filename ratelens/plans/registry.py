@@ -12,8 +12,10 @@ from ratelens.functions.dates import month_number
 from ratelens.functions.states import state_abbr
 from ratelens.operators import agents, dashboard, delivery, health, ingest, market, newsletter, records
 from ratelens.plans import findings
+from ratelens.plans.sync import sync
 from ratelens.session import configure, work_dir
 from ratelens.sources import report_files, tables
+from ratelens.sources.snapshots import read_current
 from ratelens.streaming import email_status
 
 AS_OF = date(2001, 6, 17)
@@ -52,6 +54,23 @@ def _joined(df: DataFrame, *columns: str, by: str = "|") -> DataFrame:
     return df
 
 
+def _sync_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two syncs: two thirds of the pages, then all of them; what each did, and what is stored in the end."""
+    configure(spark)
+    base = work_dir(spark, "sync")
+    records = _raw_maps(spark, sf_dir)
+    sync(spark, records.filter("page % 3 <> 0"), base, now=datetime(2001, 7, 1))
+    sync(spark, records, base, now=datetime(2001, 7, 2), since=datetime(1990, 1, 1))
+    stored = read_current(spark, f"{base}/filings").agg(
+        F.count(F.lit(1)).alias("stored_rows"),
+        F.sum("Premium_Change_Number").cast("double").alias("stored_rates"),
+        F.sum("Policyholders_Affected_Number").alias("stored_policies"),
+    )
+    counts = [f"records_{c}" for c in ("processed", "inserted", "updated", "skipped")]
+    history = read_current(spark, f"{base}/sync_history")
+    return history.select("sync_id", "sync_mode", "status", *counts, "parsing_errors").crossJoin(stored)  # one row
+
+
 def _sync_modes(history: DataFrame) -> DataFrame:
     cases = {"default": None, "manual": datetime(2024, 1, 1), "full": datetime(1900, 1, 1)}
     rows = None
@@ -235,6 +254,7 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "upsert_change_counts": _on_two(tables.sync_target, tables.sync_batch, ingest.upsert_change_counts),
+    "sync_run": _sync_run,
     "sync_status": _on_two(tables.sync_history, tables.filings_ext, ingest.sync_status),
     "sync_history_recent": _on(tables.sync_history, ingest.sync_history_recent),
     "last_successful_sync": _on(tables.sync_history, ingest.last_successful_sync),
@@ -396,6 +416,13 @@ QUERIES: dict[str, Query] = {
     "filing_json": _on(tables.source_filings, _round_trip),
     "normalize_agent": _on(tables.agents, records.normalize_agent),
     "personalized_filings": _on_two(tables.agents, tables.filings, records.personalized_filings),
+    "filings_of_agent": _on_two(
+        tables.agents,
+        tables.filings,
+        lambda a, f: records.filings_of_agent(a, f, "agent-1").select(
+            "Record_ID", "Company", "State", F.col("Premium_Change_Number").cast("double").alias("Premium_Change_Number"), "Effective_Date"
+        ),
+    ),
     "get_filings": _on(
         tables.filings, lambda f: _as_doubles(records.get_filings(f, state="NATION_5"))
     ),

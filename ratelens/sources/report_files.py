@@ -11,6 +11,20 @@ from pyspark.sql import functions as F
 from ratelens.operators.delivery import report_path
 
 
+# Schemes of Hadoop paths -> the name that the writer knows them by.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
+
+
+def writer_uri(root: str) -> str:
+    """A Hadoop path as the writer of the tasks reads it; a path without a scheme is a local or mounted folder."""
+    scheme, found, rest = root.partition(":")
+    if not found or "/" in scheme:
+        return f"file://{root}"
+    if scheme == "file":
+        return "file://" + "/" + rest.lstrip("/")
+    return f"{SCHEMES.get(scheme, scheme)}:{rest}"
+
+
 def report_sink(newsletters: DataFrame, root: str) -> DataFrame:
     """Write each newsletter to '<root>/<abbr>/<year>/<Month>/<abbr>_<mm>_<year>.html'.
 
@@ -24,7 +38,7 @@ def report_sink(newsletters: DataFrame, root: str) -> DataFrame:
 
         from pyarrow import fs
 
-        target, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root.removeprefix('file:')}")
+        target, base = fs.FileSystem.from_uri(writer_uri(root))
         for pdf in batches:
             sizes = []
             for path, html in zip(pdf["path"], pdf["html"]):
