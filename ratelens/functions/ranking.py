@@ -55,7 +55,8 @@ def positions(df: DataFrame, group: list[str], value: str, name: str, width: flo
 
     The hash gives equal values an order that can be cut into 256 even buckets, which names cannot promise.
     """
-    marked = df.withColumn("__md5", F.md5(name)).withColumn("__slice", F.substring("__md5", 1, 2))
+    # never NULL, so that the join puts no condition of its own on the rows below
+    marked = df.withColumn("__md5", F.md5(name)).withColumn("__slice", F.coalesce(F.substring("__md5", 1, 2), F.lit("")))
     before = values_below(marked, group, value, even_bands(value, width), "__rows_before", ["__slice"])
     joined = marked.join(before, [*group, value, "__slice"])
     among = Window.partitionBy(*group, value, "__slice").orderBy("__md5", name)
