@@ -12,11 +12,14 @@ are of no use, differs by one token in another:
 A segment is of no use where it is empty, or where its key is so common that comparing its sets costs more than
 ``HOT`` partners each. The allocation weighs the keys of a larger reserve against the sets that need all deletions
 (``allocation``). Rows with a key of their own drop out after one shuffle. The sets that are left are first compared with
-the smallest one of each key, and linked ones joined into components; then only pairs of different components are compared.
-So a large group of near copies costs one comparison per member, not one per pair.
+the best connected one of each key, and linked ones joined into components; then only pairs of different components are compared.
+So a large group of near copies costs one comparison per member, not one per pair. Pairs of different components that meet in a key are
+first held against a lower bound of their difference: two bytes per segment tell segments that differ, and by how many tokens
+at least. That happens inside tiles of bounded size. Only pairs that may be linked leave them, and only from the first ``AGREEING``
+segments in which the two agree.
 
 Tokens and sets are known by 64-bit hashes; pairs are verified on the full sets. Besides a clash of hashes, a pair can be missed only if
-three of four given segments are empty in one set while the two agree in no other segment: below 1e-9 per set.
+the reserve of a space of over 16 segments is empty in one set while the two agree in no other segment: below 1e-9 per set.
 """
 
 from __future__ import annotations
@@ -33,10 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens.llm.components import components
-from ratelens.llm.frames import with_arrow_columns, written
+from ratelens.llm.frames import free_name, with_arrow_columns, written
 from ratelens.llm.hashing import EMPTY, mix, shingle_set
 
-HOT = 64
+HOT = 8192
+TILE = 1024
+AGREEING = 3
 HOT_IN_SLICE = 32
 SALTS = 64
 SLICE_ROWS = 200_000
@@ -85,22 +90,32 @@ def allocation(space: int, percent: int) -> Space:
             chance *= empty / (k + 1)
         return 2 * spare * low / segments + max(tail, 0.0) * low
 
-    spare = min(range(2, segments // 2), key=cost)
+    spare = min(range(1, segments // 2), key=cost)
     return Space(segments, spare, 2 * spare)
 
 
-def _bits(total: np.uint64, count: int) -> int:
-    return int(mix(np.array([total], dtype=np.uint64) + np.uint64(count) * _C)[0] & ~_ONE)
+def _even(total: np.ndarray, count: int) -> int:
+    return int(mix(total + np.full(1, count, dtype=np.uint64) * _C)[0] & ~_ONE)
 
 
 def set_hash(tokens: np.ndarray) -> int:
     """Even 64-bit name of a set, as a signed integer."""
-    name = _bits(mix(tokens + _B).sum(dtype=np.uint64), len(tokens))
+    name = _even(mix(tokens + _B).sum(dtype=np.uint64, keepdims=True), len(tokens))
     return name - 2**64 if name >= 2**63 else name
 
 
-def space_keys(tokens: np.ndarray, space: int, percent: int) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Subset keys, deletion keys, number of empty segments, and of spare ones, of a sorted set in a space."""
+class Keys(NamedTuple):
+    """Subset and deletion keys of a set in a space with their segments, and its number of empty segments."""
+
+    subset: np.ndarray
+    subset_segment: np.ndarray
+    deletion: np.ndarray
+    deletion_segment: np.ndarray
+    empty: int
+
+
+def space_keys(tokens: np.ndarray, space: int, percent: int) -> Keys:
+    """Keys of a sorted set in a space."""
     plan = allocation(space, percent)
     segment = ((tokens >> np.uint64(32)) * np.uint64(plan.segments)) >> np.uint64(32)  # rises with the token
     starts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1])))
@@ -113,7 +128,26 @@ def space_keys(tokens: np.ndarray, space: int, percent: int) -> tuple[np.ndarray
     index = np.repeat(np.arange(len(starts)), sizes)
     wide = reserved[index]
     deletions = mix(sums[index[wide]] - values[wide] + tags[index[wide]])
-    return mix(sums + tags), deletions, empty, plan.spare
+    segments = segment[starts].astype(np.int32)
+    return Keys(mix(sums + tags), segments, deletions, segments[index[wide]], empty)
+
+
+def profile(tokens: np.ndarray, space: int, percent: int) -> bytes:
+    """Two bytes per segment: its number of tokens (15 at most) and twelve bits of their hash; 0 where it is empty."""
+    plan = allocation(space, percent)
+    segment = ((tokens >> np.uint64(32)) * np.uint64(plan.segments)) >> np.uint64(32)
+    starts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1])))
+    sizes = np.minimum(np.diff(np.append(starts, len(tokens))), 15).astype(np.uint16)
+    bits = (mix(np.add.reduceat(mix(tokens + _A), starts)) & np.uint64(4095)).astype(np.uint16)
+    out = np.zeros(plan.segments, dtype="<u2")
+    out[segment[starts].astype(np.int64)] = (sizes << 12) | bits
+    return out.tobytes()
+
+
+def least_difference(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Lower bounds of the symmetric difference of a set and others from their profiles."""
+    sizes = np.abs((many >> 12).astype(np.int16) - (one >> 12).astype(np.int16))
+    return np.maximum(sizes, many != one).sum(axis=1, dtype=np.int64)
 
 
 def spaces_of(size: int, percent: int) -> list[int]:
@@ -121,25 +155,27 @@ def spaces_of(size: int, percent: int) -> list[int]:
     return [band, band - 1] if band else [band]
 
 
-def signature_rows(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """All keys of a set and the set's name with the kind of the key (0 subset, 1 deletion) in its last bit."""
+def signature_rows(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All keys of a set, the set's name with the kind of the key (0 subset, 1 deletion) in its last bit, and a tag:
+    twice the segment, and 1 for the space below the set's band."""
     name = np.uint64(set_hash(tokens) % 2**64)
-    keys, names = [], []
-    for space in spaces_of(len(tokens), percent):
-        subset, deletion, *_ = space_keys(tokens, space, percent)
-        keys += [subset, deletion]
-        names += [np.full(len(subset), name), np.full(len(deletion), name | _ONE)]
-    return np.concatenate(keys), np.concatenate(names)
+    keys, names, tags = [], [], []
+    for lower, space in enumerate(spaces_of(len(tokens), percent)):
+        found = space_keys(tokens, space, percent)
+        keys += [found.subset, found.deletion]
+        names += [np.full(len(found.subset), name), np.full(len(found.deletion), name | _ONE)]
+        tags += [2 * found.subset_segment + lower, 2 * found.deletion_segment + lower]
+    return np.concatenate(keys), np.concatenate(names), np.concatenate(tags).astype(np.int32)
 
 
 def _keys(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(key, salt, name) of all sets; a key that is common within a slice of rows is spread over salts."""
-    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("salt", T.IntegerType()), T.StructField("name", T.LongType())])
+    """(key, salt, name, tag) of all sets; a key that is common within a slice of rows is spread over salts."""
+    schema = "key long, salt int, name long, tag int"
 
-    def batch(keys: list[np.ndarray], names: list[np.ndarray]) -> pa.RecordBatch:
-        key, name = np.concatenate(keys), np.concatenate(names)
+    def batch(keys: list[np.ndarray], names: list[np.ndarray], tags: list[np.ndarray]) -> pa.RecordBatch:
+        key, name, tag = np.concatenate(keys), np.concatenate(names), np.concatenate(tags)
         order = np.argsort(key, kind="stable")
-        key, name = key[order], name[order]
+        key, name, tag = key[order], name[order], tag[order]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         counts = np.diff(np.append(first, len(key)))
         place = np.arange(len(key)) - np.repeat(first, counts)
@@ -147,61 +183,61 @@ def _keys(texts: DataFrame, size: int, percent: int) -> DataFrame:
         # the first two stay unsalted, so that a set that is alone with the key elsewhere still meets company
         salt = np.where(common & (place > 1), 1 + (name >> np.uint64(1)) % np.uint64(SALTS), 0).astype(np.int32)
         return pa.RecordBatch.from_arrays(
-            [pa.array(key.view(np.int64)), pa.array(salt), pa.array(name.view(np.int64))], names=["key", "salt", "name"]
+            [pa.array(key.view(np.int64)), pa.array(salt), pa.array(name.view(np.int64)), pa.array(tag)],
+            names=["key", "salt", "name", "tag"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        keys, names, held = [], [], 0
+        keys, names, tags, held = [], [], [], 0
         for part in batches:
             for text in part.column(0).to_pylist():
                 tokens = shingle_set(text, size)
                 if not len(tokens):
                     continue
-                name = set_hash(tokens)
-                if name in seen:
+                set_name = set_hash(tokens)
+                if set_name in seen:
                     continue
-                seen.add(name)
-                key, of = signature_rows(tokens, percent)
+                seen.add(set_name)
+                key, of, tag = signature_rows(tokens, percent)
                 keys.append(key)
                 names.append(of)
+                tags.append(tag)
                 held += len(key)
                 if held >= SLICE_ROWS:
-                    yield batch(keys, names)
-                    keys, names, held = [], [], 0
+                    yield batch(keys, names, tags)
+                    keys, names, tags, held = [], [], [], 0
         if held:
-            yield batch(keys, names)
+            yield batch(keys, names, tags)
 
     return texts.mapInArrow(run, schema)
 
 
 def _shared(keys: DataFrame) -> DataFrame:
-    """(key, name, deletion) of the keys that several sets have; salted rows are known to have company."""
-    schema = T.StructType(
-        [T.StructField("key", T.LongType()), T.StructField("name", T.LongType()), T.StructField("deletion", T.BooleanType())]
-    )
+    """(key, name, tag, deletion) of the keys that several sets have; salted rows are known to have company."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()) for b in batches if b.num_rows]
+        parts = [tuple(b.column(i).to_numpy() for i in range(4)) for b in batches if b.num_rows]
         if not parts:
             return
-        key, salt, name = (np.concatenate(c) for c in zip(*parts))
+        key, salt, name, tag = (np.concatenate(c) for c in zip(*parts))
         parts.clear()
         order = np.lexsort((name, key))
-        key, salt, name = key[order], salt[order], name[order]
+        key, salt, name, tag = key[order], salt[order], name[order], tag[order]
         fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])))
-        key, salt, name = key[fresh], salt[fresh], name[fresh]
+        key, salt, name, tag = key[fresh], salt[fresh], name[fresh], tag[fresh]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         counts = np.diff(np.append(first, len(key)))
         keep = (np.repeat(counts, counts) > 1) | (salt > 0)
-        key, name = key[keep], name[keep]
+        key, name, tag = key[keep], name[keep], tag[keep]
         for i in range(0, len(key), SLICE_ROWS):
-            k, n = key[i : i + SLICE_ROWS], name[i : i + SLICE_ROWS]
+            k, n, t = key[i : i + SLICE_ROWS], name[i : i + SLICE_ROWS], tag[i : i + SLICE_ROWS]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k), pa.array(n & ~np.int64(1)), pa.array((n & 1).astype(bool))], names=["key", "name", "deletion"]
+                [pa.array(k), pa.array(n & ~np.int64(1)), pa.array(t), pa.array((n & 1).astype(bool))],
+                names=["key", "name", "tag", "deletion"],
             )
 
-    return keys.repartition("key", "salt").mapInArrow(run, schema).distinct()
+    return keys.repartition("key", "salt").mapInArrow(run, "key long, name long, tag int, deletion boolean").distinct()
 
 
 def _sized(docs: DataFrame, size: int) -> DataFrame:
@@ -266,8 +302,8 @@ def _heavy(rows: DataFrame, hot: DataFrame, tokens: DataFrame, percent: int) ->
             for name, values in zip(part.column(0).to_pylist(), part.column(1)):
                 own = np.asarray(values.values).view(np.uint64)
                 for space in spaces_of(len(own), percent):
-                    subset, _, empty, spare = space_keys(own, space, percent)
-                    out += [(name, space, k, empty, spare) for k in subset.view(np.int64).tolist()]
+                    found, spare = space_keys(own, space, percent), allocation(space, percent).spare
+                    out += [(name, space, k, found.empty, spare) for k in found.subset.view(np.int64).tolist()]
             columns = list(zip(*out)) or [()] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
@@ -279,8 +315,103 @@ def _heavy(rows: DataFrame, hot: DataFrame, tokens: DataFrame, percent: int) ->
     return mine.join(over, ["name", "space"], "left_semi").select("key", "name").distinct()
 
 
+def _profiles(tokens: DataFrame, percent: int) -> DataFrame:
+    """(name, n, lower, profile): the profile of each set in the space of its band (lower 0) and in the one below (1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            rows = []
+            for name, values in zip(part.column(0).to_pylist(), part.column(1)):
+                mine = np.asarray(values.values).view(np.uint64)
+                for lower, space in enumerate(spaces_of(len(mine), percent)):
+                    rows.append((name, len(mine), lower, profile(mine, space, percent)))
+            columns = list(zip(*rows)) or [()] * 4
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["name", "n", "lower", "profile"])
+
+    return tokens.select("name", "tokens").mapInArrow(run, "name long, n long, lower int, profile binary")
+
+
+def tile_pairs(tile: dict[str, list], percent: int, agreeing: int) -> list[tuple[int, int]]:
+    """Pairs of sets of a tile that may be linked: of different roots, one of them of the key's band and probing for the other.
+
+    A pair that agrees in ``agreeing`` segments before the key's own comes from one of those.
+    """
+    name, root, size = (np.array(tile[c], dtype=np.int64) for c in ("name", "root", "n"))
+    deletion, probe, in_x, in_y = (np.array(tile[c], dtype=bool) for c in ("deletion", "probe", "in_x", "in_y"))
+    lower = np.array(tile["tag"], dtype=np.int64) % 2 == 1
+    segment = tile["tag"][0] // 2
+    table = np.frombuffer(b"".join(tile["profile"]), dtype="<u2").reshape(len(name), -1)
+    found = []
+    for i in np.flatnonzero(~lower).tolist():
+        wanted = ((in_x[i] & in_y) | (in_y[i] & in_x)) & (probe[i] | probe)
+        wanted &= (root != root[i]) & ~(deletion & deletion[i])
+        wanted[: i + 1] &= lower[: i + 1]
+        at = np.flatnonzero(wanted)
+        if not len(at):
+            continue
+        total = size[at] + size[i]
+        most = total - 2 * -(-percent * total // (100 + percent))
+        others = table[at]
+        before = (others[:, :segment] == table[i, :segment]) & (table[i, :segment] != 0)
+        near = (least_difference(table[i], others) <= most) & (before.sum(axis=1) < agreeing)
+        found += [(min(a, b), max(a, b)) for a, b in ((int(name[i]), j) for j in name[at[near]].tolist())]
+    return found
+
+
+def _tiled(rows: DataFrame, percent: int, agreeing: int) -> DataFrame:
+    """Distinct pairs (a < b) that may be linked, of rows (key, name, tag, root, deletion, probe, n, profile) of one key.
+
+    Rows of a key are dealt into chunks and a tile compares two of them.
+    """
+    counts = rows.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
+    dealt = rows.join(counts, "key").withColumn("chunk", F.pmod(F.xxhash64("name"), F.col("chunks")).cast("int"))
+    partners = F.transform(
+        F.sequence(F.lit(0), F.col("chunks") - 1),
+        lambda c: F.struct(F.least(c, "chunk").alias("x"), F.greatest(c, "chunk").alias("y")),
+    )
+    fields = ["name", "tag", "root", "deletion", "probe", "n", "profile", "in_x", "in_y"]
+    tiles = dealt.withColumn("t", F.explode(partners)).select(
+        "key",
+        "t.x",
+        "t.y",
+        *fields[:-2],
+        (F.col("chunk") == F.col("t.x")).alias("in_x"),
+        (F.col("chunk") == F.col("t.y")).alias("in_y"),
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, tile = None, {}
+
+        def finish() -> pa.RecordBatch:
+            pairs = sorted(set(tile_pairs(tile, percent, agreeing)))
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            places = list(zip(*[batch.column(c).to_pylist() for c in ("key", "x", "y")]))
+            columns = {c: batch.column(c).to_pylist() for c in fields}
+            start = 0
+            for i in range(1, len(places) + 1):
+                if i < len(places) and places[i] == places[start]:
+                    continue
+                if places[start] != last:
+                    if last is not None:
+                        yield finish()
+                    last, tile = places[start], {c: [] for c in fields}
+                for c in fields:
+                    tile[c] += columns[c][start:i]
+                start = i
+        if last is not None:
+            yield finish()
+
+    placed = tiles.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return placed.select("key", "x", "y", *fields).mapInArrow(run, "a long, b long").distinct()
+
+
 def _crossing(shared: DataFrame, roots: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of sets of different components that meet in a key."""
+    """Pairs (a < b) of sets of different components that meet in a key and may be linked."""
     own = shared.join(roots.toDF("name", "root"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     per_root = own.groupBy("key", "root").agg(F.count("*").alias("n"))
     per_key = per_root.groupBy("key").agg(
@@ -289,32 +420,36 @@ def _crossing(shared: DataFrame, roots: DataFrame, tokens: DataFrame, percent: i
     open_keys = written(
         per_key.filter("roots > 1").select("key", ((F.col("n") * F.col("n") - F.col("inside")) > 2 * HOT * F.col("n")).alias("hot")), "open"
     )
-    rows = written(own.join(open_keys, "key"), "open-rows")
-    usual = rows.filter("NOT hot").select("key", "name", "root", "deletion")
-    probes = usual
+    rows = written(own.join(open_keys, "key"), "open-rows").withColumn("probe", ~F.col("hot"))
     hot = open_keys.filter("hot").select("key")
+    agreeing = AGREEING
     if hot.limit(1).count():
-        used = _heavy(rows.filter("hot"), hot, tokens, percent)
-        probes = usual.unionByName(rows.filter("hot").join(used, ["key", "name"], "left_semi").select("key", "name", "root", "deletion"))
-    index = rows.select("key", F.col("name").alias("other"), F.col("root").alias("other_root"), F.col("deletion").alias("other_deletion"))
-    met = probes.join(index, "key").filter("root <> other_root AND NOT (deletion AND other_deletion)")
-    return met.select(F.least("name", "other").alias("a"), F.greatest("name", "other").alias("b")).distinct()
+        agreeing = 2**31 - 1  # the segments in which a pair agrees first may be of hot keys that it doesn't use
+        used = _heavy(rows.filter("hot"), hot, tokens, percent).withColumn("used", F.lit(True))
+        rows = rows.join(used, ["key", "name"], "left").withColumn("probe", F.col("probe") | F.coalesce("used", F.lit(False)))
+        probed = rows.groupBy("key").agg(F.bool_or("probe").alias("any")).filter("any").select("key")
+        rows = rows.join(probed, "key", "left_semi")
+    rows = rows.select("key", "name", "tag", "root", "deletion", "probe", (F.col("tag") % 2).alias("lower"))
+    return _tiled(rows.join(_profiles(tokens, percent), ["name", "lower"]), percent, agreeing)
 
 
-def jaccard_components(docs: DataFrame, *, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles (size of its set), component_id, set_id.
+def _leaders(shared: DataFrame) -> DataFrame:
+    """(key, leader): of the sets with a key the one that meets the most others over all its keys.
 
-    A set holds the distinct runs of ``size`` words of the whole text, A-Z in lower case; with fewer words, all of them as one run.
-    Documents link when 100 * common >= percent * all shingles of both; ``component_id`` is the smallest id reachable by links.
-    Without words or text the set is empty and the document is linked with nothing (set_id null). Documents with equal
-    sets share a set_id, repeated rows stay repeated, a null id never names a component unless no other id is in it, other
-    columns are not read and an empty table gives an empty one.
+    In a group of near copies that is the text they were made from, so most members link with it directly.
     """
-    docs = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    subsets = shared.filter("NOT deletion").select("key", "name")
+    met = shared.groupBy("key").agg(F.count("*").alias("n"))
+    degree = subsets.join(met, "key").groupBy("name").agg(F.sum("n").alias("degree"))
+    return subsets.join(degree, "name").groupBy("key").agg(F.max(F.struct("degree", "name")).getField("name").alias("leader"))
+
+
+def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(id, n_shingles, name, group) of every document (id, text); linked sets have the same group, none a null."""
     sized = written(_sized(docs, size), "sets")
     shared = written(_shared(_keys(docs.select("text"), size, percent)), "shared")
     tokens = _token_table(docs, sized, shared.select("name").distinct(), size)
-    leaders = shared.filter("NOT deletion").groupBy("key").agg(F.min("name").alias("leader"))
+    leaders = _leaders(shared)
     stars = shared.join(leaders, "key").filter("name <> leader").select(F.col("leader").alias("a"), F.col("name").alias("b")).distinct()
     links = written(_verified(stars, tokens, percent), "stars")
     roots = components(links)
@@ -328,8 +463,22 @@ def jaccard_components(docs: DataFrame, *, size: int = 5, percent: int = 80, doc
     one = roots.join(final.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     alone = final.join(roots.select("node"), "node", "left_anti")
     reach = one.unionByName(alone.select("node", "root"))
-    group = F.coalesce("root", "name")
-    named = sized.join(reach.withColumnRenamed("node", "name"), "name", "left").withColumn("group", group)
+    return sized.join(reach.withColumnRenamed("node", "name"), "name", "left").select(
+        "id", "n_shingles", "name", F.coalesce("root", "name").alias("group")
+    )
+
+
+def jaccard_components(docs: DataFrame, *, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles (size of its set), component_id, set_id.
+
+    A set holds the distinct runs of ``size`` words of the whole text, A-Z in lower case; with fewer words, all of them as one run.
+    Documents link when 100 * common >= percent * all shingles of both; ``component_id`` is the smallest id reachable by links.
+    Without words or text the set is empty and the document is linked with nothing (set_id null). Documents with equal
+    sets share a set_id, repeated rows stay repeated, a null id never names a component unless no other id is in it, other
+    columns are not read and an empty table gives an empty one.
+    """
+    docs = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    named = _grouped(docs, size, percent)
     least = named.filter("group IS NOT NULL").groupBy("group").agg(F.min("id").alias("least"))
     result = named.join(least, "group", "left")
     return result.select(
@@ -338,3 +487,37 @@ def jaccard_components(docs: DataFrame, *, size: int = 5, percent: int = 80, doc
         F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"),
         F.col("name").alias("set_id"),
     )
+
+
+def one_of_each(docs: DataFrame, *, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without the near copies: of each group of linked documents the one with the smallest id stays.
+
+    Links are those of ``jaccard_components``. Of repeated rows one stays, a null id comes last, and texts without
+    words, which link with nothing, all stay. All columns are kept.
+    """
+    narrow = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    named = written(_grouped(narrow, size, percent).filter("group IS NOT NULL"), "groups")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "name")).alias("first")
+    kept = named.groupBy("group").agg(first, F.count("*").alias("n")).select("first.id", "first.name")
+    kept = written(kept, "kept")
+    repeated = named.join(kept, named["id"].eqNullSafe(kept["id"]) & (named["name"] == kept["name"]), "left_semi")
+    repeated = repeated.groupBy("id", "name").count().filter("count > 1")
+    id_column, name = free_name(docs, "kept_id"), free_name(docs, "kept_name")
+    few = kept.toDF(id_column, name)
+    if kept.count() <= BROADCAST_IDS:
+        few = F.broadcast(few)
+
+    def compute():
+        def slice_(texts: pa.Array) -> list[pa.Array]:
+            sets = [shingle_set(t, size) for t in texts.to_pylist()]
+            return [pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())]
+
+        return slice_
+
+    own = free_name(docs, "own_name")
+    coded = with_arrow_columns(docs, [text], T.StructType([T.StructField(own, T.LongType())]), compute)
+    stays = coded.join(few, F.col(f"`{doc_id}`").eqNullSafe(F.col(id_column)) & (F.col(own) == F.col(name)), "left_semi")
+    if repeated.limit(1).count():
+        stays = stays.dropDuplicates([doc_id, own])
+    blank = coded.filter(F.col(own).isNull())
+    return stays.unionByName(blank).select(*[f"`{c}`" for c in docs.columns])

@@ -56,10 +56,11 @@ def corpus(seed):
     return list(enumerate(texts, 10))
 
 
-@pytest.mark.parametrize("size, percent, hot", [(4, 85, 64), (5, 80, 64), (2, 60, 64), (3, 80, 0)])
+@pytest.mark.parametrize("size, percent, hot", [(4, 85, 8192), (5, 80, 8192), (2, 60, 8192), (3, 80, 0)])
 def test_equals_brute_force(spark, monkeypatch, size, percent, hot):
     monkeypatch.setattr(setjoin, "HOT", hot)
     monkeypatch.setattr(setjoin, "HOT_IN_SLICE", 4)
+    monkeypatch.setattr(setjoin, "TILE", 5)
     rows = corpus(size * 100 + percent)
     df = spark.createDataFrame([(i, t, "n") for i, t in rows], "doc_id long, text string, name string").repartition(5)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(df, size=size, percent=percent).collect()}
@@ -94,3 +95,14 @@ def test_components_of_chains_stars_and_nothing(spark):
     want = {i: 100 for i in range(100, 141)} | {i: 7 for i in [*range(7, 60), 61]}
     assert got == want
     assert components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+def test_lower_bound_never_exceeds_the_difference():
+    rnd = np.random.default_rng(3)
+    for n in (3, 40, 300):
+        a = np.sort(rnd.integers(0, 2**64, n, dtype=np.uint64))
+        keep = rnd.random(n) < 0.9
+        b = np.unique(np.concatenate((a[keep], rnd.integers(0, 2**64, n - keep.sum(), dtype=np.uint64))))
+        space = spaces_of(n, 80)[0]
+        x, y = (np.frombuffer(setjoin.profile(s, space, 80), dtype="<u2") for s in (a, b))
+        assert setjoin.least_difference(x, y[None, :])[0] <= len(np.setxor1d(a, b))
