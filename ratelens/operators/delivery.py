@@ -225,15 +225,30 @@ def clean_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", clean_html(F.col("html")).alias("html"))
 
 
+def link_body(state: Column, address: Column) -> Column:
+    """Body of a mail whose report has an address but no page; NULL without an address."""
+    return F.concat(
+        F.lit("<p>The rate report for "), state, F.lit(' is ready.</p><p><a href="'), address, F.lit('">Read the report</a></p>')
+    )
+
+
 def personalized_html(
-    queue: DataFrame, newsletters: DataFrame, secret: str, link: str = "https://example.com/unsubscribe"
+    queue: DataFrame,
+    newsletters: DataFrame,
+    secret: str,
+    link: str = "https://example.com/unsubscribe",
+    addresses: DataFrame | None = None,
 ) -> DataFrame:
-    """One HTML body per queued mail: the state's newsletter with the subscriber's unsubscribe footer."""
+    """One HTML body per queued mail: the state's newsletter with the subscriber's unsubscribe footer.
+
+    ``addresses`` (report_id, Report_URL) gives mails whose edition has no page a body with the link alone. Mails with
+    neither page nor address have no body and no row.
+    """
     editions = newsletters.select(
         "State",
         F.date_format("month", "MM").alias("month_number"),
         F.date_format("month", "yyyy").alias("Year"),
-        clean_html(F.col("html")).alias("html"),
+        clean_html(F.col("html")).alias("page"),
     )
     footer = F.concat(
         F.lit('<hr><div class="footer"><p>This letter goes to subscribers of the monthly rate news for '),
@@ -246,11 +261,18 @@ def personalized_html(
     )
     closed = F.replace(F.col("html"), F.lit("</body>"), F.concat(footer, F.lit("</body>")))
     body = F.when(F.col("html").contains("</body>"), closed).otherwise(F.concat(F.col("html"), footer))
-    return (
+    mails = (
         queue.filter(F.col("outcome") == "queued")
         .withColumn("month_number", month_number(F.col("Month")))
-        .join(editions, ["State", "month_number", "Year"])
-        .select("report_id", "subscriber_id", "Email", "subject", body.alias("html"))
+        .join(editions, ["State", "month_number", "Year"], "left")
+        .withColumn("html", F.col("page"))
+    )
+    if addresses is not None:
+        mails = mails.join(addresses.select("report_id", "Report_URL"), "report_id", "left").withColumn(
+            "html", F.coalesce("page", link_body(F.col("State"), F.col("Report_URL")))
+        )
+    return mails.filter(F.col("html").isNotNull()).select(
+        "report_id", "subscriber_id", "Email", "subject", body.alias("html")
     )
 
 

@@ -72,7 +72,12 @@ fold AS (SELECT e.message_id, e.subscriber_id, CASE l.kind WHEN 'delivery' THEN
  LEFT JOIN notes n ON e.message_id = n.message_id LEFT JOIN bounces b ON e.message_id = b.message_id
  LEFT JOIN deliveries d ON e.message_id = d.message_id)"""
 
-_PATH = f"""concat({state_abbr('State')}, '/', Year, '/', {month_name(month_number('Month'))}, '/', {state_abbr('State')}, '_', {month_number('Month')}, '_', Year, '.html')"""
+
+def path_of(table: str = "") -> str:
+    abbr, month, year = state_abbr(f"{table}State"), month_number(f"{table}Month"), f"{table}Year"
+    return f"concat({abbr}, '/', {year}, '/', {month_name(month)}, '/', {abbr}, '_', {month}, '_', {year}, '.html')"
+
+
 
 SQL = {
     "subscribers_by_state": with_views(
@@ -127,11 +132,14 @@ SELECT s.* REPLACE (Active AND unsubscribe_date IS NULL AS Active), unsubscribe_
     "personalized_html": with_views(
         "reports subscribers filings",
         f"""WITH {PAGES}, {QUEUE}, clean AS (SELECT State, month, replace(replace(regexp_replace(html, '{SCRIPT_BLOCK}', '', 'g'), 'file://', 'https://'), '<head>',
- concat('<head>', chr(10), '{EMAIL_CSS}')) AS html FROM pages_of)
-SELECT report_id, subscriber_id, Email, subject, replace(html, '</body>', concat('<hr><div class="footer"><p>This letter goes to subscribers of the monthly rate news for ',
- q.State, '.</p><p><a href="https://example.com/unsubscribe?id=', subscriber_id, '&token=', {hmac('subscriber_id')}, '">Stop these letters</a></p></div></body>')) AS html
-FROM queue q JOIN clean c ON q.State = c.State AND q.Year = strftime(c.month, '%Y') AND {month_number('q.Month')} = strftime(c.month, '%m')
-WHERE outcome = 'queued'""",
+ concat('<head>', chr(10), '{EMAIL_CSS}')) AS html FROM pages_of),
+mails AS (SELECT q.*, c.html, concat('<hr><div class="footer"><p>This letter goes to subscribers of the monthly rate news for ', q.State,
+ '.</p><p><a href="https://example.com/unsubscribe?id=', subscriber_id, '&token=', {hmac('subscriber_id')}, '">Stop these letters</a></p></div>') AS footer,
+ concat('https://reports.example.com/', {path_of('q.')}) AS address
+ FROM queue q LEFT JOIN (SELECT * FROM clean WHERE EXTRACT(MONTH FROM month) <> 10) c
+ ON q.State = c.State AND q.Year = strftime(c.month, '%Y') AND {month_number('q.Month')} = strftime(c.month, '%m') WHERE outcome = 'queued')
+SELECT report_id, subscriber_id, Email, subject, CASE WHEN html IS NOT NULL THEN replace(html, '</body>', concat(footer, '</body>'))
+ ELSE concat('<p>The rate report for ', State, ' is ready.</p><p><a href="', address, '">Read the report</a></p>', footer) END AS html FROM mails""",
     ),
     "email_log": with_views(
         "reports subscribers",
@@ -143,7 +151,7 @@ WHERE outcome = 'queued'""",
  FROM month_texts GROUP BY month_text)
 SELECT month_text, n, month_number, {month_name('month_number')} AS month_name, loose_number, {month_name('loose_number')} AS loose_name FROM t""",
     ),
-    "report_path": with_views("reports", f"SELECT report_id, {_PATH} AS path FROM reports"),
+    "report_path": with_views("reports", f"SELECT report_id, {path_of()} AS path FROM reports"),
     "mark_opened": with_views(
         "email_events emails",
         f"""WITH {FOLD}, m AS (SELECT DISTINCT message_id FROM email_events WHERE record_type = 'Open' AND event_id % 2 = 0 AND message_id IS NOT NULL)

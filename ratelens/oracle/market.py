@@ -106,8 +106,15 @@ SELECT month, filing_count, CAST(len AS BIGINT) AS bar_length, concat(strftime(m
  filing_count, ' filings (', {one_decimal('avg_change_pct')}, '% avg)') AS line FROM b"""
     ),
     "insights": _v(
-        f"""WITH {FINDINGS_CTES}, f AS ({FINDINGS}), s AS ({INSIGHTS})
-SELECT finding AS insight, value AS description, CAST(0.75 AS DOUBLE) AS impact_score, CAST(1 AS DOUBLE) AS confidence, 'market_trend' AS category FROM f
-UNION ALL SELECT finding, value, CAST(0.5 AS DOUBLE), CAST(1 AS DOUBLE), 'strategy' FROM s"""
+        f"""WITH {FINDINGS_CTES}, f AS ({FINDINGS}), s AS ({INSIGHTS}), i AS (SELECT
+ least(1, (SELECT avg_increase_pct FROM o) / 10) AS i1, (SELECT CAST(increases AS DOUBLE) / total_filings FROM o) AS i2,
+ (SELECT CAST(MAX(filing_count) AS DOUBLE) FROM st) / (SELECT total_filings FROM o) AS i3,
+ least(1, (SELECT COUNT(*) FROM st WHERE avg_change_pct > 10) / 3.0) AS i4, least(1, (SELECT MAX(avg_increase_pct) FROM co) / 10) AS i5,
+ least(1, (SELECT COUNT(*) FROM st WHERE filing_count > 50) / 5.0) AS j1, least(5, (SELECT COUNT(*) FROM co WHERE avg_increase_pct > 10)) / 5.0 AS j2,
+ (SELECT COUNT(*) FROM hz) / 20.0 AS j3,
+ (SELECT CAST(COUNT(Premium_Change_Number) AS DOUBLE) / COUNT(*) FROM filings WHERE {LAST_12}) AS known)
+SELECT finding AS insight, value AS description, {r('CASE finding_no WHEN 1 THEN i1 WHEN 2 THEN i2 WHEN 3 THEN i3 WHEN 4 THEN i4 ELSE i5 END', 4)} AS impact_score,
+ {r('known', 4)} AS confidence, 'market_trend' AS category FROM f, i
+UNION ALL SELECT finding, value, {r('CASE finding_no WHEN 1 THEN j1 WHEN 2 THEN j2 ELSE j3 END', 4)}, {r('known', 4)}, 'strategy' FROM s, i"""
     ),
 }

@@ -32,6 +32,7 @@ def headline_figures(filings: DataFrame, *, as_of: date) -> DataFrame:
     groups = carriers.groupingSets([[keys[0]], [keys[1]], []], *keys).agg(
         F.grouping_id().alias("level"),
         F.sum("n").alias("n"),
+        F.sum("rates").alias("rates"),
         F.count(F.lit(1)).alias("members"),
         rounded(pct_of(F.sum("total"), F.sum("rates")), 2).alias("avg"),
         F.sum("ups").alias("ups"),
@@ -45,7 +46,7 @@ def headline_figures(filings: DataFrame, *, as_of: date) -> DataFrame:
     company = F.struct("Company", "avg_up", "members")
     steepest = F.struct(-F.col("avg_up"), F.col("Company").isNull(), "Company")
     return groups.agg(
-        F.max(F.when(of_all, F.struct("n", "ups", "downs", "avg_up"))).alias("market"),
+        F.max(F.when(of_all, F.struct("n", "rates", "ups", "downs", "avg_up"))).alias("market"),
         F.count_if(of_company & F.col("Company").isNotNull()).alias("companies"),
         F.min_by(state, F.when(of_state, busiest)).alias("top_state"),
         F.sort_array(F.collect_list(F.when(of_state & (F.col("avg") > 10), busiest))).alias("steep_states"),
@@ -63,7 +64,10 @@ def _finding(number: int, name: str, text: Column, when: Column) -> Column:
 
 
 def _finding_entries() -> list[Column]:
-    """Headline sentences: market, share of increases, busiest state, steep states, steepest company."""
+    """Headline sentences: market, share of increases, busiest state, steep states, steepest company.
+
+    Fixed values: the words of the sentences, here and in the advice.
+    """
     m, s, c = F.col("market"), F.col("top_state"), F.col("top_company")
     any_filings = F.coalesce(m["n"], F.lit(0)) > 0
     share = mean_of(m["ups"], m["n"]) * 100
@@ -172,23 +176,42 @@ def strategic_insights(filings: DataFrame, *, as_of: date) -> DataFrame:
     return _rows(_with_zones(filings, as_of), _advice_entries())
 
 
+def _impacts() -> list[Column]:
+    """Weight of each finding, then of each advice, between 0 and 1."""
+    m, s, c = F.col("market"), F.col("top_state"), F.col("top_company")
+    points = lambda value: F.least(F.lit(1.0), value / 10)
+    share = lambda part, whole: F.least(F.lit(1.0), mean_of(part, whole))
+    return [
+        points(m["avg_up"]),
+        share(m["ups"], m["n"]),
+        share(s["n"], m["n"]),
+        share(F.size("steep_states"), F.lit(3)),
+        points(c["avg_up"]),
+        share(F.size("busy_states"), F.lit(5)),
+        share(F.col("steep_companies"), F.lit(5)),
+        share(F.col("zones"), F.lit(20)),
+    ]
+
+
 def insights(filings: DataFrame, *, as_of: date) -> DataFrame:
     """Findings and advice as scored insights.
 
-    The shape is published, the scores are this library's own: findings score 0.75 and are market trends, advice
-    scores 0.5 and is strategy; both are computed over whole tables, so confidence is 1.
+    The shape is published, the scores are this library's own. Impact: ten points of average increase, or all of the
+    filings, of the three states shown, of the five states or companies shown or of the twenty zones shown, weigh 1, less
+    weighs in proportion. Confidence: the share of the filings of the last twelve months whose rate is known.
     """
+    confidence = rounded(mean_of(F.col("market.rates"), F.col("market.n")), 4)
 
-    def scored(entry: Column, score: float, category: str) -> Column:
+    def scored(entry: Column, score: Column, category: str) -> Column:
         insight = F.struct(
             entry["finding"].alias("insight"),
             entry["value"].alias("description"),
-            F.lit(score).alias("impact_score"),
-            F.lit(1.0).alias("confidence"),
+            rounded(F.coalesce(score, F.lit(0.0)), 4).alias("impact_score"),
+            confidence.alias("confidence"),
             F.lit(category).alias("category"),
         )
         return F.when(entry.isNotNull(), insight)
 
-    entries = [scored(e, 0.75, "market_trend") for e in _finding_entries()]
-    entries += [scored(e, 0.5, "strategy") for e in _advice_entries()]
+    named = [(e, "market_trend") for e in _finding_entries()] + [(e, "strategy") for e in _advice_entries()]
+    entries = [scored(e, impact, kind) for (e, kind), impact in zip(named, _impacts())]
     return _rows(_with_zones(filings, as_of), entries)

@@ -124,9 +124,13 @@ def _report_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _personalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mails of all queued reports; the editions of October have no page, only an address."""
     configure(spark)
-    bodies = delivery.personalized_html(_queue(spark, sf_dir), _newsletters(spark, sf_dir), SECRET)
-    return bodies
+    reports = tables.reports(spark, sf_dir)
+    address = F.concat(F.lit("https://reports.example.com/"), F.col("path"))
+    addresses = delivery.report_paths(reports).select("report_id", address.alias("Report_URL"))
+    pages = _newsletters(spark, sf_dir).filter(F.month("month") != 10)
+    return delivery.personalized_html(_queue(spark, sf_dir), pages, SECRET, addresses=addresses)
 
 
 def _fold(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -201,3 +201,15 @@ def test_footer(spark):
         pages = spark.createDataFrame([("Ohio", datetime(2024, 6, 1).date(), html)], "State string, month date, html string")
         body = delivery.personalized_html(queue, pages, "k").first().html
         assert body.endswith(tail) and "monthly rate news for Ohio" in body and "?id=s&token=" in body
+
+
+def test_link_only_body(spark):
+    queue = spark.createDataFrame(
+        [("r1", "s", "a@b.co", "sub", "Ohio", "June", "2024", "queued"), ("r2", "s", "a@b.co", "sub", "Iowa", "June", "2024", "queued")],
+        "report_id string, subscriber_id string, Email string, subject string, State string, Month string, Year string, outcome string",
+    )
+    pages = spark.createDataFrame([], "State string, month date, html string")
+    addresses = spark.createDataFrame([("r1", "https://x/r1")], "report_id string, Report_URL string")
+    assert delivery.personalized_html(queue, pages, "k").count() == 0
+    (row,) = delivery.personalized_html(queue, pages, "k", addresses=addresses).collect()
+    assert row.report_id == "r1" and 'href="https://x/r1"' in row.html and "?id=s&token=" in row.html
