@@ -243,6 +243,9 @@ def _agents_and_upcoming(filings: DataFrame, as_of: date, above: str, days: int)
     return agents, competitors
 
 
+# The steps of the chance to win, the names of the customer groups and of the time windows.
+
+
 def win_probability(advantage: Column) -> Column:
     """Percent chance to win a customer back, by points of rate advantage."""
     return (
