@@ -79,7 +79,9 @@ def _with_fields(records: DataFrame) -> DataFrame:
     if dict(records.dtypes)["fields"] == "string":
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
         parsed = F.from_json("fields", schema, {"columnNameOfCorruptRecord": CORRUPT})
-        read = records.withColumn("fields", parsed)
+        # as the output of a generator, so that a filter on the fields doesn't parse the text a second time
+        others = [F.col(c) for c in records.columns if c != "fields"]
+        read = records.select(*others, F.explode(F.array(parsed)).alias("fields"))
         unreadable = F.col("fields").isNull() | F.col(f"fields.{CORRUPT}").isNotNull()
         return read.withColumn("unreadable", unreadable)
     named = F.struct(*[F.try_element_at(F.col("fields"), F.lit(n)).alias(n) for n in names])
