@@ -14,24 +14,30 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = _rng.integers(1, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_powers = np.ones(1, dtype=np.uint64)
+_BYTE[_IS_SPACE] = 0
+_LONGEST_TABLE = 1 << 20
+_tables = {"step": np.ones(1, dtype=np.uint64), "back": np.ones(1, dtype=np.uint64)}
+_FACTORS = {"step": _STEP, "back": np.uint64(pow(int(_STEP), -1, 2**64))}
 EMPTY = np.empty(0, dtype=np.uint64)
 
 
-def _power_table(size: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < size:
-        steps = np.full(max(size, 4096), _STEP, dtype=np.uint64)
+def _powers(name: str, size: int) -> np.ndarray:
+    """Powers of the step, or of its inverse, modulo 2**64."""
+    if len(_tables[name]) < size:
+        steps = np.full(max(size, 1 << 16), _FACTORS[name], dtype=np.uint64)
         steps[0] = 1
-        _powers = np.multiply.accumulate(steps)
-    return _powers
+        _tables[name] = np.multiply.accumulate(steps)
+    return _tables[name]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -47,12 +53,13 @@ def word_hashes(data: bytes) -> np.ndarray:
     if not len(starts):
         return EMPTY
     raw = np.frombuffer(data, dtype=np.uint8)[starts[0] :]
-    space = _IS_SPACE[raw]
     first = starts - starts[0]
+    value = _BYTE[raw]  # 0 for a space
+    if len(raw) <= _LONGEST_TABLE:
+        value *= _powers("step", len(raw))[: len(raw)]
+        return mix(np.add.reduceat(value, first) * _powers("back", len(raw))[first])
     lengths = np.diff(np.append(first, len(raw)))
-    place = np.arange(len(raw)) - np.repeat(first, lengths)
-    value = _BYTE[raw] * _power_table(int(lengths.max()))[place]
-    value[space] = 0
+    value *= _powers("step", int(lengths.max()))[np.arange(len(raw)) - np.repeat(first, lengths)]
     return mix(np.add.reduceat(value, first))
 
 
@@ -68,8 +75,10 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text with A-Z in lower case; empty for null or blank text."""
+def shingle_set(text: bytes | None, size: int) -> np.ndarray:
+    """Sorted distinct shingle hashes of a UTF-8 text with A-Z in lower case; empty for null or blank text."""
     if not text:
         return EMPTY
-    return np.unique(shingle_hashes(word_hashes(text.encode().lower()), size))
+    hashes = shingle_hashes(word_hashes(text.lower()), size)
+    hashes.sort()
+    return hashes[np.concatenate(([True], hashes[1:] != hashes[:-1]))] if len(hashes) else EMPTY

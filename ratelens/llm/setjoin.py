@@ -14,12 +14,13 @@ A segment is of no use where it is empty, or where its key is so common that com
 (``allocation``). Rows with a key of their own drop out after one shuffle. The sets that are left are first compared with
 the best connected one of each key, and linked ones joined into components; then only pairs of different components are compared.
 So a large group of near copies costs one comparison per member, not one per pair. Pairs of different components that meet in a key are
-first held against a lower bound of their difference: two bytes per segment tell segments that differ, and by how many tokens
-at least. That happens inside tiles of bounded size. Only pairs that may be linked leave them, and only from the first ``AGREEING``
-segments in which the two agree.
+first held against a lower bound of their difference: a sketch of 64 groups of tokens tells groups that differ, and by how many tokens
+at least. That happens inside tiles of bounded size. Only pairs that may be linked leave them, and hardly ever from a segment
+before which the two agree in ``AGREEING`` of ``BEFORE`` others.
 
-Tokens and sets are known by 64-bit hashes; pairs are verified on the full sets. Besides a clash of hashes, a pair can be missed only if
-the reserve of a space of over 16 segments is empty in one set while the two agree in no other segment: below 1e-9 per set.
+Tokens and sets are known by 64-bit hashes; pairs are verified on the full sets. In spaces of up to 16 segments all are in reserve. In
+larger ones a pair can be missed only if segments of the reserve are empty, and fewer are left than segments that are empty in both sets, while
+the two agree in no other segment, although they differ in fewer tokens than there are segments: below 1e-9 per pair.
 """
 
 from __future__ import annotations
@@ -31,24 +32,30 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens.llm.components import components
-from ratelens.llm.frames import free_name, with_arrow_columns, written
+from ratelens.llm.frames import free_name, release, utf8, with_arrow_columns, written
 from ratelens.llm.hashing import EMPTY, mix, shingle_set
 
 HOT = 8192
 TILE = 1024
 AGREEING = 3
+BEFORE = 32
+GROUPS = 64
+FINE_GROUPS = 256
 HOT_IN_SLICE = 32
 SALTS = 64
-SLICE_ROWS = 200_000
+SLICE_ROWS = 500_000
+SLICE_NAMES = 50_000
+KEY_BYTES = 5
 BROADCAST_IDS = 500_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ONE = np.uint64(1)
+_SPACE_TAGS = np.arange(1, 4097, dtype=np.uint64) * _C
 
 
 class Space(NamedTuple):
@@ -88,10 +95,10 @@ def allocation(space: int, percent: int) -> Space:
         for k in range(spare + 1):
             tail -= chance
             chance *= empty / (k + 1)
-        return 2 * spare * low / segments + max(tail, 0.0) * low
+        return (spare + 1) * low / segments + max(tail, 0.0) * low
 
     spare = min(range(1, segments // 2), key=cost)
-    return Space(segments, spare, 2 * spare)
+    return Space(segments, spare, spare + 1)
 
 
 def _even(total: np.ndarray, count: int) -> int:
@@ -114,130 +121,201 @@ class Keys(NamedTuple):
     empty: int
 
 
-def space_keys(tokens: np.ndarray, space: int, percent: int) -> Keys:
-    """Keys of a sorted set in a space."""
-    plan = allocation(space, percent)
-    segment = ((tokens >> np.uint64(32)) * np.uint64(plan.segments)) >> np.uint64(32)  # rises with the token
+def segments_of(tokens: np.ndarray, plan: Space) -> tuple[np.ndarray, np.ndarray]:
+    """First token of each segment that a sorted set has tokens in, and the segment's number; it rises with the token."""
+    segment = ((tokens >> np.uint64(32)) * np.uint64(plan.segments)) >> np.uint64(32)
     starts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1])))
-    sizes = np.diff(np.append(starts, len(tokens)))
-    values = mix(tokens + _A)
-    sums = np.add.reduceat(values, starts)
-    tags = segment[starts] * _B + np.full(1, space + 1, dtype=np.uint64) * _C
-    empty = plan.segments - len(starts)
-    reserved = (sizes > 1) & ((empty > plan.spare) | (segment[starts] < np.uint64(plan.reserve)))
-    index = np.repeat(np.arange(len(starts)), sizes)
-    wide = reserved[index]
-    deletions = mix(sums[index[wide]] - values[wide] + tags[index[wide]])
-    segments = segment[starts].astype(np.int32)
-    return Keys(mix(sums + tags), segments, deletions, segments[index[wide]], empty)
+    return starts, segment[starts]
 
 
-def profile(tokens: np.ndarray, space: int, percent: int) -> bytes:
-    """Two bytes per segment: its number of tokens (15 at most) and twelve bits of their hash; 0 where it is empty."""
+def space_keys(tokens: np.ndarray, values: np.ndarray, space: int, percent: int) -> Keys:
+    """Keys of a sorted set in a space; ``values`` are the mixed tokens."""
     plan = allocation(space, percent)
-    segment = ((tokens >> np.uint64(32)) * np.uint64(plan.segments)) >> np.uint64(32)
-    starts = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1])))
-    sizes = np.minimum(np.diff(np.append(starts, len(tokens))), 15).astype(np.uint16)
-    bits = (mix(np.add.reduceat(mix(tokens + _A), starts)) & np.uint64(4095)).astype(np.uint16)
-    out = np.zeros(plan.segments, dtype="<u2")
-    out[segment[starts].astype(np.int64)] = (sizes << 12) | bits
-    return out.tobytes()
+    starts, segment = segments_of(tokens, plan)
+    sums = np.add.reduceat(values, starts)
+    tags = segment * _B + _SPACE_TAGS[space]
+    empty = plan.segments - len(starts)
+    segments = segment.astype(np.int32)
+    # deletions of the segments that have them, which come first; a token alone leaves nothing to hash
+    held = len(starts) if empty > plan.spare else int(np.searchsorted(segments, plan.reserve))
+    end = starts[held] if held < len(starts) else len(tokens)
+    sizes = np.diff(np.append(starts[:held], end))
+    index = np.repeat(np.arange(held), np.where(sizes > 1, sizes, 0))
+    kept = values[:end] if (sizes > 1).all() else values[:end][np.repeat(sizes > 1, sizes)]
+    deletions = mix((sums + tags)[index] - kept)
+    return Keys(mix(sums + tags), segments, deletions, segments[index], empty)
+
+
+def sketch(tokens: np.ndarray, groups: int = GROUPS) -> bytes:
+    """Two bytes for each of some groups of tokens: their number (255 at most) and eight bits of their hash."""
+    values = mix(tokens + _B)
+    group = ((values >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+    sizes = np.bincount(group, minlength=groups)
+    bits = np.zeros(groups, dtype=np.uint64)
+    np.add.at(bits, group, mix(values))
+    out = (np.minimum(sizes, 255).astype(np.uint16) << 8) | (mix(bits) & np.uint64(255)).astype(np.uint16)
+    out[sizes == 0] = 0
+    return out.astype("<u2").tobytes()
 
 
 def least_difference(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Lower bounds of the symmetric difference of a set and others from their profiles."""
-    sizes = np.abs((many >> 12).astype(np.int16) - (one >> 12).astype(np.int16))
+    """Lower bounds of the symmetric difference of sets from their sketches, row by row or of one with many."""
+    sizes = np.abs((many >> 8).astype(np.int16) - (one >> 8).astype(np.int16))
     return np.maximum(sizes, many != one).sum(axis=1, dtype=np.int64)
 
 
+def segment_marks(tokens: np.ndarray, space: int, percent: int) -> np.ndarray:
+    """Sixteen bits of the hash of each segment, 0 for an empty one, after ``BEFORE`` zeros."""
+    plan = allocation(space, percent)
+    starts, segment = segments_of(tokens, plan)
+    bits = (mix(np.add.reduceat(mix(tokens + _A), starts)) & np.uint64(65535)).astype(np.uint16) | np.uint16(1)
+    out = np.zeros(BEFORE + plan.segments, dtype="<u2")
+    out[BEFORE + segment.astype(np.int64)] = bits
+    return out
+
+
 def spaces_of(size: int, percent: int) -> list[int]:
     band = int(np.searchsorted(bands(percent), size, side="right")) - 1
     return [band, band - 1] if band else [band]
 
 
-def signature_rows(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All keys of a set, the set's name with the kind of the key (0 subset, 1 deletion) in its last bit, and a tag:
-    twice the segment, and 1 for the space below the set's band."""
-    name = np.uint64(set_hash(tokens) % 2**64)
-    keys, names, tags = [], [], []
+def signature_rows(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of a set with a tag each: 8 * segment, + 2 for a deletion key, + 1 for the space below the set's band."""
+    values = mix(tokens + _A)
+    keys, tags = [], []
     for lower, space in enumerate(spaces_of(len(tokens), percent)):
-        found = space_keys(tokens, space, percent)
+        found = space_keys(tokens, values, space, percent)
         keys += [found.subset, found.deletion]
-        names += [np.full(len(found.subset), name), np.full(len(found.deletion), name | _ONE)]
-        tags += [2 * found.subset_segment + lower, 2 * found.deletion_segment + lower]
-    return np.concatenate(keys), np.concatenate(names), np.concatenate(tags).astype(np.int32)
+        tags += [8 * found.subset_segment + lower, 8 * found.deletion_segment + (2 + lower)]
+    return np.concatenate(keys), np.concatenate(tags)
 
 
-def _keys(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(key, salt, name, tag) of all sets; a key that is common within a slice of rows is spread over salts."""
-    schema = "key long, salt int, name long, tag int"
+def packed(keys: np.ndarray, places: np.ndarray, tags: np.ndarray, names: np.ndarray, parts: int) -> Iterator[tuple]:
+    """The keys of a slice as one row per part of the key space: (part, keys, names, place of each key's name, tags in two halves).
 
-    def batch(keys: list[np.ndarray], names: list[np.ndarray], tags: list[np.ndarray]) -> pa.RecordBatch:
-        key, name, tag = np.concatenate(keys), np.concatenate(names), np.concatenate(tags)
-        order = np.argsort(key, kind="stable")
-        key, name, tag = key[order], name[order], tag[order]
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        counts = np.diff(np.append(first, len(key)))
-        place = np.arange(len(key)) - np.repeat(first, counts)
-        common = np.repeat(counts, counts) > HOT_IN_SLICE
-        # the first two stay unsalted, so that a set that is alone with the key elsewhere still meets company
-        salt = np.where(common & (place > 1), 1 + (name >> np.uint64(1)) % np.uint64(SALTS), 0).astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(key.view(np.int64)), pa.array(salt), pa.array(name.view(np.int64)), pa.array(tag)],
-            names=["key", "salt", "name", "tag"],
+    The low ``KEY_BYTES`` of a key and its part name it: a clash only brings sets together that verification parts again.
+
+    A key that is common in the slice goes to parts by salts of its names and is tagged (+ 4) as known to have company.
+    Its first two rows stay unsalted, so that a set that is alone with the key elsewhere still meets company.
+    """
+    order = np.argsort(keys, kind="stable")
+    keys, places, tags = keys[order], places[order], tags[order]
+    part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # rises with the key
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    counts = np.diff(np.append(first, len(keys)))
+    if counts.max() > HOT_IN_SLICE:
+        rank = np.arange(len(keys)) - np.repeat(first, counts)
+        salted = np.flatnonzero((np.repeat(counts, counts) > HOT_IN_SLICE) & (rank > 1))
+        salt = np.uint64(1) + (names[places[salted]] >> np.uint64(1)) % np.uint64(SALTS)
+        tags[salted] += 4
+        part[salted] = ((mix(keys[salted] + salt * _C) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        order = np.argsort(part, kind="stable")
+        keys, places, tags, part = keys[order], places[order], tags[order], part[order]
+    cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    for start, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)]):
+        order = start + np.argsort(tags[start:end], kind="stable")  # runs of equal tags take next to no room
+        held, place = np.unique(places[order], return_inverse=True)
+        tag = tags[order].astype(np.uint32)
+        yield (
+            int(part[start]),
+            keys[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes(),
+            names[held].tobytes(),
+            place.astype(np.uint16).tobytes(),
+            tag.astype(np.uint16).tobytes(),
+            (tag >> np.uint32(16)).astype(np.uint16).tobytes(),
         )
 
+
+def _keys(texts: DataFrame, size: int, percent: int, part_ids: list[int]) -> DataFrame:
+    """The keys of all sets, packed by part of the key space (see ``packed``)."""
+    parts = len(part_ids)
+    columns = ["part", "keys", "names", "place", "low", "high"]
+
+    def rows_of(keys: list[np.ndarray], tags: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
+        places = np.repeat(np.arange(len(names)), [len(k) for k in keys])
+        own = np.array(names, dtype=np.int64).view(np.uint64)
+        rows = [list(c) for c in zip(*packed(np.concatenate(keys), places, np.concatenate(tags), own, parts))]
+        rows[0] = [part_ids[p] for p in rows[0]]
+        kinds = [pa.int32()] + [pa.binary()] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=columns)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        keys, names, tags, held = [], [], [], 0
-        for part in batches:
-            for text in part.column(0).to_pylist():
+        keys, tags, names, held = [], [], [], 0
+        for batch in batches:
+            for text in utf8(batch.column(0)):
                 tokens = shingle_set(text, size)
                 if not len(tokens):
                     continue
-                set_name = set_hash(tokens)
-                if set_name in seen:
+                name = set_hash(tokens)
+                if name in seen:
                     continue
-                seen.add(set_name)
-                key, of, tag = signature_rows(tokens, percent)
+                seen.add(name)
+                key, tag = signature_rows(tokens, percent)
                 keys.append(key)
-                names.append(of)
                 tags.append(tag)
+                names.append(name)
                 held += len(key)
-                if held >= SLICE_ROWS:
-                    yield batch(keys, names, tags)
-                    keys, names, tags, held = [], [], [], 0
+                if held >= SLICE_ROWS or len(names) >= SLICE_NAMES:
+                    yield rows_of(keys, tags, names)
+                    keys, tags, names, held = [], [], [], 0
         if held:
-            yield batch(keys, names, tags)
+            yield rows_of(keys, tags, names)
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(run, "part int, keys binary, names binary, place binary, low binary, high binary")
 
 
-def _shared(keys: DataFrame) -> DataFrame:
-    """(key, name, tag, deletion) of the keys that several sets have; salted rows are known to have company."""
+def _part_ids(spark: SparkSession) -> list[int]:
+    """A number for each shuffle partition that Spark deals into it; at most 32,767, which leaves room beside the key."""
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2000)
+    numbers = spark.range(20 * partitions + 100).select(F.col("id").cast("int").alias("number"))
+    dealt = numbers.groupBy(F.pmod(F.hash("number"), F.lit(partitions)).alias("to")).agg(F.min("number").alias("number"))
+    found = [r["number"] for r in dealt.orderBy("to").collect()]
+    return [n for n in found if n < 2**15] or [0]
+
+
+def _shared(keys: DataFrame, partitions: int) -> DataFrame:
+    """(key, name, tag, deletion) of the keys that several sets have; salted ones are known to have company."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [tuple(b.column(i).to_numpy() for i in range(4)) for b in batches if b.num_rows]
-        if not parts:
+        keys, names, tags = [], [], []
+        for batch in batches:
+            for part, k, n, place, low, high in zip(*[c.to_pylist() for c in batch.columns]):
+                wide = np.zeros((len(k) // KEY_BYTES, 8), dtype=np.uint8)
+                wide[:, :KEY_BYTES] = np.frombuffer(k, dtype=np.uint8).reshape(-1, KEY_BYTES)
+                keys.append(wide.view("<i8").ravel() | (np.int64(part) << np.int64(8 * KEY_BYTES)))
+                names.append(np.frombuffer(n, dtype=np.int64)[np.frombuffer(place, dtype=np.uint16)])
+                halves = [np.frombuffer(h, dtype=np.uint16).astype(np.int32) for h in (low, high)]
+                tags.append(halves[0] | (halves[1] << 16))
+        if not keys:
             return
-        key, salt, name, tag = (np.concatenate(c) for c in zip(*parts))
-        parts.clear()
-        order = np.lexsort((name, key))
-        key, salt, name, tag = key[order], salt[order], name[order], tag[order]
-        fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])))
-        key, salt, name, tag = key[fresh], salt[fresh], name[fresh], tag[fresh]
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        key, name, tag = np.concatenate(keys), np.concatenate(names), np.concatenate(tags)
+        keys.clear(), names.clear(), tags.clear()
+        order = np.argsort(key, kind="stable")
+        sorted_ = key[order]
+        first = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
+        counts = np.diff(np.append(first, len(key)))
+        several = np.zeros(len(key), dtype=bool)
+        several[order] = np.repeat(counts, counts) > 1
+        kept = np.flatnonzero(several | (tag & 4 > 0))
+        key, name, tag = key[kept], name[kept], tag[kept]
+        # a set can come from several tasks and is then still alone with the key
+        order = np.lexsort((tag & 2, name, key))
+        key, name, tag = key[order], name[order], tag[order]
+        fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]) | ((tag[1:] ^ tag[:-1]) & 2 > 0))) if len(key) else several[:0]
+        key, name, tag = key[fresh], name[fresh], tag[fresh]
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else order[:0]
         counts = np.diff(np.append(first, len(key)))
-        keep = (np.repeat(counts, counts) > 1) | (salt > 0)
-        key, name, tag = key[keep], name[keep], tag[keep]
+        kept = (np.repeat(counts, counts) > 1) | (tag & 4 > 0)
+        key, name, tag = key[kept], name[kept], tag[kept]
         for i in range(0, len(key), SLICE_ROWS):
             k, n, t = key[i : i + SLICE_ROWS], name[i : i + SLICE_ROWS], tag[i : i + SLICE_ROWS]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k), pa.array(n & ~np.int64(1)), pa.array(t), pa.array((n & 1).astype(bool))],
+                [pa.array(k), pa.array(n), pa.array((t >> 3) * 2 + (t & 1)), pa.array(t & 2 > 0)],
                 names=["key", "name", "tag", "deletion"],
             )
 
-    return keys.repartition("key", "salt").mapInArrow(run, "key long, name long, tag int, deletion boolean").distinct()
+    return keys.repartition(partitions, "part").mapInArrow(run, "key long, name long, tag int, deletion boolean").distinct()
 
 
 def _sized(docs: DataFrame, size: int) -> DataFrame:
@@ -246,7 +324,7 @@ def _sized(docs: DataFrame, size: int) -> DataFrame:
 
     def compute():
         def slice_(texts: pa.Array) -> list[pa.Array]:
-            sets = [shingle_set(t, size) for t in texts.to_pylist()]
+            sets = [shingle_set(t, size) for t in utf8(texts)]
             return [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())]
 
         return slice_
@@ -265,7 +343,7 @@ def _token_table(docs: DataFrame, sized: DataFrame, wanted: DataFrame, size: int
 
     def compute():
         def slice_(column: pa.Array) -> list[pa.Array]:
-            sets = [shingle_set(t, size) for t in column.to_pylist()]
+            sets = [shingle_set(t, size) for t in utf8(column)]
             flat = np.concatenate(sets) if sets else EMPTY
             offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
@@ -273,20 +351,56 @@ def _token_table(docs: DataFrame, sized: DataFrame, wanted: DataFrame, size: int
 
         return slice_
 
-    found = with_arrow_columns(texts, ["text"], added, compute).select("name", "tokens").join(wanted, "name", "left_semi")
-    return written(found.dropDuplicates(["name"]).withColumn("n", F.size("tokens").cast("long")), "tokens")
+    found = with_arrow_columns(texts, ["text"], added, compute).select("name", "tokens")
+    if sized.groupBy("id").count().filter("count > 1").limit(1).count():
+        # ids that are no names of one text: other texts may have come along, and the same more than once
+        found = found.join(wanted, "name", "left_semi").dropDuplicates(["name"])
+    return written(found.withColumn("n", F.size("tokens").cast("long")), "tokens")
 
 
-def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are linked."""
-    sizes = tokens.select("name", "n")
+def _only(sets: DataFrame, names: DataFrame) -> DataFrame:
+    """The sets of some names; few names are broadcast, many are joined by a shuffle."""
+    wanted = names.toDF("name").distinct()
+    return sets.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "name", "left_semi")
+
+
+def _sketches(tokens: DataFrame, groups: int) -> DataFrame:
+    """(name, n, sketch) of the sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            sets = [np.asarray(v.values).view(np.uint64) for v in part.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s, groups) for s in sets], pa.binary())],
+                names=["name", "n", "sketch"],
+            )
+
+    return written(tokens.select("name", "tokens").mapInArrow(run, "name long, n long, sketch binary"), "sketches")
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, percent: int, groups: int) -> DataFrame:
+    """The pairs (a, b) that may be linked by their sizes and the lower bound of their difference."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            one, other = (np.frombuffer(b"".join(part.column(c).to_pylist()), dtype="<u2").reshape(-1, groups) for c in ("one", "other"))
+            total = part.column("n_a").to_numpy() + part.column("n_b").to_numpy()
+            kept = pa.array(least_difference(one, other) <= total - 2 * -(-percent * total // (100 + percent)))
+            yield pa.RecordBatch.from_arrays([part.column(c).filter(kept) for c in ("a", "b")], names=["a", "b"])
+
     near = (
-        pairs.join(sizes.toDF("a", "n_a"), "a")
-        .join(sizes.toDF("b", "n_b"), "b")
+        pairs.join(sketches.toDF("a", "n_a", "one"), "a")
+        .join(sketches.toDF("b", "n_b", "other"), "b")
         .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     )
-    sets = tokens.select("name", "tokens")
-    full = near.join(sets.toDF("a", "tokens_a"), "a").join(sets.toDF("b", "tokens_b"), "b")
+    return near.select("a", "b", "n_a", "n_b", "one", "other").mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are linked."""
+    sets = tokens.select("name", "n", "tokens")
+    left, right = (_only(sets, pairs.select(c)).toDF(c, f"n_{c}", f"tokens_{c}") for c in ("a", "b"))
+    full = pairs.join(left, "a").join(right, "b")
     common = full.withColumn("common", F.size(F.array_intersect("tokens_a", "tokens_b")))
     return common.filter(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent).select("a", "b")
 
@@ -302,7 +416,7 @@ def _heavy(rows: DataFrame, hot: DataFrame, tokens: DataFrame, percent: int) ->
             for name, values in zip(part.column(0).to_pylist(), part.column(1)):
                 own = np.asarray(values.values).view(np.uint64)
                 for space in spaces_of(len(own), percent):
-                    found, spare = space_keys(own, space, percent), allocation(space, percent).spare
+                    found, spare = space_keys(own, mix(own + _A), space, percent), allocation(space, percent).spare
                     out += [(name, space, k, found.empty, spare) for k in found.subset.view(np.int64).tolist()]
             columns = list(zip(*out)) or [()] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
@@ -315,33 +429,38 @@ def _heavy(rows: DataFrame, hot: DataFrame, tokens: DataFrame, percent: int) ->
     return mine.join(over, ["name", "space"], "left_semi").select("key", "name").distinct()
 
 
-def _profiles(tokens: DataFrame, percent: int) -> DataFrame:
-    """(name, n, lower, profile): the profile of each set in the space of its band (lower 0) and in the one below (1)."""
+def _tile_rows(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """``rows`` (key, name, tag, root, deletion, probe) with n, sketch and ``marks``: those of the ``BEFORE`` segments before the key's."""
+    carried = ["key", "tag", "root", "deletion", "probe"]
+    places = rows.groupBy("name").agg(F.collect_list(F.struct(*carried)).alias("places"))
+    schema = "key long, tag int, root long, deletion boolean, probe boolean, name long, n long, sketch binary, marks binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            rows = []
-            for name, values in zip(part.column(0).to_pylist(), part.column(1)):
-                mine = np.asarray(values.values).view(np.uint64)
-                for lower, space in enumerate(spaces_of(len(mine), percent)):
-                    rows.append((name, len(mine), lower, profile(mine, space, percent)))
-            columns = list(zip(*rows)) or [()] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["name", "n", "lower", "profile"])
+        for batch in batches:
+            for name, values, held in zip(*[batch.column(i) for i in range(3)]):
+                mine, held = np.asarray(values.values).view(np.uint64), held.values
+                marks = [segment_marks(mine, space, percent) for space in spaces_of(len(mine), percent)]
+                windows = [marks[t & 1][t >> 1 : (t >> 1) + BEFORE].tobytes() for t in held.field("tag").to_pylist()]
+                count = len(windows)
+                same = [pa.array([v] * count, k) for v, k in ((name.as_py(), pa.int64()), (len(mine), pa.int64()), (sketch(mine), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(
+                    [held.field(c) for c in carried] + same + [pa.array(windows, pa.binary())],
+                    names=[*carried, "name", "n", "sketch", "marks"],
+                )
 
-    return tokens.select("name", "tokens").mapInArrow(run, "name long, n long, lower int, profile binary")
+    return _only(tokens.select("name", "tokens"), rows.select("name")).join(places, "name").mapInArrow(run, schema)
 
 
 def tile_pairs(tile: dict[str, list], percent: int, agreeing: int) -> list[tuple[int, int]]:
     """Pairs of sets of a tile that may be linked: of different roots, one of them of the key's band and probing for the other.
 
-    A pair that agrees in ``agreeing`` segments before the key's own comes from one of those.
+    A pair that agrees in ``agreeing`` of the segments just before the key's own comes from one of those.
     """
     name, root, size = (np.array(tile[c], dtype=np.int64) for c in ("name", "root", "n"))
     deletion, probe, in_x, in_y = (np.array(tile[c], dtype=bool) for c in ("deletion", "probe", "in_x", "in_y"))
     lower = np.array(tile["tag"], dtype=np.int64) % 2 == 1
-    segment = tile["tag"][0] // 2
-    table = np.frombuffer(b"".join(tile["profile"]), dtype="<u2").reshape(len(name), -1)
+    table = np.frombuffer(b"".join(tile["sketch"]), dtype="<u2").reshape(-1, GROUPS)
+    marks = np.frombuffer(b"".join(tile["marks"]), dtype="<u2").reshape(-1, BEFORE)
     found = []
     for i in np.flatnonzero(~lower).tolist():
         wanted = ((in_x[i] & in_y) | (in_y[i] & in_x)) & (probe[i] | probe)
@@ -352,15 +471,14 @@ def tile_pairs(tile: dict[str, list], percent: int, agreeing: int) -> list[tuple
             continue
         total = size[at] + size[i]
         most = total - 2 * -(-percent * total // (100 + percent))
-        others = table[at]
-        before = (others[:, :segment] == table[i, :segment]) & (table[i, :segment] != 0)
-        near = (least_difference(table[i], others) <= most) & (before.sum(axis=1) < agreeing)
+        before = (marks[at] == marks[i]) & (marks[i] != 0)
+        near = (before.sum(axis=1) < agreeing) & (least_difference(table[i], table[at]) <= most)
         found += [(min(a, b), max(a, b)) for a, b in ((int(name[i]), j) for j in name[at[near]].tolist())]
     return found
 
 
 def _tiled(rows: DataFrame, percent: int, agreeing: int) -> DataFrame:
-    """Distinct pairs (a < b) that may be linked, of rows (key, name, tag, root, deletion, probe, n, profile) of one key.
+    """Distinct pairs (a < b) that may be linked, of rows (key, name, tag, root, deletion, probe, n, sketch, marks) of one key.
 
     Rows of a key are dealt into chunks and a tile compares two of them.
     """
@@ -370,7 +488,7 @@ def _tiled(rows: DataFrame, percent: int, agreeing: int) -> DataFrame:
         F.sequence(F.lit(0), F.col("chunks") - 1),
         lambda c: F.struct(F.least(c, "chunk").alias("x"), F.greatest(c, "chunk").alias("y")),
     )
-    fields = ["name", "tag", "root", "deletion", "probe", "n", "profile", "in_x", "in_y"]
+    fields = ["name", "tag", "root", "deletion", "probe", "n", "sketch", "marks", "in_x", "in_y"]
     tiles = dealt.withColumn("t", F.explode(partners)).select(
         "key",
         "t.x",
@@ -429,8 +547,8 @@ def _crossing(shared: DataFrame, roots: DataFrame, tokens: DataFrame, percent: i
         rows = rows.join(used, ["key", "name"], "left").withColumn("probe", F.col("probe") | F.coalesce("used", F.lit(False)))
         probed = rows.groupBy("key").agg(F.bool_or("probe").alias("any")).filter("any").select("key")
         rows = rows.join(probed, "key", "left_semi")
-    rows = rows.select("key", "name", "tag", "root", "deletion", "probe", (F.col("tag") % 2).alias("lower"))
-    return _tiled(rows.join(_profiles(tokens, percent), ["name", "lower"]), percent, agreeing)
+    rows = rows.select("key", "name", "tag", "root", "deletion", "probe")
+    return _tiled(_tile_rows(rows, tokens, percent), percent, agreeing)
 
 
 def _leaders(shared: DataFrame) -> DataFrame:
@@ -447,13 +565,24 @@ def _leaders(shared: DataFrame) -> DataFrame:
 def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(id, n_shingles, name, group) of every document (id, text); linked sets have the same group, none a null."""
     sized = written(_sized(docs, size), "sets")
-    shared = written(_shared(_keys(docs.select("text"), size, percent)), "shared")
+    part_ids = _part_ids(docs.sparkSession)
+    keys = _keys(docs.select("text"), size, percent, part_ids)
+    shared = written(_shared(keys, len(part_ids)), "shared")
     tokens = _token_table(docs, sized, shared.select("name").distinct(), size)
     leaders = _leaders(shared)
     stars = shared.join(leaders, "key").filter("name <> leader").select(F.col("leader").alias("a"), F.col("name").alias("b")).distinct()
-    links = written(_verified(stars, tokens, percent), "stars")
+    spark = docs.sparkSession
+    release(spark)
+    near = written(_possible(stars, _sketches(tokens, GROUPS), percent, GROUPS), "near")
+    links = written(_verified(near, tokens, percent), "stars")
+    release(spark)
     roots = components(links)
-    crossing = _verified(_crossing(shared, roots, tokens, percent), tokens, percent)
+    met = written(_crossing(shared, roots, tokens, percent), "met")
+    release(spark)
+    fine = _sketches(_only(tokens, met.select("a").union(met.select("b"))), FINE_GROUPS)
+    near = written(_possible(met, fine, percent, FINE_GROUPS), "near")
+    crossing = written(_verified(near, tokens, percent), "crossing")
+    release(spark)
     mapped = (
         crossing.join(roots.toDF("a", "root_a"), "a", "left")
         .join(roots.toDF("b", "root_b"), "b", "left")
@@ -509,7 +638,7 @@ def one_of_each(docs: DataFrame, *, size: int = 5, percent: int = 80, doc_id: st
 
     def compute():
         def slice_(texts: pa.Array) -> list[pa.Array]:
-            sets = [shingle_set(t, size) for t in texts.to_pylist()]
+            sets = [shingle_set(t, size) for t in utf8(texts)]
             return [pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())]
 
         return slice_
