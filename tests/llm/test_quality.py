@@ -33,7 +33,7 @@ def rated(spark):
         "null": None, "empty": "", "blank": " \n\t", "short": "a b", "few": "a a a a", "unicode": "é ß #\x1cx 日本|" * 9,
         "lines": "one two\none two\n\n \none two\nthree" * 12, "prose": prose(rnd, 400), "long": prose(rnd, 30000),
         "again": "This line comes again. " * 300, "random": "".join(chr(rnd.randrange(33, 0x2FFF)) + " " * (i % 5 == 0) for i in range(9000)),
-        "half": prose(rnd, 2500) + " x" * 9000,
+        "half": prose(rnd, 2500) + " x" * 20000,
     }
     df = spark.createDataFrame([(k, t, True) for k, t in texts.items()], "doc_id string, text string, KEPT boolean").repartition(3)
     return texts, {r["doc_id"]: r for r in quality_rules(df).collect()}
