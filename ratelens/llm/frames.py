@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from ratelens.session import work_dir
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MOST_ROWS = 1000
+
 
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or ``name`` with underscores before it where the table has such a column already."""
@@ -19,8 +22,15 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts and sets to Python in batches that take little memory beside the executor's heap, unless they are smaller already."""
+    if int(spark.conf.get(BATCH_ROWS)) > MOST_ROWS:
+        spark.conf.set(BATCH_ROWS, str(MOST_ROWS))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage and survives the loss of executors."""
+    small_batches(df.sparkSession)
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -48,6 +58,7 @@ def with_arrow_columns(
     ``compute()`` runs once per task and returns the function of a slice. A column of ``df`` with the name
     of an added one (in either case) is replaced.
     """
+    small_batches(df.sparkSession)
     names = {f.name.lower() for f in added.fields}
     kept = [c for c in df.columns if c.lower() not in names]
     columns = kept + [c for c in inputs if c not in kept]

@@ -4,7 +4,7 @@ The blended-spectrum presence kernel of two texts counts the n-grams of 1 to 3 b
 over the root of the product of their numbers of n-grams. Landmarks are some of the training texts; an n-gram counts
 where a landmark holds it. With K the kernel against the landmarks and L the landmarks' own, ridge regression on
 K L^(-1/2) gives one output per language; as the kernel is a product of presence rows, all texts of a slice
-are scored by matrix products.
+are scored by a matrix product with weights into which the landmarks are multiplied.
 """
 
 from __future__ import annotations
@@ -34,11 +34,13 @@ def grams(text: str) -> np.ndarray:
 
 
 class Model(NamedTuple):
-    """Languages, the n-grams that count, presence rows of the landmarks over the root of their sizes, and weights."""
+    """Languages, the n-grams that count, and weights: one row per n-gram, one column per language.
+
+    The weights are the product of the landmarks' presence rows and the weights of the landmarks, so that one product scores a text.
+    """
 
     languages: list[str]
     grams: np.ndarray
-    landmarks: np.ndarray
     weights: np.ndarray
 
 
@@ -77,7 +79,7 @@ def fit(rows: list[tuple[str, np.ndarray]], *, landmarks: int, ridge: float = 1e
     """Model of the rows; every language gives the same number of landmarks, as far as it has rows."""
     languages = sorted({language for language, _ in rows})
     if not languages:
-        return Model([], np.empty(0, np.int32), np.empty((0, 0), np.float32), np.empty((0, 0), np.float32))
+        return Model([], np.empty(0, np.int32), np.empty((0, 0), np.float32))
     per_language = max(1, landmarks // len(languages))
     chosen = [c for l in languages for c in [c for k, c in rows if k == l and len(c)][:per_language]]
     counted = np.unique(np.concatenate(chosen)) if chosen else np.empty(0, np.int32)
@@ -99,7 +101,7 @@ def fit(rows: list[tuple[str, np.ndarray]], *, landmarks: int, ridge: float = 1e
     balance = (target / share).sum(axis=1)[:, None]  # every language weighs the same
     gram = mapped.T @ (balance * mapped) + ridge * np.eye(mapped.shape[1])
     weights = root @ np.linalg.solve(gram, mapped.T @ (balance * target))
-    return Model(languages, counted, marks, weights.astype(np.float32))
+    return Model(languages, counted, (marks.T.astype(np.float64) @ weights).astype(np.float32))
 
 
 class Scorer:
@@ -118,8 +120,7 @@ class Scorer:
             present[i, self.place[grams(text)]] = 1
         present = present[:, 1:]
         norm = np.sqrt(np.maximum(present.sum(axis=1, keepdims=True), 1))
-        kernel = (present @ self.model.landmarks.T) / norm
-        return np.clip(kernel @ self.model.weights, 0, 1)
+        return np.clip((present @ self.model.weights) / norm, 0, 1)
 
 
 def identify(

@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +23,14 @@ from pyspark.sql import types as T
 from ratelens.llm.frames import with_arrow_columns
 
 MARK = "▁"
-_CHUNK = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
+#: A blank stands for a word mark here: texts without other signs than ASCII then take a byte per character.
+_CHUNK = re.compile(" +[^ \n]*|\n|[^ \n]+")
 KEPT_CHUNKS = 400_000
 KEPT_LENGTH = 48
 
 
 class PieceEncoder(dict):
-    """Ids of a chunk by the agenda; a dictionary of the chunks met lately.
+    """Ids of a chunk by the agenda, as 32-bit numbers in bytes; a dictionary of the chunks met lately.
 
     When it is full it becomes the older generation, which keeps the chunks that come again.
     """
@@ -47,21 +48,21 @@ class PieceEncoder(dict):
         self.byte_ids = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if not all(map(library.IsByte, self.byte_ids)):
             raise ValueError("the vocabulary has no byte pieces")
-        self.end = library.eos_id()
+        self.end = array("i", [library.eos_id()]).tobytes()
         self.fresh: list[str] = []
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
+    def __missing__(self, chunk: str) -> bytes:
         found = self.older.get(chunk)
         if found is None:
-            found = self.merge(chunk)
+            found = array("i", self.merge(chunk.replace(" ", MARK))).tobytes()
             self.fresh.append(chunk)
         if len(chunk) <= KEPT_LENGTH:
             self[chunk] = found
         return found
 
-    def merge(self, chunk: str) -> tuple[int, ...]:
-        """Ids of one chunk."""
+    def merge(self, chunk: str) -> list[int]:
+        """Ids of one chunk with word marks."""
         symbols: list[str] = list(chunk)
         last = len(symbols) - 1
         before, after = list(range(-1, last)), list(range(1, last + 2))
@@ -90,44 +91,51 @@ class PieceEncoder(dict):
         for symbol in filter(None, symbols):
             i = self.ids.get(symbol)
             out += [self.byte_ids[b] for b in symbol.encode()] if i is None else (i,)
-        return tuple(out)
+        return out
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text, the end id last."""
+    def encoded(self, text: str) -> bytes:
+        """Ids of a whole text, the end id last, as 32-bit numbers."""
         if len(self) > KEPT_CHUNKS:
             self.check()
             self.older = dict(self)
             self.clear()
-        chunks = _CHUNK.findall(MARK + text.replace(" ", MARK)) if text else ()
-        ids = list(chain.from_iterable(map(self.__getitem__, chunks)))
-        ids.append(self.end)
-        return ids
+        chunks = _CHUNK.findall(" " + text.replace(MARK, " ")) if text else []
+        return b"".join(map(self.__getitem__, chunks)) + self.end
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text, the end id last."""
+        return ids_of(self.encoded(text))
 
     def check(self) -> None:
         """Hold the chunks met since the last check against the library; it puts one word mark before each text."""
-        marked = [c[0] == MARK for c in self.fresh]
-        texts = [c[1:].replace(MARK, " ") if m else f"\n{c}" for c, m in zip(self.fresh, marked)]
+        marked = [c[0] == " " for c in self.fresh]
+        texts = [c[1:] if m else f"\n{c}" for c, m in zip(self.fresh, marked)]
         head = self.library.encode("\n")
         for chunk, m, ids in zip(self.fresh, marked, self.library.encode(texts, num_threads=1)):
-            if chunk == MARK:
-                ids = [self.ids[MARK]] if not ids else ids
+            if chunk == " ":
+                ids = ids or [self.ids[MARK]]
             elif not m:
                 ids = ids[len(head) :]
-            mine = self.get(chunk) or self.merge(chunk)
-            if mine != tuple(ids):
+            found = self.get(chunk) or self.older.get(chunk)
+            mine = ids_of(found) if found else self.merge(chunk.replace(" ", MARK))
+            if mine != ids:
                 raise ValueError(f"other ids than the library's for {chunk!r}: {mine} and {ids}")
         self.fresh.clear()
 
 
+def ids_of(numbers: bytes) -> list[int]:
+    return np.frombuffer(numbers, dtype=np.int32).tolist()
+
+
 @lru_cache(maxsize=2)
 def encoder(model_file: str) -> PieceEncoder:
     """One encoder per Python worker and vocabulary."""
     return PieceEncoder(model_file)
 
 
-def int_lists(lists: list[list[int]]) -> pa.Array:
-    sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-    values = np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(sizes.sum()))
+def int_lists(numbers: list[bytes]) -> pa.Array:
+    sizes = np.fromiter(map(len, numbers), dtype=np.int64, count=len(numbers)) // 4
+    values = np.frombuffer(b"".join(numbers), dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(values))
 
 
@@ -150,11 +158,11 @@ def piece_encode(
         pieces = encoder(model_file)
 
         def slice_(texts: pa.Array) -> list[pa.Array]:
-            found = [pieces.encode(t or "") for t in texts.to_pylist()]
+            found = [pieces.encoded(t or "") for t in texts.to_pylist()]
             pieces.check()
             out = [int_lists(found)]
             if decoded:
-                out.append(pa.array([pieces.library.decode(i) for i in found], pa.string()))
+                out.append(pa.array([pieces.library.decode(ids_of(i)) for i in found], pa.string()))
             return out
 
         return slice_

@@ -48,7 +48,7 @@ GROUPS = 64
 FINE_GROUPS = 256
 HOT_IN_SLICE = 32
 SALTS = 64
-SLICE_ROWS = 500_000
+SLICE_ROWS = 400_000
 SLICE_NAMES = 50_000
 KEY_BYTES = 5
 BROADCAST_IDS = 500_000
@@ -278,31 +278,36 @@ def _shared(keys: DataFrame, partitions: int) -> DataFrame:
     """(key, name, tag, deletion) of the keys that several sets have; salted ones are known to have company."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, names, tags = [], [], []
+        keys, tables, places, tags = [], [], [], []
         for batch in batches:
             for part, k, n, place, low, high in zip(*[c.to_pylist() for c in batch.columns]):
                 wide = np.zeros((len(k) // KEY_BYTES, 8), dtype=np.uint8)
                 wide[:, :KEY_BYTES] = np.frombuffer(k, dtype=np.uint8).reshape(-1, KEY_BYTES)
                 keys.append(wide.view("<i8").ravel() | (np.int64(part) << np.int64(8 * KEY_BYTES)))
-                names.append(np.frombuffer(n, dtype=np.int64)[np.frombuffer(place, dtype=np.uint16)])
+                tables.append(np.frombuffer(n, dtype=np.int64))
+                places.append(np.frombuffer(place, dtype=np.uint16))
                 halves = [np.frombuffer(h, dtype=np.uint16).astype(np.int32) for h in (low, high)]
                 tags.append(halves[0] | (halves[1] << 16))
         if not keys:
             return
-        key, name, tag = np.concatenate(keys), np.concatenate(names), np.concatenate(tags)
-        keys.clear(), names.clear(), tags.clear()
-        order = np.argsort(key, kind="stable")
-        sorted_ = key[order]
-        first = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
-        counts = np.diff(np.append(first, len(key)))
-        several = np.zeros(len(key), dtype=bool)
-        several[order] = np.repeat(counts, counts) > 1
-        kept = np.flatnonzero(several | (tag & 4 > 0))
-        key, name, tag = key[kept], name[kept], tag[kept]
+        key = np.concatenate(keys)
+        keys.clear()
+        ordered = np.sort(key)
+        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        del ordered
+        tag = np.concatenate(tags)
+        tags.clear()
+        at = np.searchsorted(twice, key)
+        at[at == len(twice)] = 0
+        kept = np.flatnonzero(((twice[at] == key) if len(twice) else np.zeros(len(key), dtype=bool)) | (tag & 4 > 0))
+        row = np.searchsorted(np.cumsum([len(p) for p in places]), kept, side="right")
+        table = np.cumsum([0] + [len(t) for t in tables])[row]
+        name = np.concatenate(tables)[table + np.concatenate(places)[kept]]
+        key, tag = key[kept], tag[kept]
         # a set can come from several tasks and is then still alone with the key
         order = np.lexsort((tag & 2, name, key))
         key, name, tag = key[order], name[order], tag[order]
-        fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]) | ((tag[1:] ^ tag[:-1]) & 2 > 0))) if len(key) else several[:0]
+        fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]) | ((tag[1:] ^ tag[:-1]) & 2 > 0))) if len(key) else kept > 0
         key, name, tag = key[fresh], name[fresh], tag[fresh]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else order[:0]
         counts = np.diff(np.append(first, len(key)))

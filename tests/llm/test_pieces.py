@@ -43,7 +43,7 @@ def test_random_texts_and_a_full_cache(library, monkeypatch):
 
 def test_a_wrong_merge_is_noticed(monkeypatch):
     encoder = PieceEncoder(PIECE_MODEL)
-    monkeypatch.setattr(encoder, "merge", lambda chunk: (5,))
+    monkeypatch.setattr(encoder, "merge", lambda chunk: [5])
     encoder.encode("hello world")
     with pytest.raises(ValueError, match="other ids"):
         encoder.check()
