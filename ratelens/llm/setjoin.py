@@ -544,6 +544,7 @@ def _crossing(shared: DataFrame, roots: DataFrame, tokens: DataFrame, percent: i
         per_key.filter("roots > 1").select("key", ((F.col("n") * F.col("n") - F.col("inside")) > 2 * HOT * F.col("n")).alias("hot")), "open"
     )
     rows = written(own.join(open_keys, "key"), "open-rows").withColumn("probe", ~F.col("hot"))
+    release(shared.sparkSession)
     hot = open_keys.filter("hot").select("key")
     agreeing = AGREEING
     if hot.limit(1).count():
@@ -553,7 +554,9 @@ def _crossing(shared: DataFrame, roots: DataFrame, tokens: DataFrame, percent: i
         probed = rows.groupBy("key").agg(F.bool_or("probe").alias("any")).filter("any").select("key")
         rows = rows.join(probed, "key", "left_semi")
     rows = rows.select("key", "name", "tag", "root", "deletion", "probe")
-    return _tiled(_tile_rows(rows, tokens, percent), percent, agreeing)
+    marked = written(_tile_rows(rows, tokens, percent), "tile-rows")
+    release(shared.sparkSession)
+    return _tiled(marked, percent, agreeing)
 
 
 def _leaders(shared: DataFrame) -> DataFrame:
