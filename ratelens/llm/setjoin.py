@@ -190,17 +190,30 @@ def signature_rows(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(keys), np.concatenate(tags)
 
 
-def packed(keys: np.ndarray, places: np.ndarray, tags: np.ndarray, names: np.ndarray, parts: int) -> Iterator[tuple]:
-    """The keys of a slice as one row per part of the key space: (part, keys, names, place of each key's name, tags in two halves).
+def homes_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the key space that a key lies in; it rises with the key."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def named_key(low: np.ndarray, home: np.ndarray) -> np.ndarray:
+    """A key as the tables hold it: its low ``KEY_BYTES`` and above them the number of its part."""
+    bits = np.uint64(8 * KEY_BYTES)
+    return ((low & ((_ONE << bits) - _ONE)) | (home.astype(np.uint64) << bits)).view(np.int64)
+
+
+def packed(keys: np.ndarray, places: np.ndarray, tags: np.ndarray, names: np.ndarray, part_ids: np.ndarray) -> Iterator[tuple]:
+    """The keys of a slice as one row per part of the key space: (part, keys, names, place of each key's name, tags in two halves, homes).
 
     The low ``KEY_BYTES`` of a key and its part name it: a clash only brings sets together that verification parts again.
 
-    A key that is common in the slice goes to parts by salts of its names and is tagged (+ 4) as known to have company.
-    Its first two rows stay unsalted, so that a set that is alone with the key elsewhere still meets company.
+    A key that is common in the slice goes to parts by salts of its names and is tagged (+ 4) as known to have company; ``homes`` are the
+    parts that such keys have without salt. Its first two rows stay unsalted, so that a set that is alone with the key elsewhere
+    still meets company.
     """
+    parts = len(part_ids)
     order = np.argsort(keys, kind="stable")
     keys, places, tags = keys[order], places[order], tags[order]
-    part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # rises with the key
+    part = home = homes_of(keys, parts)
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     counts = np.diff(np.append(first, len(keys)))
     if counts.max() > HOT_IN_SLICE:
@@ -208,35 +221,36 @@ def packed(keys: np.ndarray, places: np.ndarray, tags: np.ndarray, names: np.nda
         salted = np.flatnonzero((np.repeat(counts, counts) > HOT_IN_SLICE) & (rank > 1))
         salt = np.uint64(1) + (names[places[salted]] >> np.uint64(1)) % np.uint64(SALTS)
         tags[salted] += 4
-        part[salted] = ((mix(keys[salted] + salt * _C) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        part = home.copy()
+        part[salted] = homes_of(mix(keys[salted] + salt * _C), parts)
         order = np.argsort(part, kind="stable")
-        keys, places, tags, part = keys[order], places[order], tags[order], part[order]
+        keys, places, tags, part, home = keys[order], places[order], tags[order], part[order], home[order]
     cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
     for start, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)]):
         order = start + np.argsort(tags[start:end], kind="stable")  # runs of equal tags take next to no room
         held, place = np.unique(places[order], return_inverse=True)
         tag = tags[order].astype(np.uint32)
         yield (
-            int(part[start]),
+            int(part_ids[part[start]]),
             keys[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes(),
             names[held].tobytes(),
             place.astype(np.uint16).tobytes(),
             tag.astype(np.uint16).tobytes(),
             (tag >> np.uint32(16)).astype(np.uint16).tobytes(),
+            part_ids[home[order[tag & np.uint32(4) > 0]]].tobytes(),
         )
 
 
 def _keys(texts: DataFrame, size: int, percent: int, part_ids: list[int]) -> DataFrame:
     """The keys of all sets, packed by part of the key space (see ``packed``)."""
-    parts = len(part_ids)
-    columns = ["part", "keys", "names", "place", "low", "high"]
+    ids = np.array(part_ids, dtype=np.uint16)
+    columns = ["part", "keys", "names", "place", "low", "high", "homes"]
 
     def rows_of(keys: list[np.ndarray], tags: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
         places = np.repeat(np.arange(len(names)), [len(k) for k in keys])
         own = np.array(names, dtype=np.int64).view(np.uint64)
-        rows = [list(c) for c in zip(*packed(np.concatenate(keys), places, np.concatenate(tags), own, parts))]
-        rows[0] = [part_ids[p] for p in rows[0]]
-        kinds = [pa.int32()] + [pa.binary()] * 5
+        rows = [list(c) for c in zip(*packed(np.concatenate(keys), places, np.concatenate(tags), own, ids))]
+        kinds = [pa.int32()] + [pa.binary()] * 6
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +276,7 @@ def _keys(texts: DataFrame, size: int, percent: int, part_ids: list[int]) -> Dat
         if held:
             yield rows_of(keys, tags, names)
 
-    return texts.mapInArrow(run, "part int, keys binary, names binary, place binary, low binary, high binary")
+    return texts.mapInArrow(run, "part int, keys binary, names binary, place binary, low binary, high binary, homes binary")
 
 
 def _part_ids(spark: SparkSession) -> list[int]:
@@ -280,14 +294,16 @@ def _shared(keys: DataFrame, partitions: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, tables, places, tags = [], [], [], []
         for batch in batches:
-            for part, k, n, place, low, high in zip(*[c.to_pylist() for c in batch.columns]):
+            for part, k, n, place, low, high, homes in zip(*[c.to_pylist() for c in batch.columns]):
                 wide = np.zeros((len(k) // KEY_BYTES, 8), dtype=np.uint8)
                 wide[:, :KEY_BYTES] = np.frombuffer(k, dtype=np.uint8).reshape(-1, KEY_BYTES)
-                keys.append(wide.view("<i8").ravel() | (np.int64(part) << np.int64(8 * KEY_BYTES)))
                 tables.append(np.frombuffer(n, dtype=np.int64))
                 places.append(np.frombuffer(place, dtype=np.uint16))
                 halves = [np.frombuffer(h, dtype=np.uint16).astype(np.int32) for h in (low, high)]
                 tags.append(halves[0] | (halves[1] << 16))
+                home = np.full(len(wide), part, dtype=np.int64)
+                home[tags[-1] & 4 > 0] = np.frombuffer(homes, dtype=np.uint16)
+                keys.append(named_key(wide.view("<u8").ravel(), home))
         if not keys:
             return
         key = np.concatenate(keys)

@@ -105,3 +105,47 @@ def test_lower_bound_never_exceeds_the_difference():
         b = np.unique(np.concatenate((a[keep], rnd.integers(0, 2**64, n - keep.sum(), dtype=np.uint64))))
         x, y = (np.frombuffer(setjoin.sketch(s), dtype="<u2") for s in (a, b))
         assert setjoin.least_difference(x, y[None, :])[0] <= len(np.setxor1d(a, b))
+
+
+def family(seed, copies):
+    """Short near copies of one text, two words apart at most, in one slice."""
+    rnd = random.Random(seed)
+    base = [f"b{i}" for i in range(30)]
+    rows = []
+    for i in range(copies):
+        copy = list(base)
+        for _ in range(rnd.choice((1, 1, 2))):
+            copy[rnd.choice((0, 1, 28, 29, rnd.randrange(30)))] = f"n{rnd.randrange(20)}"
+        rows.append(" ".join(copy))
+    return list(enumerate(dict.fromkeys(rows), 1))
+
+
+def shared_keys(spark, rows, size, percent):
+    """The table of shared keys, and the documents, of one task."""
+    docs = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    part_ids = setjoin._part_ids(spark)
+    return docs, setjoin._shared(setjoin._keys(docs.select("text"), size, percent, part_ids), len(part_ids)), part_ids
+
+
+def test_salted_keys_keep_their_identity(spark):
+    rows = family(4, 200)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 200)
+    try:
+        _, shared, _ = shared_keys(spark, rows, 5, 80)
+        got = {}
+        for r in shared.collect():
+            got.setdefault(r["key"], set()).add((r["name"], r["deletion"]))
+        want = {}
+        for _, text in rows:
+            tokens = setjoin.shingle_set(text.encode(), 5)
+            for key, tag in zip(*setjoin.signature_rows(tokens, 80)):
+                want.setdefault(int(key), set()).add((setjoin.set_hash(tokens), bool(tag & 2)))
+        want = sorted(sorted(v) for v in want.values() if len(v) > 1)
+        assert max(map(len, want)) > 100
+        assert sorted(sorted(v) for v in got.values()) == want
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found == brute(rows, 5, 80)
