@@ -426,8 +426,9 @@ def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     return common.filter(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent).select("a", "b")
 
 
-def _heavy(rows: DataFrame, hot: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+def _heavy(rows: DataFrame, hot: DataFrame, tokens: DataFrame, percent: int, part_ids: list[int]) -> DataFrame:
     """(key, name) of hot keys that the set must use, having more useless segments in the space than its spare ones."""
+    numbers = np.array(part_ids, dtype=np.uint16)
     schema = "name long, space int, key long, empty int, spare int"
     sets = tokens.join(rows.join(hot, "key", "left_semi").select("name").distinct(), "name", "left_semi").select("name", "tokens")
 
@@ -438,7 +439,8 @@ def _heavy(rows: DataFrame, hot: DataFrame, tokens: DataFrame, percent: int) ->
                 own = np.asarray(values.values).view(np.uint64)
                 for space in spaces_of(len(own), percent):
                     found, spare = space_keys(own, mix(own + _A), space, percent), allocation(space, percent).spare
-                    out += [(name, space, k, found.empty, spare) for k in found.subset.view(np.int64).tolist()]
+                    keys = named_key(found.subset, numbers[homes_of(found.subset, len(numbers))])
+                    out += [(name, space, k, found.empty, spare) for k in keys.tolist()]
             columns = list(zip(*out)) or [()] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
@@ -549,7 +551,7 @@ def _tiled(rows: DataFrame, percent: int, agreeing: int) -> DataFrame:
     return placed.select("key", "x", "y", *fields).mapInArrow(run, "a long, b long").distinct()
 
 
-def _crossing(shared: DataFrame, roots: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+def _crossing(shared: DataFrame, roots: DataFrame, tokens: DataFrame, percent: int, part_ids: list[int]) -> DataFrame:
     """Pairs (a < b) of sets of different components that meet in a key and may be linked."""
     own = shared.join(roots.toDF("name", "root"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     per_root = own.groupBy("key", "root").agg(F.count("*").alias("n"))
@@ -565,7 +567,7 @@ def _crossing(shared: DataFrame, roots: DataFrame, tokens: DataFrame, percent: i
     agreeing = AGREEING
     if hot.limit(1).count():
         agreeing = 2**31 - 1  # the segments in which a pair agrees first may be of hot keys that it doesn't use
-        used = _heavy(rows.filter("hot"), hot, tokens, percent).withColumn("used", F.lit(True))
+        used = _heavy(rows.filter("hot"), hot, tokens, percent, part_ids).withColumn("used", F.lit(True))
         rows = rows.join(used, ["key", "name"], "left").withColumn("probe", F.col("probe") | F.coalesce("used", F.lit(False)))
         probed = rows.groupBy("key").agg(F.bool_or("probe").alias("any")).filter("any").select("key")
         rows = rows.join(probed, "key", "left_semi")
@@ -601,7 +603,7 @@ def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     links = written(_verified(near, tokens, percent), "stars")
     release(spark)
     roots = components(links)
-    met = written(_crossing(shared, roots, tokens, percent), "met")
+    met = written(_crossing(shared, roots, tokens, percent, part_ids), "met")
     release(spark)
     fine = _sketches(_only(tokens, met.select("a").union(met.select("b"))), FINE_GROUPS)
     near = written(_possible(met, fine, percent, FINE_GROUPS), "near")

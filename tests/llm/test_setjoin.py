@@ -149,3 +149,16 @@ def test_salted_keys_keep_their_identity(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found == brute(rows, 5, 80)
+
+
+@pytest.mark.parametrize("hot", [0, 8192])
+def test_hot_keys_find_every_link_without_leaders(spark, monkeypatch, hot):
+    monkeypatch.setattr(setjoin, "HOT", hot)
+    rows = family(5, 60) + [(i + 1000, f"{t} tail") for i, t in family(6, 60)]
+    docs, shared, part_ids = shared_keys(spark, rows, 5, 80)
+    sets = {setjoin.set_hash(s): set(s.tolist()) for s in (setjoin.shingle_set(t.encode(), 5) for _, t in rows)}
+    tokens = setjoin._token_table(docs, setjoin._sized(docs, 5), shared.select("name").distinct(), 5)
+    met = setjoin._crossing(shared, spark.createDataFrame([], "node long, root long"), tokens, 80, part_ids)
+    got = {(r["a"], r["b"]) for r in setjoin._verified(met, tokens, 80).collect()}
+    want = {(min(a, b), max(a, b)) for a, b in combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(want) > 100 and got == want
