@@ -1,26 +1,20 @@
-"""Repeated passages by sparse suffix arrays.
+"""Repeated passages by their windows of ``length`` words.
 
-Of all suffixes (from a word to the end of its text) only those at minimiser positions are kept: in every window of grams the one with the least
-hash, so equal passages of at least ``length`` words keep the same suffixes. Suffixes whose first gram stands in one text
-only drop out. The others carry the hashes of ``length`` words on either side; they are sorted by their words, compared with their
-neighbours in that order, and each match is extended to the right and to the left. A second sort, by the words to the left, finds
-the neighbours that reach furthest to that side. A match counts where gram and extensions reach
-``length`` words. A longer passage holds several minimisers, and their matches join into one span.
+A passage of at least ``length`` words that two texts hold is a run of windows that both hold. The key of a window is the least hash of its
+grams, so equal windows have equal keys, and only windows whose key several texts have can be repeated: the others drop out before
+they are hashed. For each hash of a window that is left, one pre-aggregated grouping finds whether several texts hold it and which is the
+first; a window of many thousand texts is one row per task there. Each text's repeated windows join into spans.
 
-Rows are sorted by range over all tasks, so a gram of very many texts is spread; neighbours across the border of two tasks are compared
-in a second step. Equal texts are one suffix source.
+Exact up to clashes of 64-bit hashes. Equal texts are one source of windows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,10 +23,14 @@ from ratelens.llm.hashing import EMPTY, mix, shingle_hashes, word_hashes
 
 LENGTH = 50
 GRAM = 16
-NEIGHBOURS = 8
+NEIGHBOURS = 8  # of no effect any more; tests/llm/test_suffixes.py sets it
+SLICE = 65536
 BROADCAST_IDS = 500_000
 LAST = 2**63 - 1
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(int(_STEP), -1, 2**64))
+
 
 def words_of(text: str | None) -> np.ndarray:
     return word_hashes(text.encode()) if text else EMPTY
@@ -46,19 +44,32 @@ def text_name(words: np.ndarray) -> int | None:
     return int(mix(words * (place | np.uint64(1))).sum(dtype=np.uint64).view(np.int64))
 
 
-def minimisers(words: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the kept suffixes and the hashes of their first grams; the leftmost least hash of every window."""
+def window_keys(words: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """The key of each window of ``length`` words: the least hash of its grams."""
     if len(words) < length:
-        return np.empty(0, np.int64), EMPTY
+        return EMPTY
     hashes = shingle_hashes(words, gram)
     width = length - gram + 1
-    chosen = []
-    for start in range(0, len(hashes) - width + 1, 65536):  # windows of a slice, so that memory stays bounded
-        part = hashes[start : start + 65536 + width - 1]
-        view = np.lib.stride_tricks.sliding_window_view(part, width)
-        chosen.append(np.unique(view.argmin(axis=1) + np.arange(len(view))) + start)
-    positions = np.unique(np.concatenate(chosen))
-    return positions, hashes[positions]
+    keys = []
+    for start in range(0, len(hashes) - width + 1, SLICE):  # windows of a slice, so that memory stays bounded
+        keys.append(np.lib.stride_tricks.sliding_window_view(hashes[start : start + SLICE + width - 1], width).min(axis=1))
+    return np.concatenate(keys)
+
+
+def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
+    """One hash per window of ``length`` words."""
+    if len(words) < length:
+        return EMPTY
+    powers = np.full((2, min(len(words), SLICE + length)), _STEP, dtype=np.uint64)
+    powers[1] = _BACK
+    powers[:, 0] = 1
+    powers = np.multiply.accumulate(powers, axis=1)
+    hashes = []
+    for start in range(0, len(words) - length + 1, SLICE):
+        part = words[start : start + SLICE + length - 1]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(part * powers[0, : len(part)], dtype=np.uint64)))
+        hashes.append(mix((sums[length:] - sums[:-length]) * powers[1, : len(part) - length + 1]))
+    return np.concatenate(hashes)
 
 
 def _sources(docs: DataFrame) -> DataFrame:
@@ -76,7 +87,7 @@ def _sources(docs: DataFrame) -> DataFrame:
 
 
 def _grams(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(key, name): the distinct first grams of the kept suffixes of each text."""
+    """(key, name): the distinct keys of the windows of each text."""
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("name", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +100,7 @@ def _grams(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 if len(words) < length or name in seen:
                     continue
                 seen.add(name)
-                key = np.unique(minimisers(words, length, gram)[1])
+                key = np.unique(window_keys(words, length, gram))
                 keys.append(key)
                 names.append(np.full(len(key), name, dtype=np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -99,13 +110,9 @@ def _grams(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def _suffixes(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(key, right, left, name, first, at) of the kept suffixes whose first gram several texts have.
-
-    Suffixes of one text with equal words on both sides are one row with all their positions ``at``.
-    """
-    names = ["key", "right", "left", "name", "first", "at"]
-    schema = "key long, right binary, left binary, name long, first long, at array<int>"
+def _windows(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """(hash, name, first, at) of the windows, by their start, whose key several texts have."""
+    names = ["hash", "name", "first", "at"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
@@ -113,150 +120,21 @@ def _suffixes(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 words = words_of(text)
                 if text_name(words) != name:
                     continue
-                positions, keys = minimisers(words, length, gram)
-                kept = np.isin(keys, np.array(shared, dtype=np.int64).view(np.uint64))
-                positions, keys = positions[kept], keys[kept]
-                short = np.concatenate((np.zeros(length, np.uint32), (words >> np.uint64(32)).astype(np.uint32) | np.uint32(1)))
-                short = np.concatenate((short, np.zeros(length, np.uint32))).astype(">u4")
-                reach = np.arange(length - gram)
-                for i in range(0, len(positions), 4096):
-                    at = positions[i : i + 4096]
-                    right = short[at[:, None] + length + gram + reach]
-                    left = short[at[:, None] + length - 1 - reach]
-                    places: dict[tuple[int, bytes, bytes], list[int]] = {}
-                    for k, r, l, p in zip(keys[i : i + 4096].view(np.int64).tolist(), right, left, at.tolist()):
-                        places.setdefault((k, r.tobytes(), l.tobytes()), []).append(p)
-                    columns = [list(c) for c in zip(*places)]
-                    rows = len(places)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(columns[0], pa.int64()),
-                            pa.array(columns[1], pa.binary()),
-                            pa.array(columns[2], pa.binary()),
-                            pa.array(np.full(rows, name, np.int64)),
-                            pa.array(np.full(rows, first, np.int64)),
-                            pa.array(list(places.values()), pa.list_(pa.int32())),
-                        ],
-                        names=names,
-                    )
-
-    return texts.select("text", "keys", "name", "first").mapInArrow(run, schema)
-
-
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Words that rows of equal places have in common from the start; 0 stands for no word."""
-    return np.cumprod((a == b) & (a != 0), axis=1, dtype=np.int8).sum(axis=1, dtype=np.int32)
-
-
-def _matched(rows: dict[str, np.ndarray], length: int, gram: int) -> dict[str, np.ndarray]:
-    """Start and end, from the suffix on, of what it shares with its neighbours: with any, and with those of an earlier document."""
-    n = len(rows["key"])
-    out = {c: np.full(n, fill, dtype=np.int32) for c, fill in (("start", 0), ("end", -1), ("cut_start", 0), ("cut_end", -1))}
-
-    def widen(start: str, end: str, i: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
-        fresh = out[end][i] < 0
-        out[start][i] = np.where(fresh, low, np.minimum(out[start][i], low))
-        out[end][i] = np.maximum(out[end][i], high)
-
-    for distance in range(1, min(NEIGHBOURS, n - 1) + 1):
-        i = np.flatnonzero((rows["key"][:-distance] == rows["key"][distance:]) & (rows["name"][:-distance] != rows["name"][distance:]))
-        j = i + distance
-        right, left = _common(rows["right"][i], rows["right"][j]), _common(rows["left"][i], rows["left"][j])
-        long = gram + right + left >= length
-        i, j, right, left = i[long], j[long], right[long], left[long]
-        second = (rows["first"][i] > rows["first"][j]) | ((rows["first"][i] == rows["first"][j]) & (rows["name"][i] > rows["name"][j]))
-        for mine, later in ((i, second), (j, ~second)):
-            low, high = -left, gram + right
-            widen("start", "end", mine, low, high)
-            widen("cut_start", "cut_end", mine[later], low[later], high[later])
-    return out
-
-
-#: Sorted by the words after the suffix's start, of equal ones the first document first; and by the words before it.
-ORDERS = (["key", "right", "first", "name", "left"], ["key", "left", "right", "first", "name"])
-
-
-def _compare(suffixes: DataFrame, order: list[str], length: int, gram: int) -> DataFrame:
-    """(name, start, end, cut_start, cut_end): what each suffix shares with its neighbours in sorted order."""
-    found = [("name", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("cut_start", pa.int32()), ("cut_end", pa.int32())]
-    context = [("key", pa.int64()), ("right", pa.binary()), ("left", pa.binary()), ("first", pa.int64()), ("at", pa.list_(pa.int32())), ("border", pa.int32())]
-    columns = found + context
-    words = length - gram
-
-    def numbers(batch: pa.Table) -> dict[str, np.ndarray]:
-        rows = {c: batch.column(c).to_numpy() for c in ("key", "name", "first")}
-        for side in ("right", "left"):
-            rows[side] = np.frombuffer(b"".join(batch.column(side).to_pylist()), dtype=">u4").reshape(-1, words)
-        return rows
-
-    def edge(rows: pa.Table, border: int) -> pa.RecordBatch:
-        values = {c: pa.nulls(rows.num_rows, k) for c, k in columns}
-        values |= {c: rows.column(c).combine_chunks() for c in rows.column_names}
-        values["border"] = pa.array(np.full(rows.num_rows, border, np.int32))
-        return pa.RecordBatch.from_arrays([values[c] for c, _ in columns], names=[c for c, _ in columns])
+                places = np.flatnonzero(np.isin(window_keys(words, length, gram), np.array(shared, dtype=np.int64).view(np.uint64)))
+                hashes = window_hashes(words, length)[places].view(np.int64)
+                for i in range(0, len(places), SLICE):
+                    at = places[i : i + SLICE].astype(np.int32)
+                    same = [pa.array(np.full(len(at), v, dtype=np.int64)) for v in (name, first)]
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes[i : i + SLICE]), *same, pa.array(at)], names=names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        tail, begun = None, False
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            if not begun:
-                yield edge(table.slice(0, NEIGHBOURS), task - 1)
-                begun = True
-            whole = table if tail is None else pa.concat_tables([tail, table])
-            rows = numbers(whole)
-            # pairs within the last rows of the batch before were compared with it already; doing so again changes nothing
-            shared = _matched(rows, length, gram)
-            spans = _placed(rows["name"], whole.column("at").to_pylist(), shared)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(spans[c], k) for c, k in found] + [pa.nulls(len(spans["name"]), k) for _, k in context],
-                names=[c for c, _ in columns],
-            )
-            tail = whole.slice(max(0, whole.num_rows - NEIGHBOURS))
-        if tail is not None:
-            yield edge(tail, task)
-
-    kinds = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary", pa.list_(pa.int32()): "array<int>"}
-    schema = ", ".join(f"`{c}` {kinds[k]}" for c, k in columns)
-    spread = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
-    compared = written(spread.mapInArrow(run, schema), "compared")
-
-    met = (
-        compared.filter("border IS NOT NULL")
-        .groupBy("border")
-        .applyInPandas(
-            lambda group: _border(group, order, words, length, gram),
-            "name long, start int, `end` int, cut_start int, cut_end int",
-        )
-    )
-    return compared.filter("border IS NULL").select("name", "start", "end", "cut_start", "cut_end").unionByName(met)
-
-
-def _placed(names: np.ndarray, places: list[list[int]], shared: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """One row (name, start, end, cut_start, cut_end) per position of the suffixes that share something; cut_end < 0: nothing to cut."""
-    hit = np.flatnonzero(shared["end"] >= 0)
-    counts = np.array([len(places[i]) for i in hit], dtype=np.int64)
-    at = np.array([p for i in hit for p in places[i]], dtype=np.int32)
-    of = np.repeat(hit, counts)
-    cut = shared["cut_end"][of] >= 0
-    return {
-        "name": names[of],
-        "start": at + shared["start"][of],
-        "end": at + shared["end"][of],
-        "cut_start": np.where(cut, at + shared["cut_start"][of], 0).astype(np.int32),
-        "cut_end": np.where(cut, at + shared["cut_end"][of], -1).astype(np.int32),
-    }
-
-
-def _border(group: pd.DataFrame, order: list[str], words: int, length: int, gram: int) -> pd.DataFrame:
-    """Neighbours across the border of two tasks, at most ``NEIGHBOURS`` rows of each; pairs of one side change nothing."""
-    group = group.sort_values(order, kind="stable").drop_duplicates(order)
-    rows = {c: group[c].to_numpy(dtype=np.int64) for c in ("key", "name", "first")}
-    for side in ("right", "left"):
-        rows[side] = np.frombuffer(b"".join(group[side]), dtype=">u4").reshape(-1, words)
-    return pd.DataFrame(_placed(rows["name"], [list(p) for p in group["at"]], _matched(rows, length, gram)))
+    return texts.select("text", "keys", "name", "first").mapInArrow(run, "hash long, name long, first long, at int")
+
+
+def _held(windows: DataFrame, before: Column) -> DataFrame:
+    """(name, at, later) of the windows that several texts hold; ``later``: a text that comes first by ``before`` holds it too."""
+    least = windows.groupBy("hash").agg(F.min(before).alias("least"), F.min("name").alias("a"), F.max("name").alias("b"))
+    held = written(least.filter("a <> b").select("hash", "least"), "held")  # so that the join splits a window of very many texts
+    return windows.join(held, "hash").select("name", "at", (before > F.col("least")).alias("later"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -270,20 +148,20 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(s) for s in out]
 
 
-def _joined(found: DataFrame) -> DataFrame:
-    """Adds ``repeated`` and ``cut``, the joined spans of each row, from the lists of the same names."""
+def _joined(found: DataFrame, length: int) -> DataFrame:
+    """(name, every, later): the joined spans of each text, from the lists of the starts of its windows."""
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def compute():
         def join(column: pa.Array) -> pa.Array:
-            lists = [merged([(x["start"], x["end"]) for x in v or []]) for v in column.to_pylist()]
+            lists = [merged([(p, p + length) for p in v]) for v in column.to_pylist()]
             return pa.array([[{"start": a, "end": b} for a, b in v] for v in lists], kind)
 
         return lambda every, later: [join(every), join(later)]
 
-    added = T.StructType([T.StructField("repeated", span), T.StructField("cut", span)])
-    return with_arrow_columns(found, ["every", "later"], added, compute)
+    added = T.StructType([T.StructField("every", span), T.StructField("later", span)])
+    return with_arrow_columns(found, ["every_at", "later_at"], added, compute).select("name", "every", "later")
 
 
 def repeated_passages(
@@ -294,8 +172,7 @@ def repeated_passages(
     ``repeated`` are the spans (start, end in words, end exclusive) of at least ``length`` words that other documents hold too, ``cut``
     those of them that a document before it holds (by id, nulls last), so that leaving out ``cut`` keeps one copy. A text
     that is whole in another document is repeated whole, and cut whole but for the smallest id. Repeats within one
-    document do not count. A suffix is compared with ``NEIGHBOURS`` neighbours on each side in sorted order. Null, empty and
-    short texts have no spans, repeated rows stay, other columns are not read and an empty table gives an empty one.
+    document do not count. Null, empty and short texts have no spans, repeated rows stay, other columns are not read and an empty table gives an empty one.
     """
     docs = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     sources = written(_sources(docs), "sources")
@@ -309,19 +186,19 @@ def repeated_passages(
     texts = docs.filter("text IS NOT NULL").join(ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi")
     first = F.coalesce("wanted_id", F.lit(LAST)).alias("first")
     with_keys = texts.join(shared, F.col("id").eqNullSafe(F.col("wanted_id"))).select("text", "keys", "name", first)
-    suffixes = written(_suffixes(with_keys, length, gram), "suffixes")
-    found = reduce(DataFrame.unionByName, [_compare(suffixes, order, length, gram) for order in ORDERS])
-    spans = found.groupBy("name").agg(
-        F.collect_set(F.struct("start", "end")).alias("every"),
-        F.collect_set(F.when(F.col("cut_end") >= 0, F.struct(F.col("cut_start").alias("start"), F.col("cut_end").alias("end")))).alias("later"),
-    )
+    windows = written(_windows(with_keys, length, gram), "windows")
+    before = F.col("first")
+    if shared.groupBy("wanted_id").count().filter("count > 1").limit(1).count():
+        before = F.struct("first", "name")  # texts that share their smallest id
+    held = _held(windows, before).groupBy("name")
+    spans = _joined(held.agg(F.collect_list("at").alias("every_at"), F.collect_list(F.when(F.col("later"), F.col("at"))).alias("later_at")), length)
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
     copied = (F.col("copies") > 1) & (F.col("n_words") >= length)
     all_rows = sources.join(classes, "name", "left").join(spans, "name", "left")
-    lists = all_rows.select(
+    none = F.slice(whole, 1, 0)
+    return all_rows.select(
         F.col("id").alias("doc_id"),
         "n_words",
-        F.when(copied, whole).otherwise(F.col("every")).alias("every"),
-        F.when(copied & ~F.col("id").eqNullSafe(F.col("wanted_id")), whole).otherwise(F.col("later")).alias("later"),
+        F.when(copied, whole).otherwise(F.coalesce("every", none)).alias("repeated"),
+        F.when(copied & ~F.col("id").eqNullSafe(F.col("wanted_id")), whole).otherwise(F.coalesce("later", none)).alias("cut"),
     )
-    return _joined(lists).drop("every", "later")

@@ -78,3 +78,30 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     got = sorted(((r["doc_id"], len(r["repeated"]), len(r["cut"])) for r in repeated_passages(df).collect()), key=str)
     assert got == [(1, 1, 0), (1, 1, 0), (None, 0, 0), (None, 1, 1)]
     assert repeated_passages(df.limit(0)).count() == 0
+
+
+def test_every_copy_of_a_hot_passage_is_cut(spark):
+    rnd = random.Random(4)
+    passage = [f"p{i}" for i in range(51)]
+    noise = lambda: [f"{rnd.random():.9f}" for _ in range(9)]
+    rows = [(i, " ".join(noise() + passage + noise())) for i in range(600)]
+    rows.append((600, " ".join(w for _ in range(30) for w in noise() + passage)))
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    want = brute(rows, suffixes.LENGTH)
+    assert {r["doc_id"]: ([tuple(s) for s in r["repeated"]], [tuple(s) for s in r["cut"]]) for r in got} == want
+    assert all(v[1] for i, v in want.items() if i)
+
+
+def test_texts_of_one_id_keep_one_copy(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(None, f"a {passage}"), (None, f"b {passage}"), (None, f"c {passage}")]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [len(r["repeated"]) for r in got] == [1, 1, 1] and sum(len(r["cut"]) for r in got) == 2
+
+
+def test_window_hashes_over_slices(monkeypatch):
+    words = suffixes.words_of(" ".join(str(i % 97) for i in range(500)))
+    whole, keys = suffixes.window_hashes(words, 50), suffixes.window_keys(words, 50, 16)
+    monkeypatch.setattr(suffixes, "SLICE", 40)
+    assert (suffixes.window_hashes(words, 50) == whole).all() and (suffixes.window_keys(words, 50, 16) == keys).all()
+    assert len(whole) == 451 and len(set(whole.tolist())) == 97 and (whole[:-97] == whole[97:]).all()
