@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import chat, language, mixing, neardup, pieces, quality, secrets, setjoin, suffixes, tokencount
+from ratelens.llm import chat, contamination, language, mixing, neardup, pieces, quality, secrets, setjoin, suffixes, tokencount
+from ratelens.llm.sql import SQL  # noqa: F401  the SQL of the queries below that have one
 from ratelens.session import configure
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -114,6 +115,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = configure(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = contamination.contamination(documents(spark, sf_dir).select("doc_id", "text"), benchmark, size=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        hex_digest(F.array_join("items", ",")).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_chat_formatting": op2_chat_formatting,
@@ -125,5 +139,5 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op11_benchmark_decontamination": op11_benchmark_decontamination,
 }
-SQL: dict[str, str] = {}  # no operator here can be written in SQL at the size of the tables
