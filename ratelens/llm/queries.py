@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import chat, contamination, language, mixing, neardup, pieces, quality, secrets, setjoin, suffixes, tokencount
+from ratelens.llm import chat, contamination, language, mixing, neardup, pieces, quality, secrets, setjoin, suffixes, tokencount, variants
 from ratelens.llm.sql import SQL  # noqa: F401  the SQL of the queries below that have one
 from ratelens.session import configure
 
@@ -128,6 +128,10 @@ def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(documents(spark, sf_dir), min_chars=5, min_count=3, noise=97, ratio=2)
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_chat_formatting": op2_chat_formatting,
@@ -140,4 +144,5 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
     "op11_benchmark_decontamination": op11_benchmark_decontamination,
+    "op12_spelling_variants": op12_spelling_variants,
 }
