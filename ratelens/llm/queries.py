@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import chat, contamination, language, mixing, neardup, pieces, quality, secrets, setjoin, suffixes, tokencount, variants
+from ratelens.llm import chat, contamination, language, mixing, neardup, pieces, quality, search, secrets, setjoin, suffixes, tokencount, variants
 from ratelens.llm.sql import SQL  # noqa: F401  the SQL of the queries below that have one
 from ratelens.session import configure
 
@@ -132,6 +132,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(documents(spark, sf_dir), min_chars=5, min_count=3, noise=97, ratio=2)
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = configure(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    return search.ranked_search(documents(spark, sf_dir), benchmark, k=50)
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_chat_formatting": op2_chat_formatting,
@@ -145,4 +150,5 @@ QUERIES: dict[str, Query] = {
     "op10_language_id": op10_language_id,
     "op11_benchmark_decontamination": op11_benchmark_decontamination,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_ranked_search": op13_ranked_search,
 }

@@ -71,4 +71,29 @@ SELECT word, f.form, at_word AS root, n, CAST(n_near AS BIGINT) AS n_near, CAST(
 FROM forms f JOIN (SELECT word, at_word FROM chain WHERE form IS NULL) USING (word)
 """
 
-SQL: dict[str, str] = {"op11_benchmark_decontamination": OP11, "op12_spelling_variants": OP12}
+OP13 = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+'), []) AS terms FROM documents
+), counted AS (
+    SELECT r, doc_id, len(terms) AS n, terms FROM docs WHERE len(terms) > 0
+), totals AS (
+    SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM counted
+), lengths AS (
+    SELECT r, doc_id, 100 - 50 + (50 * n * big_n) // big_l AS m FROM counted, totals
+), item_terms AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS term FROM benchmark
+), tfs AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM counted) WHERE term IN (SELECT term FROM item_terms) GROUP BY r, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, totals GROUP BY term, big_n
+), scores AS (
+    SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+    FROM item_terms JOIN weights USING (term) JOIN tfs USING (term) JOIN lengths USING (r) GROUP BY item_id, r
+), ranked AS (
+    SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS place
+    FROM scores JOIN lengths USING (r) WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+"""
+
+SQL: dict[str, str] = {"op11_benchmark_decontamination": OP11, "op12_spelling_variants": OP12, "op13_ranked_search": OP13}
