@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens.functions.numeric import dec, mean_of, rounded
-from ratelens.functions.parsing import is_unparsed, parse_date, parse_number, parse_timestamp, value_class
+from ratelens.functions.parsing import is_unparsed, number_text, parse_date, parse_number, parse_timestamp, value_class
 from ratelens.functions.ranking import top_per_group
 from ratelens.sources import schemas
 from ratelens.sources.schemas import conform
@@ -92,49 +92,73 @@ def _sources(kind: str) -> list[str]:
     return [source for source, _, k in FIELD_MAP if k == kind]
 
 
+#: Numbers stay texts until their column is known: a decimal is cast from its digits, not by way of a double.
+READERS = {"number": number_text, "date": parse_date, "time": parse_timestamp}
+
+
+def _texts(kind: str) -> list[str]:
+    """Source fields of a kind; the other spellings of the effective date come after the dates."""
+    return _sources(kind) + (EFFECTIVE_FIELDS[1:] if kind == "date" else [])
+
+
+def _given(text: Column) -> Column:
+    return text.isNotNull() & (text != "")
+
+
+def _read(kind: str):
+    return lambda text: F.when(_given(text), READERS[kind](text))
+
+
 def _with_parsed(records: DataFrame) -> DataFrame:
-    """Raw values and parsed values of the number, date and time fields, as one array per kind.
+    """Adds raw values and parsed values of the number, date and time fields, as one array per kind.
 
-    One lambda per kind keeps the generated code small; an expression per field makes methods that the JVM
-    refuses to compile.
+    One lambda per kind keeps the generated code small; an expression per field makes methods that the JVM refuses to compile.
     """
-    numbers, dates, times = (F.array(*[_field(f) for f in _sources(k)]) for k in ("number", "date", "time"))
-    effective = F.coalesce(*[parse_date(_field(f)) for f in EFFECTIVE_FIELDS[1:]])
-    return (
-        _with_fields(records)
-        .withColumns({"raw_numbers": numbers, "raw_dates": dates, "raw_times": times, "other_effective": effective})
-        .withColumns(
-            {
-                "numbers": F.transform("raw_numbers", parse_number),
-                "dates": F.transform("raw_dates", lambda text: parse_date(text)),
-                "times": F.transform("raw_times", parse_timestamp),
-            }
-        )
-    )
+    read = _with_fields(records).withColumns({f"raw_{kind}s": F.array(*[_field(f) for f in _texts(kind)]) for kind in READERS})
+    return read.withColumns({f"{kind}s": F.transform(f"raw_{kind}s", _read(kind)) for kind in READERS})
 
 
 def _stored(column: str, value: Column) -> Column:
-    """A parsed value as its column holds it; NULL where it does not fit."""
-    fits = value.try_cast(TYPES[column])
-    return F.when(value == F.floor(value), fits) if column in WHOLE else fits
+    """A number, or another parsed value, as its column holds it; NULL where it does not fit."""
+    if column not in WHOLE:
+        return value.try_cast(TYPES[column])
+    number = value.try_cast("double")
+    return F.when(number == F.floor(number), number.try_cast(TYPES[column]))
+
+
+def _value(source: str, column: str, kind: str) -> Column:
+    if kind == "text":
+        return F.coalesce(_field(source), F.lit("")).try_cast(TYPES[column])
+    values = F.col(f"{kind}s")
+    value = values[_texts(kind).index(source)]
+    if source == "Effective Date":
+        value = F.coalesce(value, *[values[_texts(kind).index(f)] for f in EFFECTIVE_FIELDS[1:]])
+    return _stored(column, value)
+
+
+def typed_records(records: DataFrame) -> DataFrame:
+    """Raw records ``(id, page, fields)`` as typed columns, with ``page``, ``broken`` and ``unreadable``; the text is parsed once.
+
+    Unknown text is empty, values that cannot be read or held are NULL, and so is everything in a record whose JSON cannot be read.
+    """
+    extra = ["page"] if "page" in records.columns else []
+    columns = [_value(*field).alias(field[1]) for field in FIELD_MAP]
+    fits = F.array(*[F.col(column).isNotNull() for _, column, kind in FIELD_MAP if kind == "number"])
+    typed = _with_parsed(records).select(
+        F.col("id").alias("Record_ID"), *columns, *extra, "unreadable", *[c for kind in READERS for c in (f"raw_{kind}s", f"{kind}s")]
+    )
+    unread = [F.exists(F.zip_with(f"raw_{kind}s", f"{kind}s", is_unparsed), lambda bad: bad) for kind in ("date", "time")]
+    too_large = F.exists(F.zip_with("raw_numbers", fits, lambda text, fit: _given(text) & ~fit), lambda bad: bad)
+    broken = F.col("unreadable") | F.coalesce(too_large | unread[0] | unread[1], F.lit(False))
+    return typed.select("Record_ID", *[column for _, column, _ in FIELD_MAP], *extra, broken.alias("broken"), "unreadable")
 
 
 def raw_to_filings(records: DataFrame) -> DataFrame:
-    """Raw records ``(id, fields)`` as typed filings: unknown text is empty, values that cannot be read or held are NULL.
+    """Raw records ``(id, fields)`` as typed filings, see ``typed_records``.
 
     Records whose JSON cannot be read give no filing; ``unreadable_records`` has them.
     """
-    columns = []
-    for source, column, kind in FIELD_MAP:
-        if kind == "text":
-            value = F.coalesce(_field(source), F.lit("")).try_cast(TYPES[column])
-        else:
-            value = F.col(f"{kind}s")[_sources(kind).index(source)]
-            if source == "Effective Date":
-                value = F.coalesce(value, F.col("other_effective"))
-            value = _stored(column, value)
-        columns.append(value.alias(column))
-    return _with_parsed(records).filter(~F.col("unreadable")).select(F.col("id").alias("Record_ID"), *columns)
+    return typed_records(records).filter(~F.col("unreadable")).select("Record_ID", *[column for _, column, _ in FIELD_MAP])
 
 
 def unreadable_records(records: DataFrame) -> DataFrame:
@@ -158,20 +182,7 @@ def parse_timestamps(records: DataFrame, column: str) -> DataFrame:
 
 def parse_error_count(records: DataFrame) -> DataFrame:
     """Per page the records of which something given could not be read or does not fit its column."""
-    broken = F.col("unreadable")
-    for source, column, kind in FIELD_MAP:
-        if kind == "number":
-            value = F.col("numbers")[_sources("number").index(source)]
-            broken = broken | is_unparsed(_field(source), _stored(column, value))
-    for kind in ("date", "time"):
-        broken = broken | F.exists(F.zip_with(f"raw_{kind}s", f"{kind}s", is_unparsed), lambda bad: bad)
-    for source in EFFECTIVE_FIELDS[1:]:
-        broken = broken | is_unparsed(_field(source), parse_date(_field(source)))
-    return (
-        _with_parsed(records)
-        .groupBy("page")
-        .agg(F.count(F.lit(1)).alias("records"), F.count_if(broken).alias("parsing_errors"))
-    )
+    return typed_records(records).groupBy("page").agg(F.count(F.lit(1)).alias("records"), F.count_if("broken").alias("parsing_errors"))
 
 
 # --- which records to fetch ---------------------------------------------------------------------------
