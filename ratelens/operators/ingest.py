@@ -81,11 +81,12 @@ def _with_fields(records: DataFrame) -> DataFrame:
         parsed = F.from_json("fields", schema, {"columnNameOfCorruptRecord": CORRUPT})
         # as the output of a generator, so that a filter on the fields doesn't parse the text a second time
         others = [F.col(c) for c in records.columns if c != "fields"]
-        read = records.select(*others, F.explode(F.array(parsed)).alias("fields"))
+        read = records.select(*others, F.col("fields").alias("given"), F.explode(F.array(parsed)).alias("fields"))
         unreadable = F.col("fields").isNull() | F.col(f"fields.{CORRUPT}").isNotNull()
-        return read.withColumn("unreadable", unreadable)
+        return read.withColumn("unreadable", unreadable).withColumn("raw", F.when(F.col("unreadable"), F.col("given"))).drop("given")
     named = F.struct(*[F.try_element_at(F.col("fields"), F.lit(n)).alias(n) for n in names])
-    return records.withColumn("unreadable", F.col("fields").isNull()).withColumn("fields", named)
+    missing = F.col("fields").isNull()
+    return records.withColumns({"unreadable": missing, "raw": F.lit(None).cast("string"), "fields": named})
 
 
 def _sources(kind: str) -> list[str]:
@@ -137,20 +138,21 @@ def _value(source: str, column: str, kind: str) -> Column:
 
 
 def typed_records(records: DataFrame) -> DataFrame:
-    """Raw records ``(id, page, fields)`` as typed columns, with ``page``, ``broken`` and ``unreadable``; the text is parsed once.
+    """Raw records ``(id, page, fields)`` as typed columns, with ``page``, ``broken``, ``unreadable`` and ``raw``; the text is parsed once.
 
-    Unknown text is empty, values that cannot be read or held are NULL, and so is everything in a record whose JSON cannot be read.
+    Unknown text is empty, values that cannot be read or held are NULL, and so is everything in a record whose JSON cannot be read;
+    ``raw`` has its text.
     """
     extra = ["page"] if "page" in records.columns else []
     columns = [_value(*field).alias(field[1]) for field in FIELD_MAP]
     fits = F.array(*[F.col(column).isNotNull() for _, column, kind in FIELD_MAP if kind == "number"])
     typed = _with_parsed(records).select(
-        F.col("id").alias("Record_ID"), *columns, *extra, "unreadable", *[c for kind in READERS for c in (f"raw_{kind}s", f"{kind}s")]
+        F.col("id").alias("Record_ID"), *columns, *extra, "unreadable", "raw", *[c for kind in READERS for c in (f"raw_{kind}s", f"{kind}s")]
     )
     unread = [F.exists(F.zip_with(f"raw_{kind}s", f"{kind}s", is_unparsed), lambda bad: bad) for kind in ("date", "time")]
     too_large = F.exists(F.zip_with("raw_numbers", fits, lambda text, fit: _given(text) & ~fit), lambda bad: bad)
     broken = F.col("unreadable") | F.coalesce(too_large | unread[0] | unread[1], F.lit(False))
-    return typed.select("Record_ID", *[column for _, column, _ in FIELD_MAP], *extra, broken.alias("broken"), "unreadable")
+    return typed.select("Record_ID", *[column for _, column, _ in FIELD_MAP], *extra, broken.alias("broken"), "unreadable", "raw")
 
 
 def raw_to_filings(records: DataFrame) -> DataFrame:
@@ -163,9 +165,8 @@ def raw_to_filings(records: DataFrame) -> DataFrame:
 
 def unreadable_records(records: DataFrame) -> DataFrame:
     """The records whose JSON cannot be read, as they came."""
-    return records.withColumn("raw", F.col("fields")).transform(_with_fields).filter("unreadable").select(
-        *[c for c in records.columns if c != "fields"], F.col("raw").alias("fields")
-    )
+    others = [c for c in records.columns if c != "fields"]
+    return _with_fields(records).filter("unreadable").select(*others, F.col("raw").alias("fields"))
 
 
 def parse_numbers(records: DataFrame, column: str) -> DataFrame:
@@ -212,10 +213,15 @@ def sync_mode_resolve(history: DataFrame, since: datetime | None = None) -> Data
     )
 
 
-def incremental_filter(records: DataFrame, last_sync: datetime | Column, column: str) -> DataFrame:
-    """Records changed since the last sync, with five minutes of overlap for clock skew."""
+def is_recent(modified: Column, last_sync: datetime | Column) -> Column:
+    """Changed since the last sync, with five minutes of overlap for clock skew."""
     last = F.lit(last_sync).cast("timestamp_ntz") if isinstance(last_sync, datetime) else last_sync
-    return records.filter(F.col(column) > last - F.expr("INTERVAL '5' MINUTES"))
+    return modified > last - F.expr("INTERVAL '5' MINUTES")
+
+
+def incremental_filter(records: DataFrame, last_sync: datetime | Column, column: str) -> DataFrame:
+    """Records changed since the last sync, see ``is_recent``."""
+    return records.filter(is_recent(F.col(column), last_sync))
 
 
 # --- duplicate guard ----------------------------------------------------------------------------------
@@ -243,9 +249,9 @@ def _is_newer(new: Column, old: Column) -> Column:
     return F.coalesce(new > old, new.isNotNull() & old.isNull())
 
 
-def _known(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Ids and times of the target rows that the batch touches; at most as many rows as the batch."""
-    return target.select("Record_ID", F.col(MODIFIED).alias("stored_modified")).join(
+def _known(target: DataFrame, batch: DataFrame, *columns: str) -> DataFrame:
+    """Ids, times and ``columns`` of the target rows that the batch touches; at most as many rows as the batch."""
+    return target.select("Record_ID", F.col(MODIFIED).alias("stored_modified"), *columns).join(
         batch.select("Record_ID"), "Record_ID", "left_semi"
     )
 
@@ -271,12 +277,17 @@ def upsert(target: DataFrame, batch: DataFrame) -> DataFrame:
     return merged.unionByName(conform(added, target.schema))
 
 
-def upsert_actions(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """What the merge does with each batch row: inserted, updated or skipped."""
-    known = _known(target, batch).withColumn("found", F.lit(True))
+def with_actions(target: DataFrame, batch: DataFrame, *columns: str) -> DataFrame:
+    """The batch with ``action``, what the merge does with a row (inserted, updated or skipped), and ``columns`` of the target's row."""
+    known = _known(target, batch, *columns).withColumn("found", F.lit(True))
     newer = _is_newer(F.col(MODIFIED), F.col("stored_modified"))
     action = F.when(F.col("found").isNull(), "inserted").when(newer, "updated").otherwise("skipped")
-    return batch.join(known, "Record_ID", "left").select("Record_ID", action.alias("action"))
+    return batch.join(known, "Record_ID", "left").withColumn("action", action).drop("found", "stored_modified")
+
+
+def upsert_actions(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """What the merge does with each batch row: inserted, updated or skipped."""
+    return with_actions(target, batch).select("Record_ID", "action")
 
 
 def upsert_change_counts(target: DataFrame, batch: DataFrame) -> DataFrame:

@@ -12,10 +12,10 @@ from ratelens.functions.dates import month_number
 from ratelens.functions.states import state_abbr
 from ratelens.operators import agents, dashboard, delivery, health, ingest, market, newsletter, records
 from ratelens.plans import findings
-from ratelens.plans.sync import sync
+from ratelens.plans.sync import read_history, sync
 from ratelens.session import configure, work_dir
 from ratelens.sources import report_files, tables
-from ratelens.sources.snapshots import read_current
+from ratelens.sources.stored import read_filings
 from ratelens.streaming import email_status
 
 AS_OF = date(2001, 6, 17)
@@ -61,13 +61,13 @@ def _sync_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _raw_maps(spark, sf_dir)
     sync(spark, records.filter("page % 3 <> 0"), base, now=datetime(2001, 7, 1))
     sync(spark, records, base, now=datetime(2001, 7, 2), since=datetime(1990, 1, 1))
-    stored = read_current(spark, f"{base}/filings").agg(
+    stored = read_filings(spark, f"{base}/filings").agg(
         F.count(F.lit(1)).alias("stored_rows"),
         F.sum("Premium_Change_Number").cast("double").alias("stored_rates"),
         F.sum("Policyholders_Affected_Number").alias("stored_policies"),
     )
     counts = [f"records_{c}" for c in ("processed", "inserted", "updated", "skipped")]
-    history = read_current(spark, f"{base}/sync_history")
+    history = read_history(spark, base)
     return history.select("sync_id", "sync_mode", "status", *counts, "parsing_errors").crossJoin(stored)  # one row
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ratelens.functions.parsing import parse_date, parse_number, parse_timestamp
 from ratelens.operators import ingest
-from ratelens.plans.sync import sync
-from ratelens.sources.schemas import read_filings
-from ratelens.sources.snapshots import current_version, read_current
+from ratelens.plans import sync as sync_module
+from ratelens.plans.sync import read_history, sync
+from ratelens.sources.stored import read_filings
 
 
 def parsed(spark, texts, function):
@@ -98,28 +98,62 @@ def test_values_that_do_not_fit_and_unreadable_records_count(records):
     assert sorted(r.id for r in ingest.unreadable_records(df).collect()) == ["f", "g"]
 
 
+def files_of(base):
+    """Data files of the table by year."""
+    found = {}
+    for f in (base / "filings").glob("effective_year=*/*.parquet"):
+        found.setdefault(int(f.parent.name.split("=")[1]), set()).add(f.name)
+    return found
+
+
 def test_only_touched_years_are_rewritten_and_read(spark, records, tmp_path):
     base = str(tmp_path / "db")
     dates = {"a": "2021-03-01", "b": "2022-03-01", "c": "2023-03-01", "d": ""}
     sync(spark, records(*[record(i, **{"Effective Date": d}) for i, d in dates.items()]), base, now=datetime(2024, 5, 16))
+    before = files_of(tmp_path / "db")
+    assert set(before) == {0, 2021, 2022, 2023}
     moved = record("b", modified="2024-05-20T00:00:00.000Z", **{"Effective Date": "2023-06-01"})
     result = sync(spark, records(moved), base, now=datetime(2024, 5, 21))
     assert (result["records_updated"], result["total_records"]) == (1, 4)
-    files = {f.split("written=")[1] for f in read_current(spark, f"{base}/filings").inputFiles()}
-    places = {tuple(f.split("/")[:2]) for f in files}
-    assert places == {("1", "effective_year=0"), ("1", "effective_year=2021"), ("2", "effective_year=2023")}
+    after = files_of(tmp_path / "db")
+    assert set(after) == {0, 2021, 2023}  # the year that lost its only row has no folder any more
+    assert after[0] == before[0] and after[2021] == before[2021] and not after[2023] & before[2023]
     some = read_filings(spark, f"{base}/filings", date(2023, 1, 1), date(2023, 12, 31))
     assert sorted(r.Record_ID for r in some.collect()) == ["b", "c"]
-    assert all("effective_year=2023" in f for f in some.inputFiles())
+    assert "PartitionFilters: [isnotnull(effective_year" in some._jdf.queryExecution().executedPlan().toString()
 
 
-def test_old_versions_go(spark, records, tmp_path):
+def test_nothing_is_left_behind(spark, records, tmp_path):
     base = str(tmp_path / "db")
-    for day in range(1, 5):
+    for day in range(1, 4):
         sync(spark, records(record("a", modified=f"2024-06-{day:02d}T00:00:00.000Z")), base, now=datetime(2024, 6, day, 1))
-    assert len(list((tmp_path / "db" / "filings" / "_list").glob("v*"))) == 2
-    assert len(list((tmp_path / "db" / "filings").glob("written=*/effective_year=*"))) == 2
-    assert read_current(spark, f"{base}/filings").count() == 1
+    assert len(list((tmp_path / "db" / "filings").glob("effective_year=*"))) == 1
+    assert not list((tmp_path / "db" / "work").glob("*")) and len(list((tmp_path / "db" / "batches").glob("sync=*"))) == 3
+    assert read_filings(spark, f"{base}/filings").count() == 1 and read_history(spark, base).count() == 3
+
+
+def test_a_merge_that_broke_off_is_finished(spark, records, tmp_path, monkeypatch):
+    base = str(tmp_path / "db")
+    sync(spark, records(record("a"), record("b")), base, now=datetime(2024, 6, 1))
+    with monkeypatch.context() as broken:
+        broken.setattr(sync_module, "_put_in_place", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sync(spark, records(record("a", modified="2024-06-02T00:00:00.000Z", **{"Parent Company": "Late"})), base, now=datetime(2024, 6, 2))
+    assert {r.Company for r in read_filings(spark, f"{base}/filings").collect()} == {"Harbour Mutual"}
+    assert [r.status for r in read_history(spark, base).orderBy("sync_id").collect()] == ["completed", "merged"]
+    result = sync(spark, records(record("c", modified="2024-06-03T00:00:00.000Z")), base, now=datetime(2024, 6, 3))
+    assert result["sync_mode"] == "incremental" and result["total_records"] == 3
+    assert {r.Record_ID: r.Company for r in read_filings(spark, f"{base}/filings").collect()}["a"] == "Late"
+    history = read_history(spark, base).orderBy("sync_id").collect()
+    assert [(r.status, r.records_updated) for r in history] == [("completed", 0), ("completed", 1), ("completed", 0)]
+
+
+def test_records_are_parsed_once_and_unreadable_ones_kept(spark, records, tmp_path):
+    base = str(tmp_path / "db")
+    result = sync(spark, records(record("a"), ("f", 1, '{"Parent Company": "cut o'), ("g", 1, None)), base, now=datetime(2024, 6, 1))
+    assert (result["records_processed"], result["parsing_errors"], result["total_records"]) == (1, 2, 1)
+    landed = spark.read.parquet(f"{base}/batches/sync=1").filter("unreadable").orderBy("Record_ID").collect()
+    assert [(r.Record_ID, r.raw) for r in landed] == [("f", '{"Parent Company": "cut o'), ("g", None)]
 
 
 def target(spark, *rows):
@@ -175,12 +209,12 @@ def test_five_minutes_of_overlap(spark):
 def test_repeated_id_fails_and_writes_nothing(spark, records, tmp_path, pages):
     base = str(tmp_path / "db")
     sync(spark, records(record("a")), base, now=datetime(2024, 6, 1))
-    before = current_version(spark, f"{base}/filings")
+    before = files_of(tmp_path / "db")
     copies = [record("dup", page, modified="2024-06-01T12:00:00.000Z") for page in pages]
     result = sync(spark, records(*copies), base, now=datetime(2024, 6, 2))
     assert not result["success"] and "dup" in result["error_message"]
-    assert current_version(spark, f"{base}/filings") == before
-    history = read_current(spark, f"{base}/sync_history").orderBy("sync_id").collect()
+    assert files_of(tmp_path / "db") == before
+    history = read_history(spark, base).orderBy("sync_id").collect()
     assert [h.status for h in history] == ["completed", "failed"]
 
 
@@ -196,12 +230,12 @@ def test_sync_runs(spark, records, tmp_path):
     second = sync(spark, records(*later), base, now=datetime(2024, 5, 21))
     assert (second["sync_mode"], second["records_processed"]) == ("incremental", 2)
     assert (second["records_inserted"], second["records_updated"], second["parsing_errors"]) == (1, 1, 1)
-    stored = {r.Record_ID: r.Company for r in read_current(spark, f"{base}/filings").collect()}
+    stored = {r.Record_ID: r.Company for r in read_filings(spark, f"{base}/filings").collect()}
     assert stored == {"a": "Changed", "b": "Harbour Mutual", "c": "Harbour Mutual"}
-    version = current_version(spark, f"{base}/filings")
+    before = files_of(tmp_path / "db")
     again = sync(spark, records(*later), base, now=datetime(2024, 5, 22), since=datetime(2024, 5, 1))
     assert (again["sync_mode"], again["records_inserted"], again["records_updated"], again["records_skipped"]) == ("manual", 0, 0, 3)
-    assert current_version(spark, f"{base}/filings") == version
+    assert files_of(tmp_path / "db") == before
 
 
 def test_old_layout(spark):
