@@ -32,7 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,17 +88,14 @@ def allocation(space: int, percent: int) -> Space:
     segments = 1 + max(most_different(t, percent) for t in range(max(2, total - 200), total + 1))
     if segments <= 16:
         return Space(segments, segments // 2, segments)
-    empty = segments * math.exp(-low / segments)
-
-    def cost(spare: int) -> float:
-        chance, tail = math.exp(-empty), 1.0
-        for k in range(spare + 1):
-            tail -= chance
-            chance *= empty / (k + 1)
-        return (spare + 1) * low / segments + max(tail, 0.0) * low
-
-    spare = min(range(1, segments // 2), key=cost)
-    return Space(segments, spare, spare + 1)
+    empty = max(segments * math.exp(-low / segments), 1e-300)  # expected; their number is close to a Poisson variable
+    last = min(segments // 2, math.ceil(empty + 12 * math.sqrt(empty)) + 30)  # beyond it the tail is next to nothing and cost rises
+    spare = np.arange(last)
+    log_chance = spare * math.log(empty) - empty - np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, last)))))
+    tail = np.maximum(1.0 - np.cumsum(np.exp(log_chance)), 0.0)
+    cost = (spare + 1) * low / segments + tail * low
+    best = 1 + int(np.argmin(cost[1:]))
+    return Space(segments, best, best + 1)
 
 
 def _even(total: np.ndarray, count: int) -> int:
@@ -243,7 +240,7 @@ def packed(keys: np.ndarray, places: np.ndarray, tags: np.ndarray, names: np.nda
 
 def _keys(texts: DataFrame, size: int, percent: int, part_ids: list[int]) -> DataFrame:
     """The keys of all sets, packed by part of the key space (see ``packed``)."""
-    ids = np.array(part_ids, dtype=np.uint16)
+    ids = np.array(part_ids, dtype=np.uint32)
     columns = ["part", "keys", "names", "place", "low", "high", "homes"]
 
     def rows_of(keys: list[np.ndarray], tags: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
@@ -280,12 +277,12 @@ def _keys(texts: DataFrame, size: int, percent: int, part_ids: list[int]) -> Dat
 
 
 def _part_ids(spark: SparkSession) -> list[int]:
-    """A number for each shuffle partition that Spark deals into it; at most 32,767, which leaves room beside the key."""
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2000)
+    """A number for each shuffle partition that Spark deals into it; there is room for 8 million beside the key."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     numbers = spark.range(20 * partitions + 100).select(F.col("id").cast("int").alias("number"))
     dealt = numbers.groupBy(F.pmod(F.hash("number"), F.lit(partitions)).alias("to")).agg(F.min("number").alias("number"))
     found = [r["number"] for r in dealt.orderBy("to").collect()]
-    return [n for n in found if n < 2**15] or [0]
+    return found
 
 
 def _shared(keys: DataFrame, partitions: int) -> DataFrame:
@@ -302,7 +299,7 @@ def _shared(keys: DataFrame, partitions: int) -> DataFrame:
                 halves = [np.frombuffer(h, dtype=np.uint16).astype(np.int32) for h in (low, high)]
                 tags.append(halves[0] | (halves[1] << 16))
                 home = np.full(len(wide), part, dtype=np.int64)
-                home[tags[-1] & 4 > 0] = np.frombuffer(homes, dtype=np.uint16)
+                home[tags[-1] & 4 > 0] = np.frombuffer(homes, dtype=np.uint32)
                 keys.append(named_key(wide.view("<u8").ravel(), home))
         if not keys:
             return
@@ -428,7 +425,7 @@ def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
 
 def _heavy(rows: DataFrame, hot: DataFrame, tokens: DataFrame, percent: int, part_ids: list[int]) -> DataFrame:
     """(key, name) of hot keys that the set must use, having more useless segments in the space than its spare ones."""
-    numbers = np.array(part_ids, dtype=np.uint16)
+    numbers = np.array(part_ids, dtype=np.uint32)
     schema = "name long, space int, key long, empty int, spare int"
     sets = tokens.join(rows.join(hot, "key", "left_semi").select("name").distinct(), "name", "left_semi").select("name", "tokens")
 
@@ -500,26 +497,39 @@ def tile_pairs(tile: dict[str, list], percent: int, agreeing: int) -> list[tuple
     return found
 
 
-def _tiled(rows: DataFrame, percent: int, agreeing: int) -> DataFrame:
-    """Distinct pairs (a < b) that may be linked, of rows (key, name, tag, root, deletion, probe, n, sketch, marks) of one key.
+def _dealt(rows: DataFrame) -> DataFrame:
+    """The rows of each key in tiles (x, y) of two chunks, with the side that a row is on: ``in_x``, ``in_y``.
 
-    Rows of a key are dealt into chunks and a tile compares two of them.
+    Rows that need no comparison among themselves, those of the key's largest root or those that don't probe, whichever are more, are
+    ``idle``: a chunk of them meets only the chunks of the others. So a family of n linked texts beside few others is dealt out once, not n / TILE
+    times, and rows grow with the square only of those that are of other roots and probe.
     """
-    counts = rows.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
-    dealt = rows.join(counts, "key").withColumn("chunk", F.pmod(F.xxhash64("name"), F.col("chunks")).cast("int"))
-    partners = F.transform(
-        F.sequence(F.lit(0), F.col("chunks") - 1),
-        lambda c: F.struct(F.least(c, "chunk").alias("x"), F.greatest(c, "chunk").alias("y")),
+    per_root = rows.groupBy("key", "root").agg(F.count("*").alias("n"), F.count_if(~F.col("probe")).alias("calm"))
+    stats = per_root.groupBy("key").agg(F.sum("n").alias("n_key"), F.sum("calm").alias("n_calm"), F.max(F.struct("n", "root")).alias("largest"))
+    calm = F.col("n_calm") >= F.col("largest.n")
+    n_idle = F.greatest("n_calm", "largest.n")
+
+    def chunks(count: Column) -> Column:
+        return F.ceil(count / TILE).cast("int")
+
+    sides = stats.select(
+        "key", calm.alias("calm"), F.col("largest.root").alias("largest"), chunks(F.col("n_key") - n_idle).alias("busy_chunks"), chunks(n_idle).alias("idle_chunks")
     )
+    idle = F.when(F.col("calm"), ~F.col("probe")).otherwise(F.col("root") == F.col("largest"))
+    placed = rows.join(sides, "key").withColumn("idle", idle).filter("busy_chunks > 0")  # without others there is nothing to compare
+    busy_chunk = F.pmod(F.xxhash64("name"), F.col("busy_chunks")).cast("int")
+    idle_chunk = F.col("busy_chunks") + F.pmod(F.xxhash64("name"), F.col("idle_chunks")).cast("int")
+    placed = placed.withColumn("chunk", F.when(F.col("idle"), idle_chunk).otherwise(busy_chunk))
+    others = F.col("busy_chunks") + F.when(F.col("idle"), 0).otherwise(F.col("idle_chunks"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
+    x, y = F.least("chunk", "other"), F.greatest("chunk", "other")
+    return dealt.withColumns({"x": x, "y": y, "in_x": F.col("chunk") == x, "in_y": F.col("chunk") == y})
+
+
+def _tiled(rows: DataFrame, percent: int, agreeing: int) -> DataFrame:
+    """Distinct pairs (a < b) that may be linked, of rows (key, name, tag, root, deletion, probe, n, sketch, marks) of one key."""
     fields = ["name", "tag", "root", "deletion", "probe", "n", "sketch", "marks", "in_x", "in_y"]
-    tiles = dealt.withColumn("t", F.explode(partners)).select(
-        "key",
-        "t.x",
-        "t.y",
-        *fields[:-2],
-        (F.col("chunk") == F.col("t.x")).alias("in_x"),
-        (F.col("chunk") == F.col("t.y")).alias("in_y"),
-    )
+    tiles = _dealt(rows).select("key", "x", "y", *fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, tile = None, {}

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from itertools import combinations
@@ -162,3 +163,54 @@ def test_hot_keys_find_every_link_without_leaders(spark, monkeypatch, hot):
     got = {(r["a"], r["b"]) for r in setjoin._verified(met, tokens, 80).collect()}
     want = {(min(a, b), max(a, b)) for a, b in combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
     assert len(want) > 100 and got == want
+
+
+@pytest.mark.parametrize("probing", [True, False])
+def test_tiles_cover_all_needed_pairs_and_deal_a_family_once(spark, monkeypatch, probing):
+    monkeypatch.setattr(setjoin, "TILE", 16)
+    rnd = random.Random(9)
+    rows = [(1, i, 0, 500, False, probing) for i in range(600)]  # one family
+    rows += [(1, 1000 + i, 0, 1000 + i, False, True) for i in range(20)]  # loose relatives
+    rows += [(2, i, 0, rnd.randrange(4), False, rnd.random() < 0.3) for i in range(90)]
+    rows += [(3, i, 0, i, False, True) for i in range(5)] + [(4, i, 0, 9, False, True) for i in range(50)]
+    df = spark.createDataFrame(rows, "key long, name long, tag int, root long, deletion boolean, probe boolean")
+    dealt = setjoin._dealt(df).collect()
+    root, probe = ({(r[0], r[1]): r[i] for r in rows} for i in (3, 5))
+    tiles, met = {}, set()
+    for r in dealt:
+        x, y = tiles.setdefault((r["key"], r["x"], r["y"]), (set(), set()))
+        if r["in_x"]:
+            x.add(r["name"])
+        if r["in_y"]:
+            y.add(r["name"])
+    for (key, *_), (x, y) in tiles.items():
+        met |= {(key, min(a, b), max(a, b)) for a in x for b in y}
+    for k in (1, 2, 3):
+        names = sorted(r[1] for r in rows if r[0] == k)
+        needed = {(k, a, b) for a, b in combinations(names, 2) if root[k, a] != root[k, b] and (probe[k, a] or probe[k, b])}
+        assert needed <= met
+    assert sum(r["key"] == 1 for r in dealt) < 600 * 2 + 20 * 50
+    assert not [r for r in dealt if r["key"] == 4]
+
+
+def test_allocation_of_very_long_texts():
+    for size in (10_000, 800_000, 1_500_000, 20_000_000):
+        space = spaces_of(size, 80)[0]
+        setjoin.allocation.cache_clear()
+        plan = allocation(space, 80)
+        low = int(bands(80)[space])
+        empty = plan.segments * math.exp(-low / plan.segments)
+        assert plan.reserve == plan.spare + 1
+        # nearly all sets make do with the deletions of the reserve, which is far from all segments
+        assert empty < plan.spare < empty + 12 * math.sqrt(empty) + 30 < plan.segments / 2
+
+
+def test_a_text_of_very_many_words(spark):
+    rnd = random.Random(12)
+    words = [f"{rnd.random():.7f}" for _ in range(200_000)]
+    other = words[:]
+    for i in range(0, 200_000, 100):
+        other[i] = "x"
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[:150_000])), (4, " ".join(words[100:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(df).collect()} == brute(rows, 5, 80)
