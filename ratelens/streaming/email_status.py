@@ -1,17 +1,20 @@
 """Mail status as a stream: the batch fold of ``operators.delivery`` kept up to date event by event.
 
-Each micro-batch is stored as it came, in folders by day of the events, and the periods of a message that it touches are summed up anew from the
-stored events with the very rules of the batch (``delivery.email_periods``). So the result does not depend on how the events were
-cut into micro-batches or in which order they came, no event is ever too late, and what the stream has to remember lies in
-files instead of executors' memory. A repeated micro-batch replaces its own folders.
+Events are stored by hour and by a hash of the message (``events/hour=/bucket=/batch=``), and so are the summaries of a message's hour
+(``summaries/hour=/bucket=``). A micro-batch reads the events of the cells (hour, bucket) that it touches, sums them up anew with the very rules
+of the batch (``delivery.email_periods``) and puts the cells in place by dynamic partition overwrite. So the result does not depend
+on how the events were cut into micro-batches or in which order they came, no event is ever too late, a micro-batch costs what its
+cells hold, however long the stream has run, and the summaries never hold more than one row per message and hour. A repeated
+micro-batch replaces what it wrote.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ratelens.operators.delivery import email_periods, known_events, merge_periods, period_of
+from ratelens.sources.stored import exists
 
 PAYLOAD = (
     "array<struct<MessageID:string, RecordType:string, DeliveredAt:string, ReceivedAt:string, Type:string, "
@@ -49,26 +52,46 @@ def payload_text(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.when(listed, F.to_json(F.array(event))).otherwise(F.to_json(event)).alias("value"))
 
 
+#: Cells of an hour; a late event brings back that part of its hour.
+BUCKETS = 8
+CELL = ["hour", "bucket"]
+
+
+def _in_cells(events: DataFrame) -> DataFrame:
+    """Adds the cell of each event."""
+    return events.withColumns(
+        {"hour": F.date_format(period_of("ts"), "yyyy-MM-dd-HH"), "bucket": F.pmod(F.xxhash64("message_id"), F.lit(BUCKETS)).cast("int")}
+    )
+
+
+def _put(rows: DataFrame, path: str, *cells: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cells).parquet(path)
+
+
+def _stored_events(spark: SparkSession, folder: str, cells: list[tuple[str, int]]) -> DataFrame:
+    """The events of some cells; no other folder is looked into."""
+    paths = [f"{folder}/events/hour={hour}/bucket={bucket}" for hour, bucket in cells]
+    return spark.read.schema(f"{EVENTS}, hour string, bucket int, batch long").option("basePath", f"{folder}/events").parquet(*paths)
+
+
 def _store(batch: DataFrame, batch_id: int, emails: DataFrame, folder: str) -> None:
     spark = batch.sparkSession
     logged = known_events(batch).drop("kind").join(emails.select("message_id").distinct(), "message_id", "left_semi")
-    stored = f"{folder}/events/batch={batch_id}"
     if "part" not in logged.columns:
         logged = logged.withColumn("part", F.lit(0))
-    logged.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day").parquet(stored)
-    mine = spark.read.schema(f"{EVENTS}, day date").parquet(stored)
-    days = [r[0] for r in mine.select("day").distinct().collect()]  # one value per day of events in the batch
-    if not days:
+    seen = Observation()
+    counted = _in_cells(logged).withColumn("batch", F.lit(batch_id).cast("long")).observe(seen, F.collect_set(F.struct(*CELL)).alias("cells"))
+    _put(counted.select(*[c.split()[0] for c in EVENTS.split(", ")], *CELL, "batch"), f"{folder}/events", *CELL, "batch")
+    cells = sorted((c["hour"], c["bucket"]) for c in seen.get["cells"])  # the cells of the batch: hours times BUCKETS at most
+    if not cells:
         return
-    touched = mine.select("message_id", period_of("ts").alias("period")).distinct()
-    earlier = spark.read.schema(f"{EVENTS}, batch int, day date").parquet(f"{folder}/events")
-    again = earlier.filter(F.col("day").isin(days) & (F.col("batch") <= batch_id)).withColumn("period", period_of("ts"))
-    again = again.join(touched, ["message_id", "period"], "left_semi").drop("period", "batch", "day")
-    email_periods(again).write.mode("overwrite").parquet(f"{folder}/updates/batch={batch_id}")
+    again = _stored_events(spark, folder, cells).filter(F.col("batch") <= batch_id)
+    summed = email_periods(again.drop("hour", "bucket", "batch"))
+    _put(_in_cells(summed.withColumn("ts", F.col("period"))).drop("ts"), f"{folder}/summaries", *CELL)
 
 
 def run_to_table(events: DataFrame, emails: DataFrame, folder: str) -> None:
-    """Drain a stream of events into ``folder``: the events of logged mails and the newest summaries of their periods."""
+    """Drain a stream of events into ``folder``: the events of logged mails and the summaries of their hours."""
     query = (
         events.writeStream.foreachBatch(lambda batch, batch_id: _store(batch, batch_id, emails, folder))
         .option("checkpointLocation", f"{folder}/checkpoint")
@@ -79,8 +102,7 @@ def run_to_table(events: DataFrame, emails: DataFrame, folder: str) -> None:
 
 
 def latest_status(spark: SparkSession, folder: str, emails: DataFrame) -> DataFrame:
-    """Status of every logged mail from the newest summary of each of its periods."""
-    updates = spark.read.parquet(f"{folder}/updates")
-    summary = F.struct(*[c for c in updates.columns if c not in ("batch", "message_id", "period")])
-    newest = updates.groupBy("message_id", "period").agg(F.max_by(summary, "batch").alias("s"))
-    return merge_periods(newest.select("message_id", "period", "s.*"), emails)
+    """Status of every logged mail from the summaries of its hours; before the first event of a logged mail, no status."""
+    if not exists(spark, f"{folder}/summaries"):
+        return merge_periods(email_periods(spark.createDataFrame([], EVENTS)), emails)
+    return merge_periods(spark.read.parquet(f"{folder}/summaries").drop(*CELL), emails)

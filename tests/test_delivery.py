@@ -101,6 +101,35 @@ def test_stream_equals_batch(spark, tmp_path, files):
     assert got == found(delivery.email_status_fold(spark.createDataFrame(events, EVENTS), log))
 
 
+def test_micro_batches_read_what_they_touch(spark, tmp_path, monkeypatch):
+    """Fifty micro-batches of a day, in order, read less than three times the day; late ones only their cells."""
+    rng = random.Random(3)
+    times = sorted(rng.randrange(24 * 3600) for _ in range(2000))
+    kinds = ["Open", "Open", "Delivery", "Bounce"]
+    events = [(i, START + timedelta(seconds=t), f"m{rng.randrange(40)}", rng.choice(kinds), None, None) for i, t in enumerate(times)]
+    late = (9000, START + timedelta(minutes=5), "m1", "Delivery", None, None)
+    log, folder, read = mails(spark, events), str(tmp_path / "out"), []
+    stored = email_status._stored_events
+
+    def recorded(*args):
+        df = stored(*args)
+        read.append({f.split("/events/")[1] for f in df.inputFiles()})
+        return df
+
+    monkeypatch.setattr(email_status, "_stored_events", recorded)
+    cuts = [events[i : i + 40] for i in range(0, 2000, 40)] + [[late]]
+    for i, cut in enumerate(cuts):
+        email_status._store(spark.createDataFrame(cut, EVENTS), i, log, folder)
+    size = {str(f.relative_to(tmp_path / "out" / "events")): f.stat().st_size for f in (tmp_path / "out" / "events").rglob("*.parquet")}
+    every = sum(size.values())
+    assert sum(size[f] for batch in read[:-1] for f in batch) < 3 * every
+    assert len(read) == 51 and {f.split("/")[0] for f in read[-1]} == {"hour=2024-01-01-00"} and len({f.split("/")[1] for f in read[-1]}) == 1
+    email_status._store(spark.createDataFrame([late], EVENTS), 50, log, folder)  # once more
+    assert found(email_status.latest_status(spark, folder, log)) == found(delivery.email_status_fold(spark.createDataFrame([*events, late], EVENTS), log))
+    summaries = spark.read.parquet(f"{folder}/summaries")
+    assert summaries.count() == summaries.select("message_id", "period").distinct().count()
+
+
 def test_payloads_single_and_list(spark):
     one = {"MessageID": "m", "RecordType": "Delivery", "DeliveredAt": "2024-01-01T00:00:05Z"}
     lines = [(1, json.dumps(one)), (2, json.dumps([{**one, "RecordType": "Open", "DeliveredAt": None, "ReceivedAt": "2024-01-02T00:00:00Z"}] * 2))]
