@@ -1,20 +1,22 @@
 """Mail status as a stream: the batch fold of ``operators.delivery`` kept up to date event by event.
 
-Events are stored by hour and by a hash of the message (``events/hour=/bucket=/batch=``), and so are the summaries of a message's hour
-(``summaries/hour=/bucket=``). A micro-batch reads the events of the cells (hour, bucket) that it touches, sums them up anew with the very rules
-of the batch (``delivery.email_periods``) and puts the cells in place by dynamic partition overwrite. So the result does not depend
-on how the events were cut into micro-batches or in which order they came, no event is ever too late, a micro-batch costs what its
-cells hold, however long the stream has run, and the summaries never hold more than one row per message and hour. A repeated
-micro-batch replaces what it wrote.
+Events are stored by day and micro-batch, sorted by time. A micro-batch sums up anew the hours of messages that it touches, with the very
+rules of the batch (``delivery.email_periods``); for that it reads the days it touches, and of these only the row groups that the borders of its
+hours let through, which are few where events come roughly in order. So the result does not depend on how the events were cut into
+micro-batches or in which order they came, and no event is ever too late. Every ``COMPACT_EVERY`` micro-batches the summaries are written
+together, the newest of each message and hour, and the older ones go. A repeated micro-batch replaces what it wrote.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from datetime import date, datetime, timedelta
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelens.operators.delivery import email_periods, known_events, merge_periods, period_of
-from ratelens.sources.stored import exists
+from ratelens.sources.stored import delete, exists
 
 PAYLOAD = (
     "array<struct<MessageID:string, RecordType:string, DeliveredAt:string, ReceivedAt:string, Type:string, "
@@ -52,46 +54,69 @@ def payload_text(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.when(listed, F.to_json(F.array(event))).otherwise(F.to_json(event)).alias("value"))
 
 
-#: Cells of an hour; a late event brings back that part of its hour.
-BUCKETS = 8
-CELL = ["hour", "bucket"]
+#: So many micro-batches have summaries of their own at most.
+COMPACT_EVERY = 20
+#: Up to so many days, a micro-batch looks for its hours in each day apart.
+DAYS_APART = 64
 
 
-def _in_cells(events: DataFrame) -> DataFrame:
-    """Adds the cell of each event."""
-    return events.withColumns(
-        {"hour": F.date_format(period_of("ts"), "yyyy-MM-dd-HH"), "bucket": F.pmod(F.xxhash64("message_id"), F.lit(BUCKETS)).cast("int")}
-    )
+def _stored_events(spark: SparkSession, folder: str, hours: list[tuple[date, datetime, datetime]]) -> DataFrame:
+    """The events of some days, of each between its first and its last hour; no other folder is looked into."""
+    paths = [f"{folder}/events/day={day}" for day, _, _ in hours]
+    read = spark.read.schema(f"{EVENTS}, day date, batch long").option("basePath", f"{folder}/events").parquet(*paths)
+    spans = hours if len(hours) <= DAYS_APART else [(None, hours[0][1], hours[-1][2])]
+    inside = [F.col("ts").between(F.lit(first).cast("timestamp_ntz"), F.lit(last + timedelta(hours=1)).cast("timestamp_ntz")) for _, first, last in spans]
+    return read.filter(reduce(Column.__or__, inside))
 
 
-def _put(rows: DataFrame, path: str, *cells: str) -> None:
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cells).parquet(path)
+def _newest(updates: DataFrame) -> DataFrame:
+    """The newest summary of each message and hour."""
+    summary = F.struct(*[c for c in updates.columns if c not in ("batch", "message_id", "period")])
+    newest = updates.groupBy("message_id", "period").agg(F.max_by(summary, "batch").alias("s"))
+    return newest.select("message_id", "period", "s.*")
 
 
-def _stored_events(spark: SparkSession, folder: str, cells: list[tuple[str, int]]) -> DataFrame:
-    """The events of some cells; no other folder is looked into."""
-    paths = [f"{folder}/events/hour={hour}/bucket={bucket}" for hour, bucket in cells]
-    return spark.read.schema(f"{EVENTS}, hour string, bucket int, batch long").option("basePath", f"{folder}/events").parquet(*paths)
+def _compact(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Write all newest summaries as those of this micro-batch; what is older then says nothing new and goes.
+
+    A reader takes the newest ones, so it makes no difference to it whether this broke off.
+    """
+    path = f"{folder}/updates"
+    held = [r[0] for r in spark.read.parquet(path).select("batch").distinct().collect()]  # COMPACT_EVERY and some at most
+    if len(held) > COMPACT_EVERY:
+        _newest(spark.read.parquet(path)).write.mode("overwrite").parquet(f"{folder}/compact")
+        spark.read.parquet(f"{folder}/compact").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        for batch in held:
+            if batch != batch_id:
+                delete(spark, f"{path}/batch={batch}")
 
 
 def _store(batch: DataFrame, batch_id: int, emails: DataFrame, folder: str) -> None:
     spark = batch.sparkSession
-    logged = known_events(batch).drop("kind").join(emails.select("message_id").distinct(), "message_id", "left_semi")
+    logged = known_events(batch).filter("ts IS NOT NULL").drop("kind").join(emails.select("message_id").distinct(), "message_id", "left_semi")
     if "part" not in logged.columns:
         logged = logged.withColumn("part", F.lit(0))
-    seen = Observation()
-    counted = _in_cells(logged).withColumn("batch", F.lit(batch_id).cast("long")).observe(seen, F.collect_set(F.struct(*CELL)).alias("cells"))
-    _put(counted.select(*[c.split()[0] for c in EVENTS.split(", ")], *CELL, "batch"), f"{folder}/events", *CELL, "batch")
-    cells = sorted((c["hour"], c["bucket"]) for c in seen.get["cells"])  # the cells of the batch: hours times BUCKETS at most
-    if not cells:
+    names = [c.split()[0] for c in EVENTS.split(", ")]
+    rows = logged.select(*names, F.to_date("ts").alias("day"), F.lit(batch_id).cast("long").alias("batch")).sortWithinPartitions("day", "ts")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{folder}/events")
+    # of the stored rows of this batch, so that the batch itself is not worked out again; a row for each of its days
+    if not exists(spark, f"{folder}/events"):
+        return
+    days = [r[0] for r in logged.select(F.to_date("ts")).distinct().collect()]
+    if not days:
         return
-    again = _stored_events(spark, folder, cells).filter(F.col("batch") <= batch_id)
-    summed = email_periods(again.drop("hour", "bucket", "batch"))
-    _put(_in_cells(summed.withColumn("ts", F.col("period"))).drop("ts"), f"{folder}/summaries", *CELL)
+    mine = spark.read.schema(f"{EVENTS}, day date, batch long").option("basePath", f"{folder}/events")
+    mine = mine.parquet(*[f"{folder}/events/day={d}/batch={batch_id}" for d in days])
+    touched = mine.select("day", "message_id", period_of("ts").alias("period")).distinct()
+    hours = touched.groupBy("day").agg(F.min("period").alias("first"), F.max("period").alias("last")).orderBy("day").collect()
+    again = _stored_events(spark, folder, [tuple(r) for r in hours]).filter(F.col("batch") <= batch_id).withColumn("period", period_of("ts"))
+    again = again.join(touched.drop("day"), ["message_id", "period"], "left_semi").drop("period", "batch", "day")
+    email_periods(again).write.mode("overwrite").parquet(f"{folder}/updates/batch={batch_id}")
+    _compact(spark, folder, batch_id)
 
 
 def run_to_table(events: DataFrame, emails: DataFrame, folder: str) -> None:
-    """Drain a stream of events into ``folder``: the events of logged mails and the summaries of their hours."""
+    """Drain a stream of events into ``folder``: the events of logged mails and the newest summaries of their hours."""
     query = (
         events.writeStream.foreachBatch(lambda batch, batch_id: _store(batch, batch_id, emails, folder))
         .option("checkpointLocation", f"{folder}/checkpoint")
@@ -102,7 +127,7 @@ def run_to_table(events: DataFrame, emails: DataFrame, folder: str) -> None:
 
 
 def latest_status(spark: SparkSession, folder: str, emails: DataFrame) -> DataFrame:
-    """Status of every logged mail from the summaries of its hours; before the first event of a logged mail, no status."""
-    if not exists(spark, f"{folder}/summaries"):
+    """Status of every logged mail from the newest summaries of its hours; before the first event of a logged mail, no status."""
+    if not exists(spark, f"{folder}/updates"):
         return merge_periods(email_periods(spark.createDataFrame([], EVENTS)), emails)
-    return merge_periods(spark.read.parquet(f"{folder}/summaries").drop(*CELL), emails)
+    return merge_periods(_newest(spark.read.parquet(f"{folder}/updates")), emails)
