@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RATE = "Premium_Change_Number"
@@ -70,6 +70,26 @@ def joined_set(value: Column | str) -> Column:
     return F.when(F.size(values) > 0, F.array_join(values, ", "))
 
 
+def summed_with_set(
+    rows: DataFrame, keys: list[str], value: Column | None, sums: dict[str, Column], maxima: dict[str, Column], name: str
+) -> DataFrame:
+    """Sums and maxima by ``keys``, and as ``name`` the distinct values joined by a comma (NULL where there are none), from one read.
+
+    First one row per key and value, by fixed-size aggregates that are combined in the tasks; then these few rows by key. A group's list
+    holds each value once and never sees the rows themselves.
+    """
+    totals = [F.sum(c).alias(n) for n, c in sums.items()] + [F.max(c).alias(n) for n, c in maxima.items()]
+    if value is None:  # one step and no list
+        return rows.groupBy(*keys).agg(*totals)
+    each = rows.groupBy(*keys, value.alias("one_value")).agg(*totals)
+    values = F.sort_array(F.collect_list("one_value"))
+    return each.groupBy(*keys).agg(
+        *[F.sum(n).alias(n) for n in sums],
+        *[F.max(n).alias(n) for n in maxima],
+        F.when(F.size(values) > 0, F.array_join(values, ", ")).alias(name),
+    )
+
+
 def short_number(value: Column) -> Column:
     """Whole number in short form: 950, 1.3K, 12M, 8.2B; NULL gives N/A."""
 

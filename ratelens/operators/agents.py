@@ -21,10 +21,11 @@ from ratelens.functions.numeric import (
     avg_pct,
     count_where,
     dec,
-    joined_set,
     mean_of,
+    pct_of,
     rate,
     rounded,
+    summed_with_set,
     with_commas,
 )
 from ratelens.functions.ranking import one_shuffle, positions, top_per_group
@@ -90,45 +91,52 @@ def _exploded(picked: DataFrame, *extra: Column) -> DataFrame:
 # --- first report ---------------------------------------------------------------------------------
 
 
-def _lines_of(chosen: DataFrame, filings: DataFrame, name: str) -> DataFrame:
-    """``chosen`` (State, ``name``, ...) with the product lines of these companies only."""
-    lines = (
-        filings.select("State", F.col("Company").alias(name), "Product_Line")
-        .join(chosen.select("State", name).distinct(), ["State", name], "left_semi")
-        .groupBy("State", name)
-        .agg(joined_set("Product_Line").alias("product_lines"))
-    )
-    return chosen.join(lines, ["State", name], "left")
-
-
 def _picked_v1(filings: DataFrame, *, as_of: date, months_back: int, k: int, lines: bool = True) -> DataFrame:
-    """Best competitors of each agent; ``lines`` adds their product lines, after the cut."""
+    """Best competitors of each agent; ``lines`` adds their product lines."""
     recent = since_months(as_of, months_back)
     coming = (rate() > 0) & recent & (F.col(EFFECTIVE) >= F.lit(as_of))
 
     def kept(value: Column | str) -> Column:
         return F.when(coming, F.col(value) if isinstance(value, str) else value)
 
+    def one(value: Column) -> Column:
+        return F.when(value.isNotNull(), 1).otherwise(0)
+
+    recent_rate = F.when(recent, rate())
+    sums = {
+        "recent_total": recent_rate,
+        "recent_count": one(recent_rate),
+        "coming_total": kept(rate()),
+        "filing_count": one(kept(F.lit(1))),
+        "policies_affected": kept("Policyholders_Affected_Number"),
+        "impact_total": kept("Impact_Score"),
+        "impact_count": one(kept("Impact_Score")),
+    }
+    maxima = {
+        "largest": kept(rate()),
+        "effective_date": kept(EFFECTIVE),
+        "last_increase_date": kept("Previous_Increase_Date"),
+        "last_increase": kept("Previous_Increase_Number"),
+    }
+    grouped = summed_with_set(_placed(filings), AGENT, kept("Product_Line") if lines else None, sums, maxima, "product_lines")
     rows = one_shuffle(
-        _placed(filings)
-        .groupBy(*AGENT)
-        .agg(
-            F.coalesce(avg_pct(where=recent), F.lit(0.0)).alias("avg_rate"),
-            rounded(avg_pct(where=coming), 1).alias("avg_increase"),
-            rounded(F.max(kept(rate())) * 100, 2).alias("max_increase"),
-            F.max(kept(EFFECTIVE)).alias("effective_date"),
-            F.count(kept(F.lit(1))).alias("filing_count"),
-            F.sum(kept("Policyholders_Affected_Number")).alias("policies_affected"),
-            rounded(mean_of(F.sum(kept("Impact_Score")), F.count(kept("Impact_Score"))), 4).alias("avg_impact_score"),
-            F.max(kept("Previous_Increase_Date")).alias("last_increase_date"),
-            rounded(F.max(kept("Previous_Increase_Number")) * 100, 2).alias("last_increase"),
+        grouped.select(
+            *AGENT,
+            F.coalesce(pct_of(F.col("recent_total"), F.col("recent_count")), F.lit(0.0)).alias("avg_rate"),
+            rounded(pct_of(F.col("coming_total"), F.col("filing_count")), 1).alias("avg_increase"),
+            rounded(F.col("largest") * 100, 2).alias("max_increase"),
+            "effective_date",
+            "filing_count",
+            "policies_affected",
+            rounded(mean_of(F.col("impact_total"), F.col("impact_count")), 4).alias("avg_impact_score"),
+            "last_increase_date",
+            rounded(F.col("last_increase") * 100, 2).alias("last_increase"),
+            *(["product_lines"] if lines else []),
         )
     )
     competitors = rows.filter("filing_count > 0").withColumnRenamed("Company", "competitor").drop("avg_rate")
     order = [F.desc("avg_increase"), F.desc_nulls_last("avg_impact_score"), F.asc("competitor")]
     best = top_per_group(competitors, ["State"], order, k + 1)
-    if lines:
-        best = _lines_of(best, _placed(filings).filter(coming), "competitor")
     rivals = _rivals(best, F.col("place"), [c for c in best.columns if c not in ("State", "place")])
     return _pick(rows.select(*AGENT, "avg_rate"), rivals, k)
 
@@ -401,21 +409,19 @@ def rate_increases_refined(filings: DataFrame, carrier: str, *, as_of: date, k:
     all changes.
     """
     raising = _raising(filings, carrier, as_of)
-    companies = (
-        raising.groupBy(*AGENT)
-        .agg(
-            F.sum(rate()).alias("total"),
-            F.count(F.lit(1)).alias("filing_count"),
-            rounded(avg_pct(), 1).alias("avg_increase"),
-            F.max(EFFECTIVE).alias("effective_date"),
-            F.sum("Policyholders_Affected_Number").alias("policies_affected"),
-            F.datediff(F.max(EFFECTIVE), F.lit(as_of)).cast("bigint").alias("days_until"),
-        )
-        .filter(F.col("total") > F.col("filing_count") * dec("0.03"))
-        .drop("total")
+    sums = {"total": rate(), "filing_count": F.lit(1), "policies_affected": F.col("Policyholders_Affected_Number")}
+    grouped = summed_with_set(raising, AGENT, F.col("Product_Line"), sums, {"effective_date": F.col(EFFECTIVE)}, "product_lines")
+    companies = grouped.filter(F.col("total") > F.col("filing_count") * dec("0.03")).select(
+        *AGENT,
+        "filing_count",
+        rounded(pct_of(F.col("total"), F.col("filing_count")), 1).alias("avg_increase"),
+        "effective_date",
+        "policies_affected",
+        F.datediff("effective_date", F.lit(as_of)).cast("bigint").alias("days_until"),
+        "product_lines",
     )
     order = [F.asc("days_until"), F.desc("avg_increase"), F.asc("Company")]
-    first = _lines_of(top_per_group(companies, ["State"], order, k, "rank"), raising, "Company")
+    first = top_per_group(companies, ["State"], order, k, "rank")
     latest = top_per_group(
         raising.select(*AGENT, EFFECTIVE, "Record_ID", (rate() * 100).cast("decimal(10,1)").alias("change")),
         AGENT,

@@ -12,13 +12,13 @@ from ratelens.functions.numeric import (
     avg_pct,
     count_where,
     dec,
-    joined_set,
     one_decimal,
     pct,
     pct_of,
     rate,
     rounded,
     sum_where,
+    summed_with_set,
 )
 
 
@@ -101,34 +101,22 @@ def company_rankings(
 def hot_zones(filings: DataFrame, *, as_of: date, limit: int = 20) -> DataFrame:
     """Filings with future dates count. The thresholds compare exact decimals."""
     rising = filings.filter(since_months(as_of, 6) & (rate() > 0))
-    order = [F.desc_nulls_last("avg_increase_pct"), F.asc_nulls_last("State"), F.asc_nulls_last("Company")]
-    zones = (
-        rising.groupBy("State", "Company")
-        .agg(
-            F.count(F.lit(1)).alias("filing_count"),
-            F.sum(rate()).alias("total"),
-            rounded(avg_pct(), 2).alias("avg_increase_pct"),
-            rounded(F.max(pct()), 2).alias("max_increase_pct"),
-            F.sum("Policyholders_Affected_Number").alias("policyholders_affected"),
+    sums = {"filing_count": F.lit(1), "total": rate(), "policyholders_affected": F.col("Policyholders_Affected_Number")}
+    zones = summed_with_set(rising, ["State", "Company"], F.col("Product_Line"), sums, {"largest": pct()}, "product_lines")
+    return (
+        zones.filter((F.col("filing_count") >= 2) & (F.col("total") > F.col("filing_count") * dec("0.05")))
+        .select(
+            "State",
+            "Company",
+            "filing_count",
+            rounded(pct_of(F.col("total"), F.col("filing_count")), 2).alias("avg_increase_pct"),
+            rounded(F.col("largest"), 2).alias("max_increase_pct"),
+            "policyholders_affected",
+            "product_lines",
         )
-        .filter((F.col("filing_count") >= 2) & (F.col("total") > F.col("filing_count") * dec("0.05")))
-        .drop("total")
-        .orderBy(*order)
+        .orderBy(F.desc_nulls_last("avg_increase_pct"), F.asc_nulls_last("State"), F.asc_nulls_last("Company"))
         .limit(limit)
     )
-    # the product lines of the few zones shown; unnamed states and companies compare like names
-    same = [zones[c].eqNullSafe(rising[c]) for c in ("State", "Company")]
-    lines = (
-        rising.select("State", "Company", "Product_Line")
-        .join(zones, same, "left_semi")
-        .groupBy("State", "Company")
-        .agg(joined_set("Product_Line").alias("product_lines"))
-    )
-    return (
-        zones.join(lines, [zones[c].eqNullSafe(lines[c]) for c in ("State", "Company")], "left")
-        .select(*[zones[c] for c in zones.columns], "product_lines")
-        .orderBy(*order)
-    )
 
 
 def trend_analysis(filings: DataFrame, *, as_of: date, months_back: int = 24) -> DataFrame:

@@ -42,12 +42,19 @@ def scans(df):
         lambda f: agents.agent_summary_v2(f, as_of=AS_OF),
         lambda f: agents.agent_report_batch(f, as_of=AS_OF),
         lambda f: agents.market_position_total(f, as_of=AS_OF),
+        lambda f: agents.opportunities_v1(f, as_of=AS_OF),
+        lambda f: market.hot_zones(f, as_of=AS_OF),
     ],
 )
 def test_filings_are_read_once(stored, build):
     assert scans(build(stored())) == 1
 
 
+def test_the_refined_report_reads_twice(stored):
+    """Once for sums and product lines, once for the latest changes."""
+    assert scans(agents.rate_increases_refined(stored(), "C1", as_of=AS_OF)) == 2
+
+
 def test_building_a_query_starts_no_job(spark, stored):
     filings = stored()
     spark.sparkContext.setJobGroup("building", "nothing may run")
