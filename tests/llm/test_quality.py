@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import pytest
+import zstandard
 
 from ratelens.llm.quality import quality_rules
 
@@ -55,6 +56,41 @@ def test_bands_reject_repetitive_and_incompressible_text(rated):
     assert all(not r.kept for r in rows.values() if r.base_failed)
 
 
+def plain_verdict(text):
+    """The bands written out, from the whole text and 4,096-byte chunks, the last one ending with the text."""
+    data = (text or "").encode()
+    ratio = lambda b: len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(b)) / len(b) if b else 1.0
+    n = len(data)
+    low, high = next((a, b) for size, a, b in ((16384, 0.10, 0.70), (4096, 0.14, 0.70), (1024, 0.20, 0.75), (256, 0.25, 0.95), (0, 0, 9)) if n >= size)
+    places = [i * 4096 for i in range(n // 4096)] + ([n - 4096] if n > 4096 and n % 4096 else [])
+    found = [ratio(data[i : i + 4096]) for i in places]
+    few, many = sum(r < 0.20 for r in found), sum(r > 0.59 for r in found)
+    if ratio(data) < low or 5 * few > len(found):
+        return len(found), few + many, "repetitive"
+    return len(found), few + many, "incompressible" if ratio(data) > high or 5 * many > len(found) else "ok"
+
+
+def test_verdicts_equal_plain_ones(rated):
+    texts, rows = rated
+    for name, text in texts.items():
+        r = rows[name]
+        assert (r.n_chunks, r.n_bad_chunks, r.zstd_verdict) == plain_verdict(text), name
+
+
+def test_junk_in_a_part_of_a_longer_text_is_found(spark):
+    rnd = random.Random(3)
+    letters = lambda n: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    clean = lambda n: prose(rnd, n)[:n]
+    texts = {
+        "45 % letters": clean(21_000) + letters(17_800), "end": clean(8000) + letters(4000), "40 % of one": clean(12_000) + "z" * 8000,
+        "one chunk": clean(2000) + "z" * 3000, "clean": clean(12_000), "clean short": clean(5000),
+    }
+    rows = quality_rules(spark.createDataFrame(list(texts.items()), "doc_id string, text string")).collect()
+    assert {r.doc_id: r.zstd_verdict for r in rows} == {
+        "45 % letters": "incompressible", "end": "incompressible", "40 % of one": "repetitive", "one chunk": "repetitive", "clean": "ok", "clean short": "ok",
+    }
+
+
 def test_labelled_good_documents_stay(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     good = docs.join(labels.filter("quality = 1"), "doc_id")
