@@ -49,28 +49,24 @@ def training_rows(
 ) -> list[tuple[str, np.ndarray]]:
     """At most ``bound`` rows per language (``SHARDS`` times the smallest hashes of ids), as language and n-gram codes.
 
-    Ids are ranked without their texts; ranks run per language and shard, so a common language is split.
+    Ids are ranked without their texts; ranks run per language and shard, so a common language is split. Of several texts of one id the one
+    with the least hash counts, and null texts take no places.
     """
     from pyspark.sql import Window
 
-    hashed = F.xxhash64(F.col(doc_id).cast("string"))
-    ids = labelled.filter(F.col(lang).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(doc_id).alias("id"), hashed.alias("h"), F.pmod(hashed, F.lit(SHARDS)).alias("shard")
-    )
+    rows = labelled.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    hashed = F.xxhash64(F.col("id").cast("string"))
+    ids = rows.groupBy("lang", "id").agg(F.min("text_hash").alias("text_hash")).withColumns({"h": hashed, "shard": F.pmod(hashed, F.lit(SHARDS))})
     order = Window.partitionBy("lang", "shard").orderBy("h", "id")
-    chosen = ids.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= max(1, bound // SHARDS)).select("id").distinct()
-    rows = (
-        labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-        .select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-        .join(F.broadcast(chosen), "id")  # at most ``bound`` ids per language
-        .select("id", "lang", "text")
-    )
+    chosen = ids.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= max(1, bound // SHARDS)).select("lang", "id", "text_hash")
+    rows = rows.join(F.broadcast(chosen), ["lang", "id", "text_hash"]).select("id", "lang", "text")  # at most ``bound`` ids per language
     added = T.StructType([T.StructField("codes", T.BinaryType())])
 
     def compute():
         return lambda texts: [pa.array([np.unique(grams(t or "")).astype(np.int32).tobytes() for t in texts.to_pylist()], pa.binary())]
 
-    coded = with_arrow_columns(rows, ["text"], added, compute).select("id", "lang", "codes")
+    coded = with_arrow_columns(rows, ["text"], added, compute).select("id", "lang", "codes").dropDuplicates(["id", "lang"])  # repeated rows
     found = sorted(((r["lang"], r["id"], bytes(r["codes"])) for r in coded.collect()), key=lambda r: (r[0], str(r[1]), r[2]))
     return [(language, np.frombuffer(codes, dtype=np.int32)) for language, _, codes in found]
 

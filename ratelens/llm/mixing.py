@@ -10,6 +10,7 @@ the moves so far, so no table of rates is kept and only twelve numbers a step co
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -113,6 +114,8 @@ def fit(sample: list[tuple[int, np.ndarray, np.ndarray]], domains: list[int], *,
 def fit_domains(docs: DataFrame, labels: DataFrame, *, bound: int = 1200, doc_id: str = "doc_id", text: str = "text") -> Classifier:
     """Classifier from a bounded sample of the labelled documents: at most ``bound`` of each domain.
 
+    Of several texts of one id the one with the least hash counts, and null texts take no places.
+
     ``labels`` has doc_id, quality and toxic (0 or 1): toxic 1 is the domain toxic, else quality 1 good and 0 poor. Rows
     with a null do not count. Without rows every posterior is the same.
     """
@@ -122,15 +125,18 @@ def fit_domains(docs: DataFrame, labels: DataFrame, *, bound: int = 1200, doc_id
     hashed = F.xxhash64(F.col("doc_id").cast("string"))
     known = labels.select(F.col("doc_id").alias("id"), domain.alias("domain"), hashed.alias("h"), F.pmod(hashed, F.lit(SHARDS)).alias("shard"))
     order = Window.partitionBy("domain", "shard").orderBy("h", "id")
+    texts = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
+    one_text = texts.groupBy("id").agg(F.min(F.xxhash64("text")).alias("text_hash"))
     chosen = (
         known.filter("id IS NOT NULL AND domain IS NOT NULL")
+        .distinct()
+        .join(one_text, "id")  # only documents with a text take places
         .withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= max(1, bound // SHARDS))
-        .select("id", "domain")
-        .distinct()
+        .select("id", "domain", "text_hash")
     )
-    texts = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
-    sample = texts.join(F.broadcast(chosen), "id")  # at most ``bound`` ids per domain
+    # at most ``bound`` ids per domain
+    sample = texts.withColumn("text_hash", F.xxhash64("text")).join(F.broadcast(chosen), ["id", "text_hash"]).drop("text_hash")
     added = T.StructType([T.StructField(c, T.BinaryType()) for c in ("words", "shape")] + [T.StructField("n", T.LongType())])
 
     def compute():
@@ -144,7 +150,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, *, bound: int = 1200, doc_id
 
         return slice_
 
-    coded = with_arrow_columns(sample, ["text"], added, compute).drop("text")
+    coded = with_arrow_columns(sample, ["text"], added, compute).drop("text").dropDuplicates(["id", "domain"])  # repeated rows
     found = sorted(((r["id"], r["domain"], r["n"], bytes(r["words"]), bytes(r["shape"])) for r in coded.collect()), key=lambda r: (str(r[0]), *r[1:]))
     rows = [(n, np.frombuffer(w, dtype=np.uint64), np.frombuffer(s)) for _, _, n, w, s in found]
     return fit(rows, [r[1] for r in found])
@@ -265,10 +271,15 @@ def mixed(
     *,
     targets: dict[str, float] = TARGETS,
     keep: tuple[str, ...] = ("good",),
+    once: float | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs``, each as often as its rate says (see ``mixing_rates`` and ``draws``), with all their columns."""
+    """The rows of ``docs``, each as often as its rate says (see ``mixing_rates`` and ``draws``), with all their columns.
+
+    With ``once`` no row comes twice, and rows whose posterior of the ``keep`` domains is that or more come exactly once: only the
+    others give way, so the totals differ from the targets by what the rates of these rows differ from 1.
+    """
     model = fit_domains(docs, labels, doc_id=doc_id, text=text)
     prefix, tokens = free_name(docs, "p_"), free_name(docs, "mixing_tokens")
     narrow = docs.select(F.col(f"`{text}`").alias("text"))
@@ -276,5 +287,8 @@ def mixed(
     members = with_posteriors(docs, model, text=text, tokens=tokens, prefix=prefix)
     rate = rate_after(found.moves, [F.col(prefix + d) for d in DOMAINS])
     copies = draws(rate, F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
+    if once is not None:
+        kept = reduce(Column.__add__, [F.col(prefix + d) for d in keep])
+        copies = F.when(kept >= once, 1).otherwise(F.least(copies, F.lit(1)))
     times = F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>"))
     return members.select(*[f"`{c}`" for c in docs.columns], F.explode(times).alias(tokens)).drop(tokens)

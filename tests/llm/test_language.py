@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ratelens.llm import language
 from ratelens.llm.language import UNKNOWN, fit_language_model, identify
 from ratelens.llm.queries import op10_language_id
 
@@ -44,3 +45,12 @@ def test_no_labels_and_empty_tables(spark):
     assert [r["lang_pred"] for r in identify(df, fit_language_model(df)).collect()] == [UNKNOWN] * 2
     empty = df.limit(0)
     assert identify(empty, fit_language_model(empty)).count() == 0
+
+
+def test_the_sample_is_bounded_in_rows_and_skips_null_texts(spark):
+    rows = [(7, f"one id with many texts {i}", "en") for i in range(3000)] + [(i, "the of and to in " * 9, "en") for i in range(100, 160)]
+    rows += [(i, None, "en") for i in range(1000, 4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    found = language.training_rows(df, text="text", lang="lang", doc_id="doc_id", bound=240)
+    assert len(found) == 61
+
