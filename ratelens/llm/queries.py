@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +12,7 @@ from ratelens.llm import chat, contamination, language, mixing, neardup, pieces,
 from ratelens.llm.sql import SQL  # noqa: F401  the SQL of the queries below that have one
 from ratelens.session import configure
 
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
