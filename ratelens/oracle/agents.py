@@ -1,8 +1,42 @@
 """Check SQL for the agent reports: the plain pairwise join that the operators avoid."""
 
-from ratelens.functions.names import BRAND_INITIALS, CLEANING
 from ratelens.oracle.views import AS_OF, avg_pct, big, n_where, r, with_views
 
+# Fixed values, written out a second time so that a wrong one in the operators shows: spelling fixes, longest name, brands.
+CLEANING = {
+    "v1": (
+        {"InsuranceCompany": " Insurance Company", "MutualAutomobile": " Mutual Automobile", "andCasualty": " and Casualty"},
+        40,
+        {},
+    ),
+    "v2": (
+        {"InsuranceCompany": " Insurance", "MutualAutomobile": " Mutual Auto", "andCasualty": " & Casualty", "Fire and": "Fire &"},
+        25,
+        {
+            "State Farm": "State Farm",
+            "Progressive": "Progressive",
+            "Allstate": "Allstate",
+            "Geico": "GEICO",
+            "GEICO": "GEICO",
+            "Farmers": "Farmers",
+            "Liberty Mutual": "Liberty Mutual",
+        },
+    ),
+    "refined": (
+        {
+            "InsuranceCompany": " Insurance Company",
+            "MutualAutomobile": " Mutual Automobile",
+            "andCasualty": " and Casualty",
+            "Fire and": "Fire &",
+            "Property and": "Property &",
+        },
+        35,
+        {},
+    ),
+    "v3": ({"InsuranceCompany": " Insurance", "MutualAutomobile": " Mutual"}, 25, {}),
+}
+BRAND_INITIALS = {"State Farm": "SF", "Progressive": "PG", "Allstate": "AS", "GEICO": "GE", "Farmers": "FM", "Liberty": "LM"}
+
 P = "Premium_Change_Number"
 SINCE_6 = f"Effective_Date >= {AS_OF} - INTERVAL 6 MONTH"
 CARRIER = "Supplier#000000001"
@@ -58,14 +92,14 @@ REFINED = f"""refined AS (SELECT *, {big('ROW_NUMBER() OVER (PARTITION BY State
 
 
 def cleaned(name: str, variant: str) -> str:
-    rules = CLEANING[variant]
+    replacements, longest, brands = CLEANING[variant]
     fixed = name
-    for old, new in rules.replacements:
+    for old, new in replacements.items():
         fixed = f"replace({fixed}, '{old}', '{new}')"
-    cut = f"trim(CASE WHEN length({fixed}) > {rules.longest} THEN concat(substring({fixed}, 1, {rules.longest - 3}), '...') ELSE {fixed} END)"
-    if not rules.brands:
+    cut = f"trim(CASE WHEN length({fixed}) > {longest} THEN concat(substring({fixed}, 1, {longest - 3}), '...') ELSE {fixed} END)"
+    if not brands:
         return cut
-    cases = " ".join(f"WHEN contains({fixed}, '{found}') THEN '{brand}'" for found, brand in rules.brands)
+    cases = " ".join(f"WHEN contains({fixed}, '{found}') THEN '{brand}'" for found, brand in brands.items())
     return f"CASE {cases} ELSE {cut} END"
 
 
@@ -188,7 +222,7 @@ UNION ALL {_timeline('v3', _DAYS, 'd <= 30', 'd <= 7')}""",
     ),
     "company_initials": _v(
         f"""WITH n AS (SELECT DISTINCT Company, {cleaned('Company', 'v2')} AS c FROM carrier_names)
-SELECT Company, CASE {' '.join(f"WHEN contains(c, '{f}') THEN '{i}'" for f, i in BRAND_INITIALS)}
+SELECT Company, CASE {' '.join(f"WHEN contains(c, '{f}') THEN '{i}'" for f, i in BRAND_INITIALS.items())}
  WHEN contains(c, ' ') THEN concat(substring(c, 1, 1), substring(split_part(c, ' ', 2), 1, 1)) ELSE upper(substring(c, 1, 2)) END AS initials FROM n""",
         "carrier_names",
     ),
