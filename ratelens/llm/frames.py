@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -75,9 +76,29 @@ def with_arrow_columns(
                     [part.column(i) for i in range(len(kept))] + new, names=kept + [f.name for f in added.fields]
                 )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The values of a string column as UTF-8 bytes."""
     return column.cast(pa.binary()).to_pylist()
+
+
+def give_back() -> None:
+    """Return memory that this worker has freed to the system, where the C library can (a worker lives on between tasks)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, which gives its memory back when it ends."""
+
+    def lean_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return lean_run

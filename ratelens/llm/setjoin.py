@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens.llm.components import components
-from ratelens.llm.frames import free_name, release, utf8, with_arrow_columns, written
+from ratelens.llm.frames import free_name, lean, release, utf8, with_arrow_columns, written
 from ratelens.llm.hashing import EMPTY, mix, shingle_set
 
 HOT = 8192
@@ -273,7 +273,7 @@ def _keys(texts: DataFrame, size: int, percent: int, part_ids: list[int]) -> Dat
         if held:
             yield rows_of(keys, tags, names)
 
-    return texts.mapInArrow(run, "part int, keys binary, names binary, place binary, low binary, high binary, homes binary")
+    return texts.mapInArrow(lean(run), "part int, keys binary, names binary, place binary, low binary, high binary, homes binary")
 
 
 def _part_ids(spark: SparkSession) -> list[int]:
@@ -333,7 +333,7 @@ def _shared(keys: DataFrame, partitions: int) -> DataFrame:
                 names=["key", "name", "tag", "deletion"],
             )
 
-    return keys.repartition(partitions, "part").mapInArrow(run, "key long, name long, tag int, deletion boolean").distinct()
+    return keys.repartition(partitions, "part").mapInArrow(lean(run), "key long, name long, tag int, deletion boolean").distinct()
 
 
 def _sized(docs: DataFrame, size: int) -> DataFrame:
@@ -393,7 +393,7 @@ def _sketches(tokens: DataFrame, groups: int) -> DataFrame:
                 names=["name", "n", "sketch"],
             )
 
-    return written(tokens.select("name", "tokens").mapInArrow(run, "name long, n long, sketch binary"), "sketches")
+    return written(tokens.select("name", "tokens").mapInArrow(lean(run), "name long, n long, sketch binary"), "sketches")
 
 
 def _possible(pairs: DataFrame, sketches: DataFrame, percent: int, groups: int) -> DataFrame:
@@ -411,7 +411,7 @@ def _possible(pairs: DataFrame, sketches: DataFrame, percent: int, groups: int)
         .join(sketches.toDF("b", "n_b", "other"), "b")
         .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     )
-    return near.select("a", "b", "n_a", "n_b", "one", "other").mapInArrow(run, "a long, b long")
+    return near.select("a", "b", "n_a", "n_b", "one", "other").mapInArrow(lean(run), "a long, b long")
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -444,7 +444,7 @@ def _heavy(rows: DataFrame, hot: DataFrame, tokens: DataFrame, percent: int, par
                 [pa.array(c, k) for c, k in zip(columns, kinds)], names=["name", "space", "key", "empty", "spare"]
             )
 
-    mine = written(sets.mapInArrow(run, schema).join(hot, "key", "left_semi"), "hot")
+    mine = written(sets.mapInArrow(lean(run), schema).join(hot, "key", "left_semi"), "hot")
     over = mine.groupBy("name", "space").agg((F.count("*") + F.max("empty") > F.max("spare")).alias("over")).filter("over")
     return mine.join(over, ["name", "space"], "left_semi").select("key", "name").distinct()
 
@@ -468,7 +468,7 @@ def _tile_rows(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
                     names=[*carried, "name", "n", "sketch", "marks"],
                 )
 
-    return _only(tokens.select("name", "tokens"), rows.select("name")).join(places, "name").mapInArrow(run, schema)
+    return _only(tokens.select("name", "tokens"), rows.select("name")).join(places, "name").mapInArrow(lean(run), schema)
 
 
 def tile_pairs(tile: dict[str, list], percent: int, agreeing: int) -> list[tuple[int, int]]:
@@ -558,7 +558,7 @@ def _tiled(rows: DataFrame, percent: int, agreeing: int) -> DataFrame:
             yield finish()
 
     placed = tiles.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return placed.select("key", "x", "y", *fields).mapInArrow(run, "a long, b long").distinct()
+    return placed.select("key", "x", "y", *fields).mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def _crossing(shared: DataFrame, roots: DataFrame, tokens: DataFrame, percent: int, part_ids: list[int]) -> DataFrame:
@@ -663,14 +663,14 @@ def one_of_each(docs: DataFrame, *, size: int = 5, percent: int = 80, doc_id: st
     narrow = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     named = written(_grouped(narrow, size, percent).filter("group IS NOT NULL"), "groups")
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "name")).alias("first")
-    kept = named.groupBy("group").agg(first, F.count("*").alias("n")).select("first.id", "first.name")
-    kept = written(kept, "kept")
-    repeated = named.join(kept, named["id"].eqNullSafe(kept["id"]) & (named["name"] == kept["name"]), "left_semi")
-    repeated = repeated.groupBy("id", "name").count().filter("count > 1")
-    id_column, name = free_name(docs, "kept_id"), free_name(docs, "kept_name")
-    few = kept.toDF(id_column, name)
-    if kept.count() <= BROADCAST_IDS:
-        few = F.broadcast(few)
+    kept = written(named.groupBy("group").agg(first).select("first.id", "first.name"), "kept")
+    is_kept = named["id"].eqNullSafe(kept["id"]) & (named["name"] == kept["name"])
+    repeated = named.join(kept, is_kept, "left_semi").groupBy("id", "name").count().filter("count > 1")
+    id_column, name = free_name(docs, "copy_id"), free_name(docs, "copy_name")
+    # the copies are far fewer than the texts that stay
+    copies = written(named.join(kept, is_kept, "left_anti").select("id", "name").distinct().toDF(id_column, name), "copies")
+    if copies.count() <= BROADCAST_IDS:
+        copies = F.broadcast(copies)
 
     def compute():
         def slice_(texts: pa.Array) -> list[pa.Array]:
@@ -681,8 +681,7 @@ def one_of_each(docs: DataFrame, *, size: int = 5, percent: int = 80, doc_id: st
 
     own = free_name(docs, "own_name")
     coded = with_arrow_columns(docs, [text], T.StructType([T.StructField(own, T.LongType())]), compute)
-    stays = coded.join(few, F.col(f"`{doc_id}`").eqNullSafe(F.col(id_column)) & (F.col(own) == F.col(name)), "left_semi")
+    stays = coded.join(copies, F.col(f"`{doc_id}`").eqNullSafe(F.col(id_column)) & (F.col(own) == F.col(name)), "left_anti")
     if repeated.limit(1).count():
-        stays = stays.dropDuplicates([doc_id, own])
-    blank = coded.filter(F.col(own).isNull())
-    return stays.unionByName(blank).select(*[f"`{c}`" for c in docs.columns])
+        stays = stays.filter(F.col(own).isNotNull()).dropDuplicates([doc_id, own]).unionByName(stays.filter(F.col(own).isNull()))
+    return stays.select(*[f"`{c}`" for c in docs.columns])

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelens.llm.frames import with_arrow_columns, written
+from ratelens.llm.frames import lean, with_arrow_columns, written
 from ratelens.llm.hashing import EMPTY, mix, shingle_hashes, word_hashes
 
 LENGTH = 50
@@ -116,7 +116,7 @@ def _grams(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(names))], names=["key", "name"]
             )
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(lean(run), schema)
 
 
 def _suffixes(texts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -151,7 +151,7 @@ def _suffixes(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     rows += [pa.array(np.full(len(places), name, np.int64)), pa.array(list(places.values()), pa.list_(pa.int32()))]
                     yield pa.RecordBatch.from_arrays(rows, names=names)
 
-    return texts.select("text", "keys", "name").mapInArrow(run, "key long, right binary, left binary, name long, at array<int>")
+    return texts.select("text", "keys", "name").mapInArrow(lean(run), "key long, right binary, left binary, name long, at array<int>")
 
 
 def shared_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -228,7 +228,7 @@ def _reaches(suffixes: DataFrame, side: str, length: int, gram: int) -> DataFram
 
     order = ["key", side, "name"]
     spread = suffixes.select("key", side, "name", "at").repartitionByRange(*order).sortWithinPartitions(*order)
-    compared = written(spread.mapInArrow(run, schema), "compared")
+    compared = written(spread.mapInArrow(lean(run), schema), "compared")
     rows = compared.filter("edge IS NULL").drop("edge", "key", "side")
     borders = compared.filter("edge IS NOT NULL").select("task", "edge", "key", "side", "name").collect()  # four rows a task at most
     beyond = borders_of([r.asDict() for r in borders], words)
@@ -300,7 +300,7 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
                     same = [pa.array(np.full(len(at), v, dtype=np.int64)) for v in (name, first)]
                     yield pa.RecordBatch.from_arrays([pa.array(hashes[i : i + SLICE]), *same, pa.array(at)], names=names)
 
-    return texts.select("text", "stretches", "name", "first").mapInArrow(run, "hash long, name long, first long, at int")
+    return texts.select("text", "stretches", "name", "first").mapInArrow(lean(run), "hash long, name long, first long, at int")
 
 
 def _held(windows: DataFrame, before: Column) -> DataFrame:
