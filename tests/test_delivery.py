@@ -4,7 +4,6 @@ import json
 import random
 from datetime import date, datetime, timedelta
 
-import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,35 +101,6 @@ def test_stream_equals_batch(spark, tmp_path, files):
     assert got == found(delivery.email_status_fold(spark.createDataFrame(events, EVENTS), log))
 
 
-def test_micro_batches_read_what_they_touch(spark, tmp_path, monkeypatch):
-    """Fifty micro-batches of a day, in order, read less than three times the day; late ones only their cells."""
-    rng = random.Random(3)
-    times = sorted(rng.randrange(24 * 3600) for _ in range(2000))
-    kinds = ["Open", "Open", "Delivery", "Bounce"]
-    events = [(i, START + timedelta(seconds=t), f"m{rng.randrange(40)}", rng.choice(kinds), None, None) for i, t in enumerate(times)]
-    late = (9000, START + timedelta(minutes=5), "m1", "Delivery", None, None)
-    log, folder, read = mails(spark, events), str(tmp_path / "out"), []
-    stored = email_status._stored_events
-
-    def counted(spark_, *args):
-        df = stored(spark_, *args)
-        # rows of files that the borders of the hours let through, as the parquet reader skips the others
-        first, last = args[1][0][1], args[1][-1][2] + timedelta(hours=1)
-        files = df.select(F.input_file_name().alias("f")).distinct().collect()
-        read.append(sum(pq.read_metadata(r.f.removeprefix("file://")).num_rows for r in files))
-        assert len(args[1]) == 1 and first <= last
-        return df
-
-    monkeypatch.setattr(email_status, "_stored_events", counted)
-    monkeypatch.setattr(email_status, "COMPACT_EVERY", 8)
-    cuts = [events[i : i + 40] for i in range(0, 2000, 40)] + [[late], [late]]
-    for i, cut in enumerate(cuts):
-        email_status._store(spark.createDataFrame(cut, EVENTS).coalesce(1), i, log, folder)
-        assert len(list((tmp_path / "out" / "updates").glob("batch=*"))) <= 9
-    assert sum(read[:50]) < 3 * 2000 and max(read[-2:]) < 200
-    assert found(email_status.latest_status(spark, folder, log)) == found(delivery.email_status_fold(spark.createDataFrame([*events, late, late], EVENTS), log))
-
-
 def test_payloads_single_and_list(spark):
     one = {"MessageID": "m", "RecordType": "Delivery", "DeliveredAt": "2024-01-01T00:00:05Z"}
     lines = [(1, json.dumps(one)), (2, json.dumps([{**one, "RecordType": "Open", "DeliveredAt": None, "ReceivedAt": "2024-01-02T00:00:00Z"}] * 2))]
