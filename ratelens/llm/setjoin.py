@@ -51,6 +51,7 @@ SALTS = 64
 SLICE_ROWS = 400_000
 SLICE_NAMES = 50_000
 KEY_BYTES = 5
+RUN_KEYS = 500_000
 BROADCAST_IDS = 500_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -285,15 +286,40 @@ def _part_ids(spark: SparkSession) -> list[int]:
     return found
 
 
+def company(key: np.ndarray, name: np.ndarray, tag: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(key, name, tag, deletion), once each, of the keys that several sets have or that are known to have company."""
+    if not len(key):
+        return
+    # a set can come from several tasks and is then still alone with the key
+    order = np.lexsort((tag & 2, name, key))
+    key, name, tag = key[order], name[order], tag[order]
+    fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]) | ((tag[1:] ^ tag[:-1]) & 2 > 0)))
+    key, name, tag = key[fresh], name[fresh], tag[fresh]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    counts = np.diff(np.append(first, len(key)))
+    kept = (np.repeat(counts, counts) > 1) | (tag & 4 > 0)
+    key, name, tag = key[kept], name[kept], tag[kept]
+    for i in range(0, len(key), SLICE_ROWS):
+        k, n, t = key[i : i + SLICE_ROWS], name[i : i + SLICE_ROWS], tag[i : i + SLICE_ROWS]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(k), pa.array(n), pa.array((t >> 3) * 2 + (t & 1)), pa.array(t & 2 > 0)],
+            names=["key", "name", "tag", "deletion"],
+        )
+
+
 def _shared(keys: DataFrame, partitions: int) -> DataFrame:
-    """(key, name, tag, deletion) of the keys that several sets have; salted ones are known to have company."""
+    """(key, name, tag, deletion) of the keys that several sets have; salted ones are known to have company.
+
+    A task holds the packed keys of its part and works them off in runs of about ``RUN_KEYS`` by their highest byte.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, tables, places, tags = [], [], [], []
+        keys, ranges, tables, places, tags = [], [], [], [], []
         for batch in batches:
             for part, k, n, place, low, high, homes in zip(*[c.to_pylist() for c in batch.columns]):
                 wide = np.zeros((len(k) // KEY_BYTES, 8), dtype=np.uint8)
                 wide[:, :KEY_BYTES] = np.frombuffer(k, dtype=np.uint8).reshape(-1, KEY_BYTES)
+                ranges.append(wide[:, KEY_BYTES - 1].copy())
                 tables.append(np.frombuffer(n, dtype=np.int64))
                 places.append(np.frombuffer(place, dtype=np.uint16))
                 halves = [np.frombuffer(h, dtype=np.uint16).astype(np.int32) for h in (low, high)]
@@ -303,35 +329,21 @@ def _shared(keys: DataFrame, partitions: int) -> DataFrame:
                 keys.append(named_key(wide.view("<u8").ravel(), home))
         if not keys:
             return
-        key = np.concatenate(keys)
-        keys.clear()
-        ordered = np.sort(key)
-        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-        del ordered
-        tag = np.concatenate(tags)
-        tags.clear()
-        at = np.searchsorted(twice, key)
-        at[at == len(twice)] = 0
-        kept = np.flatnonzero(((twice[at] == key) if len(twice) else np.zeros(len(key), dtype=bool)) | (tag & 4 > 0))
-        row = np.searchsorted(np.cumsum([len(p) for p in places]), kept, side="right")
-        table = np.cumsum([0] + [len(t) for t in tables])[row]
-        name = np.concatenate(tables)[table + np.concatenate(places)[kept]]
-        key, tag = key[kept], tag[kept]
-        # a set can come from several tasks and is then still alone with the key
-        order = np.lexsort((tag & 2, name, key))
-        key, name, tag = key[order], name[order], tag[order]
-        fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]) | ((tag[1:] ^ tag[:-1]) & 2 > 0))) if len(key) else kept > 0
-        key, name, tag = key[fresh], name[fresh], tag[fresh]
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else order[:0]
-        counts = np.diff(np.append(first, len(key)))
-        kept = (np.repeat(counts, counts) > 1) | (tag & 4 > 0)
-        key, name, tag = key[kept], name[kept], tag[kept]
-        for i in range(0, len(key), SLICE_ROWS):
-            k, n, t = key[i : i + SLICE_ROWS], name[i : i + SLICE_ROWS], tag[i : i + SLICE_ROWS]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k), pa.array(n), pa.array((t >> 3) * 2 + (t & 1)), pa.array(t & 2 > 0)],
-                names=["key", "name", "tag", "deletion"],
-            )
+        ends, starts = np.cumsum([len(p) for p in places]), np.cumsum([0] + [len(t) for t in tables])
+        all_keys, in_range, all_tags, all_places, table = map(np.concatenate, (keys, ranges, tags, places, tables))
+        for held in (keys, ranges, tags, places, tables):
+            held.clear()
+        runs = min(256, -(-len(all_keys) // RUN_KEYS))
+        for i in range(runs):  # a key lies in one range of its highest byte
+            mine = np.flatnonzero((in_range >= 256 * i // runs) & (in_range < 256 * (i + 1) // runs))
+            key, tag = all_keys[mine], all_tags[mine]
+            ordered = np.sort(key)
+            twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+            at = np.searchsorted(twice, key)
+            at[at == len(twice)] = 0
+            kept = np.flatnonzero(((twice[at] == key) if len(twice) else np.zeros(len(key), dtype=bool)) | (tag & 4 > 0))
+            name = table[starts[np.searchsorted(ends, mine[kept], side="right")] + all_places[mine[kept]]]
+            yield from company(key[kept], name, tag[kept])
 
     return keys.repartition(partitions, "part").mapInArrow(lean(run), "key long, name long, tag int, deletion boolean").distinct()
 
