@@ -13,6 +13,8 @@ from ratelens.session import work_dir
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 MOST_ROWS = 1000
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MOST_BYTES = 4 << 20
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -27,6 +29,9 @@ def small_batches(spark: SparkSession) -> None:
     """Hand texts and sets to Python in batches that take little memory beside the executor's heap, unless they are smaller already."""
     if int(spark.conf.get(BATCH_ROWS)) > MOST_ROWS:
         spark.conf.set(BATCH_ROWS, str(MOST_ROWS))
+    held = spark.conf.get(BATCH_BYTES).removesuffix("b")
+    if held.isdigit() and int(held) > MOST_BYTES:  # a setting with another unit is the user's own
+        spark.conf.set(BATCH_BYTES, str(MOST_BYTES))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
