@@ -216,7 +216,9 @@ def sync_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logged reports of all months, the month as digits, name or short name; one edition in seven was not logged."""
-    months = filings(spark, sf_dir).select("State", F.trunc("Effective_Date", "month").alias("ym")).distinct()
+    # the month of an aggregate, not of the key: conditions on what is made of it then stay above, with a row per month
+    by_month = filings(spark, sf_dir).groupBy("State", F.trunc("Effective_Date", "month").alias("key"))
+    months = by_month.agg(F.trunc(F.min("Effective_Date"), "month").alias("ym")).drop("key")
     number = "CAST(split_part(State, '_', 2) AS INT)"
     logged = months.filter(f"(year(ym) * 12 + month(ym) + 3 * {number}) % 7 <> 0")
     return logged.selectExpr(

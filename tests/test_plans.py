@@ -1,6 +1,6 @@
 """What the plans look like: reads, shuffles, pushed filters, no work while a query is built."""
 
-from datetime import date
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ratelens.functions.numeric import one_decimal, rounded
 from ratelens.functions.ranking import bounded_bands, values_below
 from ratelens.operators import agents, dashboard, health, market, newsletter, records
+from ratelens.sources import tables
 from ratelens.sources.report_files import writer_uri
 
 AS_OF = date(2024, 6, 15)
@@ -127,3 +128,29 @@ def test_product_lines_only_of_shown_zones(stored):
 def test_hadoop_paths_of_the_sink():
     assert writer_uri("s3a://bucket/x") == "s3://bucket/x" and writer_uri("hdfs://n/x") == "hdfs://n/x"
     assert writer_uri("/mnt/x") == writer_uri("file:/mnt/x") == writer_uri("file:///mnt/x") == "file:///mnt/x"
+
+
+def test_reports_are_spelled_per_month_and_not_per_filing(spark, tmp_path):
+    day = datetime(2001, 5, 3)
+    given = {
+        "nation": ([(1, "NATION_1")], "n_nationkey int, n_name string"),
+        "customer": ([(1, 1)], "c_custkey bigint, c_nationkey int"),
+        "orders": ([(1, 1)], "o_orderkey bigint, o_custkey bigint"),
+        "supplier": ([(1, "S")], "s_suppkey bigint, s_name string"),
+        "part": ([(1, "B", "T")], "p_partkey bigint, p_brand string, p_type string"),
+        "lineitem": (
+            [(1, 1, 1, n, 1.0, 1.0, 0.05, when) for n, when in enumerate([day, day + timedelta(days=9), None, day + timedelta(days=31)])],
+            "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double,"
+            " l_discount double, l_shipdate timestamp_ntz",
+        ),
+    }
+    for name, (rows, schema) in given.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    reports = tables.reports(spark, str(tmp_path))
+    assert [(r.Month, r.Year, r.Status) for r in reports.orderBy("report_id").collect()] == [
+        ("May", "2001", "Sent"), ("June", "2001", "Generated"),
+    ]
+    pending = newsletter.pending_reports(tables.filings(spark, str(tmp_path)), reports)
+    assert pending.count() == 0
+    below = pending._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [")[-1]  # the months of the reports
+    assert "l_shipdate" in below and "date_format" not in below
