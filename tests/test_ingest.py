@@ -8,7 +8,7 @@ from ratelens.functions.parsing import parse_date, parse_number, parse_timestamp
 from ratelens.operators import ingest
 from ratelens.plans import sync as sync_module
 from ratelens.plans.sync import read_history, sync
-from ratelens.sources.stored import read_filings
+from ratelens.sources.stored import YEAR, read_filings, read_stored, replace_years
 
 
 def parsed(spark, texts, function):
@@ -253,3 +253,22 @@ def test_profiles(spark):
     found = ingest.diagnose_rate_change(df, "v").first()
     assert found.valid_count == 3 and [i.raw for i in found.issues] == ["x", "2024-01-02"]
     assert tuple(ingest.validate_numeric_fields(df, ["v"]).first()) == ("v", 3, 2, 2)
+
+
+def test_first_sync_joins_with_nothing(spark, records, tmp_path):
+    batch = ingest.raw_to_filings(records(record("a"), record("b")))
+    actions = ingest.with_actions(read_stored(spark, str(tmp_path / "none")), batch, YEAR)
+    assert [(r.action, r[YEAR]) for r in actions.collect()] == [("inserted", None)] * 2
+    assert "Join" not in actions._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_replaced_years_keep_the_order_they_were_laid_in(spark, tmp_path):
+    rows = [(f"r{i}", "Ohio", date(year, 1, 1), year) for year in (2022, 2023) for i in (3, 1, 2)]
+    new = spark.createDataFrame(rows, f"Record_ID string, State string, Effective_Date date, {YEAR} int").coalesce(1)
+    new.write.partitionBy(YEAR).parquet(str(tmp_path / "rows"))
+    for _ in range(2):  # doing it again gives the same
+        replace_years(read_stored(spark, str(tmp_path / "rows")), str(tmp_path / "filings"), [2022, 2023])
+    stored = read_stored(spark, str(tmp_path / "filings"))
+    assert stored.count() == 6
+    for year in (2022, 2023):  # sorting again would spill large years to disk
+        assert [r.Record_ID for r in stored.filter(f"{YEAR} = {year}").collect()] == ["r3", "r1", "r2"]
