@@ -1,5 +1,6 @@
 import os
 import random
+import sys
 
 import pytest
 import sentencepiece
@@ -53,3 +54,8 @@ def test_null_ids_and_empty_table(spark):
     df = spark.createDataFrame([(None,), ([],)], "ids array<int>")
     assert [r["decoded"] for r in piece_decode(df, PIECE_MODEL).collect()] == ["", ""]
     assert piece_encode(spark.createDataFrame([], "text string"), PIECE_MODEL).count() == 0
+
+
+def test_kept_chunks_leave_room_beside_the_heap():
+    entry = sys.getsizeof(" letters") + sys.getsizeof(bytes(8)) + 3 * 24  # chunk, two ids, its place in a dictionary two thirds full
+    assert 2 * pieces.KEPT_CHUNKS * entry < 110e6
