@@ -14,9 +14,9 @@ A segment is of no use where it is empty, or where its key is so common that com
 (``allocation``). Rows with a key of their own drop out after one shuffle. The sets that are left are first compared with
 the best connected one of each key, and linked ones joined into components; then only pairs of different components are compared.
 So a large group of near copies costs one comparison per member, not one per pair. Pairs of different components that meet in a key are
-first held against a lower bound of their difference: a sketch of 64 groups of tokens tells groups that differ, and by how many tokens
-at least. That happens inside tiles of bounded size. Only pairs that may be linked leave them, and hardly ever from a segment
-before which the two agree in ``AGREEING`` of ``BEFORE`` others.
+first held against a lower bound of their difference: a sketch of groups of tokens, more of them for larger sets, tells groups that differ, and
+by how many tokens at least. That happens inside tiles of bounded size. Only pairs that may be linked leave them, and hardly ever from
+a segment before which the two agree in ``AGREEING`` of ``BEFORE`` others.
 
 Tokens and sets are known by 64-bit hashes; pairs are verified on the full sets. In spaces of up to 16 segments all are in reserve. In
 larger ones a pair can be missed only if segments of the reserve are empty, and fewer are left than segments that are empty in both sets, while
@@ -44,8 +44,11 @@ HOT = 8192
 TILE = 1024
 AGREEING = 3
 BEFORE = 32
-GROUPS = 64
-FINE_GROUPS = 256
+GROUPS = 128
+MOST_GROUPS = 512
+STAR_GROUPS = 256
+FINE_GROUPS = 1024
+PLACES = 4096
 HOT_IN_SLICE = 32
 SALTS = 64
 SLICE_ROWS = 400_000
@@ -145,21 +148,34 @@ def space_keys(tokens: np.ndarray, values: np.ndarray, space: int, percent: int)
 
 
 def sketch(tokens: np.ndarray, groups: int = GROUPS) -> bytes:
-    """Two bytes for each of some groups of tokens: their number (255 at most) and eight bits of their hash."""
+    """A byte for each of some groups of tokens: their number modulo 32 and three bits of their hash."""
     values = mix(tokens + _B)
     group = ((values >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
     sizes = np.bincount(group, minlength=groups)
     bits = np.zeros(groups, dtype=np.uint64)
     np.add.at(bits, group, mix(values))
-    out = (np.minimum(sizes, 255).astype(np.uint16) << 8) | (mix(bits) & np.uint64(255)).astype(np.uint16)
-    out[sizes == 0] = 0
-    return out.astype("<u2").tobytes()
+    return (((sizes & 31) << 3) | (mix(bits) & np.uint64(7)).astype(np.int64)).astype(np.uint8).tobytes()
 
 
 def least_difference(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Lower bounds of the symmetric difference of sets from their sketches, row by row or of one with many."""
-    sizes = np.abs((many >> 8).astype(np.int16) - (one >> 8).astype(np.int16))
-    return np.maximum(sizes, many != one).sum(axis=1, dtype=np.int64)
+    """Lower bounds of the symmetric difference of sets from their sketches, row by row or of one with many.
+
+    Groups of unequal numbers differ by that many tokens at least, other groups with unequal tokens by two.
+    """
+    one, many = one.view(np.uint8), many.view(np.uint8)
+    apart = ((many >> 3) - (one >> 3)) & np.uint8(31)
+    apart = np.minimum(apart, np.uint8(32) - apart)
+    apart[(apart == 0) & (many != one)] = 2
+    return apart.sum(axis=1, dtype=np.int64)
+
+
+@lru_cache(maxsize=4096)
+def groups_of(space: int, percent: int) -> int:
+    """Groups of the sketches in a space: so many that its smallest sets have 16 tokens in a group, within limits."""
+    groups = GROUPS
+    while groups < MOST_GROUPS and 16 * groups < bands(percent)[space]:
+        groups *= 2
+    return groups
 
 
 def segment_marks(tokens: np.ndarray, space: int, percent: int) -> np.ndarray:
@@ -413,7 +429,7 @@ def _possible(pairs: DataFrame, sketches: DataFrame, percent: int, groups: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            one, other = (np.frombuffer(b"".join(part.column(c).to_pylist()), dtype="<u2").reshape(-1, groups) for c in ("one", "other"))
+            one, other = (np.frombuffer(b"".join(part.column(c).to_pylist()), dtype=np.uint8).reshape(-1, groups) for c in ("one", "other"))
             total = part.column("n_a").to_numpy() + part.column("n_b").to_numpy()
             kept = pa.array(least_difference(one, other) <= total - 2 * -(-percent * total // (100 + percent)))
             yield pa.RecordBatch.from_arrays([part.column(c).filter(kept) for c in ("a", "b")], names=["a", "b"])
@@ -461,26 +477,45 @@ def _heavy(rows: DataFrame, hot: DataFrame, tokens: DataFrame, percent: int, par
     return mine.join(over, ["name", "space"], "left_semi").select("key", "name").distinct()
 
 
-def _tile_rows(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """``rows`` (key, name, tag, root, deletion, probe) with n, sketch and ``marks``: those of the ``BEFORE`` segments before the key's."""
-    carried = ["key", "tag", "root", "deletion", "probe"]
+def _tile_rows(rows: DataFrame, names: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Dealt ``rows`` with n, the sketch for the key's space, and ``marks``: those of the ``BEFORE`` segments before the key's.
+
+    Sketches and marks are made where the tokens lie, so that these stay in place.
+    """
+    carried = ["key", "x", "y", "tag", "root", "deletion", "probe", "in_x", "in_y"]
     places = rows.groupBy("name").agg(F.collect_list(F.struct(*carried)).alias("places"))
-    schema = "key long, tag int, root long, deletion boolean, probe boolean, name long, n long, sketch binary, marks binary"
+    schema = "key long, x int, y int, tag int, root long, deletion boolean, probe boolean, in_x boolean, in_y boolean, name long, n long, sketch binary, marks binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, values, held in zip(*[batch.column(i) for i in range(3)]):
-                mine, held = np.asarray(values.values).view(np.uint64), held.values
-                marks = [segment_marks(mine, space, percent) for space in spaces_of(len(mine), percent)]
-                windows = [marks[t & 1][t >> 1 : (t >> 1) + BEFORE].tobytes() for t in held.field("tag").to_pylist()]
-                count = len(windows)
-                same = [pa.array([v] * count, k) for v, k in ((name.as_py(), pa.int64()), (len(mine), pa.int64()), (sketch(mine), pa.binary()))]
-                yield pa.RecordBatch.from_arrays(
-                    [held.field(c) for c in carried] + same + [pa.array(windows, pa.binary())],
-                    names=[*carried, "name", "n", "sketch", "marks"],
-                )
+            sets = [np.asarray(v.values).view(np.uint64) for v in batch.column(1)]
+            spaces = [spaces_of(len(s), percent) for s in sets]
+            sketches = [[sketch(s, groups_of(space, percent)) for space in own] for s, own in zip(sets, spaces)]
+            marks = [[segment_marks(s, space, percent).tobytes() for space in own] for s, own in zip(sets, spaces)]
+            lists = pa.list_(pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sketches, lists), pa.array(marks, lists)],
+                names=["name", "n", "sketches", "segments"],
+            )
 
-    return _only(tokens.select("name", "tokens"), rows.select("name")).join(places, "name").mapInArrow(lean(run), schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, n, sketches, segments, held in zip(*[batch.column(i) for i in range(5)]):
+                sketches, segments, held = sketches.as_py(), segments.as_py(), held.values
+                for start in range(0, len(held), PLACES):
+                    some = held.slice(start, PLACES)
+                    tags = some.field("tag").to_pylist()
+                    windows = [segments[t & 1][2 * (t >> 1) : 2 * ((t >> 1) + BEFORE)] for t in tags]
+                    yield pa.RecordBatch.from_arrays(
+                        [some.field(c) for c in carried]
+                        + [pa.array([v.as_py()] * len(some), pa.int64()) for v in (name, n)]
+                        + [pa.array([sketches[t & 1] for t in tags], pa.binary()), pa.array(windows, pa.binary())],
+                        names=[*carried, "name", "n", "sketch", "marks"],
+                    )
+
+    kept = _only(tokens.select("name", "tokens"), names)
+    described = kept.mapInArrow(lean(short), "name long, n long, sketches array<binary>, segments array<binary>")
+    return described.join(places, "name").select("name", "n", "sketches", "segments", "places").mapInArrow(lean(run), schema)
 
 
 def tile_pairs(tile: dict[str, list], percent: int, agreeing: int) -> list[tuple[int, int]]:
@@ -491,12 +526,13 @@ def tile_pairs(tile: dict[str, list], percent: int, agreeing: int) -> list[tuple
     name, root, size = (np.array(tile[c], dtype=np.int64) for c in ("name", "root", "n"))
     deletion, probe, in_x, in_y = (np.array(tile[c], dtype=bool) for c in ("deletion", "probe", "in_x", "in_y"))
     lower = np.array(tile["tag"], dtype=np.int64) % 2 == 1
-    table = np.frombuffer(b"".join(tile["sketch"]), dtype="<u2").reshape(-1, GROUPS)
+    width = np.array([len(v) for v in tile["sketch"]])  # unequal only for keys of different spaces that clash
+    table = np.frombuffer(b"".join(v.ljust(width.max(), b"\0") for v in tile["sketch"]), dtype=np.uint8).reshape(len(width), -1)
     marks = np.frombuffer(b"".join(tile["marks"]), dtype="<u2").reshape(-1, BEFORE)
     found = []
     for i in np.flatnonzero(~lower).tolist():
         wanted = ((in_x[i] & in_y) | (in_y[i] & in_x)) & (probe[i] | probe)
-        wanted &= (root != root[i]) & ~(deletion & deletion[i])
+        wanted &= (root != root[i]) & ~(deletion & deletion[i]) & (width == width[i])
         wanted[: i + 1] &= lower[: i + 1]
         at = np.flatnonzero(wanted)
         if not len(at):
@@ -539,10 +575,8 @@ def _dealt(rows: DataFrame) -> DataFrame:
 
 
 def _tiled(rows: DataFrame, percent: int, agreeing: int) -> DataFrame:
-    """Distinct pairs (a < b) that may be linked, of rows (key, name, tag, root, deletion, probe, n, sketch, marks) of one key."""
+    """Distinct pairs (a < b) that may be linked, of dealt rows (key, x, y, name, tag, root, deletion, probe, n, sketch, marks, in_x, in_y) of one tile."""
     fields = ["name", "tag", "root", "deletion", "probe", "n", "sketch", "marks", "in_x", "in_y"]
-    tiles = _dealt(rows).select("key", "x", "y", *fields)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, tile = None, {}
 
@@ -569,13 +603,14 @@ def _tiled(rows: DataFrame, percent: int, agreeing: int) -> DataFrame:
         if last is not None:
             yield finish()
 
-    placed = tiles.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return placed.select("key", "x", "y", *fields).mapInArrow(lean(run), "a long, b long").distinct()
+    placed = rows.select("key", "x", "y", *fields).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return placed.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def _crossing(shared: DataFrame, roots: DataFrame, tokens: DataFrame, percent: int, part_ids: list[int]) -> DataFrame:
     """Pairs (a < b) of sets of different components that meet in a key and may be linked."""
-    own = shared.join(roots.toDF("name", "root"), "name", "left").withColumn("root", F.coalesce("root", "name"))
+    named = roots.toDF("name", "root")
+    own = shared.join(F.broadcast(named) if roots.count() <= BROADCAST_IDS else named, "name", "left").withColumn("root", F.coalesce("root", "name"))
     per_root = own.groupBy("key", "root").agg(F.count("*").alias("n"))
     per_key = per_root.groupBy("key").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"), F.count("*").alias("roots")
@@ -594,7 +629,7 @@ def _crossing(shared: DataFrame, roots: DataFrame, tokens: DataFrame, percent: i
         probed = rows.groupBy("key").agg(F.bool_or("probe").alias("any")).filter("any").select("key")
         rows = rows.join(probed, "key", "left_semi")
     rows = rows.select("key", "name", "tag", "root", "deletion", "probe")
-    marked = written(_tile_rows(rows, tokens, percent), "tile-rows")
+    marked = written(_tile_rows(_dealt(rows), rows.select("name"), tokens, percent), "tile-rows")
     release(shared.sparkSession)
     return _tiled(marked, percent, agreeing)
 
@@ -621,7 +656,8 @@ def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     stars = shared.join(leaders, "key").filter("name <> leader").select(F.col("leader").alias("a"), F.col("name").alias("b")).distinct()
     spark = docs.sparkSession
     release(spark)
-    near = written(_possible(stars, _sketches(tokens, GROUPS), percent, GROUPS), "near")
+    near = written(_possible(stars, _sketches(tokens, STAR_GROUPS), percent, STAR_GROUPS), "near")
+    release(spark)
     links = written(_verified(near, tokens, percent), "stars")
     release(spark)
     roots = components(links)

@@ -108,6 +108,24 @@ def test_lower_bound_never_exceeds_the_difference():
         assert setjoin.least_difference(x, y[None, :])[0] <= len(np.setxor1d(a, b))
 
 
+def test_sketches_part_loose_relatives_and_large_sets():
+    rnd = np.random.default_rng(5)
+
+    def bound(a, b, groups):
+        x, y = (np.frombuffer(setjoin.sketch(np.sort(s), groups), dtype="<u2") for s in (a, b))
+        least = setjoin.least_difference(x, y[None, :])[0]
+        assert least <= len(np.setxor1d(a, b))
+        return least > most_different(len(a) + len(b), 80)
+
+    base = rnd.integers(0, 2**64, 400, dtype=np.uint64)  # two copies of it share 70 per cent of their tokens or less
+    copies = [np.concatenate((rnd.permutation(base)[:365], rnd.integers(0, 2**64, 35, dtype=np.uint64))) for _ in range(40)]
+    assert np.mean([bound(a, b, setjoin.GROUPS) for a, b in combinations(copies, 2) if len(np.intersect1d(a, b)) <= 335]) > 0.9
+    for n in (1500, 3000, 6000):
+        groups = setjoin.groups_of(spaces_of(n, 80)[0], 80)
+        sets = [rnd.integers(0, 2**64, n, dtype=np.uint64) for _ in range(8)]
+        assert groups * 2 <= 1024 and all(bound(a, b, groups) for a, b in combinations(sets, 2))
+
+
 def family(seed, copies):
     """Short near copies of one text, two words apart at most, in one slice."""
     rnd = random.Random(seed)
