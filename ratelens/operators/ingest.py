@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,12 +72,13 @@ def _field(name: str) -> Column:
     return F.col(f"fields.`{name}`")
 
 
-def _with_fields(records: DataFrame) -> DataFrame:
+def _with_fields(records: DataFrame, *, texts: bool = True) -> DataFrame:
     """``fields`` as a struct of the known source fields, from a JSON object or a map of texts, and ``unreadable``.
 
-    A record whose JSON cannot be read, or is missing, is unreadable; all its fields are NULL.
+    A record whose JSON cannot be read, or is missing, is unreadable; all its fields are NULL. Without ``texts`` only
+    the fields of the other kinds are kept.
     """
-    names = dict.fromkeys([*(source for source, _, _ in FIELD_MAP), *EFFECTIVE_FIELDS])
+    names = dict.fromkeys([*(source for source, _, kind in FIELD_MAP if texts or kind != "text"), *EFFECTIVE_FIELDS])
     if dict(records.dtypes)["fields"] == "string":
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
         parsed = F.from_json("fields", schema, {"columnNameOfCorruptRecord": CORRUPT})
@@ -110,12 +113,12 @@ def _read(kind: str):
     return lambda text: F.when(_given(text), READERS[kind](text))
 
 
-def _with_parsed(records: DataFrame) -> DataFrame:
+def _with_parsed(records: DataFrame, *, texts: bool = True) -> DataFrame:
     """Adds raw values and parsed values of the number, date and time fields, as one array per kind.
 
     One lambda per kind keeps the generated code small; an expression per field makes methods that the JVM refuses to compile.
     """
-    read = _with_fields(records).withColumns({f"raw_{kind}s": F.array(*[_field(f) for f in _texts(kind)]) for kind in READERS})
+    read = _with_fields(records, texts=texts).withColumns({f"raw_{kind}s": F.array(*[_field(f) for f in _texts(kind)]) for kind in READERS})
     return read.withColumns({f"{kind}s": F.transform(f"raw_{kind}s", _read(kind)) for kind in READERS})
 
 
@@ -137,22 +140,24 @@ def _value(source: str, column: str, kind: str) -> Column:
     return _stored(column, value)
 
 
-def typed_records(records: DataFrame) -> DataFrame:
+def typed_records(records: DataFrame, *, texts: bool = True) -> DataFrame:
     """Raw records ``(id, page, fields)`` as typed columns, with ``page``, ``broken``, ``unreadable`` and ``raw``; the text is parsed once.
 
     Unknown text is empty, values that cannot be read or held are NULL, and so is everything in a record whose JSON cannot be read;
-    ``raw`` has its text.
+    ``raw`` has its text. Text columns come only with ``texts``; no other column depends on them.
     """
     extra = ["page"] if "page" in records.columns else []
-    columns = [_value(*field).alias(field[1]) for field in FIELD_MAP]
-    fits = F.array(*[F.col(column).isNotNull() for _, column, kind in FIELD_MAP if kind == "number"])
-    typed = _with_parsed(records).select(
+    wanted = [field for field in FIELD_MAP if texts or field[2] != "text"]
+    columns = [_value(*field).alias(field[1]) for field in wanted]
+    typed = _with_parsed(records, texts=texts).select(
         F.col("id").alias("Record_ID"), *columns, *extra, "unreadable", "raw", *[c for kind in READERS for c in (f"raw_{kind}s", f"{kind}s")]
     )
-    unread = [F.exists(F.zip_with(f"raw_{kind}s", f"{kind}s", is_unparsed), lambda bad: bad) for kind in ("date", "time")]
-    too_large = F.exists(F.zip_with("raw_numbers", fits, lambda text, fit: _given(text) & ~fit), lambda bad: bad)
-    broken = F.col("unreadable") | F.coalesce(too_large | unread[0] | unread[1], F.lit(False))
-    return typed.select("Record_ID", *[column for _, column, _ in FIELD_MAP], *extra, broken.alias("broken"), "unreadable", "raw")
+    # spelled out per place: lambdas over pairs of arrays are not compiled
+    held = {kind: [F.col(f"{kind}s")[i] for i in range(len(_texts(kind)))] for kind in ("date", "time")}
+    held["number"] = [F.col(column) for _, column, kind in FIELD_MAP if kind == "number"]
+    lost = [F.coalesce(_given(F.col(f"raw_{kind}s")[i]) & value.isNull(), F.lit(False)) for kind in held for i, value in enumerate(held[kind])]
+    broken = reduce(or_, lost, F.col("unreadable"))
+    return typed.select("Record_ID", *[column for _, column, _ in wanted], *extra, broken.alias("broken"), "unreadable", "raw")
 
 
 def raw_to_filings(records: DataFrame) -> DataFrame:
@@ -183,7 +188,7 @@ def parse_timestamps(records: DataFrame, column: str) -> DataFrame:
 
 def parse_error_count(records: DataFrame) -> DataFrame:
     """Per page the records of which something given could not be read or does not fit its column."""
-    return typed_records(records).groupBy("page").agg(F.count(F.lit(1)).alias("records"), F.count_if("broken").alias("parsing_errors"))
+    return typed_records(records, texts=False).groupBy("page").agg(F.count(F.lit(1)).alias("records"), F.count_if("broken").alias("parsing_errors"))
 
 
 # --- which records to fetch ---------------------------------------------------------------------------
