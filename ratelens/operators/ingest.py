@@ -116,10 +116,17 @@ def _read(kind: str):
 def _with_parsed(records: DataFrame, *, texts: bool = True) -> DataFrame:
     """Adds raw values and parsed values of the number, date and time fields, as one array per kind.
 
-    One lambda per kind keeps the generated code small; an expression per field makes methods that the JVM refuses to compile.
+    Numbers and dates are spelled out per place, and so are compiled. The lambda over the times is not, which keeps this step out of
+    whole-stage code: there all fields would make one method, too large for the JVM to compile.
     """
     read = _with_fields(records, texts=texts).withColumns({f"raw_{kind}s": F.array(*[_field(f) for f in _texts(kind)]) for kind in READERS})
-    return read.withColumns({f"{kind}s": F.transform(f"raw_{kind}s", _read(kind)) for kind in READERS})
+    spelled = {f"{kind}s": F.array(*[_read(kind)(_field(f)) for f in _texts(kind)]) for kind in ("number", "date")}
+    return read.withColumns({**spelled, "times": F.transform("raw_times", _read("time"))})
+
+
+#: The whole numbers from the first limit to before the second one fit a column. Others are left out by a comparison, as
+#: a failed cast costs an exception per value.
+LIMITS = {T.IntegerType(): (-(2.0**31), 2.0**31), T.LongType(): (-(2.0**63), 2.0**63)}
 
 
 def _stored(column: str, value: Column) -> Column:
@@ -127,7 +134,8 @@ def _stored(column: str, value: Column) -> Column:
     if column not in WHOLE:
         return value.try_cast(TYPES[column])
     number = value.try_cast("double")
-    return F.when(number == F.floor(number), number.try_cast(TYPES[column]))
+    least, end = LIMITS[TYPES[column]]
+    return F.when((number == F.floor(number)) & (number >= least) & (number < end), number.try_cast(TYPES[column]))
 
 
 def _value(source: str, column: str, kind: str) -> Column:

@@ -272,3 +272,16 @@ def test_replaced_years_keep_the_order_they_were_laid_in(spark, tmp_path):
     assert stored.count() == 6
     for year in (2022, 2023):  # sorting again would spill large years to disk
         assert [r.Record_ID for r in stored.filter(f"{YEAR} = {year}").collect()] == ["r3", "r1", "r2"]
+
+
+def test_whole_numbers_up_to_the_limits_of_their_column(records):
+    given = {"2147483647": 2147483647, "2147483648": None, "-2147483648": -2147483648, "-2147483649": None, "1e300": None, "5.5": None, "1e3": 1000}
+    rows = records(*[record(text, **{"Policyholders Affected Number": text}) for text in given])
+    typed = ingest.typed_records(rows)
+    assert {r.Record_ID: r.Policyholders_Affected_Number for r in typed.collect()} == given
+    assert {r.Record_ID for r in typed.filter("broken").collect()} == {text for text, number in given.items() if number is None}
+
+
+def test_numbers_and_dates_are_read_by_compiled_code(records):
+    plan = ingest.raw_to_filings(records(record("a")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction(") == 1  # the times; a lambda is worked off node by node for each value

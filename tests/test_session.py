@@ -1,6 +1,6 @@
 from types import SimpleNamespace
 
-from ratelens.session import work_dir
+from ratelens.session import configure, work_dir
 
 
 def session(**settings):
@@ -17,3 +17,7 @@ def test_warehouse_where_no_folder_is_set():
     first, second = (work_dir(session(), "a") for _ in range(2))
     assert first != second and first.startswith("file:/w/house/_work/a-")
 
+
+
+def test_tasks_after_a_shuffle_are_small(spark):
+    assert configure(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16MB"
