@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from ratelens.functions.dates import month_name, month_number, month_number_by_prefix
 from ratelens.functions.states import state_abbr
 
-# Accepted addresses, mail style sheet, script blocks.
+# Accepted addresses, script blocks, end of a page's body, mail style sheet.
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 SCRIPT_BLOCK = r"(?is)<script\b.*?</script>"
+BODY_END = "</body>"
 EMAIL_CSS = (
     "<style>body{margin:0;padding:0;-webkit-text-size-adjust:100%;-ms-text-size-adjust:100%;}"
     "table{border-collapse:collapse;mso-table-lspace:0pt;mso-table-rspace:0pt;}"
@@ -232,6 +233,11 @@ def link_body(state: Column, address: Column) -> Column:
     )
 
 
+def _pieces(html: Column) -> Column:
+    """A page cut at the ends of its body, once per page; mails only put a footer between the pieces."""
+    return F.split(html, BODY_END)
+
+
 def personalized_html(
     queue: DataFrame,
     newsletters: DataFrame,
@@ -248,7 +254,7 @@ def personalized_html(
         "State",
         F.date_format("month", "MM").alias("month_number"),
         F.date_format("month", "yyyy").alias("Year"),
-        clean_html(F.col("html")).alias("page"),
+        _pieces(clean_html(F.col("html"))).alias("page"),
     )
     footer = F.concat(
         F.lit('<hr><div class="footer"><p>This letter goes to subscribers of the monthly rate news for '),
@@ -259,19 +265,19 @@ def personalized_html(
         hmac_sha256(secret, F.col("subscriber_id")),
         F.lit('">Stop these letters</a></p></div>'),
     )
-    closed = F.replace(F.col("html"), F.lit("</body>"), F.concat(footer, F.lit("</body>")))
-    body = F.when(F.col("html").contains("</body>"), closed).otherwise(F.concat(F.col("html"), footer))
+    closed = F.call_function("array_join", F.col("pieces"), F.concat(footer, F.lit(BODY_END)))
+    body = F.when(F.size("pieces") > 1, closed).otherwise(F.concat(F.col("pieces")[0], footer))
     mails = (
         queue.filter(F.col("outcome") == "queued")
         .withColumn("month_number", month_number(F.col("Month")))
         .join(editions, ["State", "month_number", "Year"], "left")
-        .withColumn("html", F.col("page"))
+        .withColumn("pieces", F.col("page"))
     )
     if addresses is not None:
         mails = mails.join(addresses.select("report_id", "Report_URL"), "report_id", "left").withColumn(
-            "html", F.coalesce("page", link_body(F.col("State"), F.col("Report_URL")))
+            "pieces", F.coalesce("page", _pieces(link_body(F.col("State"), F.col("Report_URL"))))
         )
-    return mails.filter(F.col("html").isNotNull()).select(
+    return mails.filter(F.col("pieces").isNotNull()).select(
         "report_id", "subscriber_id", "Email", "subject", body.alias("html")
     )
 

@@ -134,36 +134,33 @@ def pending_reports(
 def _editions(filings: DataFrame, first: date | None, last: date | None) -> DataFrame:
     """Summary and top product line of each state and month from one read of the filings.
 
-    Companies and product lines are two grouping sets of the same pass: rows per company give the number of
-    companies that raise rates, rows per line give the most frequent one.
+    A filing counts for its product line, with the sums, and, if it raises a rate, once more for its company, without them: rows
+    per line give the sums and the most frequent line, rows per company only the number of companies that raise rates.
     """
     up = rate() > 0
-    keys = [F.col(c) for c in (*EDITION, "Company", "Product_Line")]
-    by_company, by_line = keys[:3], [*keys[:2], keys[3]]
+    names = F.array(
+        F.struct(F.lit(True).alias("is_line"), F.col("Product_Line").alias("name")),
+        F.struct(F.lit(False).alias("is_line"), F.when(up, F.col("Company")).alias("name")),
+    )
+    line = F.col("is_line")
     groups = (
         _dated(filings, first, last)
-        .groupingSets([by_company, by_line], *keys)
+        .select(*EDITION, RATE, "Policyholders_Affected_Number", F.inline(names))
+        .filter(line | F.col("name").isNotNull())
+        .groupBy(*EDITION, "is_line", "name")
         .agg(
-            F.grouping("Product_Line").alias("is_company"),
             F.count(F.lit(1)).alias("n"),
-            F.count_if(up).alias("ups"),
-            sum_where(up, rate()).alias("up_total"),
-            sum_where(up, "Policyholders_Affected_Number").alias("up_policies"),
+            F.count_if(line & up).alias("ups"),
+            sum_where(line & up, rate()).alias("up_total"),
+            sum_where(line & up, "Policyholders_Affected_Number").alias("up_policies"),
         )
     )
-    company = F.col("is_company") == 1
-
-    def of_companies(column: str) -> Column:
-        return F.sum(F.when(company, F.col(column)))
-
-    most = F.struct(-F.col("n"), F.col("Product_Line").isNull(), "Product_Line")
+    most = F.struct(-F.col("n"), F.col("name").isNull(), F.col("name"))
     return groups.groupBy(*EDITION).agg(
-        F.count_if(company & (F.col("ups") > 0) & F.col("Company").isNotNull()).alias("companies"),
-        F.coalesce(rounded(pct_of(of_companies("up_total"), of_companies("ups")), 1), F.lit(0.0)).alias(
-            "avg_increase_pct"
-        ),
-        short_number(F.coalesce(of_companies("up_policies"), F.lit(0))).alias("policies_affected"),
-        F.min_by("Product_Line", F.when(~company, most)).alias("product_line"),
+        F.count_if(~line).alias("companies"),
+        F.coalesce(rounded(pct_of(F.sum("up_total"), F.sum("ups")), 1), F.lit(0.0)).alias("avg_increase_pct"),
+        short_number(F.coalesce(F.sum("up_policies"), F.lit(0))).alias("policies_affected"),
+        F.min_by("name", F.when(line, most)).alias("product_line"),
     )
 
 

@@ -213,3 +213,19 @@ def test_link_only_body(spark):
     assert delivery.personalized_html(queue, pages, "k").count() == 0
     (row,) = delivery.personalized_html(queue, pages, "k", addresses=addresses).collect()
     assert row.report_id == "r1" and 'href="https://x/r1"' in row.html and "?id=s&token=" in row.html
+
+
+def test_pages_are_cut_once_and_not_per_mail(spark):
+    queue = spark.createDataFrame(
+        [("r", f"s{i}", "a@b.co", "sub", "Ohio", "06", "2024", "queued") for i in range(2)],
+        "report_id string, subscriber_id string, Email string, subject string, State string, Month string, Year string, outcome string",
+    )
+    for html, footers in (("<body>x</body>y</body>", 2), ("</body>", 1), ("", 1), ("x", 1)):
+        pages = spark.createDataFrame([("Ohio", datetime(2024, 6, 1).date(), html)], "State string, month date, html string")
+        mails = delivery.personalized_html(queue, pages, "k")
+        for mail in mails.collect():
+            footer = mail.html[mail.html.index("<hr>") : mail.html.index("</div>") + 6]
+            assert f"?id={mail.subscriber_id}&token=" in footer and mail.html.count(footer) == footers
+            assert mail.html.replace(footer, "") == html
+        plan = mails._jdf.queryExecution().optimizedPlan().toString()
+        assert "split(" in plan.split("Join", 1)[1] and "split(" not in plan.split("Join", 1)[0]

@@ -103,3 +103,13 @@ def test_pending(make, spark):
     df = make({}, {"State": "Iowa"})
     reports = spark.createDataFrame([("Ohio", "06", "2024")], "State string, Month string, Year string")
     assert [r.State for r in newsletter.pending_reports(df, reports).collect()] == ["Iowa"]
+
+
+def test_editions_count_companies_that_raise_rates(make):
+    rows = [("Acme", "0.05", "Auto"), ("Acme", "0.07", "Home"), ("Beta", "-0.05", "Auto"), (None, "0.03", None), ("Cora", None, "Home"), ("Dora", "0.01", "Auto")]
+    df = make(*[{"Company": c, "Premium_Change_Number": r, "Product_Line": p} for c, r, p in rows])
+    editions = newsletter._editions(df, None, None)
+    (row,) = editions.collect()
+    assert (row.companies, row.avg_increase_pct, row.policies_affected, row.product_line) == (2, 4.0, "40", "Auto")
+    # no second copy of the filings that raise no rate, and no sums per company
+    assert "Expand" not in editions._jdf.queryExecution().optimizedPlan().toString()
