@@ -2,10 +2,12 @@
 
 Unit vectors u, v have cosine >= c just when their squared distance is at most 2 - 2c. After a fixed random rotation the
 coordinates are split into blocks, and each block gets a share of that budget in proportion to its dimensions; a linked pair
-keeps to its share in at least one block. Each block is joined by range: a block lies in the cell of its first coordinate, cells are as wide as the
-root of the share, so partners lie in the same or the next cell. Cells are cut into chunks of bounded size, and a task compares two
-chunks. It verifies the union of the candidates exactly, on the given vectors in double precision. A pair counts in the first block
-whose share it keeps to, so no list of pairs is needed to count links.
+keeps to its share in at least one block. The vectors of a label are dealt into chunks, and a task compares two chunks: in each block it looks for
+the pairs that keep to the share, and verifies the union of these candidates exactly, on the given vectors in double precision.
+
+A vector travels once to each tile of its chunk, with all its blocks, and not once for each block. A label has at most ``PARTS`` chunks, so that what
+travels grows with the vectors, until a chunk reaches the size that a task can hold. A pair meets in one tile only, so no list of pairs
+is needed to count links.
 
 Equal vectors of a label are one class; a class counts with all its members. A task hands on numbers of links and a spanning
 forest of its pairs, never the pairs.
@@ -17,18 +19,26 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ratelens.llm.components import components
-from ratelens.llm.frames import written
+from ratelens.llm.frames import give_back, written
 
 BLOCK = 8
-CHUNK = 1024
 SLACK = 1e-9
+#: Rows of a chunk: so many at least, and more where a label would have over PARTS chunks, up to the rows and bytes that a task can hold.
+CHUNK = 1024
+PARTS = 8
+MOST_ROWS = 16_384
+MOST_BYTES = 16 << 20
+#: Pairs of a tile that are looked at in one go, and that are verified in one go.
+STRIP = 1 << 20
+RUN = 100_000
+#: Sums of a block are taken in single precision, and cosines of many pairs by a matrix product: within these limits the exact test decides.
+WIDE = np.float32(1e-5)
+UNSURE = 1e-9
 
 
 @lru_cache(maxsize=64)
@@ -46,9 +56,8 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
 
 
-def rotated(vectors: np.ndarray) -> np.ndarray:
-    """Rotated unit vectors; einsum sums a row the same way wherever it stands, so tasks agree to the last bit."""
-    return np.einsum("ij,jk->ik", unit(vectors), rotation(vectors.shape[1]))
+def rotated(units: np.ndarray) -> np.ndarray:
+    return units @ rotation(units.shape[1])
 
 
 def shares(dims: int, cosine: float) -> np.ndarray:
@@ -56,74 +65,132 @@ def shares(dims: int, cosine: float) -> np.ndarray:
     return (2 - 2 * cosine) * np.diff(block_edges(dims)) / dims + SLACK
 
 
-def _cells(classes: DataFrame, cosine: float) -> DataFrame:
-    """(node, label, size, vector, block, cell): one row per class and block."""
-    schema = T.StructType(
-        [classes.schema[c] for c in ("node", "label", "size", "vector")]
-        + [T.StructField("block", T.IntegerType()), T.StructField("cell", T.LongType())]
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            for start in range(0, part.num_rows, 2000):
-                rows = part.slice(start, 2000)
-                lists = rows.column("vector").to_pylist()
-                places, blocks, cells = [], [], []
-                for dims in {len(v) for v in lists}:
-                    at = [i for i, v in enumerate(lists) if len(v) == dims]
-                    turned = rotated(np.array([lists[i] for i in at], dtype=np.float64))
-                    for block, (first, share) in enumerate(zip(block_edges(dims)[:-1], shares(dims, cosine))):
-                        places += at
-                        blocks += [block] * len(at)
-                        cells += np.floor(turned[:, first] / np.sqrt(share)).astype(np.int64).tolist()
-                taken = rows.take(pa.array(places, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [taken.column(c) for c in ("node", "label", "size", "vector")] + [pa.array(blocks, pa.int32()), pa.array(cells, pa.int64())],
-                    names=schema.names,
-                )
-
-    return classes.select("node", "label", "size", "vector").mapInArrow(run, schema)
-
-
-def linked_pairs(left: np.ndarray, right: np.ndarray, block: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows (i of left, j of right) that keep to the share of this block and of none before, with the cosine."""
-    dims = left.shape[1]
-    edges, budget = block_edges(dims), shares(dims, cosine)
-    a, b = rotated(left), rotated(right)
-    own = slice(edges[block], edges[block + 1])
-    near = (a[:, own] ** 2).sum(1)[:, None] + (b[:, own] ** 2).sum(1)[None, :] - 2 * a[:, own] @ b[:, own].T
-    i, j = np.nonzero(near <= budget[block] + 1e-7)  # a little wide: the next lines decide
-    for start in range(0, len(i), 100_000):
-        part = slice(start, start + 100_000)
-        gaps = np.add.reduceat((a[i[part]] - b[j[part]]) ** 2, edges[:-1], axis=1) <= budget
-        kept = gaps[:, block] & ~gaps[:, :block].any(axis=1)
-        x, y = left[i[part]], right[j[part]]
-        dot = np.einsum("ij,ij->i", x, y)
-        norms = np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y))
-        kept &= dot / norms >= cosine
-        i[part] = np.where(kept, i[part], -1)
-    return i[i >= 0], j[i >= 0]
-
-
-def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs that suffice to connect what all pairs connect."""
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        p, q = find(x), find(y)
-        if p != q:
-            root[max(p, q)] = min(p, q)
-            out.append((x, y))
+def _blocks(a: np.ndarray, b: np.ndarray, cosine: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Two matrices for each block, whose product is by how much a pair's squared distance in the block exceeds its share."""
+    dims = a.shape[1]
+    edges, out = block_edges(dims), []
+    for first, end, share in zip(edges[:-1], edges[1:], shares(dims, cosine)):
+        x, y = a[:, first:end], b[:, first:end]
+        left = np.column_stack([x, (x**2).sum(1), np.ones(len(x))])
+        right = np.column_stack([-2 * y, np.ones(len(y)), (y**2).sum(1) - share])
+        out.append((left.astype(np.float32), np.ascontiguousarray(right.T, np.float32)))
     return out
 
 
+def linked_pairs(left: np.ndarray, right: np.ndarray, cosine: float, *, same: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of pairs of rows (i of left, j of right) with at least that cosine; with ``same`` the tables are one, and i < j.
+
+    Candidates are the pairs that keep to the share of any block.
+    """
+    a, b = unit(left), unit(right)
+    blocks = _blocks(rotated(a), rotated(b), cosine)
+    size_left, size_right = (np.sqrt(np.einsum("ij,ij->i", v, v)) for v in (left, right))
+    step = max(1, STRIP // len(right))
+    for start in range(0, len(left), step):
+        rows, skipped = slice(start, start + step), start if same else 0
+        near = np.zeros((len(a[rows]), len(right) - skipped), dtype=bool)
+        for x, y in blocks:
+            near |= x[rows] @ y[:, skipped:] <= WIDE
+        sure = None
+        if np.count_nonzero(near) > near.size // 20:  # many candidates: one product for all
+            sure = a[rows] @ b[skipped:].T
+            near &= sure >= cosine - UNSURE
+        every_i, every_j = np.nonzero(near)
+        for at in range(0, len(every_i), RUN):
+            i, j = every_i[at : at + RUN], every_j[at : at + RUN]
+            open_ = np.arange(len(i)) if sure is None else np.flatnonzero(sure[i, j] < cosine + UNSURE)
+            i, j = i + start, j + skipped
+            x, y = left[i[open_]], right[j[open_]]
+            linked = np.ones(len(i), dtype=bool)
+            linked[open_] = np.einsum("ij,ij->i", x, y) / (size_left[i[open_]] * size_right[j[open_]]) >= cosine
+            if same:
+                linked &= i < j
+            if linked.any():
+                yield i[linked], j[linked]
+
+
+class _Forest:
+    """Pairs that suffice to connect what all pairs connect, of numbered nodes."""
+
+    def __init__(self, nodes: int) -> None:
+        self.root = np.arange(nodes)
+        self.pairs: list[tuple[int, int]] = []
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        p, q = self.root[a], self.root[b]
+        apart = np.flatnonzero(p != q)
+        if not len(apart):
+            return
+        _, first = np.unique(np.minimum(p, q)[apart] * len(self.root) + np.maximum(p, q)[apart], return_index=True)
+        above: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while above.setdefault(x, x) != x:
+                above[x] = above[above[x]]
+                x = above[x]
+            return x
+
+        taken = apart[first]
+        for x, y, r, s in zip(*(v[taken].tolist() for v in (a, b, p, q))):
+            r, s = find(r), find(s)
+            if r != s:
+                above[max(r, s)] = min(r, s)
+                self.pairs.append((x, y))
+        moved = np.arange(len(self.root))
+        moved[list(above)] = [find(r) for r in list(above)]
+        self.root = moved[self.root]
+
+
+FOUND = pa.schema([("h", pa.int64()), ("g", pa.int32()), ("links", pa.int64()), ("to_h", pa.int64()), ("to_g", pa.int32())])
+
+
+def _compared(tile: pa.Table, cosine: float) -> pa.Table:
+    """Numbers of links (to_h is null) and a spanning forest of a tile's pairs."""
+    is_left = tile["left"].to_numpy()
+    first, second = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+    same = tile["x"][0] == tile["y"][0]
+    if not len(first) or not (same or len(second)):
+        return FOUND.empty_table()
+    given = pa.concat_arrays([part.flatten() for part in tile["vector"].chunks]).cast(pa.float64(), safe=False).to_numpy()
+    given = given.reshape(tile.num_rows, -1)
+    left, right, second = (given, given, first) if same else (given[first], given[second], second)
+    sizes, links, forest = tile["size"].to_numpy(), np.zeros(tile.num_rows, dtype=np.int64), _Forest(tile.num_rows)
+    for i, j in linked_pairs(left, right, cosine, same=same):
+        i, j = first[i], second[j]
+        links += np.bincount(i, sizes[j], len(links)).astype(np.int64) + np.bincount(j, sizes[i], len(links)).astype(np.int64)
+        forest.add(i, j)
+    linked = np.flatnonzero(links)
+    x, y = np.array(forest.pairs, dtype=np.int64).reshape(-1, 2).T
+    h, g = tile["h"].to_numpy(), tile["g"].to_numpy()
+    none = pa.nulls(len(linked))
+    counts = [h[linked], g[linked], links[linked], none.cast(pa.int64()), none.cast(pa.int32())]
+    pairs = [h[x], g[x], np.zeros(len(x), dtype=np.int64), h[y], g[y]]
+    return pa.concat_tables(pa.Table.from_arrays([pa.array(c) for c in part], schema=FOUND) for part in (counts, pairs))
+
+
+#: What names a tile: the chunks x and y of a label, x <= y.
+TILE = ["dims", "label", "x", "y"]
+
+
+def _dealt(classes: DataFrame) -> DataFrame:
+    """(dims, label, h, g, size, vector, x, y, left): one row per class and tile of its chunk; ``left`` says that its chunk is x."""
+    grid = ["dims", "label"]
+    placed = classes.withColumn("dims", F.size("vector"))
+    held = F.least(F.lit(MOST_ROWS), F.greatest(F.lit(1), F.floor(F.lit(MOST_BYTES) / (8 * F.col("dims")))))
+    rows = F.least(held, F.greatest(F.lit(CHUNK), F.ceil(F.col("n") / PARTS)))
+    chunks = placed.groupBy(*grid).agg(F.count("*").alias("n")).select(*grid, F.ceil(F.col("n") / rows).cast("int").alias("chunks"))
+    placed = placed.join(chunks, grid).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    tile = lambda x, y, left: F.struct(x.alias("x"), y.alias("y"), F.lit(left).alias("left"))
+    own = F.col("own")
+    before = F.when(own > 0, F.sequence(F.lit(0), own - 1)).otherwise(F.array().cast("array<int>"))
+    tiles = F.concat(
+        F.transform(F.sequence(own, F.col("chunks") - 1), lambda y: tile(own, y, True)), F.transform(before, lambda x: tile(x, own, False))
+    )
+    dealt = placed.select(*grid, "node.h", "node.g", "size", "vector", F.explode(tiles).alias("t"))
+    # else the tiles of a label would stay in the task of the join
+    return dealt.select(*grid, "h", "g", "size", "vector", "t.*").repartition(*TILE)
+
+
 def near_duplicates(
     vectors: DataFrame, *, cosine: float = 0.93, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label"
 ) -> DataFrame:
@@ -152,64 +219,15 @@ def near_duplicates(
         F.count("*").alias("size"), F.min("id").alias("least"), F.first("label").alias("label"), F.first("vector").alias("vector")
     )
     classes = written(sizes.withColumn("node", F.struct("node.h", "node.g")), "classes")
-    cells = written(_cells(classes, cosine), "cells")
-    grid = ["dims", "label", "block"]
-    cells = cells.withColumn("dims", F.size("vector"))
-    chunks = cells.groupBy(*grid, "cell").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    following = chunks.select(*grid, (F.col("cell") - 1).alias("cell"), F.col("chunks").alias("chunks_after"))
-    before = chunks.select(*grid, (F.col("cell") + 1).alias("cell"), F.col("chunks").alias("chunks_before"))
-    placed = (
-        cells.join(chunks, [*grid, "cell"])
-        .join(following, [*grid, "cell"], "left")
-        .join(before, [*grid, "cell"], "left")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    )
-    # a tile holds chunk x of one cell and chunk y of the same cell (x <= y) or of the next one
-    up_to = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    tile = lambda cell, nxt, x, y, left: F.struct(
-        cell.alias("cell"), F.lit(nxt).alias("next"), x.cast("int").alias("x"), y.cast("int").alias("y"), F.lit(left).alias("left")
-    )
-    cell, own = F.col("cell"), F.col("own")
-    tiles = F.concat(
-        F.transform(F.sequence(own, F.col("chunks") - 1), lambda y: tile(cell, False, own, y, True)),
-        F.transform(up_to(own), lambda x: tile(cell, False, x, own, False)),
-        F.transform(up_to(F.coalesce("chunks_after", F.lit(0))), lambda y: tile(cell, True, own, y, True)),
-        F.transform(up_to(F.coalesce("chunks_before", F.lit(0))), lambda x: tile(cell - 1, True, x, own, False)),
-    )
-    dealt = placed.select("dims", "label", "block", "node.h", "node.g", "size", "vector", F.explode(tiles).alias("t"))
-    keys = ["dims", "label", "block", "cell", "next", "x", "y"]
-    dealt = dealt.select("dims", "label", "block", "h", "g", "size", "vector", "t.*")
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        first = group.iloc[0]
-        same = not first["next"] and first["x"] == first["y"]
-        rows_left = group[group["left"]]
-        rows_right = rows_left if same else group[~group["left"]]
-        empty = pd.DataFrame({c: [] for c in ("h", "g", "links", "to_h", "to_g")})
-        if rows_left.empty or rows_right.empty:
-            return empty
-        left = np.stack(rows_left["vector"].to_numpy()).astype(np.float64)
-        right = left if same else np.stack(rows_right["vector"].to_numpy()).astype(np.float64)
-        i, j = linked_pairs(left, right, int(first["block"]), cosine)
-        if same:
-            i, j = i[i < j], j[i < j]
-        if not len(i):
-            return empty
-        n = len(rows_left)
-        sizes_left, sizes_right = rows_left["size"].to_numpy(), rows_right["size"].to_numpy()
-        at_left = np.bincount(i, sizes_right[j], len(rows_left)).astype(np.int64)
-        at_right = np.bincount(j, sizes_left[i], len(rows_right)).astype(np.int64)
-        counts = pd.concat([rows_left[["h", "g"]].assign(links=at_left), rows_right[["h", "g"]].assign(links=at_right)])
-        counts = counts[counts["links"] > 0].assign(to_h=None, to_g=None)
-        pairs = _forest(i, j if same else j + n)
-        both = rows_left if same else pd.concat([rows_left, rows_right])
-        h, g = both["h"].to_numpy(), both["g"].to_numpy()
-        x, y = np.array(pairs, dtype=np.int64).T
-        links = pd.DataFrame({"h": h[x], "g": g[x], "links": 0, "to_h": h[y], "to_g": g[y]})
-        return pd.concat([counts.astype(object), links.astype(object)])
+
+    def compare(tile: pa.Table) -> pa.Table:
+        try:
+            return _compared(tile, cosine)
+        finally:
+            give_back()
 
     found = written(
-        dealt.groupBy(*keys).applyInPandas(compare, "h long, g int, links long, to_h long, to_g int"), "found"
+        _dealt(classes).groupBy(*TILE).applyInArrow(compare, "h long, g int, links long, to_h long, to_g int"), "found"
     ).withColumn("node", F.struct("h", "g"))
     counts = found.filter("to_h IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found.filter("to_h IS NOT NULL").select("node", F.struct(F.col("to_h").alias("h"), F.col("to_g").alias("g")).alias("to")))

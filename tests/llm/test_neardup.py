@@ -61,3 +61,45 @@ def test_empty_table_null_ids_and_repeated_rows(spark):
     got = sorted(map(tuple, near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
     assert got == [(1, 2, 1, True), (1, 2, 1, True), (None, 0, None, False), (None, 2, 1, False)]
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("n", [40, 400])
+def test_a_vector_travels_to_few_tiles_however_many_share_its_label(spark, monkeypatch, n):
+    monkeypatch.setattr(neardup, "CHUNK", 4)
+    rows = [((i, 0), 1 + i % 2, 1, [float(i), 1.0]) for i in range(n)]
+    classes = spark.createDataFrame(rows, "node struct<h: long, g: int>, label int, size long, vector array<float>")
+    copies = [r["count"] for r in neardup._dealt(classes).groupBy("h").count().collect()]
+    assert len(copies) == n and max(copies) <= neardup.PARTS
+
+
+def test_a_chunk_is_cut_where_a_task_could_not_hold_it(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "MOST_BYTES", 10 * 2 * 8)
+    rows = [((i, 0), 1, 1, [float(i), 1.0]) for i in range(400)]
+    classes = spark.createDataFrame(rows, "node struct<h: long, g: int>, label int, size long, vector array<float>")
+    assert neardup._dealt(classes).groupBy("h").count().agg({"count": "max"}).first()[0] == 40
+
+
+@pytest.mark.parametrize("noise", [0.02, 0.25, 3.0])
+@pytest.mark.parametrize("same", [True, False])
+def test_pairs_in_strips_and_runs(monkeypatch, noise, same):
+    monkeypatch.setattr(neardup, "STRIP", 700)
+    monkeypatch.setattr(neardup, "RUN", 50)
+    rnd = np.random.default_rng(5)
+    left = (rnd.standard_normal((6, 24))[rnd.integers(0, 6, 90)] + rnd.standard_normal((90, 24)) * noise) * 7
+    right = left if same else left[::-1][:70] + rnd.standard_normal((70, 24)) * noise
+    lengths = [np.sqrt((v * v).sum(1)) for v in (left, right)]
+    cosines = left @ right.T / np.outer(*lengths)
+    wanted = {(i, j) for i, j in zip(*np.nonzero(cosines >= 0.93)) if not same or i < j}
+    runs = list(neardup.linked_pairs(left, right, 0.93, same=same))
+    got = [(i, j) for run in runs for i, j in zip(*run)]
+    assert len(got) == len(set(got)) and set(got) == wanted and all(len(i) <= 50 for i, _ in runs)
+    assert noise > 1 or len(wanted) > 50
+    forest = neardup._Forest(160)
+    for i, j in runs:
+        forest.add(i, j if same else j + 90)
+    root = list(range(160))
+    for i, j in forest.pairs:
+        a, b = root[i], root[j]
+        assert a != b
+        root = [a if r == b else r for r in root]
+    assert all(root[i] == root[j if same else j + 90] for i, j in wanted)
