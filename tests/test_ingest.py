@@ -285,3 +285,46 @@ def test_whole_numbers_up_to_the_limits_of_their_column(records):
 def test_numbers_and_dates_are_read_by_compiled_code(records):
     plan = ingest.raw_to_filings(records(record("a")))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lambdafunction(") == 1  # the times; a lambda is worked off node by node for each value
+
+
+def test_years_are_replaced_by_one_write_however_many_they_are(spark, tmp_path):
+    jobs = []
+    for n in (2, 12):
+        base = tmp_path / str(n)
+        rows = [(f"r{i}", "Ohio", date(2000 + year, 1, 1), 2000 + year) for year in range(n) for i in (3, 1, 2)]
+        new = spark.createDataFrame(rows, f"Record_ID string, State string, Effective_Date date, {YEAR} int").coalesce(1)
+        new.write.partitionBy(YEAR).parquet(str(base / "rows"))
+        spark.sparkContext.setJobGroup(f"years {n}", "")
+        replace_years(read_stored(spark, str(base / "rows")), str(base / "filings"), [2000 + year for year in range(n)])
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"years {n}")))
+        spark.sparkContext._jsc.clearJobGroup()
+        stored = read_stored(spark, str(base / "filings"))
+        assert sorted(map(tuple, stored.select("Record_ID", YEAR).collect())) == sorted((r[0], r[3]) for r in rows)
+    assert jobs[0] == jobs[1]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_what_a_sync_writes_and_joins(spark, records, tmp_path, monkeypatch):
+    base, plans, packed = str(tmp_path / "db"), [], sync_module.packed
+
+    def seen(rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return packed(rows)
+
+    monkeypatch.setattr(sync_module, "packed", seen)
+    sync(spark, records(record("a"), record("b")), base, now=datetime(2024, 5, 16))
+    assert len(plans) == 2  # the batch, the rows; all are new, so the changes are the batch
+    plans.clear()
+    sync(spark, records(record("c", modified="2024-05-20T00:00:00.000Z")), base, now=datetime(2024, 5, 21))
+    assert len(plans) == 3 and "Join" not in plans[-1]  # nothing was updated, so nothing gives way
+    plans.clear()
+    sync(spark, records(record("a", modified="2024-05-22T00:00:00.000Z")), base, now=datetime(2024, 5, 23))
+    assert len(plans) == 3 and "Join LeftAnti" in plans[-1]
+    assert read_filings(spark, f"{base}/filings").count() == 3
+
+
+def test_missing_ids_repeat_too(spark):
+    with pytest.raises(ingest.DuplicateRecordError, match="None"):
+        ingest.require_unique_ids(spark.createDataFrame([("a",), (None,), (None,)], "Record_ID string"))
+    assert ingest.require_unique_ids(spark.createDataFrame([("a",), (None,)], "Record_ID string")).count() == 2
+    assert ingest.require_unique_ids(spark.createDataFrame([], "Record_ID string")).count() == 0
